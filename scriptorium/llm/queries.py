@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, token_files
+from . import common, mixing, token_files
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +16,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index(spark, path)
 
 
-QUERIES = {"op5_token_files": op5_token_files}
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents: words taken of each, near the target of its source."""
+    return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op5_token_files": op5_token_files,
+}
 ORACLE_SQL: dict[str, str] = {}
