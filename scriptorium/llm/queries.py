@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, mixing, token_files
+from . import common, mixing, simhash, token_files
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +22,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.classes(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_simhash": op3_simhash,
     "op5_token_files": op5_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
