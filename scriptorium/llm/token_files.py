@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,50 +28,60 @@ from pyspark.sql import functions as F
 from . import common
 
 END_ID = 2
-#: Encoded chunks that a Python worker keeps; beyond it the store starts anew.
-KEPT_CHUNKS = 400_000
+#: Encoded pieces that a Python worker keeps; beyond it the store starts anew.
+KEPT = 600_000
 #: Bytes of text encoded at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 SCHEMA = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
-#: White_Space of Unicode, as the tokenizer's own pattern counts it.
-_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: The pattern of the tokenizer's byte-level pre-tokenizer, and the same for texts of Latin-1 characters alone.
+_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
-class ChunkEncoder:
-    """Encodes texts with a byte-level BPE file of the tokenizers library, keeping the ids of frequent chunks.
+def _byte_letters() -> dict[int, str]:
+    """The printable character by which byte-level BPE vocabularies write each byte."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
 
-    A chunk is a run without white space, with the single space before it, or white space alone. The
-    tokenizer's pattern never reaches over the end of a chunk, so the ids of a text are those of its
-    chunks, one after the other. Texts with a special token's string go to the library whole.
+
+class ChunkEncoder(dict):
+    """Encodes texts with a byte-level BPE file of the tokenizers library, keeping the ids of frequent words.
+
+    A text is cut by the pattern of the file's pre-tokenizer; the library's model encodes each piece, once
+    for as long as it is kept. Texts with a special token's string go to the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept: dict[str, bytes] = {}
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
-    def _library(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        cut = [_CHUNK.findall(t) if i not in whole else [] for i, t in enumerate(texts)]
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept = {}
-        kept, new = self.kept, set()
-        for c in cut:
-            new.update(c)
-        new = [c for c in new if c not in kept]
-        for i in range(0, len(new), 10_000):
-            kept.update(zip(new[i : i + 10_000], self._library(new[i : i + 10_000])))
-        out = [b"".join([kept[x] for x in c]) for c in cut]
-        for i in whole:
-            out[i] = self._library([texts[i]])[0]
+        """For each text its ids as unsigned 32-bit integers."""
+        if len(self) > KEPT:
+            self.clear()
+        out = []
+        for text in texts:
+            if any(s in text for s in self.special):
+                out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
+            try:
+                text.encode("latin-1")
+                pieces = _LATIN.findall(text)
+            except UnicodeEncodeError:
+                pieces = _PATTERN.findall(text)
+            out.append(b"".join(map(self.__getitem__, pieces)))
         return out
 
 
