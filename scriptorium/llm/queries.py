@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, mixing, simhash, token_files
+from . import common, fingerprints, mixing, simhash, token_files
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +28,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
     "op5_token_files": op5_token_files,
+    "op6_fingerprints": op6_fingerprints,
 }
 ORACLE_SQL: dict[str, str] = {}
