@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, mixing, simhash, token_files
+from . import common, fingerprints, mixing, simhash, token_files, topk
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +33,32 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(common.table(spark, sf_dir, "documents"))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth embedding with all others."""
+    rows = topk.quantised(common.table(spark, sf_dir, "embeddings"))
+    return topk.search(rows, rows.where(F.col("vec_id") % topk.EVERY == 0))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
     "op5_token_files": op5_token_files,
     "op6_fingerprints": op6_fingerprints,
+    "op10_topk": op10_topk,
 }
 ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL["op10_topk"] = """
+WITH parts AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS x, len(embedding) AS dim FROM embeddings
+), sound AS (
+  SELECT vec_id FROM parts GROUP BY vec_id HAVING bool_and(x IS NOT NULL AND isfinite(x))
+), e AS (
+  SELECT p.vec_id, p.i, p.dim, CAST(floor(256 * CAST(p.x AS DOUBLE)) AS BIGINT) AS v FROM parts p JOIN sound s ON p.vec_id = s.vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.v * c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.i = c.i AND q.dim = c.dim AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
