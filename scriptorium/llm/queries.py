@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, mixing, simhash, token_files, topk
+from . import common, fingerprints, mixing, simhash, token_files, topk, toxicity
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,9 +39,16 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(rows, rows.where(F.col("vec_id") % topk.EVERY == 0))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fold."""
+    docs = common.table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_fingerprints": op6_fingerprints,
     "op10_topk": op10_topk,
