@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, mixing, simhash, token_files, topk, toxicity
+from . import common, fingerprints, html_text, mixing, simhash, token_files, topk, toxicity
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,12 +45,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(common.table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_fingerprints": op6_fingerprints,
+    "op7_html_text": op7_html_text,
     "op10_topk": op10_topk,
 }
 ORACLE_SQL: dict[str, str] = {}
