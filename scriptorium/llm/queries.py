@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, html_text, mixing, simhash, token_files, topk, toxicity
+from . import common, fingerprints, html_text, mixing, simhash, token_files, topk, toxicity, word_pieces
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,13 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(common.table(spark, sf_dir, "pages"))
 
 
+def op8_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    import public_tokenizers
+
+    return word_pieces.counts(common.table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
@@ -57,6 +64,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
+    "op8_word_pieces": op8_word_pieces,
     "op10_topk": op10_topk,
 }
 ORACLE_SQL: dict[str, str] = {}
