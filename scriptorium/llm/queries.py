@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, html_text, mixing, simhash, token_files, topk, toxicity, word_pieces
+from . import common, fingerprints, html_text, mixing, pieces, simhash, token_files, topk, toxicity, word_pieces
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +57,18 @@ def op8_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_pieces.counts(common.table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document, decode the ids again, and return digests of the ids and whether the text came back."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    back = pieces.decode(pieces.encode(common.table(spark, sf_dir, "documents"), path), path)
+    return back.select("doc_id", "n_tokens", "ids_crc32", (F.xxhash64("text") == F.col("digest")).alias("round_trip"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_pieces": op2_pieces,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
