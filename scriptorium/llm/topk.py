@@ -30,8 +30,8 @@ SCALE = 256
 EVERY = 50
 #: Rows of a tile of candidates and of a block of queries.
 TILE, BLOCK = 8192, 256
-#: Rows that are resolved by their exact scores, at most this share of a tile, before reading goes on.
-RESOLVE = 8
+#: Reading stops when one row in RESOLVE may still qualify; lists are read first to one row in FIRST, then twice as far.
+RESOLVE, FIRST = 2, 8
 
 
 def quantised(rows: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -56,34 +56,37 @@ class Tile:
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         by = np.argsort(ids, kind="stable")
         self.ids, self.v = ids[by], v[by]
+        self.exact = self.v.astype(np.float64)
         self.order = np.argsort(self.v, axis=0, kind="stable").T.copy()  # a list of rows for each component
         self.sorted = np.take_along_axis(self.v, self.order.T, 0).T.astype(np.float64)
 
-    def best(self, query_id: int, q: np.ndarray, k: int, depth: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """ids and scores of the k highest, ties to smaller ids; all arithmetic is exact below 2**53."""
         n, dims = self.v.shape
-        out = np.nonzero(self.ids == query_id)[0]
-        up = q > 0
-        weight = q.astype(np.float64)
-        least = (weight * np.where(up, self.sorted[:, 0], self.sorted[:, -1]))[:, None]  # each list's far end
-        partial, seen = np.zeros(n), np.zeros((n, dims), bool)
-        live, done = np.arange(n), 0
+        own = np.nonzero(self.ids == query_id)[0]
+        up, weight = q > 0, q.astype(np.float64)
+        least = weight * np.where(up, self.sorted[:, 0], self.sorted[:, -1])  # each list's far end
+        partial, seen = np.zeros(n), np.zeros((n, dims), np.float32)
+        live, done, column = np.arange(n), 0, np.arange(dims)[:, None]
         while len(live) > max(4 * k, n // RESOLVE) and done < n:
-            to = min(n, max(depth, 2 * done))
-            rows = np.where(up[:, None], self.order[:, n - to : n - done], self.order[:, done:to])
-            values = np.where(up[:, None], self.sorted[:, n - to : n - done], self.sorted[:, done:to]) * weight[:, None]
-            partial += np.bincount(rows.ravel(), values.ravel(), n)
-            seen[rows, np.arange(dims)[:, None]] = True
+            to = min(n, max(n // FIRST, 2 * done, 1))
+            rows, values = np.empty((dims, to - done), np.int64), np.empty((dims, to - done))
+            rows[up], rows[~up] = self.order[up, n - to : n - done], self.order[~up, done:to]
+            values[up], values[~up] = self.sorted[up, n - to : n - done], self.sorted[~up, done:to]
+            partial += np.bincount(rows.ravel(), (values * weight[:, None]).ravel(), n)
+            seen[rows, column] = 1
             done = to
             frontier = weight * np.where(up, self.sorted[:, n - to], self.sorted[:, to - 1])
-            read = seen[live].astype(np.float64)
-            lower = partial[live] + least.sum() - read @ least[:, 0]
-            upper = partial[live] + frontier.sum() - read @ frontier
-            lower[np.isin(live, out)] = -np.inf
-            if len(live) > k:
-                live = live[upper >= np.partition(lower, -k)[-k] - 0.5]
-        live = live[~np.isin(live, out)]
-        exact = self.v[live] @ q
+            if len(live) <= k:
+                continue
+            unread = (seen[live] if len(live) < n else seen) @ np.stack([least, frontier], 1).astype(np.float32)
+            lower = partial[live] + least.sum() - unread[:, 0]
+            upper = partial[live] + frontier.sum() - unread[:, 1]
+            lower[np.isin(live, own)] = -np.inf
+            slack = 1e-5 * (np.abs(least).sum() + np.abs(frontier).sum()) + 1  # of single precision
+            live = live[upper >= np.partition(lower, -k)[-k] - slack]
+        live = live[~np.isin(live, own)]
+        exact = (self.exact[live] @ weight).astype(np.int64)
         first = np.lexsort((self.ids[live], -exact))[:k]
         return self.ids[live][first], exact[first]
 
