@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, html_text, mixing, pieces, simhash, token_files, topk, toxicity, word_pieces
+from . import common, fingerprints, html_text, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,13 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_crc32", (F.xxhash64("text") == F.col("digest")).alias("round_trip"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of documents with smaller ids."""
+    found = suffix_dedup.removals(common.table(spark, sf_dir, "documents"))
+    doc_id = F.when(F.col("id") != common.NULL_ID, F.col("id")).alias("doc_id")
+    return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pieces": op2_pieces,
@@ -75,6 +82,7 @@ QUERIES = {
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
     "op8_word_pieces": op8_word_pieces,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_topk": op10_topk,
 }
 ORACLE_SQL: dict[str, str] = {}
