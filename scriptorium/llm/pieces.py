@@ -21,12 +21,12 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,15 +34,16 @@ from . import common
 
 MARK = "▁"
 #: Characters of a chunk; longer documents are split.
-CHUNK = 16_384
+CHUNK = 65_536
 #: Chunks whose matrices one task multiplies.
 BLOCK = 64
-#: Paths of words and pair weights that a Python worker keeps; beyond it the stores start anew.
-KEPT = 400_000
+#: Paths of words, and weights of pairs, that a Python worker keeps of late; those of the time before are kept once more.
+KEPT = 200_000
 #: Words up to this length are kept.
 KEPT_LENGTH = 48
 SLICE_BYTES = 2 << 20
 _LETTER = re.compile(r"[^\W\d_]")
+_ONE = (1,)
 NO, YES = np.float32(-np.inf), np.float32(0)
 
 
@@ -74,18 +75,26 @@ class Model:
                 self.rank[piece] = -sp.get_score(i)
                 self.plain.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.ids))
+        self.size = [len(p) for p in map(sp.id_to_piece, range(sp.get_piece_size()))]
+        self.piece = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("the file has pieces with a word mark inside; words are no parts of their own")
-        self.whole = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
+        self.whole = {p: i for p, i in self.ids.items() if len(p) == 1 or self.merged(p) == [p]}
         ends: dict[str, set[int]] = {}
         for p in self.whole:
             if len(p) > 1:
                 ends.setdefault(p[-2:], set()).add(len(p))
         #: Lengths of the pieces that end in two characters, longest first.
         self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()}
+        heads: dict[str, set[int]] = {}
+        for p in self.whole:
+            if len(p) > 1:
+                heads.setdefault(p[:2], {1}).add(len(p))
+        self.begins = {k: tuple(sorted(v, reverse=True)) for k, v in heads.items()}
         self.parts = self._parts()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.words_before: dict[str, bytes] = {}
 
     def _parts(self) -> re.Pattern:
         """Cuts a text in normal form where no piece spans: at word marks, at line ends, and before what no letter precedes in any piece."""
@@ -107,71 +116,86 @@ class Model:
             i = min(ranks)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def joins(self, a: str, b: str) -> bool:
+    # In paths a piece is its id; a character outside the vocabulary is minus one less its code point.
+
+    def joins(self, a: int, b: int) -> bool:
         """Whether b may follow a: the weight of the step is 0."""
-        found = self.pairs.get((a, b))
+        if a < 0 or b < 0:
+            return True
+        found = self.pairs.get(a << 20 | b)
         if found is None:
-            found = self.pairs[a, b] = self.merged(a + b) == [a, b]
+            x, y = self.piece[a], self.piece[b]
+            found = self.pairs[a << 20 | b] = self.merged(x + y) == [x, y]
         return found
 
-    def pieces_at(self, text: str, end: int) -> Iterator[str]:
-        """Pieces of the lattice that end at a position, longest first; a character outside the vocabulary is one."""
-        for n in range(min(self.longest, end), 1, -1):
-            piece = text[end - n : end]
-            if piece in self.whole:
-                yield piece
+    def single(self, c: str) -> int:
+        i = self.ids.get(c)
+        return -1 - ord(c) if i is None else i
+
+    def pieces_at(self, text: str, end: int) -> Iterator[tuple[int, int]]:
+        """Pieces of the lattice that end at a position, with their lengths, longest first."""
+        for n in self.lengths.get(text[end - 2 : end], ()) if end > 1 else ():
+            if n <= end and (i := self.whole.get(text[end - n : end])) is not None:
+                yield i, n
         if end:
-            yield text[end - 1]
-
-    def path(self, text: str) -> list[str]:
-        """The path through a text of its own; every prefix has one last piece."""
-        whole, pairs, lengths = self.whole, self.pairs, self.lengths
-        last = ["", text[:1]]
-        for end in range(2, len(text) + 1):
-            for n in lengths.get(text[end - 2 : end], ()):
-                if n > end:
+            yield self.single(text[end - 1]), 1
+
+    def path(self, text: str) -> list[int]:
+        """The path of weight 0 through a text of its own, longest pieces tried first.
+
+        Every prefix has one such path, so a position from which the end was not reached is never tried again.
+        """
+        whole, pairs, begins, n = self.whole.get, self.pairs.get, self.begins.get, len(text)
+        out, ends, tried, dead, at = [], [], [], set(), 0
+        last, k = None, 0
+        while at < n:
+            lengths = begins(text[at : at + 2], _ONE)
+            while k < len(lengths):
+                to = at + lengths[k]
+                k += 1
+                if to > n or to in dead:
                     continue
-                piece = text[end - n : end]
-                if piece in whole:
-                    if n == end:
-                        break
-                    a = last[end - n]
-                    found = pairs.get((a, piece))
-                    if found is None:
-                        found = self.joins(a, piece)
-                    if found:
-                        break
+                i = whole(text[at:to])
+                if i is None:
+                    if to > at + 1:
+                        continue
+                    i = self.single(text[at])
+                if last is not None and last >= 0 and i >= 0:
+                    found = pairs(last << 20 | i)
+                    if not found and (found is False or not self.joins(last, i)):
+                        continue
+                out.append(i)
+                ends.append(at)
+                tried.append(k)
+                last, at, k = i, to, 0
+                break
             else:
-                piece = text[end - 1]
-            last.append(piece)
-        out, end = [], len(text)
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
+                dead.add(at)
+                out.pop()
+                at, k = ends.pop(), tried.pop()
+                last = out[-1] if out else None
+        return out
 
-    def numbers(self, pieces: list[str]) -> bytes:
-        out = array("I")
-        for p in pieces:
-            i = self.ids.get(p)
-            if i is None:
-                out.extend(self.byte_id[b] for b in p.encode("utf-8", "surrogatepass"))
-            else:
-                out.append(i)
-        return out.tobytes()
+    def numbers(self, path: list[int]) -> bytes:
+        if path and min(path) < 0:
+            path = [j for i in path for j in ([i] if i >= 0 else [self.byte_id[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")])]
+        return array("I", path).tobytes()
 
     def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            found = self.numbers(self.path(word))
+            found = self.words_before.get(word)
+            if found is None:
+                found = self.numbers(self.path(word))
             if len(word) <= KEPT_LENGTH:
                 self.words[word] = found
         return found
 
     def tidy(self) -> None:
-        for store in (self.words, self.pairs):
-            if len(store) > KEPT:
-                store.clear()
+        if len(self.words) > KEPT:
+            self.words_before, self.words = self.words, {}
+        if len(self.pairs) > 2 * KEPT:
+            self.pairs.clear()
 
     def encode(self, normal: str) -> bytes:
         """Ids of a text in normal form that begins and ends with a document or a part of its own."""
@@ -179,26 +203,26 @@ class Model:
 
     # chunks of giant documents
 
-    def states(self, text: str, at: int) -> list[tuple[int, str]]:
+    def states(self, text: str, at: int) -> list[tuple[int, int | None]]:
         """States at a boundary: where a piece ends, counted back from it, and the piece; at 0 the beginning."""
         if at == 0:
-            return [(0, "")]
-        return [(end - at, p) for end in range(max(1, at - self.longest + 1), at + 1) for p in self.pieces_at(text, end)]
+            return [(0, None)]
+        return [(end - at, i) for end in range(max(1, at - self.longest + 1), at + 1) for i, _ in self.pieces_at(text, end)]
 
-    def _run(self, text: str, entries: dict[int, dict[str, int]], first: int, stop: int) -> dict[int, dict[str, int]]:
+    def _run(self, text: str, entries: dict[int, dict], first: int, stop: int) -> dict[int, dict]:
         """Nodes (end, last piece) up to stop that entries reach, each with the set of entries, as bits, on a path of weight 0."""
         nodes = {end: dict(found) for end, found in entries.items()}
         for end in range(first + 1, stop + 1):
             here = {}
-            for piece in self.pieces_at(text, end):
-                before = nodes.get(end - len(piece))
+            for i, n in self.pieces_at(text, end):
+                before = nodes.get(end - n)
                 bits = 0
                 for last, reached in before.items() if before else ():
-                    if not last or self.joins(last, piece):
+                    if last is None or self.joins(last, i):
                         bits |= reached
                 if bits:
-                    here[piece] = bits
-            if end > first and here:
+                    here[i] = bits
+            if here:
                 nodes[end] = here
         return nodes
 
@@ -208,8 +232,8 @@ class Model:
         found = [left + m.start() for m in re.finditer(f"(?<=[^{MARK}]){MARK}", text[left:limit])]
         return (found[0], found[-1]) if found else None
 
-    def _entries(self, states: list[tuple[int, str]], left: int) -> dict[int, dict[str, int]]:
-        out: dict[int, dict[str, int]] = {}
+    def _entries(self, states: list[tuple[int, int | None]], left: int) -> dict[int, dict]:
+        out: dict[int, dict] = {}
         for i, (back, piece) in enumerate(states):
             out.setdefault(left + back, {})[piece] = 1 << i
         return out
@@ -226,7 +250,7 @@ class Model:
             reached = 0
             for bits in self._run(text, entries, left, cuts[0]).get(cuts[0], {}).values():
                 reached |= bits
-            nodes = self._run(text, {cuts[1]: {"": reached}}, cuts[1], n)
+            nodes = self._run(text, {cuts[1]: {None: reached}}, cuts[1], n)
         if final:
             masks = [0]
             for bits in nodes.get(n, {}).values():
@@ -235,7 +259,7 @@ class Model:
             masks = [nodes.get(n + back, {}).get(piece, 0) for back, piece in self.states(text, n)]
         return np.array([[YES if m >> i & 1 else NO for m in masks] for i in range(len(states))], np.float32).reshape(len(states), len(masks))
 
-    def trace(self, text: str, left: int, entry: tuple[int, str], leave: tuple[int, str] | None) -> bytes:
+    def trace(self, text: str, left: int, entry: tuple[int, int | None], leave: tuple[int, int | None] | None) -> bytes:
         """Ids of the pieces after entry's, up to leave's (or the document's end)."""
         start = left + entry[0]
         stop = len(text) + leave[0] if leave else len(text)
@@ -244,15 +268,15 @@ class Model:
         out = [self.numbers(self._back(text, {start: {entry[1]: 1}}, start, head_end, leave[1] if leave and not cuts else None))]
         if cuts:
             out.append(self.encode(text[cuts[0] : cuts[1]]))
-            out.append(self.numbers(self._back(text, {cuts[1]: {"": 1}}, cuts[1], stop, leave[1] if leave else None)))
+            out.append(self.numbers(self._back(text, {cuts[1]: {None: 1}}, cuts[1], stop, leave[1] if leave else None)))
         return b"".join(out)
 
-    def _back(self, text: str, entries: dict[int, dict[str, int]], start: int, stop: int, last: str | None) -> list[str]:
+    def _back(self, text: str, entries: dict[int, dict], start: int, stop: int, last: int | None) -> list[int]:
         nodes, out, end = self._run(text, entries, start, stop), [], stop
         while end > start:
             piece = last if last is not None else next(iter(nodes[end]))
             out.append(piece)
-            end -= len(piece)
+            end -= self.size[piece] if piece >= 0 else 1
             last = None
             if end > start:
                 last = next(p for p in nodes[end] if self.joins(p, piece))
@@ -529,9 +553,8 @@ def _on_path(states: list[tuple[int, str]], forward: np.ndarray, backward: np.nd
     return max((s for s, w in zip(states, forward + backward) if w == YES), key=lambda s: s[0])
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, digest, n_tokens, ids_crc32 and text of every row that encode() gives."""
-    import zlib
+def decode(encoded: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, digest, n_tokens, ids_crc32, text and, if asked for, ids of every row that encode() gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -540,6 +563,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             m = model(path)
             for i in range(0, len(lists), 500):
                 spans = [values[a:b] for a, b in zip(bounds[i : i + 500], bounds[i + 1 : i + 501])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, 500), batch.column("digest").slice(i, 500), pa.array([len(s) for s in spans], pa.int64()), pa.array([zlib.crc32(s.astype("<u4").tobytes()) for s in spans], pa.int64()), pa.array([m.decode(s) for s in spans], pa.string())], names=["doc_id", "digest", "n_tokens", "ids_crc32", "text"])
+                columns = [batch.column("doc_id").slice(i, 500), batch.column("digest").slice(i, 500), pa.array([len(s) for s in spans], pa.int64()), pa.array([zlib.crc32(s.astype("<u4").tobytes()) for s in spans], pa.int64()), pa.array([m.decode(s) for s in spans], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns + [lists.slice(i, 500)] * with_ids, names=["doc_id", "digest", "n_tokens", "ids_crc32", "text"] + ["ids"] * with_ids)
 
-    return encoded.mapInArrow(run, "doc_id bigint, digest bigint, n_tokens bigint, ids_crc32 bigint, text string")
+    return encoded.mapInArrow(run, "doc_id bigint, digest bigint, n_tokens bigint, ids_crc32 bigint, text string" + ", ids array<int>" * with_ids)
