@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import registry_plans, section_plans
+
+QUERIES: dict = {**section_plans.QUERIES, **registry_plans.QUERIES}
+ORACLE_SQL: dict[str, str] = {**section_plans.ORACLE_SQL, **registry_plans.ORACLE_SQL}
