@@ -30,7 +30,7 @@ def omit_images(docs: DataFrame, shipped: DataFrame, marker: str, key: str = "pa
     rows = docs.join(names, key, "left").withColumn("_names", F.coalesce("_names", F.array().cast("array<string>")))
     every = F.array_distinct(F.regexp_extract_all(body, F.lit(r"!\[[^\]]*\]\([^)]*\)"), 0))
     gone = F.filter(every, lambda i: ~F.array_contains(F.col("_names"), F.regexp_extract(i, r"([^/()]+)\)$", 1)))
-    return rows.withColumn(body, F.aggregate(gone, F.col(body), lambda acc, i: F.replace(acc, i, F.lit(marker)))).withColumn("omitted", F.size(gone)).drop("_names")
+    return rows.withColumns({body: F.aggregate(gone, F.col(body), lambda acc, i: F.replace(acc, i, F.lit(marker))), "omitted": F.size(gone)}).drop("_names")
 
 
 def navigation_line(previous: Column, following: Column) -> Column:
