@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -62,3 +63,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
 def texts(column: pa.Array) -> list[str]:
     """Python strings, null as empty."""
     return [x or "" for x in column.to_pylist()]
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """From now on rows go to Python workers in batches of about size bytes: a worker that also holds groups has less to hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def give_back() -> None:
+    """Return what the allocators of this worker hold unused to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass

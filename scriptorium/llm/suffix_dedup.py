@@ -1,7 +1,8 @@
 """Passages that repeat across documents, removed byte by byte: every byte under a 50-byte string that also starts in a document with a smaller id.
 
-Suffixes are compared to a depth of LENGTH bytes in buckets, one at a time, in four passes of bounded memory:
+Suffixes are compared to a depth of LENGTH bytes in buckets, one at a time, in passes of bounded memory:
 
+0. Documents that equal one with a smaller id, by SHA-256, lose every byte; they are settled and take no further part.
 1. Every window of LENGTH bytes names an anchor, the GRAM-byte string in it with the least hash (the first, if several have
    it). Equal windows have equal anchors at equal places, so only suffixes around anchors that occur in several documents
    need to be sorted. Anchors go to buckets by their hash, packed; what repeats inside one task is settled there.
@@ -41,8 +42,10 @@ PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 WIDTH = 2 * SPAN + GRAM
 BROADCAST_DOCS = 2_000_000
 #: Windows hashed at once, and bytes of text settled together in a task.
-SEGMENT, BLOCK_BYTES, BLOCK_DOCS = 1 << 16, 8 << 20, 60_000
+SEGMENT, BLOCK_BYTES, BLOCK_DOCS = 1 << 16, 4 << 20, 60_000
 NOBODY = 65_535
+#: Buckets of contexts for each of anchors: contexts are larger.
+FINER = 4
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -132,6 +135,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, lis
             if size >= BLOCK_BYTES or len(codes) >= BLOCK_DOCS:
                 yield np.array(codes, np.int64), texts
                 codes, texts, size = [], [], 0
+                common.give_back()
     if codes:
         yield np.array(codes, np.int64), texts
 
@@ -190,12 +194,13 @@ def _repeated(table: pa.Table, n: int) -> pa.Table:
     codes, hashes = np.concatenate(codes), np.concatenate(hashes)
     rows = [(g, codes[i].astype("<u4").tobytes(), hashes[i].astype("<u8").tobytes()) for g, i in _groups(codes.astype(np.int64) % n)]
     g, c, h = zip(*rows) if rows else ((), (), ())
+    common.give_back()
     return pa.Table.from_arrays([pa.array(g, pa.int32()), pa.array(c, pa.binary()), pa.array(h, pa.binary())], names=["grp", "codes", "hashes"])
 
 
 # pass 2
 
-_CONTEXTS = "bucket int, settled boolean, ids binary, digests binary, codes binary, at binary, windows binary, bytes binary"
+_CONTEXTS = "bucket int, settled boolean, ids binary, codes binary, at binary, windows binary, bytes binary"
 
 
 def _pairing(codes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -203,24 +208,25 @@ def _pairing(codes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return hashes ^ (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _contexts(docs: pa.Table, wanted: pa.Table, n: int) -> pa.Table:
+def _contexts(docs: pa.Table, wanted: pa.Table, n: int, buckets: int) -> pa.Table:
     """Of one group of documents: its repeated anchors with the bytes around, by bucket."""
     rows = []
     if docs.num_rows and wanted.num_rows:
         codes = np.frombuffer(b"".join(wanted.column("codes").to_pylist()), "<u4")
         known = np.unique(_pairing(codes, np.frombuffer(b"".join(wanted.column("hashes").to_pylist()), "<u8")))
         texts = [t.encode("utf-8", "surrogatepass") for t in common.texts(docs.column("text"))]
-        ids, digests, own = (np.array(docs.column(c).to_pylist(), np.int64) for c in ("id", "digest", "code"))
+        ids, own = (np.array(docs.column(c).to_pylist(), np.int64) for c in ("id", "code"))
         first = size = 0
         for i, t in enumerate(texts):
             size += len(t)
             if size >= BLOCK_BYTES or i + 1 == len(texts):
-                rows += _block_contexts(texts[first : i + 1], ids[first : i + 1], digests[first : i + 1], own[first : i + 1], known, n)
+                rows += _block_contexts(texts[first : i + 1], ids[first : i + 1], own[first : i + 1], known, n, buckets)
                 first, size = i + 1, 0
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, [pa.int32(), pa.bool_(), *[pa.binary()] * 6])], names=[x.split()[0] for x in _CONTEXTS.split(", ")])
+    common.give_back()
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, [pa.int32(), pa.bool_(), *[pa.binary()] * 5])], names=[x.split()[0] for x in _CONTEXTS.split(", ")])
 
 
-def _block_contexts(texts, ids, digests, codes, known, n) -> list[tuple]:
+def _block_contexts(texts, ids, codes, known, n, buckets) -> list[tuple]:
     data, ends = joined(texts)
     at, hashes, low, high = anchors(data, ends)
     owner = np.searchsorted(ends, at, "right")
@@ -249,17 +255,17 @@ def _block_contexts(texts, ids, digests, codes, known, n) -> list[tuple]:
     out = []
     for done in (True, False):
         where = np.flatnonzero(settled == done)
-        key = (codes[owner[where]] % n) if done else _bucket(hashes[where], n)
+        key = (codes[owner[where]] % n) if done else _bucket(hashes[where], buckets)
         for b, j in _groups(key):
             i = where[j]
-            packed = (ids[owner[i]].astype("<i8"), digests[owner[i]].astype("<i8"), codes[owner[i]].astype("<u4"), (at[i] - begins[i]).astype("<i8"), windows[i])
+            packed = (ids[owner[i]].astype("<i8"), codes[owner[i]].astype("<u4"), (at[i] - begins[i]).astype("<i8"), windows[i])
             out.append((b, done, *[x.tobytes() for x in packed], b"" if done else around[i].tobytes()))
     return out
 
 
 # pass 3
 
-_REMOVED = "grp int, ids binary, digests binary, codes binary, at binary, masks binary"
+_REMOVED = "grp int, ids binary, codes binary, at binary, masks binary"
 
 
 def _ints(columns: np.ndarray) -> list[np.ndarray]:
@@ -277,7 +283,7 @@ def _ranks(keys: list[np.ndarray]) -> np.ndarray:
     new = np.zeros(len(order), bool)
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
-    out = np.empty(len(order), np.int64)
+    out = np.empty(len(order), np.int32)
     out[order] = np.cumsum(new)
     return out
 
@@ -313,29 +319,32 @@ def later_windows(around: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> n
 
 def _removed(table: pa.Table, n: int) -> pa.Table:
     """Of one bucket: for each anchor of a document the windows to remove, by the documents' group."""
-    fields: list[list[np.ndarray]] = [[] for _ in range(5)]
-    waiting: list[list[np.ndarray]] = [[] for _ in range(6)]
-    for settled, *values in zip(*[table.column(x).to_pylist() for x in ("settled", "ids", "digests", "codes", "at", "windows", "bytes")]):
-        read = [np.frombuffer(v, t) for v, t in zip(values, ("<i8", "<i8", "<u4", "<i8", np.uint8, np.uint8))]
-        read[4] = read[4].reshape(-1, 2)
+    fields: list[list[np.ndarray]] = [[] for _ in range(4)]
+    waiting: list[list[np.ndarray]] = [[] for _ in range(5)]
+    for settled, *values in zip(*[table.column(x).to_pylist() for x in ("settled", "ids", "codes", "at", "windows", "bytes")]):
+        read = [np.frombuffer(v, t) for v, t in zip(values, ("<i8", "<u4", "<i8", np.uint8, np.uint8))]
+        read[3] = read[3].reshape(-1, 2)
         if settled:
-            low, high = read[4].T.astype(np.uint64)
+            low, high = read[3].T.astype(np.uint64)
             masks = ((np.uint64(2) << high) - (np.uint64(1) << low)).astype(np.uint32)
-            for f, x in zip(fields, (*read[:4], masks)):
+            for f, x in zip(fields, (*read[:3], masks)):
                 f.append(x)
         else:
-            read[5] = read[5].reshape(-1, WIDTH)
+            read[4] = read[4].reshape(-1, WIDTH)
             for f, x in zip(waiting, read):
                 f.append(x)
+    del table
     if waiting[0]:
-        ids, digests, codes, at, windows, around = (np.concatenate(x) for x in waiting)
+        ids, codes, at, windows, around = (np.concatenate(x) for x in waiting)
+        waiting.clear()
         masks = later_windows(around, windows, ids)
         some = masks > 0
-        for f, x in zip(fields, (ids, digests, codes, at, masks)):
+        for f, x in zip(fields, (ids, codes, at, masks)):
             f.append(x[some])
-    ids, digests, codes, at, masks = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in fields)
-    rows = [(g, ids[i].astype("<i8").tobytes(), digests[i].astype("<i8").tobytes(), codes[i].astype("<u4").tobytes(), at[i].astype("<i8").tobytes(), masks[i].astype("<u4").tobytes()) for g, i in _groups(codes.astype(np.int64) % n)]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, [pa.int32(), *[pa.binary()] * 5])], names=[x.split()[0] for x in _REMOVED.split(", ")])
+    ids, codes, at, masks = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in fields)
+    rows = [(g, ids[i].astype("<i8").tobytes(), codes[i].astype("<u4").tobytes(), at[i].astype("<i8").tobytes(), masks[i].astype("<u4").tobytes()) for g, i in _groups(codes.astype(np.int64) % n)]
+    common.give_back()
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, [pa.int32(), *[pa.binary()] * 4])], names=[x.split()[0] for x in _REMOVED.split(", ")])
 
 
 # pass 4
@@ -361,15 +370,16 @@ def _result(rows: list[tuple]) -> pa.Table:
 
 def _kept(docs: pa.Table, removed: pa.Table, with_bytes: bool) -> pa.Table:
     rows = []
-    ids, digests, at, masks = (np.frombuffer(b"".join(removed.column(c).to_pylist()), t) for c, t in (("ids", "<i8"), ("digests", "<i8"), ("at", "<i8"), ("masks", "<u4")))
-    order = np.lexsort((digests, ids))
-    ids, digests, at, masks = (x[order] for x in (ids, digests, at, masks))
-    for i, digest, text in zip(*[docs.column(c).to_pylist() for c in ("id", "digest", "text")]):
+    ids, codes, at, masks = (np.frombuffer(b"".join(removed.column(c).to_pylist()), t) for c, t in (("ids", "<i8"), ("codes", "<u4"), ("at", "<i8"), ("masks", "<u4")))
+    order = np.lexsort((codes, ids))
+    ids, codes, at, masks = (x[order] for x in (ids, codes, at, masks))
+    for i, digest, code, text in zip(*[docs.column(c).to_pylist() for c in ("id", "digest", "code", "text")]):
         raw = (text or "").encode("utf-8", "surrogatepass")
         a, b = np.searchsorted(ids, i, "left"), np.searchsorted(ids, i, "right")
-        a, b = a + np.searchsorted(digests[a:b], digest, "left"), a + np.searchsorted(digests[a:b], digest, "right")
+        a, b = a + np.searchsorted(codes[a:b], code, "left"), a + np.searchsorted(codes[a:b], code, "right")
         kept, gone, runs = cut_out(raw, at[a:b], masks[a:b]) if b > a else (raw, 0, 0)
         rows.append((i, digest, len(raw), gone, runs, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None))
+    common.give_back()
     return _result(rows)
 
 
@@ -403,7 +413,17 @@ def _codes(table: DataFrame) -> tuple[DataFrame, int]:
 def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """id (doc_id, null as the least number), n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the bytes kept, of every row."""
     n = common.partitions(docs.sparkSession)
-    rows = _keyed(docs)
+    common.small_batches(docs.sparkSession)
+    every = _keyed(docs)
+
+    # whole copies of a document with a smaller id: nothing of them stays, and nothing starts in them first
+    known = common.cut(every.select("id", "digest", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("bigint").alias("n_bytes")), "digests")
+    least = known.groupBy("sha").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+    copied = common.cut(known.where(F.col("n_bytes") >= LENGTH).join(least, "sha").where("id > least").select("id", "digest", "n_bytes"), "copies")
+    marks = copied.select("id", "digest").distinct()
+    rows = every.join(F.broadcast(marks) if copied.count() <= BROADCAST_DOCS else marks, ["id", "digest"], "left_anti")
+    none = F.lit(hashlib.sha256(b"").hexdigest())
+    gone = copied.select("id", "digest", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), none.alias("kept_sha256"), F.lit(b"" if with_bytes else None).cast("binary").alias("kept"))
 
     seen = rows.select("code", "text").mapInArrow(lambda b: _seen(b, n), _SEEN)
     repeated = common.cut(seen.groupBy("bucket").applyInArrow(lambda t: _repeated(t, n), _REPEATED), "repeated")
@@ -411,16 +431,16 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     def of(codes: DataFrame, number: int, how: str) -> DataFrame:
         return rows.join(F.broadcast(codes) if number <= BROADCAST_DOCS else codes, "code", how)
 
-    group = F.pmod(F.col("code"), F.lit(n)).cast("int").alias("grp")
-    held = of(*_codes(repeated), "left_semi").select("id", "digest", "code", "text", group)
-    contexts = held.groupBy("grp").cogroup(repeated.groupBy("grp")).applyInArrow(lambda a, b: _contexts(a, b, n), _CONTEXTS)
+    group, buckets = F.pmod(F.col("code"), F.lit(n)).cast("int").alias("grp"), FINER * n
+    held = of(*_codes(repeated), "left_semi").select("id", "code", "text", group)
+    contexts = held.groupBy("grp").cogroup(repeated.groupBy("grp")).applyInArrow(lambda a, b: _contexts(a, b, n, buckets), _CONTEXTS)
     removed = common.cut(contexts.groupBy("bucket").applyInArrow(lambda t: _removed(t, n), _REMOVED), "removed")
 
     codes = _codes(removed)
-    held = of(*codes, "left_semi").select("id", "digest", "text", group)
+    held = of(*codes, "left_semi").select("id", "digest", "code", "text", group)
     changed = held.groupBy("grp").cogroup(removed.groupBy("grp")).applyInArrow(lambda a, b: _kept(a, b, with_bytes), _RESULT)
     rest = of(*codes, "left_anti").select("id", "digest", "text").mapInArrow(lambda b: _untouched(b, with_bytes), _RESULT)
-    return changed.unionByName(rest)
+    return changed.unionByName(rest).unionByName(gone)
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
