@@ -10,7 +10,7 @@ from types import SimpleNamespace
 from pyspark.sql import functions as F
 
 from ..functions import fixed, media, text
-from ..operators import audit, catalog, gate, registry, semantic, sections
+from ..operators import audit, catalog, gate, registry, semantic, sections, volumes
 from .section_plans import TITLE, documents
 
 QUERIES: dict = {}
@@ -392,3 +392,63 @@ def structural_validation(spark, sf_dir):
     rows = docs.select(F.col("doc_id").alias("section_id"), "text", F.when(F.col("doc_id") % 100 == 7, "wrong").otherwise(F.sha2("text", 256)).alias("sha256"), F.col("doc_id").alias("reading_order"), (F.col("doc_id") % 500).alias("page"), F.lit(464).alias("pdf_pages"))
     chunked = sections.chunks(docs, separator="\n").withColumnRenamed("doc_id", "section_id")
     return audit.section_findings(rows, chunked).select("rule", "entity_key")
+
+
+@query(r"SELECT doc_id, regexp_replace(lower(substring(text, strpos(text, chr(10)) + 1)), '[^\p{L}\p{N}]', '', 'g') <> '' AS has_words FROM documents WHERE strpos(text, chr(10)) > 0")
+def text_behind_title(spark, sf_dir):
+    rows = documents(spark, sf_dir).where("instr(text, chr(10)) > 0")
+    behind = F.expr("substring(text, instr(text, chr(10)) + 1)")
+    return rows.select("doc_id", (F.regexp_replace(F.lower(behind), r"[^\p{L}\p{N}]", "") != "").alias("has_words"))
+
+
+@query(r"""
+WITH l AS (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents),
+n AS (SELECT doc_id, line_no, trim(regexp_replace(regexp_replace(line, '[#>*`_~]', '', 'g'), '\s+', ' ', 'g')) AS norm FROM l)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, sha256(norm) AS sha FROM n WHERE norm <> ''""")
+def line_index(spark, sf_dir):
+    return volumes.line_index(documents(spark, sf_dir), "doc_id").select("doc_id", "line_no", F.sha2("norm", 256).alias("sha"))
+
+
+@query("SELECT source AS work_id, coalesce(min(CASE WHEN lang = 'de' THEN doc_id END), min(doc_id)) AS section_id FROM documents GROUP BY source")
+def opening_sections(spark, sf_dir):
+    rows = documents(spark, sf_dir).select(F.col("source").alias("work_id"), F.col("doc_id").alias("reading_order"), F.col("doc_id").alias("path"), F.when(F.col("lang") == "de", "opening").otherwise("section").alias("kind"))
+    return volumes.opening_section(rows).withColumnRenamed("path", "section_id")
+
+
+@query(f"WITH {STAGED} SELECT 'publication_status' AS dimension, status AS name, count(*) AS n FROM s GROUP BY status UNION ALL SELECT 'provenance_class', CASE WHEN third THEN 'third_party' ELSE 'authorial' END, count(*) FROM s WHERE labelled GROUP BY 2")
+def figure_counts(spark, sf_dir):
+    rows = staged(spark, sf_dir).withColumn("provenance_class", F.when(F.col("toxic").isNotNull(), F.when(F.col("third"), "third_party").otherwise("authorial")))
+    return volumes.figure_counts(rows)
+
+
+@query("""
+WITH q AS (SELECT d.source, count(*) FILTER (WHERE l.quality = 1) AS v, count(*) FILTER (WHERE l.quality IS DISTINCT FROM 1) AS p FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY d.source)
+SELECT d.source AS volume, count(*) FILTER (WHERE doc_id % 10 <> 3) AS n_files, CAST(sum(CASE WHEN doc_id % 10 <> 3 THEN strlen(text) ELSE 0 END) AS BIGINT) AS bytes, count(*) FILTER (WHERE doc_id % 10 = 3) AS n_excluded, coalesce(max(q.v), 0) AS n_verified, coalesce(max(q.p), 0) AS n_pending
+FROM documents d LEFT JOIN q ON q.source = d.source GROUP BY d.source""")
+def release_manifest(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    files = docs.select(F.col("source").alias("volume"), F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), F.octet_length("text").cast("bigint").alias("bytes"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").join(docs.select("doc_id", "source"), "doc_id")
+    queue = labels.select(F.col("source").alias("volume"), F.when(F.col("quality") == 1, "verified").otherwise("pending").alias("human_review_status"))
+    return volumes.release_manifest(files, queue, [r"3\.md$"])
+
+
+@query("""
+WITH r AS (SELECT source AS work_id, CAST(doc_id AS VARCHAR) AS file FROM documents), b AS (SELECT d.source AS work_id, CAST(d.doc_id AS VARCHAR) AS file, bool_and(l.toxic = 1) AS blocked FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY 1, 2)
+SELECT work_id, file FROM b WHERE blocked""")
+def blocked_references(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", F.col("source").alias("work_id"), F.col("doc_id").cast("string").alias("file"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").join(docs, "doc_id")
+    records = labels.select("work_id", F.col("file").alias("media_file"), F.lit(None).cast("string").alias("original_filename"), F.col("doc_id").alias("figure_id"), (F.col("toxic") == 1).alias("is_blocked"))
+    return volumes.blocked_references(docs.select("work_id", "file"), records)
+
+
+@query("""
+WITH s AS (SELECT doc_id, source, length(text) AS n FROM documents WHERE text <> ''), k AS (SELECT source, CAST(sum(n) AS BIGINT) AS n_chars, count(*) AS n_sections FROM s GROUP BY source)
+SELECT source AS volume, n_sections, n_chars, CAST(0 AS BIGINT) AS n_footnotes, true AS is_lossless FROM k""")
+def quality_records(spark, sf_dir):
+    docs = documents(spark, sf_dir).where("text <> ''")
+    parts = sections.chunks(docs, separator="\n").withColumnRenamed("doc_id", "section_id")
+    rows = docs.select(F.col("doc_id").alias("section_id"), F.col("source").alias("volume"), "text")
+    notes = sections.footnotes(docs)[0].select(F.lit("none").alias("volume"), "n")
+    return volumes.quality_record(rows, parts, notes).drop("n_chunks")
