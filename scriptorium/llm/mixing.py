@@ -118,13 +118,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -
 
 def apply(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """docs with every row as often as the mix takes it, its own columns unchanged."""
-    key = ["_id", "_src", "_size"]
-    taken = mix(docs, weights, cap).groupBy(F.col("doc_id").alias("_id"), F.col("src").alias("_src"), F.col("size").alias("_size")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    keyed = docs.withColumns({"_id": F.col("doc_id"), "_src": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("~")), "_size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")})
-    on = keyed["_id"].eqNullSafe(taken["_id"]) & (keyed["_src"] == taken["_src"]) & (keyed["_size"] == taken["_size"])
-    both = keyed.join(taken, on).drop(taken["_id"]).drop(taken["_src"]).drop(taken["_size"])
+    key = ["__mix_id", "__mix_src", "__mix_size"]
+    taken = mix(docs, weights, cap).groupBy(F.col("doc_id").alias("__mix_id"), F.col("src").alias("__mix_src"), F.col("size").alias("__mix_size")).agg(F.sum("copies").alias("__mix_copies"), F.count(F.lit(1)).alias("__mix_rows"))
+    keyed = docs.withColumns({"__mix_id": F.col("doc_id"), "__mix_src": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("~")), "__mix_size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")})
+    on = keyed["__mix_id"].eqNullSafe(taken["__mix_id"]) & (keyed["__mix_src"] == taken["__mix_src"]) & (keyed["__mix_size"] == taken["__mix_size"])
+    both = keyed.join(taken, on).drop(taken["__mix_id"]).drop(taken["__mix_src"]).drop(taken["__mix_size"])
     # rows that agree in all three share their copies evenly
-    place = F.when(F.col("_rows") == 1, 1).otherwise(F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text"))))
-    upto = lambda x: F.floor(F.col("_copies") * x / F.col("_rows"))
-    both = both.withColumn("_place", place).withColumn("_times", (upto(F.col("_place")) - upto(F.col("_place") - 1)).cast("int"))
-    return both.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    place = F.when(F.col("__mix_rows") == 1, 1).otherwise(F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text"))))
+    upto = lambda x: F.floor(F.col("__mix_copies") * x / F.col("__mix_rows"))
+    both = both.withColumn("__mix_place", place).withColumn("__mix_times", (upto(F.col("__mix_place")) - upto(F.col("__mix_place") - 1)).cast("int"))
+    return both.where("__mix_times > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*docs.columns)

@@ -136,7 +136,7 @@ def classes(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFr
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """docs with one row of each component: that with the smallest doc_id; rows without doc_id stay."""
-    kept = classes(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].cast("bigint") == kept["_id"]).drop("_id")
+    kept = classes(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    rows = docs.join(kept, docs["doc_id"].cast("bigint") == kept["__kept_id"]).drop("__kept_id")
     once = rows.dropDuplicates(["doc_id"])
     return once.unionByName(docs.where("doc_id IS NULL"))

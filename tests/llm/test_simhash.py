@@ -46,6 +46,9 @@ def test_against_brute_force(spark):
     kept = sorted(r.doc_id for r in simhash.keep_first(df).collect())
     assert kept == sorted({g[2] for g in got}) and simhash.keep_first(df).columns == df.columns
     assert simhash.classes(df.limit(0)).count() == 0
+    nobody = spark.createDataFrame([(None, "a b"), (None, "a b"), (7, "a b"), (None, "other words entirely")], "doc_id bigint, text string")
+    assert sorted(str((r.doc_id, r.component_id)) for r in simhash.classes(nobody).collect()) == ["(7, 7)", "(None, 7)", "(None, 7)", "(None, None)"]
+    assert simhash.keep_first(nobody).count() == 4
 
 
 def test_tiles_find_every_link(spark):
