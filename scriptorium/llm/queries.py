@@ -101,3 +101,19 @@ WITH parts AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+ORACLE_SQL["op9_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d WHERE n >= 50),
+w AS (SELECT doc_id, p, substring(h, 2 * p + 1, 100) AS g FROM p),
+m AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+r AS (SELECT w.doc_id, w.p FROM w JOIN m ON w.g = m.g WHERE m.least < w.doc_id),
+i AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS starts FROM r),
+k AS (SELECT doc_id, p, sum(starts) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM i),
+s AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM k GROUP BY doc_id, run),
+e AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_b, b FROM s),
+parts AS (SELECT doc_id, from_b AS a, a AS b FROM e UNION ALL SELECT d.doc_id, coalesce(max(s.b), 0), d.n FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id, d.n),
+kept AS (SELECT q.doc_id, string_agg(substring(d.h, 2 * q.a + 1, 2 * (q.b - q.a)), '' ORDER BY q.a) AS h FROM parts q JOIN d ON d.doc_id = q.doc_id GROUP BY q.doc_id),
+t AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(t.n_removed, 0) AS n_removed, coalesce(t.n_spans, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
