@@ -43,7 +43,6 @@ KEPT = 200_000
 KEPT_LENGTH = 48
 SLICE_BYTES = 2 << 20
 _LETTER = re.compile(r"[^\W\d_]")
-_ONE = (1,)
 NO, YES = np.float32(-np.inf), np.float32(0)
 
 
@@ -86,11 +85,12 @@ class Model:
                 ends.setdefault(p[-2:], set()).add(len(p))
         #: Lengths of the pieces that end in two characters, longest first.
         self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()}
-        heads: dict[str, set[int]] = {}
-        for p in self.whole:
-            if len(p) > 1:
-                heads.setdefault(p[:2], {1}).add(len(p))
-        self.begins = {k: tuple(sorted(v, reverse=True)) for k, v in heads.items()}
+        self.trie: dict = {}  # by character; None leads to the id of the piece that ends here
+        for p, i in self.whole.items():
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[None] = i
         self.parts = self._parts()
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
@@ -145,35 +145,36 @@ class Model:
 
         Every prefix has one such path, so a position from which the end was not reached is never tried again.
         """
-        whole, pairs, begins, n = self.whole.get, self.pairs.get, self.begins.get, len(text)
-        out, ends, tried, dead, at = [], [], [], set(), 0
-        last, k = None, 0
+        pairs, n = self.pairs.get, len(text)
+        out, untried, dead = [], [], set()
+        at, last = 0, -1
         while at < n:
-            lengths = begins(text[at : at + 2], _ONE)
-            while k < len(lengths):
-                to = at + lengths[k]
-                k += 1
-                if to > n or to in dead:
+            found, node, to = [], self.trie, at
+            while to < n and (node := node.get(text[to])) is not None:
+                to += 1
+                i = node.get(None)
+                if i is not None:
+                    found.append((to, i))
+            if not found or found[0][0] != at + 1:
+                found.insert(0, (at + 1, self.single(text[at])))
+            while True:
+                if not found:
+                    dead.add(at)
+                    out.pop()
+                    at, found = untried.pop()
+                    last = out[-1] if out else -1
                     continue
-                i = whole(text[at:to])
-                if i is None:
-                    if to > at + 1:
-                        continue
-                    i = self.single(text[at])
-                if last is not None and last >= 0 and i >= 0:
-                    found = pairs(last << 20 | i)
-                    if not found and (found is False or not self.joins(last, i)):
-                        continue
-                out.append(i)
-                ends.append(at)
-                tried.append(k)
-                last, at, k = i, to, 0
-                break
-            else:
-                dead.add(at)
-                out.pop()
-                at, k = ends.pop(), tried.pop()
-                last = out[-1] if out else None
+                to, i = found.pop()
+                if dead and to in dead:
+                    continue
+                if last < 0 or i < 0:
+                    break
+                joins = pairs(last << 20 | i)
+                if joins or joins is None and self.joins(last, i):
+                    break
+            out.append(i)
+            untried.append((at, found))
+            at, last = to, i
         return out
 
     def numbers(self, path: list[int]) -> bytes:
