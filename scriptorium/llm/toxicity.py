@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import common
 
 SAMPLE = 1500
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 10_000
 GRAMS = (3, 4, 5)
 BITS = 18
 DIM = 4
@@ -121,7 +121,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
     # every distinct word once, as a run of n-gram buckets
     spelled = words.bytes.tobytes().split()
     seen: dict[bytes, int] = {}
-    word = np.fromiter((seen.setdefault(w, len(seen)) for w in spelled), np.int64, len(spelled))
+    word = np.fromiter((seen.setdefault(w, len(seen)) for w in spelled), np.int32, len(spelled))
+    del spelled
     distinct = Words([])
     distinct.bytes = np.frombuffer(b" " + b" ".join(seen) + b" ", np.uint8)
     distinct.spaces = np.flatnonzero(distinct.bytes == 32)
@@ -182,7 +183,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
 
 def _texts_of(bucket: np.ndarray, of: np.ndarray, word: np.ndarray, text: np.ndarray, words: int, texts: int) -> np.ndarray:
     """For every bucket in how many texts it occurs, up to repetition by several words of one text."""
-    pairs = np.unique(word * texts + text)
+    pairs = np.unique(word.astype(np.int64) * texts + text)
     return np.bincount(bucket, np.bincount(pairs // texts, minlength=words)[of], 1 << BITS)
 
 
@@ -198,8 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         picked = one if picked is None else picked.union(one)
     picked = picked.toPandas()  # 2 * sample rows at most
     ids = F.broadcast(docs.sparkSession.createDataFrame([(int(i), int(t)) for i, t in zip(picked.doc_id, picked.toxic)], "_id bigint, toxic int"))
-    rows = docs.join(ids, docs["doc_id"].cast("bigint") == ids["_id"]).where(F.length("text") <= SAMPLE_CHARS)
-    rows = rows.select("_id", "text", ids["toxic"]).dropDuplicates(["_id"]).orderBy("_id").toPandas()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where(F.length("text") <= SAMPLE_CHARS)
+    rows = rows.join(ids, "_id").dropDuplicates(["_id"]).orderBy("_id").toPandas()
     return train(rows.text.tolist(), rows.toxic.to_numpy())
 
 

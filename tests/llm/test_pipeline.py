@@ -52,5 +52,8 @@ def test_stages_keep_the_columns_and_stand_empty_and_odd_tables(spark):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             docs = common.cut(stage(spark, docs, SF), name)
             assert docs.columns == schema.names, name
+        clashing = spark.createDataFrame([(*r, 1, "k", 2.0, "t") for r in rows], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", id int, kept string, copies double, _id string")
+        for name, stage in corpus_pipeline.STAGES:
+            assert (stage(spark, clashing, SF).count() > 0) == bool(rows), name
         last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
         assert last.count() == docs.count()
