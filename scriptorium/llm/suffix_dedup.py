@@ -45,7 +45,7 @@ BROADCAST_DOCS = 2_000_000
 SEGMENT, BLOCK_BYTES, BLOCK_DOCS = 1 << 16, 4 << 20, 60_000
 NOBODY = 65_535
 #: Buckets of contexts for each of anchors: contexts are larger.
-FINER = 4
+FINER = 2
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -112,7 +112,9 @@ def _unplanes(data: bytes) -> np.ndarray:
 
 
 def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
-    return ((hashes >> np.uint64(8)) * np.uint64(n) >> np.uint64(40)).astype(np.int64)
+    """Buckets of even size: the hashes of anchors are least ones, so they are mixed once more."""
+    mixed = (hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)
+    return (mixed * np.uint64(n) >> np.uint64(40)).astype(np.int64)
 
 
 def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -146,7 +148,7 @@ _SEEN = "bucket int, settled boolean, hashes binary, owners binary, codes binary
 _REPEATED = "grp int, codes binary, hashes binary"
 
 
-def _seen(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _seen(batches: Iterator[pa.RecordBatch], n: int, groups: int) -> Iterator[pa.RecordBatch]:
     for codes, texts in _blocks(batches):
         data, ends = joined(texts)
         at, hashes, _, _ = anchors(data, ends)
@@ -159,7 +161,7 @@ def _seen(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
         count = np.diff(np.append(first, len(hashes)))
         # an anchor of several documents here is settled for them; one entry stands for all of them elsewhere
         several = np.repeat(count > 1, count)
-        rows = [(g % n, True, b"", codes[owner[several][i]].astype("<u4").tobytes(), hashes[several][i].astype("<u8").tobytes(), g) for g, i in _groups(codes[owner[several]] % n)]
+        rows = [(g % n, True, b"", codes[owner[several][i]].astype("<u4").tobytes(), hashes[several][i].astype("<u8").tobytes(), g) for g, i in _groups(codes[owner[several]] % groups)]
         one, who = hashes[first], np.where(count > 1, NOBODY, owner[first]).astype("<u2")
         for b, i in _groups(_bucket(one, n)):
             used, local = np.unique(who[i], return_inverse=True)
@@ -413,7 +415,7 @@ def _codes(table: DataFrame) -> tuple[DataFrame, int]:
 def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """id (doc_id, null as the least number), n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the bytes kept, of every row."""
     n = common.partitions(docs.sparkSession)
-    common.small_batches(docs.sparkSession)
+    common.small_batches(docs.sparkSession, "2m")
     every = _keyed(docs)
 
     # whole copies of a document with a smaller id: nothing of them stays, and nothing starts in them first
@@ -425,16 +427,17 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     none = F.lit(hashlib.sha256(b"").hexdigest())
     gone = copied.select("id", "digest", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), none.alias("kept_sha256"), F.lit(b"" if with_bytes else None).cast("binary").alias("kept"))
 
-    seen = rows.select("code", "text").mapInArrow(lambda b: _seen(b, n), _SEEN)
-    repeated = common.cut(seen.groupBy("bucket").applyInArrow(lambda t: _repeated(t, n), _REPEATED), "repeated")
+    groups, buckets = n, FINER * n
+    seen = rows.select("code", "text").mapInArrow(lambda b: _seen(b, n, groups), _SEEN)
+    repeated = common.cut(seen.groupBy("bucket").applyInArrow(lambda t: _repeated(t, groups), _REPEATED), "repeated")
 
     def of(codes: DataFrame, number: int, how: str) -> DataFrame:
         return rows.join(F.broadcast(codes) if number <= BROADCAST_DOCS else codes, "code", how)
 
-    group, buckets = F.pmod(F.col("code"), F.lit(n)).cast("int").alias("grp"), FINER * n
+    group = F.pmod(F.col("code"), F.lit(groups)).cast("int").alias("grp")
     held = of(*_codes(repeated), "left_semi").select("id", "code", "text", group)
-    contexts = held.groupBy("grp").cogroup(repeated.groupBy("grp")).applyInArrow(lambda a, b: _contexts(a, b, n, buckets), _CONTEXTS)
-    removed = common.cut(contexts.groupBy("bucket").applyInArrow(lambda t: _removed(t, n), _REMOVED), "removed")
+    contexts = held.groupBy("grp").cogroup(repeated.groupBy("grp")).applyInArrow(lambda a, b: _contexts(a, b, groups, buckets), _CONTEXTS)
+    removed = common.cut(contexts.groupBy("bucket").applyInArrow(lambda t: _removed(t, groups), _REMOVED), "removed")
 
     codes = _codes(removed)
     held = of(*codes, "left_semi").select("id", "digest", "code", "text", group)
@@ -445,17 +448,16 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """docs with repeated passages cut from text (what is left of a cut character goes too) and n_chars, if there, set anew."""
-    found = removals(docs, True).where("n_removed > 0").groupBy("id", "digest").agg(F.first("kept").alias("kept"))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)), "_digest": F.xxhash64(F.coalesce("text", F.lit("")))})
-    both = keyed.join(found, (keyed["_id"] == found["id"]) & (keyed["_digest"] == found["digest"]), "left")
-
+    found = removals(docs, True).where("n_removed > 0").groupBy(F.col("id").alias("__id"), F.col("digest").alias("__digest")).agg(F.first("kept").alias("__kept"))
+    own = {"__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)), "__digest": F.xxhash64(F.coalesce("text", F.lit("")))}
+    both = docs.withColumns(own).join(found, ["__id", "__digest"], "left")
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t if k is None else k.decode("utf-8", "ignore") for t, k in zip(batch.column("text").to_pylist(), batch.column("kept").to_pylist())]
+            texts = [t if k is None else k.decode("utf-8", "ignore") for t, k in zip(batch.column("text").to_pylist(), batch.column("__kept").to_pylist())]
             values = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(values, names=columns)
 
-    out = both.select(*docs.columns, "kept").mapInArrow(run, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    out = both.select(*columns, "__kept").mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
