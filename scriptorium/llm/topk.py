@@ -23,8 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common
-
 K = 5
 SCALE = 256
 EVERY = 50
