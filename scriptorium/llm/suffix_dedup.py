@@ -45,7 +45,7 @@ BROADCAST_DOCS = 2_000_000
 SEGMENT, BLOCK_BYTES, BLOCK_DOCS = 1 << 16, 4 << 20, 60_000
 NOBODY = 65_535
 #: Buckets of contexts for each of anchors: contexts are larger.
-FINER = 2
+FINER = 3
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -221,7 +221,7 @@ def _contexts(docs: pa.Table, wanted: pa.Table, n: int, buckets: int) -> pa.Tabl
         first = size = 0
         for i, t in enumerate(texts):
             size += len(t)
-            if size >= BLOCK_BYTES or i + 1 == len(texts):
+            if size >= BLOCK_BYTES // 2 or i + 1 == len(texts):
                 rows += _block_contexts(texts[first : i + 1], ids[first : i + 1], own[first : i + 1], known, n, buckets)
                 first, size = i + 1, 0
     common.give_back()
@@ -427,7 +427,7 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     none = F.lit(hashlib.sha256(b"").hexdigest())
     gone = copied.select("id", "digest", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), none.alias("kept_sha256"), F.lit(b"" if with_bytes else None).cast("binary").alias("kept"))
 
-    groups, buckets = n, FINER * n
+    groups, buckets = 2 * n, FINER * n
     seen = rows.select("code", "text").mapInArrow(lambda b: _seen(b, n, groups), _SEEN)
     repeated = common.cut(seen.groupBy("bucket").applyInArrow(lambda t: _repeated(t, groups), _REPEATED), "repeated")
 
