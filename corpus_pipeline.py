@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import common, mixing, pieces, simhash, suffix_dedup, toxicity
+from scriptorium.llm import common, mixing, near_copies, pieces, suffix_dedup, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group that op3's links (three words, two bits) connect."""
-    return simhash.keep_first(docs)
+    """One document, that of the smallest id, of each group that links of similarity 0.8 over runs of five words connect."""
+    return near_copies.keep_first(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
