@@ -33,11 +33,13 @@ DEEPEST = 64
 
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option object canvas head".split())
-DROPPED = frozenset("nav header footer aside form button menu dialog".split())
+RAW = frozenset("script style noscript template textarea title iframe svg math select object canvas".split())
+DROPPED = frozenset("nav header footer aside form button menu dialog head option".split())
+IN_HEAD = RAW | {"base", "link", "meta", "basefont", "bgsound", "noframes"}
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article main section div td body html".split())
 CLOSES_P = BLOCKS - {"body", "html"}
+ENDS_OPTION = CLOSES_P | {"option", "optgroup"}
 # Words in class or id that mark what is no part of the article.
 _BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|widget|related|recommend\w*|"
@@ -47,6 +49,7 @@ _BOILERPLATE = re.compile(
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _SPACE = re.compile(r"\s+")
 
 
@@ -92,7 +95,7 @@ class Page:
         self.scores: dict[str, float] = {}
         self.blocks: list[tuple[str, str]] = []
         root = Element("", "", False, False)
-        stack, text, raw = [root], [], ""
+        stack, text = [root], []
 
         def flush() -> None:
             if text:
@@ -118,24 +121,28 @@ class Page:
                 if stack[i].tag in ("body", "td", "article", "main") and tag not in BLOCKS:
                     return
 
-        for m in _TOKEN.finditer(source):
+        at = 0
+        while m := _TOKEN.match(source, at):
+            at = m.end()
             name = m[2]
             if name is None:
                 piece = m[0]
-                if raw or piece.startswith("<!") or piece.startswith("<?"):
+                if piece.startswith("<!") or piece.startswith("<?"):
                     continue
+                if stack[-1].tag == "head" and piece.strip():
+                    stack.pop()
                 top = stack[-1]
                 if not top.out:
                     text.append(piece)
                 continue
             tag, closing = name.lower(), bool(m[1])
-            if raw:
-                if closing and tag == raw:
-                    raw = ""
-                continue
+            # end tags that HTML lets be omitted
+            if not closing and (stack[-1].tag == "head" and tag not in IN_HEAD or stack[-1].tag == "option" and tag in ENDS_OPTION):
+                stack.pop()
             if tag in RAW:
                 if not closing and not m[3].endswith("/"):
-                    raw = tag
+                    end = _RAW_END[tag].search(source, at)
+                    at = end.end() if end else len(source)
                 continue
             if closing:
                 if tag == "p" and all(e.tag != "p" for e in stack):

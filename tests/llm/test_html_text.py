@@ -48,3 +48,12 @@ def test_pages_of_a_host_agree(spark):
     assert by[(7, "http://site.org/7")] == "Short but true main text."
     assert by[(8, None)] == by[(9, "nonsense")] == "" and by[(9, "http://site.org/x")] == "no such path here"
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_raw_elements_end_where_html_ends_them():
+    for source, want in [
+        ("<p>a</p><script>for(i=0;i<n;i++){f();}</script><p>b", "a\nb"), ("<SCRIPT>if(a<b){}</Script ><p>x", "x"), ("<script>s='<!-- ';</script><p>x", "x"), ("<style>a<b{}</style><p>x", "x"),
+        ("<html><head><title>t</title><body><p>x", "x"), ("<head><meta a=b><title>t</title><p>x", "x"), ("<head><title>t</title>x", "x"), ("<datalist><option>one<option>two</datalist><p>x", "x"), ("<div><option>one</div><p>x", "x"), ("<option>one<p>x", "x"),
+    ]:
+        p = html_text.Page(source)
+        assert p.text(p.best()) == want, source
