@@ -46,18 +46,23 @@ _BOILERPLATE = re.compile(
     r"share|sharing|social|cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscri\w*|signup|login|search|form|comments?|disqus|replies|reply|pagination|pager|tags|copyright|legal|skip)(?:$|[\s_-])",
     re.I,
 )
+#: Class names that tell how a page is laid out, not what an element is: has-sidebar, no-header.
+_LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|have|no|not|is|with|without|layout|hide|show)[_-]\S*", re.I)
+#: A marked element that holds at least this part of a page's words is a wrapper of the page, and its mark does not count.
+WRAPS = 0.8
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "score", "link", "seen")
+    __slots__ = ("tag", "path", "out", "score", "link", "seen", "hard", "marks")
 
     def __init__(self, tag: str, path: str, out: bool, link: bool, seen: int = 0):
         self.tag, self.path, self.out, self.link, self.score, self.seen = tag, path, out, link, 0.0, seen
+        self.hard, self.marks = out, ()
 
 
 def _generalised(tag: str, names: str) -> str:
@@ -66,9 +71,10 @@ def _generalised(tag: str, names: str) -> str:
     return f"{tag}.{re.sub(r'[0-9]+', '#', first[0].lower())}" if first else tag
 
 
-def _opened(tag: str, attributes: str, parent: Element) -> Element:
+def _opened(tag: str, attributes: str, parent: Element, place: int, wrappers: frozenset[int]) -> Element:
+    """The element at place of its page; class and id do not mark those at wrappers."""
     names = marks = ""
-    out = parent.out or tag in DROPPED
+    out, marked = parent.hard or tag in DROPPED, parent.marks
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -78,20 +84,29 @@ def _opened(tag: str, attributes: str, parent: Element) -> Element:
                 marks += " " + value
             elif key == "role":
                 out = out or value.lower() in _ROLES
-            elif key == "hidden" or value.lower() == "true":
+            elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 out = True
-    if marks and tag not in ("body", "html", "article", "main") and _BOILERPLATE.search(marks):
-        out = True
+    if marks and tag not in ("body", "html", "article", "main") and place not in wrappers and _BOILERPLATE.search(_LAYOUT.sub("", marks)):
+        marked = (*marked, place)
     path = parent.path
     if tag in CONTAINERS and path.count("/") < DEEPEST:
         path = f"{path}/{_generalised(tag, names)}"
-    return Element(tag, path, out, parent.link or tag == "a")
+    child = Element(tag, path, out or bool(marked), parent.link or tag == "a")
+    child.hard, child.marks = out, marked
+    return child
 
 
 class Page:
     """One reading of a page. scores: by container path. Blocks of kept text are recorded with the containers around them."""
 
     def __init__(self, source: str):
+        wrappers = self._read(source, frozenset())
+        if wrappers:
+            self._read(source, wrappers)
+
+    def _read(self, source: str, wrappers: frozenset[int]) -> frozenset[int]:
+        """The marked elements that wrap the page, by place in the source."""
+        total, held = 0, {}
         self.scores: dict[str, float] = {}
         self.blocks: list[tuple[str, str]] = []
         root = Element("", "", False, False)
@@ -134,6 +149,11 @@ class Page:
                 top = stack[-1]
                 if not top.out:
                     text.append(piece)
+                if not top.hard and not top.link:
+                    n = len(piece.split())
+                    total += n
+                    for place in top.marks:
+                        held[place] = held.get(place, 0) + n
                 continue
             tag, closing = name.lower(), bool(m[1])
             # end tags that HTML lets be omitted
@@ -159,11 +179,12 @@ class Page:
                     self._end_paragraph(stack)
                     if tag in ("li", "dt", "dd", "tr", "td", "th"):
                         self._end_item(stack, tag)
-                child = _opened(tag, m[3], stack[-1])
+                child = _opened(tag, m[3], stack[-1], m.start(), wrappers)
                 if child.out and not stack[-1].out:
                     flush()
                 stack.append(child)
         flush()
+        return frozenset(place for place, n in held.items() if n >= WRAPS * total > 0)
 
     @staticmethod
     def _end_paragraph(stack: list[Element]) -> None:

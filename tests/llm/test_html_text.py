@@ -57,3 +57,17 @@ def test_raw_elements_end_where_html_ends_them():
     ]:
         p = html_text.Page(source)
         assert p.text(p.best()) == want, source
+
+
+def test_marks_of_page_wrappers_and_quoted_values():
+    text = "<p>" + "some words of the article itself. " * 8
+    want = ("some words of the article itself. " * 8).strip()
+    for wrapper in ["class='content-area has-sidebar'", "class=no-sidebar", "class='layout-sidebar-right'", "id='page' class='nav-open'"]:
+        p = html_text.Page(page(f"<div {wrapper}><div class=comments><p>I am a reader.</p></div>{text}</p></div><div class=sidebar><p>Other things</p></div>"))
+        assert p.text(p.best()) == want, wrapper
+    for mark in ['title="The hidden valley"', "data-x='a class=menu b'", 'alt="x role=navigation y"', "data-hidden", "class=x aria-hidden=false"]:
+        p = html_text.Page(page(f"<div><p {mark}>Kept words stand here.</p>{text}</div>"))
+        assert p.text(p.best()).startswith("Kept words"), mark
+    for mark in ["hidden", "HIDDEN=''", "aria-hidden='true'", "role=navigation", "class='site-header'"]:
+        p = html_text.Page(page(f"<div><p {mark}>Words that go.</p>{text}</div>"))
+        assert p.text(p.best()) == want, mark
