@@ -1,7 +1,8 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 Each page is read once for its container elements: every container's text is scored (words in paragraphs count
-for it; words in links, lists, forms, navigation and the like against it), and the best container names a path,
+for it; words in links, lists, forms, navigation and the like against it), and the best container, or one around it
+whose further text is of the article too, names a path,
 the generalised tags and classes from the root down to it. Hosts vote: the paths of a host's pages are counted
 with their scores, the winner becomes the host's path, and each page is extracted again at that path; a page that lacks
 it uses its own best container. Inside the container, elements that hold menus, headers, footers, sidebars,
@@ -109,10 +110,14 @@ class Page:
         total, held = 0, {}
         self.scores: dict[str, float] = {}
         self.blocks: list[tuple[str, str]] = []
+        #: Of each block: words, words of them in links, and whether it is a paragraph or heading.
+        self.kinds: list[tuple[int, int, bool]] = []
+        linked = 0
         root = Element("", "", False, False)
         stack, text = [root], []
 
         def flush() -> None:
+            nonlocal linked
             if text:
                 words = _SPACE.sub(" ", html.unescape("".join(text))).strip()
                 text.clear()
@@ -120,11 +125,14 @@ class Page:
                     top = stack[-1]
                     self.blocks.append((top.path, words))
                     n = words.count(" ") + 1
-                    value = n if any(e.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") for e in stack[-3:]) else 0.25 * n
+                    paragraph = any(e.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") for e in stack[-3:])
+                    self.kinds.append((n, linked, paragraph))
+                    value = n if paragraph else 0.25 * n
                     path, weight = top.path, 1.0
                     while path:  # a container is credited for text directly in it most
                         self.scores[path] = self.scores.get(path, 0.0) + value * weight
                         path, weight = path.rpartition("/")[0], weight * 0.7
+                linked = 0
 
         def close(tag: str) -> None:
             for i in range(len(stack) - 1, 0, -1):
@@ -149,6 +157,8 @@ class Page:
                 top = stack[-1]
                 if not top.out:
                     text.append(piece)
+                    if top.link:
+                        linked += len(piece.split())
                 if not top.hard and not top.link:
                     n = len(piece.split())
                     total += n
@@ -208,6 +218,25 @@ class Page:
     def best(self) -> str:
         return max(self.scores, key=lambda p: (self.scores[p], -len(p), p)) if self.scores else ""
 
+    def main(self) -> str:
+        """The best container, or the outermost one around it whose further text is paragraphs and headings that are not mostly links; of a body, only text directly in it counts so."""
+        path = at = self.best()
+        while at:
+            at = at.rpartition("/")[0]
+            words = links = said = 0
+            for (p, _), (n, linked, paragraph) in zip(self.blocks, self.kinds):
+                if (p == at or p.startswith(at + "/")) and not (p == path or p.startswith(path + "/")):
+                    words, links, said = words + n, links + linked, said + n * (paragraph and (p == at or not self._body(at)))
+            if links > words / 3 or 2 * said < words or self._body(at) and said < words:
+                break
+            if words:
+                path = at
+        return path
+
+    @staticmethod
+    def _body(path: str) -> bool:
+        return path.rpartition("/")[2].partition(".")[0] in ("", "html", "body")
+
     def text(self, path: str) -> str:
         """Blocks at path or below it, one a line."""
         return "\n".join(t for p, t in self.blocks if p == path or p.startswith(path + "/"))
@@ -226,7 +255,7 @@ def votes(pages: DataFrame) -> DataFrame:
             found: dict[tuple[str, str], list[float]] = {}
             for name, source in zip(batch.column("host").to_pylist(), common.texts(batch.column("html"))):
                 page = Page(source)
-                path = page.best()
+                path = page.main()
                 if path:
                     at = found.setdefault((name, path), [0, 0.0])
                     at[0] += 1
@@ -249,7 +278,7 @@ def extract(pages: DataFrame) -> DataFrame:
             found = []
             for path, source in zip(batch.column("path").to_pylist(), common.texts(batch.column("html"))):
                 page = Page(source)
-                found.append((page.text(path) if path else "") or page.text(page.best()))
+                found.append((page.text(path) if path else "") or page.text(page.main()))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     agreed = common.cut(votes(pages), "paths").withColumnRenamed("host", "_host")

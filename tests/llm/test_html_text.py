@@ -71,3 +71,14 @@ def test_marks_of_page_wrappers_and_quoted_values():
     for mark in ["hidden", "HIDDEN=''", "aria-hidden='true'", "role=navigation", "class='site-header'"]:
         p = html_text.Page(page(f"<div><p {mark}>Words that go.</p>{text}</div>"))
         assert p.text(p.best()) == want, mark
+
+
+def test_parts_beside_the_longest_container_stay():
+    lead, long = "<p>A lead of some words.</p>", "<p>" + "the body of it all, " * 40 + "</p>"
+    for source, want in [
+        (f"<article><h1>Head</h1>{lead}<div class='body'>{long}</div></article>", 3), (f"<div class=story>{'<section class=intro>' + lead + '</section>'}<section class='body'>{long}</section></div>", 2),
+        (f"<main><div class=a>{lead}<div class=b>{long}</div></div></main>", 2), (f"<h1>Head</h1><div class=b>{long}</div>", 2),
+        (f"<div class=x><div class=b>{long}</div><div class=more><p><a>One link</a> <a>and another</a></p></div></div>", 1), (f"<div class=b>{long}</div><div class=box>{lead}</div>", 1),
+    ]:
+        p = html_text.Page(page(source))
+        assert len(p.text(p.main()).split("\n")) == want, source
