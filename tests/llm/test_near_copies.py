@@ -53,3 +53,10 @@ def test_stage_equals_brute_force_on_the_tables(spark):
 def test_long_texts_and_empty_tables(spark):
     assert len(near_copies.band_keys("a b c " * 20_000)) == near_copies.BANDS
     assert near_copies.keep_first(spark.createDataFrame([], "doc_id bigint, text string, x int")).columns == ["doc_id", "text", "x"]
+
+
+def test_rows_with_repeated_or_null_ids_are_decided_each(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a + " end"), (2, b), (2, b), (3, b + " end"), (None, a), (None, c), (None, c + " end")]
+    kept = near_copies.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "c"), (1, "a"), (2, "b")]
