@@ -15,28 +15,32 @@ def sections(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("section_id"), F.col("source").alias("work_id"), F.col("lang").alias("language"), text.title_of(F.col("text")).alias("title"), F.col("text").alias("body"), order.alias("reading_order"))
 
 
-def _ranges(value: str, limit: int, least: int, separator: str) -> list[dict]:
-    found, start = [], 0
-    while start < len(value):
-        stop = min(start + limit, len(value))
-        if stop < len(value):
-            at = value.rfind(separator, start + least, stop)
-            if at > start:
-                stop = at + len(separator)
-        found.append({"start": start, "stop": stop})
-        start = stop
-    return found
-
-
 def chunk_ranges(value: Column, limit: int = fixed.CHUNK_LIMIT, separator: str = "\n\n") -> Column:
-    """array<struct<start, stop>>: cuts behind the last separator in the latter part of each limit characters."""
-    least = max(fixed.CHUNK_LEAST, limit // 3)
+    """array<struct<start, stop>>: a chunk holds limit characters at most and ends behind a separator in its latter part, if there is one.
 
-    @F.pandas_udf("array<struct<start: int, stop: int>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _ranges(t or "", limit, least, separator))
-
-    return run(value)
+    A fold over the places behind separators. held: the last such place that may end the chunk begun at start.
+    """
+    least = max(fixed.CHUNK_LEAST, limit // 3) + len(separator)
+    pieces = F.split(F.coalesce(value, F.lit("")), rf"(?<=\Q{separator}\E)")
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    chunk = lambda start, stop: F.struct(start.cast("int").alias("start"), stop.cast("int").alias("stop"))
+
+    def further(acc: Column, piece: Column) -> Column:
+        place = acc["place"] + F.length(piece)
+        over = place - acc["start"] > limit
+        cut = over & (acc["held"] > acc["start"])
+        begun = F.when(cut, acc["held"]).otherwise(acc["start"])
+        # without a place to end at, chunks of limit characters until this place is within reach
+        whole = F.when(over & (place - begun > limit), F.ceil((place - begun) / limit).cast("int") - 1).otherwise(0)
+        start = begun + whole * limit
+        forced = F.when(whole > 0, F.transform(F.sequence(F.lit(1), whole), lambda i: chunk(begun + (i - 1) * limit, begun + i * limit))).otherwise(none)
+        cuts = F.when(over, F.concat(acc["cuts"], F.when(cut, F.array(chunk(acc["start"], acc["held"]))).otherwise(none), forced)).otherwise(acc["cuts"])
+        held = F.when(place - start >= least, place).when(over, -1).otherwise(acc["held"])
+        return F.struct(place.alias("place"), start.alias("start"), held.alias("held"), cuts.alias("cuts"))
+
+    first = F.struct(F.lit(0).alias("place"), F.lit(0).alias("start"), F.lit(-1).alias("held"), none.alias("cuts"))
+    last = lambda acc: F.when(acc["place"] > acc["start"], F.concat(acc["cuts"], F.array(chunk(acc["start"], acc["place"])))).otherwise(acc["cuts"])
+    return F.aggregate(pieces, first, further, last)
 
 
 def chunks(docs: DataFrame, key: str = "doc_id", body: str = "text", limit: int = fixed.CHUNK_LIMIT, separator: str = "\n\n") -> DataFrame:
@@ -45,6 +49,60 @@ def chunks(docs: DataFrame, key: str = "doc_id", body: str = "text", limit: int
     return rows.select(key, "chunk_no", F.col("r.start").alias("start_char"), F.col("r.stop").alias("end_char"), F.substring("_body", F.col("r.start") + 1, F.col("r.stop") - F.col("r.start")).alias("text"))
 
 
+def back_propagated(rows: DataFrame, sections: DataFrame, key: str, section_key: str, column: str) -> DataFrame:
+    """rows (chunks or figures) with column as their section, named by key, has it now: null where the section has none or is unknown."""
+    held = sections.select(F.col(section_key).alias("_key"), F.col(column).alias("_value"))
+    return rows.drop(column).join(held, F.col(key) == F.col("_key"), "left").withColumn(column, F.col("_value")).drop("_key", "_value")
+
+
+def path_index(sections: DataFrame, order: str, path: str = "path", key: str = "section_id") -> DataFrame:
+    """path and the key of the last section by order that has it."""
+    return sections.groupBy(path).agg(F.max_by(key, order).alias(key))
+
+
+def kind_counts(rows: DataFrame, kind: str = "kind") -> DataFrame:
+    """kind and n."""
+    return rows.groupBy(F.col(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def largest(rows: DataFrame, group: str, body: str = "text") -> DataFrame:
+    """group and the bytes of its largest section."""
+    return rows.groupBy(group).agg(F.max(F.octet_length(body)).cast("bigint").alias("max_bytes"))
+
+
+def title_collisions(rows: DataFrame, key: str, title: str = "title") -> DataFrame:
+    """key, title and how many sections have it, of titles that several have."""
+    counts = rows.groupBy(title).agg(F.count(F.lit(1)).alias("n_sections")).where("n_sections > 1")
+    return rows.join(counts, title).select(key, title, "n_sections")
+
+
+def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """key and side (left or right) of keys that only one side has."""
+    a, b = left.select(key).distinct().withColumn("_a", F.lit(1)), right.select(key).distinct().withColumn("_b", F.lit(1))
+    both = a.join(b, key, "full_outer").where("_a IS NULL OR _b IS NULL")
+    return both.select(key, F.when(F.col("_b").isNull(), "left").otherwise("right").alias("side"))
+
+
+def multiset_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """key, n_left and n_right of keys that the sides do not hold equally often: none, if they are equal as multisets."""
+    count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    both = count(left, "n_left").join(count(right, "n_right"), key, "full_outer")
+    both = both.select(key, F.coalesce("n_left", F.lit(0)).alias("n_left"), F.coalesce("n_right", F.lit(0)).alias("n_right"))
+    return both.where("n_left <> n_right")
+
+
+def intersection(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of both sides."""
+    return left.select(key).distinct().join(right.select(key).distinct(), key, "left_semi")
+
+
+def keyed_union(sides: list[DataFrame], columns: list[str]) -> DataFrame:
+    """The distinct rows of all sides."""
+    out = sides[0].select(*columns)
+    for side in sides[1:]:
+        out = out.unionByName(side.select(*columns))
+    return out.distinct()
+
 def contiguity(chunked: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, n_chunks and n_gaps: chunks that do not begin where the one before ends, or whose length is not theirs."""
     before = F.lag("end_char", 1, 0).over(Window.partitionBy(key).orderBy("chunk_no"))
@@ -125,8 +183,8 @@ def footnote_findings(docs: DataFrame, key: str = "doc_id", body: str = "text")
     """severity, rule, entity_key and detail of notes undefined, unused, defined or called twice."""
     defs, refs = footnotes(docs, key, body)
     found = lambda df, severity, rule: df.select(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), F.col(key).cast("string").alias("entity_key"), F.col("n").cast("string").alias("detail"))
-    out = found(refs.join(defs, [key, "n"], "left_anti").distinct(), "block", "undefined_footnote")
-    out = out.union(found(defs.join(refs, [key, "n"], "left_anti").distinct(), "note", "unowned_footnote"))
+    out = found(refs.select(key, "n").distinct().join(defs, [key, "n"], "left_anti"), "block", "undefined_footnote")
+    out = out.union(found(defs.select(key, "n").distinct().join(refs, [key, "n"], "left_anti"), "note", "unowned_footnote"))
     for df, rule in ((defs, "duplicate_definition"), (refs, "repeated_reference")):
         out = out.union(found(df.groupBy(key, "n").count().where("count > 1"), "block", rule))
     return out
@@ -180,3 +238,39 @@ def match_pages(headings: DataFrame, pages: DataFrame, work: str, order: str, ba
         return pd.DataFrame(out, columns=[work, order, "page"])
 
     return headings.groupBy(work).cogroup(pages.groupBy(work)).applyInPandas(run, schema)
+
+
+def page_candidates(headings: DataFrame, pages: DataFrame, work: str, order: str, first: int = 4, least: int = 8, cut: int = 95) -> DataFrame:
+    """work, order, page and status of every heading in the pages of its work.
+
+    headings: work, order, kind, title (normalised) and contexts (array of normalised starts of its paragraphs); pages: work, page (from 1), text
+    (normalised). A heading's page is the first that holds its title (cut characters of it) and one of whose contexts stands there or on the
+    next page, else the first that holds it; pages before first, and those more than two before the last match, do not count. Where titles
+    and contexts stand is found by joins; only the last match is carried from heading to heading, over the few pages that hold a title.
+    """
+    asked = headings.where(F.col("kind").isin("chapter", "appendix", "section", "subsection", "preface") & (F.length("title") >= least))
+    asked = asked.select(work, order, F.substring("title", 1, cut).alias("_name"), "contexts")
+    met = asked.join(pages, work).where(F.col("text").contains(F.col("_name"))).select(work, order, "contexts", "page", "text")
+    after = pages.select(F.col(work).alias("_w"), (F.col("page") - 1).alias("_p"), F.col("text").alias("_next"))
+    met = met.join(after, (F.col(work) == F.col("_w")) & (F.col("page") == F.col("_p")), "left")
+    within = F.exists("contexts", lambda c: F.col("text").contains(c) | F.coalesce(F.col("_next").contains(c), F.lit(False)))
+    hits = met.groupBy(work, order).agg(F.array_sort(F.collect_list(F.struct("page", F.coalesce(within, F.lit(False)).alias("within")))).alias("hits"))
+    listed = hits.groupBy(work).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), "hits"))).alias("heads"))
+
+    def further(acc: Column, head: Column) -> Column:
+        open_ = F.filter(head["hits"], lambda h: (h["page"] >= first) & (h["page"] >= acc["last"] - 2))
+        good = F.filter(open_, lambda h: h["within"])
+        page = F.coalesce(F.get(good, F.lit(0))["page"], F.get(open_, F.lit(0))["page"])
+        one = F.struct(head["at"].alias("at"), page.alias("page"), (F.size(good) > 0).alias("within"))
+        return F.struct(F.greatest(acc["last"], page).cast("int").alias("last"), F.concat(acc["found"], F.array(one)).alias("found"))
+
+    kind = dict(hits.select(order).dtypes)[order]
+    empty = F.array().cast(f"array<struct<at:{kind},page:int,within:boolean>>")
+    found = listed.select(work, F.explode(F.aggregate("heads", F.struct(F.lit(first + 1).alias("last"), empty.alias("found")), further, lambda acc: acc["found"])).alias("f"))
+    found = found.select(F.col(work).alias("_w"), F.col("f.at").alias("_at"), "f.page", "f.within")
+    rows = headings.select(work, order, "kind", F.length("title").alias("_n")).join(found, (F.col(work) == F.col("_w")) & (F.col(order) == F.col("_at")), "left")
+    status = (
+        F.when(~F.col("kind").isin("chapter", "appendix", "section", "subsection", "preface"), "not_applicable").when(F.col("_n") < least, "title_too_short")
+        .when(F.col("page").isNull(), "not_found").when(F.col("within"), "auto_heading_plus_context_candidate").otherwise("auto_heading_only_candidate")
+    )
+    return rows.select(work, order, "page", status.alias("status"))
