@@ -11,7 +11,7 @@ SCAN_STREAM_BYTES = 2 * 1024 * 1024
 PDF_LEAST_WORD_CHARS = 500
 FULL_TEXT_LEAST_WORD_CHARS = 200
 
-RASTER = [".png", ".jpg", ".jpeg", ".gif", ".bmp"]
+RASTER = [".png", ".jpg", ".jpeg", ".gif", ".bmp", ".tif", ".tiff"]
 VECTOR = [".wmf", ".emf"]
 
 # keyword -> media type, the first that a caption holds
@@ -43,19 +43,26 @@ TRANSLATION_STATUSES = ["canonical", "provisional", "confirmed", "absent"]
 ALWAYS_INDEXABLE = ["work", "section", "volume_index", "landing", "topics_index", "concepts_index", "figure"]
 
 EMAIL = r"[\w.+-]+@[\w-]+(\.[\w-]+)+"
+# in binaries, where noise looks like addresses: lower-case domains only
+EMAIL_IN_BINARY = r"(?<![\w.+-])[\w.+-]{2,}@[a-z0-9-]{2,}\.[a-z]{2,}"
+PRINTABLE_RUN = r"[\x20-\x7e]{6,}"
+MARKDOWN_LINK = r"(?<!!)\[([^\]]+)\]\(([^)\s]+)\)"
+MARKDOWN_IMAGE = r"!\[(?:[^\[\]]|\[[^\]]*\])*\]\(([^)]+)\)"
+HTML_IMAGE = r"(?i)<img\b[^>]*?src=[\"']([^\"']+)[\"']"
 BASE64_RUN = r"[A-Za-z0-9+/]{40,}={0,2}"
 FORBIDDEN_NAMES = r"(?i)(raw_extracted|_qa|manifest\.json|qa\.json|OLE|\.bin$|\.docx?$|media_qa)"
 TEXT_EXTENSIONS = [".html", ".htm", ".css", ".js", ".json", ".jsonl", ".md", ".txt", ".svg", ".xml", ".yml", ".yaml", ".py", ".csv"]
-# label, pattern: in every text
+# label, pattern: in every text; an address is sought from the beginning of a run only, which finds the same texts in linear time
 FORBIDDEN = [
     ("personal Drive link", r"(?i)drive\.google"),
     ("personal Drive link", r"(?i)googledrive|docs\.google\.com/drive"),
-    ("e-mail address", r"(?i)[\w.+-]{2,}@(?!users\.noreply\.github\.com)[\w-]{2,}\.[\w.]{2,}"),
+    ("e-mail address", r"(?i)(?<![\w.+-])[\w.+-]{2,}@(?!users\.noreply\.github\.com)[\w-]{2,}\.[\w.]{2,}"),
     ("personal path/username", r"[A-Za-z]:\\Users\\"),
 ]
 # label, pattern: in rendered pages as well
 FORBIDDEN_IN_SITE = [
     ("internal review data", r"media_review_queue|ole_review_queue|release_approval"),
+    ("internal workspace path", r"/mnt/data"),
     ("javascript: URL in output", r"(?i)javascript\s*:"),
     ("inline/foreign script tag", r"(?i)<script(?![^>]*assets/(reader|search)\.js)(?![^>]*application/ld\+json)"),
     ("opaque external file id", r"[?&]id=[\w-]{20,}"),

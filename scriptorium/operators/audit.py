@@ -9,7 +9,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, paths
@@ -23,14 +23,14 @@ def html_links(pages: DataFrame, key: str, body: str) -> DataFrame:
 
 def markdown_links(docs: DataFrame, key: str, body: str) -> DataFrame:
     """key, pos, label and target of links that are no images."""
-    pattern = F.lit(r"(?<!!)\[([^\]]+)\]\(([^)\s]+)\)")
+    pattern = F.lit(fixed.MARKDOWN_LINK)
     return docs.select(key, F.posexplode(F.arrays_zip(F.regexp_extract_all(body, pattern, 1).alias("label"), F.regexp_extract_all(body, pattern, 2).alias("target"))).alias("pos", "z")).select(key, "pos", "z.label", "z.target")
 
 
 def images(docs: DataFrame, key: str, body: str) -> DataFrame:
     """key, line_no and source of images in either form."""
     rows = docs.select(key, F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
-    found = F.concat(F.regexp_extract_all("line", F.lit(r"!\[(?:[^\[\]]|\[[^\]]*\])*\]\(([^)]+)\)"), 1), F.regexp_extract_all("line", F.lit(r"(?i)<img\b[^>]*?src=[\"']([^\"']+)[\"']"), 1))
+    found = F.concat(F.regexp_extract_all("line", F.lit(fixed.MARKDOWN_IMAGE), 1), F.regexp_extract_all("line", F.lit(fixed.HTML_IMAGE), 1))
     return rows.select(key, "line_no", F.explode(found).alias("source"))
 
 
@@ -56,9 +56,10 @@ def manifest(files: DataFrame, path: str = "path", content: str = "content", lea
 
 
 def forbidden_texts(docs: DataFrame, key: str, body: str, site: bool = False, literals: list[str] | None = None) -> DataFrame:
-    """key and label of every forbidden pattern or literal that a text holds."""
+    """key and label of every forbidden pattern or literal (in any case) that a text holds."""
     rules = fixed.FORBIDDEN + (fixed.FORBIDDEN_IN_SITE if site else [])
-    marks = F.array(*[F.when(F.col(body).rlike(p), F.lit(label)) for label, p in rules], *[F.when(F.col(body).contains(x), F.lit("literal")) for x in literals or []])
+    quoted = ["(?i)" + re.escape(x) for x in literals or []]
+    marks = F.array(*[F.when(F.col(body).rlike(p), F.lit(label)) for label, p in rules], *[F.when(F.col(body).rlike(p), F.lit("literal")) for p in quoted])
     return docs.select(key, F.explode(F.array_distinct(F.filter(marks, lambda m: m.isNotNull()))).alias("label"))
 
 
@@ -70,86 +71,119 @@ def forbidden_names(files: DataFrame, path: str = "path", declared: list[str] |
 
 
 def base64_runs(docs: DataFrame, key: str, body: str) -> DataFrame:
-    """key, run and decoded (binary, null if it is none) of long base64 runs."""
+    """key, run and decoded (binary, null if it is not valid as it stands) of long base64 runs."""
     rows = docs.select(key, F.explode(F.regexp_extract_all(body, F.lit(fixed.BASE64_RUN), 0)).alias("run"))
-    whole = F.substring("run", 1, (F.length("run") / 4).cast("int") * 4)
-    return rows.withColumn("decoded", F.try_to_binary(whole, F.lit("base64")))
+    return rows.withColumn("decoded", F.when(F.length("run") % 4 == 0, F.try_to_binary("run", F.lit("base64"))))
 
 
-def decoded_variants(name: str, data: bytes, limit: int = fixed.SCAN_STREAM_BYTES) -> Iterator[tuple[str, bytes]]:
-    """(how, bytes) of texts hidden in a file: compressed or plain chunks of PNG, comments of JPEG, streams of PDF, UTF-16, base64."""
+def hidden_texts(docs: DataFrame, key: str, body: str, literals: list[str] | None = None) -> DataFrame:
+    """key, n_runs, n_decoded (valid, without NUL and with a printable run) and labels of what the base64 runs of texts hide."""
+    found = base64_runs(docs, key, body).withColumn("_text", F.decode("decoded", "ISO-8859-1"))
+    told = ~F.contains("_text", F.lit("\0")) & F.col("_text").rlike(fixed.PRINTABLE_RUN)
+    found = found.withColumn("_text", F.when(told, F.col("_text")))
+    rules = [*fixed.FORBIDDEN, *[("literal", "(?i)" + re.escape(x)) for x in literals or []]]
+    labels = F.array_compact(F.array(*[F.when(F.col("_text").rlike(p), F.lit(label)) for label, p in rules]))
+    return found.groupBy(key).agg(F.count(F.lit(1)).alias("n_runs"), F.count("_text").alias("n_decoded"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(labels)))), ",").alias("labels"))
 
-    def inflate(x: bytes) -> bytes:
+
+def decoded_variants(name: str, data: bytes, limit: int = fixed.SCAN_STREAM_BYTES) -> Iterator[tuple[str, bytes, bool]]:
+    """(how, bytes, whether more follows) of what hides in a file: metadata of PNG, comments of JPEG, streams of PDF, UTF-16, base64.
+
+    Inflated data stop at limit bytes, or a small file could fill a worker's memory; the third value then tells.
+    """
+
+    def inflate(x: bytes) -> tuple[bytes, bool]:
         try:
-            return zlib.decompressobj().decompress(x, limit)
+            run = zlib.decompressobj()
+            return run.decompress(x, limit), bool(run.unconsumed_tail)
         except zlib.error:
-            return b""
+            return b"", False
 
     if data.startswith(b"\x89PNG\r\n\x1a\n"):
-        at = 8
-        while at + 8 <= len(data):
+        at, kind = 8, b""
+        while at + 8 <= len(data) and kind != b"IEND":
             size, kind = struct.unpack(">I4s", data[at : at + 8])
             body = data[at + 8 : at + 8 + size]
             at += 12 + size
             head, _, rest = body.partition(b"\0")
             if kind == b"tEXt":
-                yield "png text", body
-            elif kind == b"zTXt":
-                yield "png text", head + b" " + inflate(rest[1:])
+                yield "png text", body, False
+            elif kind == b"zTXt" and rest[:1] == b"\0":
+                found, more = inflate(rest[1:])
+                yield "png text", head + b" " + found, more
             elif kind == b"iTXt" and len(rest) >= 2:
                 packed, tail = rest[0], rest[2:].split(b"\0", 2)[-1]
-                yield "png text", head + b" " + (inflate(tail) if packed else tail)
+                found, more = inflate(tail) if packed else (tail, False)
+                yield "png text", head + b" " + found, more
     elif data.startswith(b"\xff\xd8"):
-        for m in re.finditer(rb"\xff\xfe(..)", data, re.S):
-            size = struct.unpack(">H", m[1])[0]
-            yield "jpeg comment", data[m.end() : m.end() + size - 2]
+        for m in re.finditer(rb"\xff\xfe..", data, re.S):
+            yield "jpeg comment", data[m.end() : max(data.find(b"\xff", m.end()), m.end() + struct.unpack(">H", m[0][2:])[0] - 2)], False
     elif data.startswith(b"%PDF"):
         for m in re.finditer(rb"stream\r?\n(.*?)endstream", data, re.S):
-            if found := inflate(m[1]):
-                yield "pdf stream", found
-    for coding in ("utf-16-le", "utf-16-be"):
-        if data.count(b"\0") * 4 > len(data):
-            yield coding, data.decode(coding, "ignore").encode()
+            found, more = inflate(m[1])
+            if found:
+                yield "pdf stream", found, more
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        yield "utf-16", data.decode("utf-16", "ignore").encode(), False
+    elif len(data) > 16:
+        for coding, first in (("utf-16-le", 1), ("utf-16-be", 0)):
+            if data[first::2].count(0) * 4 > len(data):
+                yield coding, data.decode(coding, "ignore").encode(), False
     for m in re.finditer(fixed.BASE64_RUN.encode(), data):
-        run = m[0].rstrip(b"=")
         try:
-            yield "base64", base64.b64decode(run + b"=" * (-len(run) % 4))
+            found = base64.b64decode(m[0], validate=True)
         except ValueError:
             continue
+        if b"\0" not in found and re.search(fixed.PRINTABLE_RUN.encode(), found):
+            yield "base64", found, False
+
 
+def scan_files(files: DataFrame, literals: list[str] | None = None, declared_pdfs: list[str] | None = None, site: bool = True) -> DataFrame:
+    """Findings in files (path, content): forbidden names, forbidden contents of texts and binaries, and of what they hide; site: as rendered pages.
 
-def scan_files(files: DataFrame, literals: list[str] | None = None, declared_pdfs: list[str] | None = None) -> DataFrame:
-    """Findings in files (path, content): forbidden names, forbidden contents of texts and binaries, and of what they hide."""
-    base = [(label, p) for label, p in fixed.FORBIDDEN]
-    site = base + fixed.FORBIDDEN_IN_SITE
+    Texts are scanned whole, as columns; binaries, and what files hide, byte by byte in Arrow batches. A note says where inflating stopped.
+    """
+    rules = fixed.FORBIDDEN + (fixed.FORBIDDEN_IN_SITE if site else [])
+    is_text = F.lower(F.concat(F.lit("."), F.substring_index("path", ".", -1))).isin(fixed.TEXT_EXTENSIONS)
+    rows = files.select("path", F.coalesce(F.col("content").cast("binary"), F.lit(b"")).alias("content"))
+    texts = rows.where(is_text).select("path", F.decode("content", "ISO-8859-1").alias("text"))  # patterns are of bytes
+    plain = forbidden_texts(texts, "path", "text", site).select(F.lit("block").alias("severity"), F.col("label").alias("rule"), F.col("path").alias("entity_key"), F.lit("").alias("detail"))
+    for x in literals or []:
+        plain = plain.unionByName(finding(texts.where(F.col("text").rlike("(?i)" + re.escape(x.encode().decode("latin-1")))), f"literal {x}", F.col("path"), ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = {k: [(label, re.compile(p.encode())) for label, p in v] for k, v in (("base", base), ("site", site))}
-        hidden = [(f"literal {x}", re.compile(re.escape(x.encode()))) for x in literals or []]
-        strict = [("e-mail address", re.compile(rb"[\w.+-]{2,}@[a-z0-9-]{2,}\.[a-z]{2,}"))] + [c for c in compiled["base"] if c[0] != "e-mail address"]
+        compiled = [(label, re.compile(p.encode())) for label, p in rules]
+        hidden = [(f"literal {x}", re.compile(re.escape(x.encode()), re.I)) for x in literals or []]
+        strict = [("e-mail address", re.compile(fixed.EMAIL_IN_BINARY.encode())), *[c for c in compiled if c[0] != "e-mail address"]]
+        base = compiled[: len(fixed.FORBIDDEN)]
         for batch in batches:
             out = []
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                data = data or b""
-                ext = "." + path.rpartition(".")[2].lower()
-                if ext in fixed.TEXT_EXTENSIONS:
-                    parts = [("", data[: fixed.SCAN_TEXT_BYTES], compiled["site" if ext in (".html", ".htm") else "base"] + hidden)]
-                else:
-                    parts = [("", m, strict + hidden) for m in re.findall(rb"[\x20-\x7e]{6,}", data)]
-                parts += [(f" via {how}", x, compiled["base"] + hidden) for how, x in decoded_variants(path, data)]
-                seen = {(label, via) for via, x, rules in parts for label, rx in rules if rx.search(x)}
-                out += [("block", label, path, via.strip()) for label, via in sorted(seen)]
+            for path, data, text in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), batch.column("is_text").to_pylist()):
+                found = set()
+                for piece in re.findall(fixed.PRINTABLE_RUN.encode(), data) if not text else ():
+                    found |= {("block", label, "") for label, rx in strict + hidden if rx.search(piece)}
+                for how, piece, more in decoded_variants(path, data):
+                    found |= {("block", label, f"via {how}") for label, rx in base + hidden if rx.search(piece)}
+                    if more:
+                        found.add(("note", "not_scanned_whole", f"via {how}"))
+                out += [(severity, label, path, via) for severity, label, via in sorted(found)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], names=["severity", "rule", "entity_key", "detail"])
 
-    contents = files.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(run, "severity string, rule string, entity_key string, detail string")
-    return contents.unionByName(forbidden_names(files, "path", declared_pdfs))
+    hidden_in = rows.withColumn("is_text", is_text).mapInArrow(run, "severity string, rule string, entity_key string, detail string")
+    return together([plain, hidden_in, forbidden_names(files, "path", declared_pdfs)])
+
+
+def findings_by_rule(findings: DataFrame, shown: int = 30) -> DataFrame:
+    """severity, rule, n (distinct findings) and, as the report shows them, the first of them in order."""
+    once = findings.select("severity", "rule", "entity_key", "detail").distinct()
+    place = F.row_number().over(Window.partitionBy("severity", "rule").orderBy("entity_key", "detail"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_place") <= shown, F.concat_ws(" ", "entity_key", F.nullif("detail", F.lit(""))))))
+    return once.withColumn("_place", place).groupBy("severity", "rule").agg(F.count(F.lit(1)).alias("n"), listed.alias("shown"))
 
 
 def section_findings(sections: DataFrame, chunks: DataFrame) -> DataFrame:
     """Findings of sections (section_id, text, sha256, reading_order, page, pdf_pages) and chunks (section_id, chunk_no, start_char, end_char, text)."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("section_id").orderBy("chunk_no")
     gaps = chunks.withColumn("_before", F.lag("end_char", 1, 0).over(w)).where("start_char <> _before OR end_char - start_char <> length(text)")
     joined = chunks.groupBy("section_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "text"))), lambda x: x["text"]), "").alias("_whole"))
