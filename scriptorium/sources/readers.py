@@ -241,13 +241,16 @@ def pdf_pages(rows: DataFrame, extracted: str = "text") -> DataFrame:
 
 
 def convert(rows: DataFrame, external: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """path and Markdown text of sources (path, format, content), by format; other formats go to external, or have null text."""
+    """path and Markdown text of sources (path, format, content), by format; other formats (doc, pdf) go to external, or have null text."""
+    from . import office
+
     fb2 = fb2_markdown(fb2_events(rows.where("format = 'fb2'")))
     html = rows.where("format = 'html'").select("path", markup.html_to_markdown(F.decode(F.col("content").cast("binary"), "UTF-8")).alias("text"))
     plain = rows.where("format IN ('md', 'txt')").select("path", F.decode(F.col("content").cast("binary"), "UTF-8").alias("text"))
-    rest = rows.where("format NOT IN ('fb2', 'html', 'md', 'txt')")
+    packed = office.markdown(rows.where("format IN ('docx', 'odt', 'epub')"))
+    rest = rows.where("format NOT IN ('fb2', 'html', 'md', 'txt', 'docx', 'odt', 'epub')")
     other = external(rest) if external else rest.select("path", F.lit(None).cast("string").alias("text"))
-    return fb2.unionByName(html).unionByName(plain).unionByName(other)
+    return fb2.unionByName(html).unionByName(plain).unionByName(packed).unionByName(other)
 
 
 def fixture(spark: SparkSession, works: int = 6, sections: int = 2) -> DataFrame:
