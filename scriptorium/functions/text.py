@@ -33,6 +33,12 @@ def fold_alnum(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else "".join(filter(str.isalnum, unicodedata.normalize("NFKC", t).casefold().replace("ё", "е"))))
 
 
+@F.pandas_udf(T.StringType())
+def nfkc(texts: pd.Series) -> pd.Series:
+    """Compatibility composition, for which Spark has no function."""
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+
 def squeeze(x: Column) -> Column:
     """Without markup characters and soft hyphens, white space runs one space, trimmed."""
     return F.trim(F.regexp_replace(F.regexp_replace(x, "[#>*`_~­]", ""), SPACES, " "))
@@ -81,9 +87,9 @@ def tidy_title(x: Column) -> Column:
 
 
 def slug(url: Column) -> Column:
-    """The last segment of a url in lower case, other than word characters, dots and hyphens as _, 60 characters at most."""
+    """The last segment of a url, NFKC, in lower case, other than word characters, dots and hyphens as _, 60 characters at most."""
     last = F.element_at(F.split(F.rtrim(url, F.lit("/")), "/"), -1)
-    name = F.substring(F.regexp_replace(F.coalesce(last, F.lit("")), r"[^\p{L}\p{N}_.-]+", "_"), 1, 60)
+    name = F.substring(F.regexp_replace(F.when(last.rlike(r"[^\x00-\x7f]"), nfkc(last)).otherwise(F.coalesce(last, F.lit(""))), r"[^\p{L}\p{N}_.-]+", "_"), 1, 60)
     return F.lower(F.when(name == "", "item").otherwise(name))
 
 

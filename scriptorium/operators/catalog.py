@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import fixed, text
 
 
 def work_catalog(sections: DataFrame) -> DataFrame:
@@ -15,9 +15,15 @@ def work_catalog(sections: DataFrame) -> DataFrame:
 
 
 def chronology(works: DataFrame) -> DataFrame:
-    """year and title of works (date, year, title), by year as text, then title; unknown years last."""
+    """year, title and place of works (date, year, title), by year as text, then title; unknown years last.
+
+    Places are counted within a year and set off by the years before, of which there are few: no task sorts all works.
+    """
     rows = works.select(text.year(F.col("date"), F.col("year")).alias("year"), "title")
-    return rows.withColumn("place", F.row_number().over(Window.orderBy("year", "title")))
+    years = rows.groupBy("year").agg(F.count(F.lit(1)).alias("_n"))
+    before = years.select("year", F.coalesce(F.sum("_n").over(Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    placed = rows.withColumn("_own", F.row_number().over(Window.partitionBy("year").orderBy("title")))
+    return placed.join(before, "year").select("year", "title", (F.col("_before") + F.col("_own")).alias("place"))
 
 
 def by_collection(works: DataFrame) -> DataFrame:
@@ -38,6 +44,48 @@ def ledger(rows: DataFrame, url: str, order: str) -> DataFrame:
     return named.withColumn("item_id", F.when(n == 1, F.col("_slug")).otherwise(F.concat("_slug", F.lit("-"), n.cast("string")))).drop("_slug")
 
 
+def translation_ids(rows: DataFrame, url: str, language: str, order: str) -> DataFrame:
+    """rows with translation_id: the ledger's item id behind the language, unless it begins with it; other than word characters and hyphens as hyphens."""
+    named = ledger(rows, url, order)
+    own = F.startswith("item_id", F.concat(F.col(language), F.lit("_")))
+    whole = F.when(own, F.replace("item_id", F.lit("_"), F.lit("-"))).otherwise(F.concat(F.col(language), F.lit("-"), "item_id"))
+    return named.withColumn("translation_id", F.regexp_replace(whole, r"[^\p{L}\p{N}_-]+", "-")).drop("item_id")
+
+
+def translation_status(text_chars: Column, has_file: Column, failed: Column, least: int = fixed.FULL_TEXT_LEAST_WORD_CHARS) -> Column:
+    """full, text_unavailable, download_failed or no_source_file; text_chars: word characters of the converted text, null if it could not be converted."""
+    return F.when(~has_file, F.when(failed, "download_failed").otherwise("no_source_file")).when(F.coalesce(text_chars, F.lit(0)) < least, "text_unavailable").otherwise("full")
+
+
+def translation_totals(rows: DataFrame, by_match: bool = False) -> DataFrame:
+    """n_entries, n_languages, n_full and n_cards of translations (language, is_full), of all or of each match."""
+    grouped = rows.groupBy("match") if by_match else rows.groupBy()
+    return grouped.agg(F.count(F.lit(1)).alias("n_entries"), F.count_distinct("language").alias("n_languages"), F.count_if("is_full").alias("n_full"), F.count_if(~F.col("is_full")).alias("n_cards"))
+
+
+def active_citations(citations: DataFrame) -> DataFrame:
+    """Citation targets that are active and have a page."""
+    return citations.where("status = 'active' AND coalesce(site_path, '') <> ''")
+
+
+def section_citations(sections: DataFrame, citations: DataFrame, order: str, key: str = "section_id") -> DataFrame:
+    """sections with citation_target_id and site_path of the last active citation by order that names them."""
+    last = active_citations(citations).groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct("citation_target_id", "site_path"), order).alias("_c"))
+    return sections.join(last, F.col(key) == F.col("_key"), "left").withColumns({"citation_target_id": F.col("_c.citation_target_id"), "site_path": F.col("_c.site_path")}).drop("_key", "_c")
+
+
+def in_scope(rows: DataFrame, volumes: list, sections: list, ids: list) -> DataFrame:
+    """rows whose volume, section_id or id the release's scope names: three short lists, so literals rather than joins."""
+    named = lambda column, wanted: F.coalesce(F.col(column).isin(wanted), F.lit(False)) if wanted else F.lit(False)
+    return rows.where(named("volume", volumes) | named("section_id", sections) | named("id", ids))
+
+
+def action_groups(records: DataFrame, by: list[str], size: Column) -> DataFrame:
+    """by, n and bytes of records that wait for the owner, the largest groups first."""
+    open_ = records.where("publication_status NOT IN ('published', 'duplicate')")
+    return open_.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(size).cast("bigint").alias("bytes")).orderBy(F.desc("n"), F.desc("bytes"))
+
+
 def translations_of(works: DataFrame, translations: DataFrame) -> DataFrame:
     """work_id, translation_ids and n of works with translations (translation_id, work_id, related_work_ids)."""
     linked = translations.select("translation_id", F.explode(F.array_distinct(F.array_compact(F.concat(F.array("work_id"), F.coalesce("related_work_ids", F.array().cast("array<string>")))))).alias("work_id"))

@@ -82,3 +82,20 @@ def front_matter(**fields: Column) -> Column:
     """A leading block of keys; null ones are left out."""
     rows = [F.when(v.isNotNull(), F.concat(F.lit(f"{k}: "), v.cast("string"))) for k, v in fields.items()]
     return F.concat(F.lit("---\n"), F.concat_ws("\n", *rows), F.lit("\n---\n"))
+
+
+def robots(mode: str, base: str = "") -> str:
+    """robots.txt: a public site names its sitemap, any other keeps crawlers out."""
+    if mode == "public":
+        return f"User-agent: *\nAllow: /\nSitemap: {base.rstrip('/')}/sitemap.xml\n"
+    return "User-agent: *\nDisallow: /\n"
+
+
+def llms_text(title: str, note: str, entries: list[tuple[str, str]]) -> str:
+    """llms.txt: title, note and what stands where, by links relative to the site."""
+    return f"# {title}\n\n{note}\n\n" + "".join(f"- {path} — {what}\n" for path, what in entries)
+
+
+def sitemap_lines(urls: DataFrame, url: str = "url") -> DataFrame:
+    """value: an entry for each distinct url, in order, to be written as lines of sitemaps of any number of urls."""
+    return urls.select(F.concat(F.lit("<url><loc>"), text.escape_html(F.col(url)), F.lit("</loc></url>")).alias("value")).distinct().orderBy("value")

@@ -86,10 +86,86 @@ def anchors(places: DataFrame, lines: DataFrame, least: int = 25) -> DataFrame:
     return found.unionByName(none)
 
 
+def inner_word(phrase: Column) -> Column:
+    """The longest word of a phrase that stands between spaces: it is a whole word of every text that holds the phrase. Null if there is none."""
+    words = F.split(phrase, " ")
+    inner = F.filter(F.slice(words, 2, F.greatest(F.lit(0), F.size(words) - 2)), lambda w: w != "")
+    return F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+
+
+def recover_anchors(places: DataFrame, lines: DataFrame, least: int = 25, sure: int = 40) -> DataFrame:
+    """place_id, file, line_no, mode, sha and confidence of places (place_id, work_id, paragraph, previous, next) in lines (work_id, file, line_no, norm).
+
+    The paragraph that holds the object is sought first, then the one before it, then the one behind it. Lines equal to it
+    count, else lines that hold it or that it holds, sought by a whole word of the shorter one. One line is exact from sure characters on, else strong; of several the
+    one whose file goes on with the next paragraph is strong; else the place is probable and has no line; without a hit it is unbound.
+    """
+    tidy = lambda c: F.trim(F.regexp_replace(F.regexp_replace(text.squeeze(F.coalesce(c, F.lit(""))), r"^([a-z]+\d+\s*)+", ""), r"[a-z]+\d+(?=[А-Яа-яЁё])", ""))
+    sought = F.array(*[F.struct(tidy(F.col(c)).alias("sought"), F.lit(mode).alias("mode")) for c, mode in (("paragraph", "after"), ("previous", "after"), ("next", "before"))])
+    asked = places.select("place_id", "work_id", tidy(F.col("next")).alias("then"), F.posexplode(sought).alias("rank", "c")).select("place_id", "work_id", "then", "rank", "c.*").where(F.length("sought") >= least)
+    known = lines.select(F.col("work_id").alias("_work"), "file", "line_no", "norm")
+    own = F.col("work_id") == F.col("_work")
+    equal = asked.join(known, own & (F.col("sought") == F.col("norm")))
+    rest = asked.join(equal.select("place_id", "rank").distinct(), ["place_id", "rank"], "left_anti")
+    held = known.where(F.length("norm") >= least).withColumn("_key", inner_word(F.col("norm")))
+    rest = rest.withColumn("_word", inner_word(F.col("sought")))
+    words = lambda df, c, name: df.withColumn(name, F.explode(F.array_distinct(F.split(c, " "))))
+    holds, is_held = F.col("norm").contains(F.col("sought")), F.col("sought").contains(F.col("norm"))
+    near = [
+        rest.join(words(held.drop("_key"), "norm", "_key"), own & (F.col("_word") == F.col("_key"))).where(holds),
+        words(rest.drop("_word"), "sought", "_word").join(held, own & (F.col("_word") == F.col("_key"))).where(is_held),
+        rest.where("_word IS NULL").join(held, own).where(holds),
+        rest.join(held.where("_key IS NULL"), own).where(is_held),
+    ]
+    columns = equal.columns
+    near = near[0].select(columns).unionByName(near[1].select(columns)).unionByName(near[2].select(columns)).unionByName(near[3].select(columns)).distinct()
+    hits = equal.unionByName(near).drop("_work")
+    first = hits.groupBy(F.col("place_id").alias("_place")).agg(F.min("rank").alias("_rank"))
+    hits = hits.join(first, (F.col("place_id") == F.col("_place")) & (F.col("rank") == F.col("_rank")))
+    after = lines.groupBy(F.col("work_id").alias("_w"), F.col("file").alias("_f"), F.col("norm").alias("_n")).agg(F.max("line_no").alias("_later"))
+    hits = hits.join(after, (F.col("work_id") == F.col("_w")) & (F.col("file") == F.col("_f")) & (F.col("then") == F.col("_n")), "left")
+    goes_on = (F.col("mode") == "after") & (F.col("then") != "") & (F.col("_later") > F.col("line_no"))
+    at = F.struct("file", "line_no", "mode", F.sha2("norm", 256).alias("sha"))
+    by = hits.groupBy("place_id").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("one"), F.count_if(goes_on).alias("going"), F.min(F.when(goes_on, at)).alias("on"), F.first(F.length("sought")).alias("chars"))
+    confidence = F.when(F.col("n").isNull(), "unbound_confirmed").when(F.col("n") == 1, F.when(F.col("chars") >= sure, "anchor_exact").otherwise("anchor_strong")).when(F.col("going") == 1, "anchor_strong").otherwise("anchor_probable")
+    line = F.when(F.col("n") == 1, F.col("one")).when(F.col("going") == 1, F.col("on"))
+    rows = places.select("place_id").join(by, "place_id", "left").withColumn("confidence", confidence).withColumn("at", line)
+    return rows.select("place_id", "at.file", "at.line_no", "at.mode", "at.sha", "confidence")
+
+
+#: Probes that are broadcast at most.
+PROBES = 100_000
+
+
 def unique_context(probes: DataFrame, sections: DataFrame) -> DataFrame:
-    """item_id and section_id of probes (item_id, rank, phrase) that exactly one section's body holds; the smallest rank wins."""
-    hits = sections.join(F.broadcast(probes), F.col("body").contains(F.col("phrase"))).groupBy("item_id", "rank").agg(F.count(F.lit(1)).alias("n"), F.min("section_id").alias("section_id"))
-    return hits.where("n = 1").groupBy("item_id").agg(F.min_by("section_id", "rank").alias("section_id"))
+    """item_id and section_id of probes (item_id, rank, phrase) that exactly one section's body holds; the smallest rank wins.
+
+    A phrase's words but the first and last stand whole between spaces wherever it occurs: its longest such word is joined with
+    the words of the bodies, and only bodies that have it are searched. Phrases of one or two words are searched for everywhere.
+    """
+    keyed = probes.withColumn("key", inner_word(F.col("phrase")))
+    known = keyed.where("key IS NOT NULL")
+    known = F.broadcast(known) if known.count() <= PROBES else known
+    spoken = sections.select("section_id", F.explode(F.array_distinct(F.split("body", " "))).alias("key"))
+    pairs = spoken.join(known, "key").select("section_id", "item_id", "rank", "phrase")
+    hits = pairs.join(sections.select("section_id", "body"), "section_id").where(F.col("body").contains(F.col("phrase"))).select("section_id", "item_id", "rank")
+    loose = keyed.where("key IS NULL AND phrase <> ''")
+    n = loose.count()
+    if n > PROBES:
+        raise ValueError(f"{n} phrases of one or two words; {PROBES} are searched for at most")
+    if n:
+        hits = hits.unionByName(sections.join(F.broadcast(loose), F.col("body").contains(F.col("phrase"))).select("section_id", "item_id", "rank"))
+    found = hits.groupBy("item_id", "rank").agg(F.count(F.lit(1)).alias("n"), F.min("section_id").alias("section_id"))
+    return found.where("n = 1").groupBy("item_id").agg(F.min_by("section_id", "rank").alias("section_id"))
+
+
+def public_paths(records: DataFrame, shipped: DataFrame) -> DataFrame:
+    """records (volume, media_file, public_path, public_asset_sha256) with the path under which the object ships (volume, name, sha256 as found and as allowed), else null."""
+    ok = shipped.where("sha256 = allowed_sha256").select(F.col("volume").alias("_v"), F.col("name").alias("_n")).distinct().withColumn("_ok", F.lit(True))
+    name = F.substring_index(F.coalesce("media_file", F.lit("")), "/", -1)
+    rows = records.withColumn("_name", name).join(ok, (F.col("volume") == F.col("_v")) & (F.col("_name") == F.col("_n")), "left")
+    path = F.when(F.col("_ok"), F.concat(F.lit("tom-"), F.col("volume").cast("string"), F.lit("/assets/media/"), "_name"))
+    return rows.withColumn("public_path", path).withColumn("public_asset_sha256", F.when(F.col("_ok"), F.col("public_asset_sha256"))).drop("_v", "_n", "_ok", "_name")
 
 
 def insert_lines(lines: DataFrame, inserts: DataFrame, key: str) -> DataFrame:

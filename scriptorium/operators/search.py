@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -14,6 +14,23 @@ def index(sections: DataFrame) -> DataFrame:
     return sections.select("title", F.lit("section").alias("kind"), "work_id", "section_id", url.alias("url"), F.substring("body", 1, fixed.SEARCH_TEXT_CHARS).alias("text"))
 
 
+def concept_rows(concepts: DataFrame) -> DataFrame:
+    """Published concepts (concept_id, canonical_term, aliases, definition) as rows of the index: work_id and section_id are null, aliases lead the text."""
+    words = F.concat_ws(" ", F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), " "), F.coalesce("definition", F.lit("")))
+    url = F.concat(F.lit("/concepts/"), "concept_id", F.lit(".html"))
+    none = F.lit(None)
+    return concepts.select(F.col("canonical_term").alias("title"), F.lit("concept").alias("kind"), none.cast("string").alias("work_id"), none.cast("bigint").alias("section_id"), url.alias("url"), F.substring(F.trim(words), 1, fixed.SEARCH_TEXT_CHARS).alias("text"))
+
+
+def full_index(sections: DataFrame, concepts: DataFrame) -> DataFrame:
+    """index() of the sections and the rows of published concepts."""
+    return index(sections).unionByName(concept_rows(concepts))
+
+
+#: Queries that search_all() takes at once.
+QUERIES = 10_000
+
+
 def search(rows: DataFrame, query: str, limit: int = fixed.SEARCH_LIMIT, title: str = "title", body: str = "text", order: str = "section_id") -> DataFrame:
     """Rows that hold every word of the query in title or text, with score (10 for a word in the title, else 1) and snippet; the best first, ties in order."""
     words = [w for w in query.strip().lower().split() if w]
@@ -31,11 +48,12 @@ def search(rows: DataFrame, query: str, limit: int = fixed.SEARCH_LIMIT, title:
 
 def search_all(rows: DataFrame, queries: DataFrame, limit: int = fixed.SEARCH_LIMIT, order: str = "section_id") -> DataFrame:
     """search() for a table of queries (query_id, query; a few): query_id, rank, order and score."""
+    n = queries.count()
+    if n > QUERIES:
+        raise ValueError(f"{n} queries; {QUERIES} at most are held against all rows at once")
     asked = queries.withColumn("words", F.filter(F.split(F.lower(F.trim("query")), r"\s+"), lambda w: w != "")).where(F.size("words") > 0)
     hay = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))))
     met = rows.withColumn("_hay", hay).withColumn("_head", F.lower(F.coalesce("title", F.lit("")))).join(F.broadcast(asked.select("query_id", "words")), F.expr("forall(words, w -> contains(_hay, w))"))
     score = F.aggregate("words", F.lit(0), lambda a, w: a + F.when(F.contains(F.col("_head"), w), 10).otherwise(1))
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), order))
     return met.withColumn("score", score).withColumn("rank", rank).where(F.col("rank") <= limit).select("query_id", "rank", order, "score")

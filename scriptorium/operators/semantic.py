@@ -18,12 +18,18 @@ def together(found: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+#: Topics that one plan holds as conditions.
+TOPICS = 1000
+
+
 def topic_members(topics: DataFrame, sections: DataFrame, title: str = "title", key: str = "section_id") -> DataFrame:
     """topic_id, key and title of every section whose normalised title holds a term; the topic of smallest priority wins.
 
-    topics (topic_id, priority, terms) is an editorial list: every topic is one condition, so sections are read once, without a join.
+    topics (topic_id, priority, terms) is an editorial list, of TOPICS at most: every topic is one condition, so sections are read once, without a join.
     """
-    listed = topics.orderBy("priority").collect()
+    listed = topics.orderBy("priority").limit(TOPICS + 1).collect()
+    if len(listed) > TOPICS:
+        raise ValueError(f"more than {TOPICS} topics")
     hay = text.norm_search(F.col(title))
     norm = lambda t: text.norm_search(F.lit(t))
     first = F.coalesce(*[F.when(reduce(Column.__or__, [F.contains(hay, norm(t)) for t in r["terms"]], F.lit(False)), F.lit(r["topic_id"])) for r in listed], F.lit(None).cast("string")) if listed else F.lit(None).cast("string")
@@ -119,3 +125,13 @@ def derived_variants(works: DataFrame, translations: DataFrame, original: str =
     by = translations.groupBy("work_id", "language").agg(F.min("title").alias("canonical_name"), F.max(F.col("is_full").cast("int")).alias("full"))
     other = by.select(F.concat(F.lit("lv-"), "work_id", F.lit("-"), "language").alias("variant_id"), "work_id", "language", "canonical_name", F.when(F.col("full") == 1, "confirmed").otherwise("provisional").alias("translation_status"), canonical.alias("canonical_variant_id"))
     return own.unionByName(other)
+
+
+def entities(topics: DataFrame, concepts: DataFrame, variants: DataFrame, citations: DataFrame) -> DataFrame:
+    """entity_id, kind, label and language of everything the semantic layer publishes, each once.
+
+    topics: topic_id, label; concepts: concept_id, canonical_term; variants: variant_id, canonical_name, language; citations: citation_target_id, anchor, language.
+    """
+    one = lambda df, key, kind, label, language: df.select(F.col(key).alias("entity_id"), F.lit(kind).alias("kind"), F.col(label).alias("label"), (F.col(language) if language else F.lit(None).cast("string")).alias("language"))
+    every = [one(topics, "topic_id", "topic", "label", None), one(concepts, "concept_id", "concept", "canonical_term", None), one(variants, "variant_id", "language_variant", "canonical_name", "language"), one(citations, "citation_target_id", "citation", "anchor", "language")]
+    return together(every).dropDuplicates(["entity_id"])

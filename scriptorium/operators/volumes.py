@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import fixed, text
+from .sections import multiset_difference
 from .semantic import finding, together
 
 
@@ -121,3 +122,42 @@ def old_volume_findings(units: DataFrame, chunks: DataFrame, footnotes: DataFram
             finding(known.groupBy("n").count().where("count > 1"), "duplicate_footnote", F.col("n"), F.col("count")),
         ]
     )
+
+
+def volume_findings(sections: DataFrame, chunks: DataFrame, notes: DataFrame, pages: DataFrame, media: DataFrame, figures: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Findings of a volume beyond audit.section_findings(): bodies, notes, pages and media.
+
+    sections: section_id, path, text, page, footnote_numbers (array); chunks: section_id, chunk_no, page; notes: n, definition;
+    pages: path, body (the published Markdown without its leading block), page (of that block); media: name (of files); figures: media_name;
+    anchors: image, preview_path (null for none) and has_preview (whether that file is there).
+    """
+    known = notes.select(F.col("n").cast("string").alias("n"), "definition")
+    called = sections.select("section_id", F.posexplode("footnote_numbers").alias("pos", "n")).withColumn("n", F.col("n").cast("string"))
+    once = known.groupBy("n").agg(F.first("definition").alias("definition"))
+    cited = called.join(once, "n", "left").groupBy("section_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("definition").isNotNull(), F.struct("pos", "definition")))), lambda x: x["definition"]), "\n\n").alias("_notes"))
+    rows = sections.join(cited, "section_id", "left").join(pages.select("path", F.col("body").alias("_body"), F.col("page").alias("_page"), F.lit(True).alias("_there")), "path", "left")
+    behind = F.when(F.coalesce("_notes", F.lit("")) != "", F.concat(F.lit("\n"), "_notes", F.lit("\n"))).otherwise("")
+    expected = F.concat(F.regexp_replace("text", r"\s+\z", ""), F.lit("\n"), behind)
+    local = pages.select("path", F.explode(F.regexp_extract_all("body", F.lit(fixed.MARKDOWN_IMAGE), 1)).alias("link")).where(~F.col("link").rlike("^(?:https?://|data:)"))
+    local = local.withColumn("_name", F.substring_index(F.regexp_replace("link", "#.*$", ""), "/", -1))
+    held = media.select(F.col("name").alias("_name")).distinct()
+    lost = lambda df, column, rule: finding(df.select(F.col(column).alias("_name")).distinct().join(held, "_name", "left_anti"), rule, F.col("_name"), "")
+    shown = figures.select(F.col("media_name").alias("_name")).union(anchors.select(F.col("image").alias("_name"))).distinct()
+    uneven = multiset_difference(called.select("n"), known.select("n"), "n")
+    off = chunks.join(sections.select("section_id", F.col("page").alias("_page")), "section_id").where("NOT (page <=> _page)")
+    return together(
+        [
+            finding(rows.where("_there IS NULL"), "missing_section_file", F.col("section_id"), F.col("path")),
+            finding(rows.where("_there AND NOT (_page <=> page)"), "page_metadata_mismatch", F.col("section_id"), F.col("path")),
+            finding(rows.where(F.col("_there") & (text.media_marks(F.col("_body")) != text.media_marks(expected))), "body_diverges_from_text", F.col("section_id"), F.col("path")),
+            finding(off, "chunk_page_mismatch", F.col("section_id"), F.col("chunk_no")),
+            finding(called.join(once, "n", "left_anti"), "missing_note_definition", F.col("section_id"), F.col("n")),
+            finding(known.groupBy("n").count().where("count > 1"), "duplicate_note_definition", F.col("n"), F.col("count")),
+            finding(uneven, "footnote_lost_or_repeated", F.col("n"), F.concat_ws("/", F.col("n_left").cast("string"), F.col("n_right").cast("string"))),
+            finding(local.join(held, "_name", "left_anti"), "missing_local_image", F.col("path"), F.col("link")),
+            lost(figures, "media_name", "figure_media_missing"),
+            lost(anchors, "image", "anchor_media_missing"),
+            finding(anchors.where("preview_path IS NOT NULL AND NOT has_preview"), "anchor_preview_missing", F.col("image"), F.col("preview_path")),
+            finding(held.join(shown, "_name", "left_anti"), "media_without_anchor", F.col("_name"), "", "note"),
+        ]
+    )

@@ -1,8 +1,8 @@
-"""Registry of the library's own queries and their SQL counterparts."""
+"""Every registered query of the library and its DuckDB SQL."""
 
 from __future__ import annotations
 
-from . import registry_plans, section_plans
+from . import library_plans, registry_plans, section_plans
 
-QUERIES: dict = {**section_plans.QUERIES, **registry_plans.QUERIES}
-ORACLE_SQL: dict[str, str] = {**section_plans.ORACLE_SQL, **registry_plans.ORACLE_SQL}
+QUERIES = {**section_plans.QUERIES, **registry_plans.QUERIES, **library_plans.QUERIES}
+ORACLE_SQL = {**section_plans.ORACLE_SQL, **registry_plans.ORACLE_SQL, **library_plans.ORACLE_SQL}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, media, text
 from ..operators import audit, catalog, gate, registry, semantic, sections, volumes
-from .section_plans import TITLE, documents
+from .section_plans import CHUNKS, TITLE, damaged, documents
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -58,33 +58,33 @@ def topic_top15(spark, sf_dir):
     return semantic.topic_lists(members(spark, sf_dir).select("topic_id", "section_id"), "section_id")
 
 
-def concepts(spark):
-    evidence = "array<struct<section_id:bigint,kind:string,term:string>>"
-    rows = [
-        ("cp-the", "the", ["tion"], [(1, "text", None), (2, "title", "of"), (3, "text", "no such words")], "reviewed", "published"),
-        ("cp-ver", "ver", ["und"], [(i, "text", None) for i in range(10, 30)], "unreviewed", "published"),
-        ("cp-none", "zzzz", [], [(1, "text", None)], "reviewed", "published"),
-        ("cp-draft", "e", [], [(5, "text", None)], "reviewed", "draft"),
-    ]
-    return spark.createDataFrame(rows, f"concept_id string, canonical_term string, aliases array<string>, evidence {evidence}, review_state string, publication_state string")
+def concepts(spark, sf_dir):
+    """A concept for each benchmark item, named by its first word; documents are evidence of the item their id leads to."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", F.substring_index("text", " ", 1).alias("canonical_term"))
+    kind = F.when(F.col("doc_id") % 2 == 0, "title").otherwise("text")
+    named = F.struct(F.col("doc_id").alias("section_id"), kind.alias("kind"), F.when(F.col("doc_id") % 3 == 0, "ver").alias("term"))
+    given = documents(spark, sf_dir).groupBy((F.col("doc_id") % 40).alias("item_id")).agg(F.collect_list(named).alias("evidence"))
+    state = F.when(F.col("item_id") % 5 == 0, "draft").otherwise("published")
+    return items.join(given, "item_id").select(F.concat(F.lit("cp-"), F.col("item_id").cast("string")).alias("concept_id"), "canonical_term", F.array(F.lit("tion")).alias("aliases"), "evidence", F.when(F.col("item_id") % 3 == 0, "unreviewed").otherwise("reviewed").alias("review_state"), state.alias("publication_state"))
 
 
 BODY = r"regexp_replace(lower(text), '[^\p{L}\p{N}_]+', ' ', 'g')"
-EVIDENCE = f"""e(concept_id, section_id, kind, names) AS (
-  SELECT 'cp-the', 1, 'text', ['the', 'tion'] UNION ALL SELECT 'cp-the', 2, 'title', ['of', 'the', 'tion'] UNION ALL SELECT 'cp-the', 3, 'text', ['no such words', 'the', 'tion']
-  UNION ALL SELECT 'cp-ver', r, 'text', ['ver', 'und'] FROM (SELECT unnest(range(10, 30)) AS r) UNION ALL SELECT 'cp-none', 1, 'text', ['zzzz'] UNION ALL SELECT 'cp-draft', 5, 'text', ['e']),
-v AS (SELECT DISTINCT concept_id, e.section_id, kind FROM (SELECT concept_id, section_id, kind, unnest(names) AS name FROM e) e JOIN documents d ON d.doc_id = e.section_id
-  WHERE contains(CASE WHEN kind = 'title' THEN {NORM} ELSE {BODY} END, name))"""
+_NORM_OF = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_]+', ' ', 'g')"
+EVIDENCE = f"""e AS (SELECT b.item_id, 'cp-' || b.item_id AS concept_id, split_part(b.text, ' ', 1) AS canon, d.doc_id, d.text, CASE WHEN d.doc_id % 2 = 0 THEN 'title' ELSE 'text' END AS kind, CASE WHEN d.doc_id % 3 = 0 THEN 'ver' END AS term
+  FROM benchmark b JOIN documents d ON d.doc_id % 40 = b.item_id),
+h AS (SELECT *, CASE WHEN kind = 'title' THEN {NORM} ELSE {BODY} END AS hay FROM e),
+v AS (SELECT concept_id, doc_id AS section_id, kind FROM h WHERE contains(hay, {_NORM_OF.format("coalesce(term, canon)")}) OR contains(hay, {_NORM_OF.format("canon")}) OR contains(hay, 'tion'))"""
 
 
-@query(f"WITH {EVIDENCE} SELECT concept_id, CAST(section_id AS BIGINT) AS section_id, kind FROM v")
+@query(f"WITH {EVIDENCE} SELECT concept_id, section_id, kind FROM v")
 def concept_evidence(spark, sf_dir):
-    return semantic.verified_evidence(concepts(spark), sections.sections(documents(spark, sf_dir))).select("concept_id", "section_id", "kind")
+    return semantic.verified_evidence(concepts(spark, sf_dir), sections.sections(documents(spark, sf_dir))).select("concept_id", "section_id", "kind")
 
 
-@query(f"WITH {EVIDENCE}, n AS (SELECT concept_id, count(*) AS n FROM v GROUP BY concept_id) SELECT c.concept_id, coalesce(n.n, 0) AS n_evidence, c.concept_id = 'cp-the' AND coalesce(n.n, 0) > 0 AS is_published FROM (SELECT DISTINCT concept_id FROM e) c LEFT JOIN n ON c.concept_id = n.concept_id")
+@query(f"""WITH {EVIDENCE}, n AS (SELECT concept_id, count(*) AS n FROM v GROUP BY concept_id)
+SELECT c.concept_id, coalesce(n.n, 0) AS n_evidence, c.item_id % 5 <> 0 AND c.item_id % 3 <> 0 AND coalesce(n.n, 0) > 0 AS is_published FROM (SELECT DISTINCT concept_id, item_id FROM e) c LEFT JOIN n ON c.concept_id = n.concept_id""")
 def concepts_published(spark, sf_dir):
-    return semantic.published_concepts(concepts(spark), sections.sections(documents(spark, sf_dir)))
+    return semantic.published_concepts(concepts(spark, sf_dir), sections.sections(documents(spark, sf_dir)))
 
 
 POLICY = [
@@ -154,10 +154,13 @@ def work_catalog(spark, sf_dir):
     return catalog.work_catalog(sections.sections(documents(spark, sf_dir)))
 
 
-@query("""SELECT year, title, CAST(row_number() OVER (ORDER BY year, title) AS INTEGER) AS place FROM (VALUES ('2003', 'b'), ('1999', 'a'), ('н/д', 'c'), ('2003', 'a'), ('2011', 'd')) v(year, title)""")
+@query("""
+WITH w AS (SELECT doc_id AS title, CASE WHEN doc_id % 7 <> 0 THEN CAST(1990 + doc_id % 30 AS VARCHAR) WHEN doc_id % 14 = 0 THEN '1985' ELSE 'н/д' END AS year FROM documents)
+SELECT year, CAST(title AS VARCHAR) AS title, CAST(row_number() OVER (ORDER BY year, CAST(title AS VARCHAR)) AS BIGINT) AS place FROM w""")
 def chronology(spark, sf_dir):
-    rows = [("2003-05-01", None, "b"), (None, "1999", "a"), ("", "", "c"), ("2003", "1950", "a"), (None, "2011", "d")]
-    return catalog.chronology(spark.createDataFrame(rows, "date string, year string, title string"))
+    day = F.when(F.col("doc_id") % 7 != 0, F.concat((1990 + F.col("doc_id") % 30).cast("string"), F.lit("-05-01"))).when(F.col("doc_id") % 2 == 0, "")
+    rows = documents(spark, sf_dir).select(day.alias("date"), F.when(F.col("doc_id") % 14 == 0, "1985").otherwise("").alias("year"), F.col("doc_id").cast("string").alias("title"))
+    return catalog.chronology(rows)
 
 
 @query("SELECT lang AS language, count(*) AS n FROM documents WHERE lang <> 'en' GROUP BY lang")
@@ -169,8 +172,8 @@ def languages_index(spark, sf_dir):
 WITH t AS (SELECT lang, source, length(regexp_replace(text, '[^\p{L}\p{N}_]', '', 'g')) >= 200 AS is_full FROM documents WHERE lang <> 'en')
 SELECT count(*) AS n_entries, count(DISTINCT lang) AS n_languages, count(*) FILTER (WHERE is_full) AS n_full, count(*) FILTER (WHERE NOT is_full) AS n_cards FROM t""")
 def translation_stats(spark, sf_dir):
-    rows = documents(spark, sf_dir).where("lang <> 'en'").withColumn("is_full", text.word_chars(F.col("text")) >= fixed.FULL_TEXT_LEAST_WORD_CHARS)
-    return rows.agg(F.count(F.lit(1)).alias("n_entries"), F.count_distinct("lang").alias("n_languages"), F.count_if("is_full").alias("n_full"), F.count_if(~F.col("is_full")).alias("n_cards"))
+    rows = documents(spark, sf_dir).where("lang <> 'en'").select(F.col("lang").alias("language"), (text.word_chars(F.col("text")) >= fixed.FULL_TEXT_LEAST_WORD_CHARS).alias("is_full"))
+    return catalog.translation_totals(rows)
 
 
 @query(r"""
@@ -234,7 +237,7 @@ def media_type_cascade(spark, sf_dir):
 
 
 PATTERNS = SimpleNamespace(COVER=r"ung\b", SCREENSHOT=r"sch", PHOTO=r"que\b", REPRODUCTION=r"https?://|www\.", SCHEME=r"ment", TABLE=r"tion\b", TABLE_LABEL=r"tab", LABEL=r"fig", VECTOR=[".wmf"])
-_CONTEXT = f"regexp_replace(regexp_replace({TITLE} || ' ' || substring(text, 1, 200), '!\\[[^\\]]*\\]\\([^)]*\\)', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+_CONTEXT = f"regexp_replace(regexp_replace({TITLE} || ' ' || text, '!\\[[^\\]]*\\]\\([^)]*\\)', ' ', 'g'), '<[^>]+>', ' ', 'g')"
 
 
 @query(rf"""
@@ -244,7 +247,7 @@ SELECT doc_id, CASE WHEN regexp_matches(ctx, '(?i)ung($|[^\p{{L}}\p{{N}}_])') TH
   WHEN doc_id % 7 = 0 THEN 'authorial_scheme_or_diagram' WHEN regexp_matches(cap, '(?i)ment') THEN 'authorial_scheme_or_diagram' ELSE 'unclear_after_second_pass' END AS class FROM c""")
 def provenance_class(spark, sf_dir):
     ext = F.when(F.col("doc_id") % 7 == 0, ".wmf").otherwise(".png")
-    found = media.provenance(F.lit("other"), text.title_of(F.col("text")), F.lit(None).cast("string"), F.substring("text", 1, 200), ext, PATTERNS)
+    found = media.provenance(F.lit("other"), text.title_of(F.col("text")), F.lit(None).cast("string"), F.col("text"), ext, PATTERNS)
     return documents(spark, sf_dir).select("doc_id", found["class"].alias("class"))
 
 
@@ -265,19 +268,38 @@ def public_masks_counts(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", text.occurrences(t, "the").alias("n_masked"), F.sha2(text.mask(t, "the", "***"), 256).alias("sha"))
 
 
-@query(r"""
-SELECT doc_id, label FROM (
-  SELECT doc_id, 'personal Drive link' AS label FROM documents WHERE regexp_matches(text, '(?i)drive\.google|googledrive|docs\.google\.com/drive')
-  UNION ALL SELECT doc_id, 'e-mail address' FROM documents WHERE regexp_matches(text, '(?i)[\w.+-]{2,}@[\w-]{2,}\.[\w.]{2,}')
-  UNION ALL SELECT doc_id, 'personal path/username' FROM documents WHERE regexp_matches(text, '[A-Za-z]:\\Users\\')
-  UNION ALL SELECT doc_id, 'literal' FROM documents WHERE contains(text, 'Apache License'))""")
+_TEXT_RULES = r"""SELECT {0} AS key, 'personal Drive link' AS label FROM {1} WHERE regexp_matches({2}, '(?i)drive\.google|googledrive|docs\.google\.com/drive')
+  UNION ALL SELECT {0}, 'e-mail address' FROM {1} WHERE regexp_matches(regexp_replace({2}, '(?i)@users\.noreply\.github\.com', '', 'g'), '(?i)[\w.+-]{{2,}}@[\w-]{{2,}}\.[\w.]{{2,}}')
+  UNION ALL SELECT {0}, 'personal path/username' FROM {1} WHERE regexp_matches({2}, '[A-Za-z]:\\Users\\')
+  UNION ALL SELECT {0}, 'literal' FROM {1} WHERE regexp_matches({2}, '(?i)apache LICENSE')"""
+
+
+@query(_TEXT_RULES.format("'documents/' || doc_id", "documents", "text") + " UNION ALL " + _TEXT_RULES.format("'pages/' || page_id", "pages", "html") + r"""
+  UNION ALL SELECT 'pages/' || page_id, 'internal review data' FROM pages WHERE regexp_matches(html, 'media_review_queue|ole_review_queue|release_approval')
+  UNION ALL SELECT 'pages/' || page_id, 'internal workspace path' FROM pages WHERE contains(html, '/mnt/data')
+  UNION ALL SELECT 'pages/' || page_id, 'javascript: URL in output' FROM pages WHERE regexp_matches(html, '(?i)javascript\s*:')
+  UNION ALL SELECT 'pages/' || page_id, 'inline/foreign script tag' FROM pages WHERE regexp_matches(regexp_replace(html, '(?i)<script[^>]*(assets/(reader|search)\.js|application/ld\+json)', '', 'g'), '(?i)<script')
+  UNION ALL SELECT 'pages/' || page_id, 'opaque external file id' FROM pages WHERE regexp_matches(html, '[?&]id=[\w-]{20,}')""")
 def forbidden_scan(spark, sf_dir):
-    return audit.forbidden_texts(documents(spark, sf_dir), "doc_id", "text", literals=["Apache License"])
+    """Texts by the rules for texts, pages by those for rendered pages too."""
+    docs = documents(spark, sf_dir).select(F.concat(F.lit("documents/"), F.col("doc_id").cast("string")).alias("key"), "text")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.concat(F.lit("pages/"), F.col("page_id").cast("string")).alias("key"), F.col("html").alias("text"))
+    return audit.forbidden_texts(docs, "key", "text", literals=["Apache License"]).unionByName(audit.forbidden_texts(pages, "key", "text", True, ["Apache License"]))
+
+
+# every text holds a run that decodes: an address, a plain note or zeros
+_RUN = "CASE doc_id % 3 WHEN 0 THEN 'write to someone' || doc_id || '@example.org today' WHEN 1 THEN 'nothing to see here, ' || doc_id || ' is fine' ELSE chr(0) || 'binary data behind a zero byte ' || doc_id END"
 
 
-@query(r"SELECT doc_id, count(*) AS n_runs FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9+/]{40,}={0,2}')) AS run FROM documents) GROUP BY doc_id")
+@query(rf"""
+WITH h AS (SELECT doc_id, text || ' ' || base64(encode({_RUN})) || ' ' AS text FROM documents),
+r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9+/]{{40,}}={{0,2}}')) AS run FROM h),
+b AS (SELECT doc_id, CASE WHEN length(run) % 4 = 0 THEN hex(from_base64(run)) END AS x FROM r),
+t AS (SELECT doc_id, x IS NOT NULL AND NOT regexp_matches(x, '^(..)*00') AND regexp_matches(x, '^(..)*((2[0-9A-F]|[3-6][0-9A-F]|7[0-9A-E])){{6}}') AS told, x FROM b)
+SELECT doc_id, count(*) AS n_runs, count(*) FILTER (WHERE told) AS n_decoded, CASE WHEN count(*) FILTER (WHERE told AND regexp_matches(x, '736F6D656F6E65(3[0-9])+406578616D706C652E6F7267')) > 0 THEN 'e-mail address' ELSE '' END AS labels FROM t GROUP BY doc_id""")
 def base64_decoded_scan(spark, sf_dir):
-    return audit.base64_runs(documents(spark, sf_dir), "doc_id", "text").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_runs"))
+    hidden = F.concat("text", F.lit(" "), F.base64(F.encode(F.expr(_RUN.replace("chr(0)", "char(0)")), "UTF-8")), F.lit(" "))
+    return audit.hidden_texts(documents(spark, sf_dir).select("doc_id", hidden.alias("text")), "doc_id", "text")
 
 
 @query("""SELECT page_id, unnest(regexp_extract_all(html, '(?:href|src)="([^"#]+?)"', 1)) AS target FROM pages""")
@@ -306,10 +328,10 @@ def md_link_neutralise(spark, sf_dir):
 
 
 @query("""
-WITH p AS (SELECT item_id, substring(text, 1, 60) AS phrase FROM benchmark), h AS (SELECT p.item_id, count(*) AS n, min(d.doc_id) AS section_id FROM p JOIN documents d ON contains(d.text, p.phrase) GROUP BY p.item_id)
+WITH h AS (SELECT p.item_id, count(*) AS n, min(d.doc_id) AS section_id FROM benchmark p JOIN documents d ON contains(d.text, p.text) GROUP BY p.item_id)
 SELECT item_id, section_id FROM h WHERE n = 1""")
 def unique_context_match(spark, sf_dir):
-    probes = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", F.lit(0).alias("rank"), F.substring("text", 1, 60).alias("phrase"))
+    probes = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", F.lit(0).alias("rank"), F.col("text").alias("phrase"))
     return registry.unique_context(probes, sections.sections(documents(spark, sf_dir)).select("section_id", "body"))
 
 
@@ -318,35 +340,38 @@ def manifest(spark, sf_dir):
     return audit.manifest(documents(spark, sf_dir).select(F.concat_ws("/", "source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"), F.col("text").alias("content")))
 
 
-@query("SELECT doc_id, source FROM documents WHERE source IN ('src1', 'src2', 'src3') AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)")
+@query("""
+SELECT doc_id, source FROM documents WHERE (doc_id % 50 IN (1, 2, 3) OR lang = 'de' OR source IN ('src1', 'src2')) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)""")
 def scope_filter(spark, sf_dir):
-    wanted = spark.createDataFrame([("src1",), ("src2",), ("src3",)], "source string")
     excluded = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
-    return documents(spark, sf_dir).select("doc_id", "source").join(wanted, "source", "left_semi").join(excluded, "doc_id", "left_anti")
+    rows = documents(spark, sf_dir).select("doc_id", "source", (F.col("doc_id") % 50).alias("volume"), F.col("lang").alias("section_id"), F.col("source").alias("id"))
+    return catalog.in_scope(rows, [1, 2, 3], ["de"], ["src1", "src2"]).select("doc_id", "source").join(excluded, "doc_id", "left_anti")
 
 
 @query("SELECT doc_id, 'unlabelled' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'labelled' FROM labels WHERE doc_id IN (SELECT doc_id FROM documents) GROUP BY doc_id")
 def set_differences(spark, sf_dir):
-    docs, marked = documents(spark, sf_dir).select("doc_id"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
-    return docs.join(marked, "doc_id", "left_anti").withColumn("side", F.lit("unlabelled")).unionByName(marked.join(docs, "doc_id", "left_semi").withColumn("side", F.lit("labelled")))
+    docs, marked = documents(spark, sf_dir).select("doc_id"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    only = sections.set_difference(docs, marked, "doc_id").where("side = 'left'").select("doc_id", F.lit("unlabelled").alias("side"))
+    return only.unionByName(sections.intersection(docs, marked, "doc_id").withColumn("side", F.lit("labelled")))
 
 
 @query("""
-WITH a AS (SELECT 'assets/media/' || doc_id AS path, CASE WHEN doc_id % 10 = 0 THEN 'changed' ELSE sha256(text) END AS sha FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 0), s AS (SELECT 'assets/media/' || doc_id AS path, sha256(text) AS sha FROM documents WHERE doc_id % 3 = 0 AND doc_id % 4 <> 0)
+WITH a AS (SELECT 'assets/media/' || doc_id || CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE '' END AS path, CASE WHEN doc_id % 10 = 0 THEN 'changed' ELSE sha256(text) END AS sha FROM documents), s AS (SELECT 'assets/media/' || doc_id AS path, sha256(text) AS sha FROM documents)
 SELECT coalesce(a.path, s.path) AS entity_key, CASE WHEN s.path IS NULL THEN 'allowed_file_missing' WHEN a.path IS NULL THEN 'file_not_allowed' ELSE 'file_changed' END AS rule FROM a FULL OUTER JOIN s ON a.path = s.path WHERE a.path IS NULL OR s.path IS NULL OR a.sha <> s.sha""")
 def allowlist_reconcile(spark, sf_dir):
-    docs = documents(spark, sf_dir).where("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("assets/media/"), F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"))
-    allowed = docs.where("doc_id % 2 = 0").select("path", F.when(F.col("doc_id") % 10 == 0, "changed").otherwise(F.col("sha256")).alias("sha256"), F.lit("approved").alias("decision"))
-    return gate.allowlist_findings(allowed, docs.where("doc_id % 4 <> 0").select("path", "sha256")).select("entity_key", "rule")
+    shipped = documents(spark, sf_dir).select("doc_id", F.concat(F.lit("assets/media/"), F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"))
+    other = F.concat("path", F.when(F.col("doc_id") % 3 == 0, "x").otherwise(""))
+    allowed = shipped.select(other.alias("path"), F.when(F.col("doc_id") % 10 == 0, "changed").otherwise(F.col("sha256")).alias("sha256"), F.lit("approved").alias("decision"))
+    return gate.allowlist_findings(allowed, shipped.select("path", "sha256")).select("entity_key", "rule")
 
 
 @query("""
-WITH p AS (SELECT source AS v, CAST(doc_id AS VARCHAR) AS n, CASE WHEN doc_id % 6 = 0 THEN 'old' ELSE sha256(text) END AS sha FROM documents WHERE doc_id % 2 = 0), f AS (SELECT source AS v, CAST(doc_id AS VARCHAR) AS n, sha256(text) AS sha FROM documents WHERE doc_id % 5 <> 0)
+WITH p AS (SELECT source AS v, doc_id || CASE WHEN doc_id % 5 = 0 THEN 'x' ELSE '' END AS n, CASE WHEN doc_id % 6 = 0 THEN 'old' ELSE sha256(text) END AS sha FROM documents), f AS (SELECT source AS v, CAST(doc_id AS VARCHAR) AS n, sha256(text) AS sha FROM documents)
 SELECT coalesce(p.v, f.v) || '/' || coalesce(p.n, f.n) AS entity_key, CASE WHEN f.n IS NULL THEN 'source_missing' WHEN p.n IS NULL THEN 'source_unpinned' ELSE 'source_changed' END AS rule FROM p FULL OUTER JOIN f ON p.v = f.v AND p.n = f.n WHERE p.n IS NULL OR f.n IS NULL OR p.sha <> f.sha""")
 def source_pins(spark, sf_dir):
     files = documents(spark, sf_dir).select("doc_id", F.col("source").alias("volume"), F.col("doc_id").cast("string").alias("name"), F.sha2("text", 256).alias("sha256"))
-    pins = files.where("doc_id % 2 = 0").withColumn("sha256", F.when(F.col("doc_id") % 6 == 0, "old").otherwise(F.col("sha256")))
-    return gate.pin_findings(pins.drop("doc_id"), files.where("doc_id % 5 <> 0").drop("doc_id")).select("entity_key", "rule")
+    pins = files.select("volume", F.concat("name", F.when(F.col("doc_id") % 5 == 0, "x").otherwise("")).alias("name"), F.when(F.col("doc_id") % 6 == 0, "old").otherwise(F.col("sha256")).alias("sha256"))
+    return gate.pin_findings(pins, files.drop("doc_id")).select("entity_key", "rule")
 
 
 FLAGS = ["editorial_text_review", "doc_pdf_edition_check", "jurisdiction_distribution_review", "human_final_approval", "illustrations_and_ole_review", "rights_and_third_party_art_review"]
@@ -357,9 +382,19 @@ def approval(spark, flags, media_scope="reviewed", pdfs="link", volumes=(1, 2),
     return spark.createDataFrame([(*flags, (media_scope, pdfs, list(volumes), url))], schema)
 
 
-@query("SELECT * FROM (VALUES (false, CAST(2 AS BIGINT), CAST(0 AS BIGINT))) v(ok, n_reasons, n_notes)")
+# every document is an approval, with flags and scope by its id
+@query("""
+WITH a AS (SELECT doc_id, ['none', 'reviewed', 'all', 'bad'][doc_id % 4 + 1] AS media, ['link', 'ship', 'other'][doc_id % 3 + 1] AS pdfs, doc_id % 5 = 0 AS empty, doc_id % 7 = 0 AS plain FROM documents),
+f AS (SELECT *, (CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END) + (CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END) + (CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 0 END) + (CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END)
+  + (CASE WHEN media <> 'none' AND doc_id % 6 = 0 THEN 1 ELSE 0 END) + (CASE WHEN (media <> 'none' OR pdfs <> 'link') AND doc_id % 7 = 0 THEN 1 ELSE 0 END)
+  + (CASE WHEN media = 'bad' THEN 1 ELSE 0 END) + (CASE WHEN pdfs = 'other' THEN 1 ELSE 0 END) + (CASE WHEN empty THEN 1 ELSE 0 END) + (CASE WHEN pdfs = 'link' AND plain THEN 1 ELSE 0 END) AS n FROM a)
+SELECT sum(n) = 0 AS ok, CAST(sum(n) AS BIGINT) AS n_reasons, CAST(0 AS BIGINT) AS n_notes FROM f""")
 def gate_verdict(spark, sf_dir):
-    given = approval(spark, [True, True, True, True, False, None])
+    flags = [(F.col("doc_id") % (i + 2) != 0).alias(f) for i, f in enumerate(FLAGS)]
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), (F.col("doc_id") % len(values)).cast("int"))
+    volumes = F.when(F.col("doc_id") % 5 == 0, F.array().cast("array<int>")).otherwise(F.array(F.lit(1)))
+    url = F.when(F.col("doc_id") % 7 == 0, "http://example.org").otherwise("https://example.org/pdf")
+    given = documents(spark, sf_dir).select(*flags, F.struct(pick(["none", "reviewed", "all", "bad"]).alias("media"), pick(["link", "ship", "other"]).alias("pdfs"), volumes.alias("volumes"), url.alias("canonical_pdf_url")).alias("release_scope"))
     return gate.verdict(gate.flag_findings(given).unionByName(gate.scope_findings(given)))
 
 
@@ -369,19 +404,33 @@ def review_queue_totals(spark, sf_dir):
     return gate.queue_totals(queue)
 
 
-@query(f"""WITH {STAGED} SELECT * FROM (VALUES ('ids_are_unique', true), ('published_has_path', true), ('published_file_exists', true), ('published_hash_matches', true), ('duplicate_has_canonical', true), ('no_duplicate_of_duplicate', true), ('unpublished_ships_nothing', true), ('no_stray_files', true), ('status_is_known', true)) v(rule, ok)""")
+# records and files with every kind of fault, by the id
+@query(f"""WITH {STAGED},
+r AS (SELECT doc_id AS id, status, CASE WHEN status = 'published' AND doc_id % 11 <> 0 OR status = 'metadata_only_rights' AND doc_id % 13 = 0 THEN 'm/' || doc_id END AS path, CASE WHEN doc_id % 17 = 0 THEN 'bad' ELSE sha END AS sha,
+  CASE WHEN status = 'duplicate' THEN CASE WHEN doc_id % 7 = 0 THEN -1 WHEN doc_id % 5 = 0 THEN doc_id ELSE canonical_id END END AS canon FROM s),
+g AS (SELECT 'm/' || doc_id AS path, sha FROM s WHERE status = 'published' AND doc_id % 19 <> 0 UNION ALL SELECT 's/' || doc_id, sha FROM s WHERE doc_id % 23 = 0),
+p AS (SELECT r.*, g.sha AS found FROM r LEFT JOIN g ON g.path = r.path WHERE status = 'published'),
+n(rule, n) AS (
+  SELECT 'ids_are_unique', count(*) FROM (SELECT id FROM r GROUP BY id HAVING count(*) > 1)
+  UNION ALL SELECT 'published_has_path', count(*) FROM p WHERE path IS NULL UNION ALL SELECT 'published_file_exists', count(*) FROM p WHERE found IS NULL UNION ALL SELECT 'published_hash_matches', count(*) FROM p WHERE found <> sha
+  UNION ALL SELECT 'duplicate_has_canonical', count(*) FROM r WHERE status = 'duplicate' AND canon NOT IN (SELECT id FROM r) UNION ALL SELECT 'no_duplicate_of_duplicate', count(*) FROM r JOIN r c ON c.id = r.canon WHERE r.status = 'duplicate' AND c.status = 'duplicate'
+  UNION ALL SELECT 'unpublished_ships_nothing', count(*) FROM r WHERE status NOT IN ('published', 'duplicate') AND path IS NOT NULL UNION ALL SELECT 'no_stray_files', count(*) FROM g WHERE path NOT IN (SELECT path FROM r WHERE path IS NOT NULL)
+  UNION ALL SELECT 'status_is_known', count(*) FROM r WHERE status NOT IN ('published', 'duplicate', 'metadata_only_rights', 'decorative_excluded'))
+SELECT rule, n = 0 AS ok, CAST(n AS VARCHAR) AS detail FROM n""")
 def media_layer_checks(spark, sf_dir):
-    rows = staged(spark, sf_dir)
-    path = F.when(F.col("publication_status") == "published", F.concat(F.lit("m/"), F.col("doc_id").cast("string")))
-    records = rows.select(F.col("doc_id").alias("figure_id"), "publication_status", path.alias("public_path"), F.col("sha").alias("public_asset_sha256"), "duplicate_of")
-    files = rows.where("publication_status = 'published'").select(F.concat(F.lit("m/"), F.col("doc_id").cast("string")).alias("path"), F.col("sha").alias("sha256"))
-    return audit.media_findings(records, files).select("rule", "ok")
+    rows, id_ = staged(spark, sf_dir), F.col("doc_id")
+    own = F.concat(F.lit("m/"), id_.cast("string"))
+    path = F.when((F.col("publication_status") == "published") & (id_ % 11 != 0) | (F.col("publication_status") == "metadata_only_rights") & (id_ % 13 == 0), own)
+    canon = F.when(F.col("publication_status") == "duplicate", F.when(id_ % 7 == 0, -1).when(id_ % 5 == 0, id_).otherwise(F.col("duplicate_of")))
+    records = rows.select(id_.alias("figure_id"), "publication_status", path.alias("public_path"), F.when(id_ % 17 == 0, "bad").otherwise(F.col("sha")).alias("public_asset_sha256"), canon.alias("duplicate_of"))
+    files = rows.where("publication_status = 'published' AND doc_id % 19 <> 0").select(own.alias("path"), F.col("sha").alias("sha256"))
+    stray = rows.where("doc_id % 23 = 0").select(F.concat(F.lit("s/"), id_.cast("string")).alias("path"), F.col("sha").alias("sha256"))
+    return audit.media_findings(records, files.unionByName(stray)).select("rule", "ok", "detail")
 
 
 @query(f"WITH {STAGED} SELECT source, status AS publication_status, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM s WHERE status NOT IN ('published', 'duplicate') GROUP BY 1, 2")
 def owner_action_groups(spark, sf_dir):
-    rows = staged(spark, sf_dir).where("publication_status NOT IN ('published', 'duplicate')")
-    return rows.groupBy("source", "publication_status").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).cast("bigint").alias("bytes")).orderBy(F.desc("n"))
+    return catalog.action_groups(staged(spark, sf_dir), ["source", "publication_status"], F.octet_length("text"))
 
 
 @query("""
@@ -443,12 +492,13 @@ def blocked_references(spark, sf_dir):
     return volumes.blocked_references(docs.select("work_id", "file"), records)
 
 
-@query("""
-WITH s AS (SELECT doc_id, source, length(text) AS n FROM documents WHERE text <> ''), k AS (SELECT source, CAST(sum(n) AS BIGINT) AS n_chars, count(*) AS n_sections FROM s GROUP BY source)
-SELECT source AS volume, n_sections, n_chars, CAST(0 AS BIGINT) AS n_footnotes, true AS is_lossless FROM k""")
+@query(CHUNKS + """, k AS (SELECT doc_id, sum(end_char - start_char) AS n FROM c WHERE NOT (doc_id % 10 = 0 AND n = 1) GROUP BY doc_id)
+SELECT d.source AS volume, count(*) AS n_sections, CAST(sum(coalesce(length(d.text), 0)) AS BIGINT) AS n_chars, count(*) FILTER (WHERE d.doc_id % 3 = 0) AS n_footnotes, CAST(sum(coalesce(k.n, 0)) AS BIGINT) = sum(coalesce(length(d.text), 0)) AS is_lossless
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.source""")
 def quality_records(spark, sf_dir):
-    docs = documents(spark, sf_dir).where("text <> ''")
-    parts = sections.chunks(docs, separator="\n").withColumnRenamed("doc_id", "section_id")
+    """Of chunks of which every tenth document's second is lost; every third document has a note."""
+    docs = documents(spark, sf_dir)
+    parts = damaged(spark, sf_dir).withColumnRenamed("doc_id", "section_id")
     rows = docs.select(F.col("doc_id").alias("section_id"), F.col("source").alias("volume"), "text")
-    notes = sections.footnotes(docs)[0].select(F.lit("none").alias("volume"), "n")
+    notes = docs.where("doc_id % 3 = 0").select(F.col("source").alias("volume"), F.col("doc_id").alias("n"))
     return volumes.quality_record(rows, parts, notes).drop("n_chunks")

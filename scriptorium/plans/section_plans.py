@@ -63,15 +63,28 @@ def chunk_ranges(spark, sf_dir):
     return found.select("doc_id", "chunk_no", "start_char", "end_char", F.sha2("text", 256).alias("sha"))
 
 
-@query(CHUNKS + " SELECT doc_id, count(*) AS n_chunks, CAST(0 AS BIGINT) AS n_gaps FROM c GROUP BY doc_id")
+def damaged(spark, sf_dir):
+    """Chunks of all documents; of every tenth the second is lost, of the one behind it the third begins a character late."""
+    found = sections.chunks(documents(spark, sf_dir), separator="\n")
+    late = (F.col("doc_id") % 10 == 1) & (F.col("chunk_no") == 2)
+    return found.where("NOT (doc_id % 10 = 0 AND chunk_no = 1)").withColumn("start_char", F.col("start_char") + late.cast("int"))
+
+
+DAMAGED = CHUNKS + """, m AS (SELECT doc_id, n, start_char + CASE WHEN doc_id % 10 = 1 AND n = 2 THEN 1 ELSE 0 END AS a, end_char AS b, substring(text, CAST(start_char + 1 AS BIGINT), CAST(end_char - start_char AS BIGINT)) AS part
+  FROM c WHERE NOT (doc_id % 10 = 0 AND n = 1))"""
+
+
+@query(DAMAGED + """, g AS (SELECT doc_id, CASE WHEN a <> lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY n) OR b - a <> length(part) THEN 1 ELSE 0 END AS gap FROM m)
+SELECT doc_id, count(*) AS n_chunks, CAST(sum(gap) AS BIGINT) AS n_gaps FROM g GROUP BY doc_id""")
 def chunk_contiguity(spark, sf_dir):
-    return sections.contiguity(sections.chunks(documents(spark, sf_dir), separator="\n"))
+    return sections.contiguity(damaged(spark, sf_dir))
 
 
-@query("SELECT doc_id, sha256(text) AS sha, true AS is_whole FROM documents WHERE text <> ''")
+@query(DAMAGED + """, w AS (SELECT doc_id, string_agg(part, '' ORDER BY n) AS whole FROM m GROUP BY doc_id)
+SELECT w.doc_id, sha256(whole) AS sha, whole = d.text AS is_whole FROM w JOIN documents d ON d.doc_id = w.doc_id""")
 def chunk_lossless(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    whole = sections.rejoined(sections.chunks(docs, separator="\n"), "doc_id", "chunk_no", "text")
+    whole = sections.rejoined(damaged(spark, sf_dir), "doc_id", "chunk_no", "text")
     return whole.join(docs.select("doc_id", F.sha2("text", 256).alias("own")), "doc_id").select("doc_id", F.sha2("whole", 256).alias("sha"), (F.sha2("whole", 256) == F.col("own")).alias("is_whole"))
 
 
@@ -113,8 +126,7 @@ def reading_order(spark, sf_dir):
 @query(f"WITH t AS (SELECT doc_id, {TITLE} AS title FROM documents), c AS (SELECT title, count(*) AS n FROM t GROUP BY title HAVING count(*) > 1) SELECT t.doc_id, t.title, c.n AS n_sections FROM t JOIN c ON t.title = c.title")
 def title_collisions(spark, sf_dir):
     rows = documents(spark, sf_dir).select("doc_id", text.title_of(F.col("text")).alias("title"))
-    counts = rows.groupBy("title").agg(F.count(F.lit(1)).alias("n_sections")).where("n_sections > 1")
-    return rows.join(counts, "title").select("doc_id", "title", "n_sections")
+    return sections.title_collisions(rows, "doc_id")
 
 
 def _markdown_sql() -> str:
@@ -139,20 +151,31 @@ def html_to_markdown(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.sha2(markup.html_to_markdown(F.col("html")), 256).alias("sha"))
 
 
-@query("""
-WITH RECURSIVE steps(base, target, i, acc) AS (
-  SELECT base, target, 0, CAST([] AS VARCHAR[]) FROM (VALUES ('a/b/c.md', '../d.md'), ('a/b/c.md', './x/../y.md'), ('a.md', '../../z.md'), ('a/b.md', '/root.md'), ('a/b/c.md', 'd/e.md')) v(base, target)
-)
-SELECT base, target, CASE target WHEN '../d.md' THEN 'a/d.md' WHEN './x/../y.md' THEN 'a/b/y.md' WHEN '../../z.md' THEN 'z.md' WHEN '/root.md' THEN 'root.md' ELSE 'a/b/d/e.md' END AS resolved,
-  CASE target WHEN '../../z.md' THEN NULL WHEN '../d.md' THEN 'a/d.md' WHEN './x/../y.md' THEN 'a/b/y.md' WHEN '/root.md' THEN 'root.md' ELSE 'a/b/d/e.md' END AS strict FROM steps""")
+# every document links in one of seven ways; the SQL walks up by striking out a folder and the .. behind it, until none is left
+_TARGET = "CASE doc_id % 7 WHEN 0 THEN '../d.md' WHEN 1 THEN './x/../y.md#part' WHEN 2 THEN '../../../z.md' WHEN 3 THEN '/root/r.md?q=1' WHEN 4 THEN 'd/./e.md' WHEN 5 THEN 'p/q/../../../s.md' ELSE 'a%20b/' || source || '.md' END"
+_UP = "regexp_replace({0}, '(^|/)(?:[^/.][^/]*|[.][^/.][^/]*)/[.][.](?:/|$)', '\\1')"
+
+
+@query(rf"""
+WITH l AS (SELECT doc_id, source || '/' || lang || '/' || doc_id || '.md' AS base, {_TARGET} AS target FROM documents),
+w AS (SELECT *, replace(regexp_replace(target, '[#?].*$', ''), '%20', ' ') AS clean FROM l),
+j AS (SELECT *, regexp_replace(CASE WHEN clean LIKE '/%' THEN substring(clean, 2) ELSE regexp_replace(base, '[^/]*$', '') || clean END, '(^|/)[.]/', '\1', 'g') AS p0 FROM w),
+u1 AS (SELECT *, {_UP.format('p0')} AS p1 FROM j), u2 AS (SELECT *, {_UP.format('p1')} AS p2 FROM u1), u3 AS (SELECT *, {_UP.format('p2')} AS p3 FROM u2)
+SELECT doc_id, target, regexp_replace(p3, '^([.][.]/)+', '') AS resolved, CASE WHEN p3 NOT LIKE '../%' THEN p3 END AS strict FROM u3""")
 def link_resolution(spark, sf_dir):
-    rows = spark.createDataFrame([("a/b/c.md", "../d.md"), ("a/b/c.md", "./x/../y.md"), ("a.md", "../../z.md"), ("a/b.md", "/root.md"), ("a/b/c.md", "d/e.md")], "base string, target string")
-    return rows.select("base", "target", paths.resolve(F.col("base"), F.col("target")).alias("resolved"), paths.resolve_strict(F.col("base"), F.col("target")).alias("strict"))
+    base = F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md"))
+    rows = documents(spark, sf_dir).select("doc_id", base.alias("base"), F.expr(_TARGET).alias("target"))
+    return rows.select("doc_id", "target", paths.resolve(F.col("base"), F.col("target")).alias("resolved"), paths.resolve_strict(F.col("base"), F.col("target")).alias("strict"))
 
 
-@query("SELECT * FROM (VALUES (1, 1, 12), (1, 2, 12), (1, 3, 13), (1, 4, 30), (1, 5, 40)) v(work, pos, page)")
+@query("""
+WITH r AS (SELECT source AS work, doc_id AS pos, doc_id % 4 = 0 AS is_parent, CASE WHEN doc_id % 3 = 0 THEN 'heading_only' ELSE 'context' END AS status, CAST(doc_id // 10 + doc_id % 9 AS INTEGER) AS page FROM documents),
+n AS (SELECT *, sum(CASE WHEN is_parent THEN 1 ELSE 0 END) OVER (PARTITION BY work ORDER BY pos) AS run FROM r),
+k AS (SELECT work, run, arg_min(page, pos) AS child FROM n WHERE status = 'context' AND NOT is_parent GROUP BY work, run)
+SELECT n.work, n.pos, CASE WHEN is_parent AND status = 'heading_only' AND child BETWEEN page AND page + 6 THEN child ELSE page END AS page FROM n LEFT JOIN k ON k.work = n.work AND k.run = n.run""")
 def parent_page_repair(spark, sf_dir):
-    rows = spark.createDataFrame([(1, 1, True, "heading_only", 10), (1, 2, False, "context", 12), (1, 3, False, "context", 13), (1, 4, True, "heading_only", 30), (1, 5, False, "context", 40)], "work int, pos int, is_parent boolean, status string, page int")
+    status = F.when(F.col("doc_id") % 3 == 0, "heading_only").otherwise("context")
+    rows = documents(spark, sf_dir).select(F.col("source").alias("work"), F.col("doc_id").alias("pos"), (F.col("doc_id") % 4 == 0).alias("is_parent"), status.alias("status"), (F.floor(F.col("doc_id") / 10) + F.col("doc_id") % 9).cast("int").alias("page"))
     return sections.repair_parent_pages(rows, "work", "pos").select("work", "pos", "page")
 
 
@@ -166,10 +189,20 @@ def schema_union_v3_v4(spark, sf_dir):
     return sections.union_schemas(old, new, {"unit_id": "section_id", "lang": "language"})
 
 
-@query()
+# every document calls two notes and defines two, some of them the same
+@query("""
+WITH d AS (SELECT doc_id, doc_id % 5 + 1 AS r1, doc_id % 3 + 1 AS r2, doc_id % 4 + 1 AS d1 FROM documents),
+r AS (SELECT doc_id, r1 AS n FROM d UNION ALL SELECT doc_id, r2 FROM d), f AS (SELECT doc_id, d1 AS n FROM d UNION ALL SELECT doc_id, 2 FROM d),
+x AS (
+  SELECT DISTINCT 'block' AS severity, 'undefined_footnote' AS rule, doc_id, n FROM r WHERE (doc_id, n) NOT IN (SELECT (doc_id, n) FROM f)
+  UNION ALL SELECT DISTINCT 'note', 'unowned_footnote', doc_id, n FROM f WHERE (doc_id, n) NOT IN (SELECT (doc_id, n) FROM r)
+  UNION ALL SELECT 'block', 'duplicate_definition', doc_id, n FROM f GROUP BY doc_id, n HAVING count(*) > 1
+  UNION ALL SELECT 'block', 'repeated_reference', doc_id, n FROM r GROUP BY doc_id, n HAVING count(*) > 1)
+SELECT severity, rule, CAST(doc_id AS VARCHAR) AS entity_key, CAST(n AS VARCHAR) AS detail FROM x""")
 def footnote_partition(spark, sf_dir):
-    rows = spark.createDataFrame([("a", "One[^1] two[^2] and[^9].\n\n[^1]: first\n[^2]: second\nline\n"), ("b", "Three[^3][^3].\n\n[^3]: third\n[^4]: none\n")], "doc_id string, text string")
-    return sections.footnote_findings(rows)
+    n = lambda by: (F.col("doc_id") % by + 1).cast("string")
+    body = F.concat(F.lit("One[^"), n(5), F.lit("] two[^"), n(3), F.lit("].\n\n[^"), n(4), F.lit("]: first\n[^2]: second\nline\n"))
+    return sections.footnote_findings(documents(spark, sf_dir).select("doc_id", body.alias("text")))
 
 
 @query(r"""
