@@ -1,17 +1,20 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
 Candidates are cut into tiles, each with one list of its rows sorted by value for every component. A query reads
-each list from the end that suits its component's sign, in slabs of doubling depth. What was read adds to a
-row's score; the last value read bounds what a row may still get from a list, the list's far end what it gets at
-least. When the k best lower bounds exceed the upper bounds of all but few rows, nothing outside can qualify and
-the scores of those few are resolved exactly. Tiles return their k best, and the best of those are the answer.
+each list from the end that suits its component's sign, in slabs. What was read adds to a row's score; the last
+value read bounds what a row may still get from a list, the list's far end what it gets at least. When the k-th best lower
+bound exceeds the upper bounds of all but FINAL times k rows, no outsider can qualify, and the scores of those few are
+resolved in whole numbers. Until then reading goes on, to the lists' ends if need be, where bounds are the scores.
+Tiles return their k best, and the best of those are the answer.
 
-Queries meet candidates in blocks: every block of queries goes to every tile, packed as one value.
+All queries of a block read the lists to the same depth: their bounds are products of the block with the values read, the
+frontiers and the far ends. Every tile meets GROUP blocks of queries in a task, streamed one after the other.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no part, nor do rows without id;
 vectors of other lengths than the query's are no candidates of it; a query's own id is no candidate;
-ties go to the smaller id; repeated rows are candidates each, and a repeated query is answered once; an empty
-table gives an empty result; further columns are ignored.
+ties go to the smaller id; repeated rows are candidates each, and a repeated query is answered once, for the least of its
+vectors; scores are exact, and one beyond 64 bits raises OverflowError; an empty table gives an empty result; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -23,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
+
 K = 5
 SCALE = 256
 EVERY = 50
-#: Rows of a tile of candidates and of a block of queries.
-TILE, BLOCK = 8192, 256
-#: Reading stops when one row in RESOLVE may still qualify; lists are read first to one row in FIRST, then twice as far.
-RESOLVE, FIRST = 2, 8
+#: Rows of a tile of candidates and of a block of queries; blocks that a task brings to a tile.
+TILE, BLOCK, GROUP = 8192, 256, 4
+#: Reading stops when FINAL times k rows may still qualify. Lists are read to one row in FIRST, twice as far up to half, then by half of what is left.
+FINAL, FIRST = 4, 8
 
 
 def quantised(rows: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -49,66 +54,95 @@ def _packed(rows: DataFrame, per: int, name: str) -> DataFrame:
 
 
 class Tile:
-    """Candidates with their sorted lists."""
+    """Candidates with their sorted lists. resolved: rows whose scores were resolved after reading had stopped; read: parts of the lists read, by query."""
 
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         by = np.argsort(ids, kind="stable")
         self.ids, self.v = ids[by], v[by]
-        self.exact = self.v.astype(np.float64)
-        self.order = np.argsort(self.v, axis=0, kind="stable").T.copy()  # a list of rows for each component
-        self.sorted = np.take_along_axis(self.v, self.order.T, 0).T.astype(np.float64)
+        self.values = self.v.astype(np.float64)
+        order = np.argsort(self.v, axis=0, kind="stable")  # a list of rows for each component, from the least value
+        self.sorted = np.take_along_axis(self.values, order, 0)
+        self.place = np.empty(order.shape, np.int32)
+        np.put_along_axis(self.place, order, np.arange(len(v), dtype=np.int32)[:, None], 0)
+        self.most = np.abs(self.sorted[[0, -1]]).max(0)
+        self.resolved, self.read = 0, []
+
+    def _depths(self) -> Iterator[int]:
+        n, at = len(self.ids), 0
+        while at < n:
+            left = n - at
+            at = max(1, n // FIRST) if at == 0 else 2 * at if 2 * at <= n // 2 else n if left <= max(1, n // 64) else at + (left + 1) // 2
+            yield min(n, at)
+
+    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of all rows' scores (a column for each query, given as its positive and negative parts) at a depth."""
+        n = len(self.ids)
+        seen_up, seen_down = self.place >= n - depth, self.place < depth
+        upper = np.where(seen_up, self.values, self.sorted[n - depth]) @ up + np.where(seen_down, self.values, self.sorted[depth - 1]) @ down
+        lower = np.where(seen_up, self.values, self.sorted[0]) @ up + np.where(seen_down, self.values, self.sorted[-1]) @ down
+        return lower, upper
 
     def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and scores of the k highest, ties to smaller ids; all arithmetic is exact below 2**53."""
-        n, dims = self.v.shape
-        own = np.nonzero(self.ids == query_id)[0]
-        up, weight = q > 0, q.astype(np.float64)
-        least = weight * np.where(up, self.sorted[:, 0], self.sorted[:, -1])  # each list's far end
-        partial, seen = np.zeros(n), np.zeros((n, dims), np.float32)
-        live, done, column = np.arange(n), 0, np.arange(dims)[:, None]
-        while len(live) > max(4 * k, n // RESOLVE) and done < n:
-            to = min(n, max(n // FIRST, 2 * done, 1))
-            rows, values = np.empty((dims, to - done), np.int64), np.empty((dims, to - done))
-            rows[up], rows[~up] = self.order[up, n - to : n - done], self.order[~up, done:to]
-            values[up], values[~up] = self.sorted[up, n - to : n - done], self.sorted[~up, done:to]
-            partial += np.bincount(rows.ravel(), (values * weight[:, None]).ravel(), n)
-            seen[rows, column] = 1
-            done = to
-            frontier = weight * np.where(up, self.sorted[:, n - to], self.sorted[:, to - 1])
-            if len(live) <= k:
-                continue
-            unread = (seen[live] if len(live) < n else seen) @ np.stack([least, frontier], 1).astype(np.float32)
-            lower = partial[live] + least.sum() - unread[:, 0]
-            upper = partial[live] + frontier.sum() - unread[:, 1]
-            lower[np.isin(live, own)] = -np.inf
-            slack = 1e-5 * (np.abs(least).sum() + np.abs(frontier).sum()) + 1  # of single precision
-            live = live[upper >= np.partition(lower, -k)[-k] - slack]
-        live = live[~np.isin(live, own)]
-        exact = (self.exact[live] @ weight).astype(np.int64)
-        first = np.lexsort((self.ids[live], -exact))[:k]
-        return self.ids[live][first], exact[first]
+        """ids and scores of the k highest of one query."""
+        return self.best_of(np.array([query_id]), q[None, :], k)[0]
+
+    def best_of(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of the k highest, ties to smaller ids."""
+        n, found = len(self.ids), [None] * len(query_ids)
+        weights = queries.T.astype(np.float64)
+        slack = 2.0**-40 * (np.abs(weights) * self.most[:, None]).sum(0)  # of sums of rounded products
+        todo = np.arange(len(query_ids))
+        for depth in self._depths():
+            lower, upper = self.bounds(np.maximum(weights[:, todo], 0), np.minimum(weights[:, todo], 0), depth)
+            own = self.ids[:, None] == query_ids[todo][None, :]
+            lower[own] = upper[own] = -np.inf
+            least = np.partition(lower, n - k, axis=0)[n - k] if n >= k else np.full(len(todo), -np.inf)
+            live = (upper >= least - slack[todo]) & ~own
+            ended = live.sum(0) <= FINAL * k if depth < n else np.ones(len(todo), bool)
+            for i in np.flatnonzero(ended):
+                found[todo[i]] = self._resolved(np.flatnonzero(live[:, i]), queries[todo[i]], k)
+                self.read.append(depth / n)
+            todo = todo[~ended]
+            if not len(todo):
+                break
+        return found
+
+    def _resolved(self, rows: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        self.resolved += len(rows)
+        if float(np.abs(q.astype(np.float64)) @ self.most) < 2.0**62:
+            scores = self.v[rows] @ q
+        else:  # whole numbers of any size
+            every = [sum(a * b for a, b in zip(row, q.tolist())) for row in self.v[rows].tolist()]
+            if any(not -(2**63) <= s < 2**63 for s in every):
+                raise OverflowError("a score is beyond 64 bits")
+            scores = np.array(every, np.int64)
+        first = np.lexsort((self.ids[rows], ~scores))[:k]  # ~x falls as x rises, for the least number as well
+        return self.ids[rows][first], scores[first]
 
 
 def search(candidates: DataFrame, queries: DataFrame, k: int = K, tile: int = TILE, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best; both inputs as quantised() gives them."""
-    right = _packed(candidates, tile, "tile")
-    tiles = right.groupBy("dim").agg(F.max("tile").alias("last"))
-    left = _packed(queries.dropDuplicates(["vec_id"]), block, "block")
-    left = left.join(tiles, "dim").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
+    once = queries.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", "v", F.size("v").alias("dim"))
+    right = common.cut(_packed(candidates, tile, "tile"), "tiles")
+    left = common.cut(_packed(once, block, "block"), "blocks")
+    met = ["dim", "tile", "part"]
+    last = right.groupBy("dim").agg(F.max("tile").alias("last"))
+    blocks = left.join(last, "dim").select("dim", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("tile"), F.floor(F.col("block") / GROUP).cast("int").alias("part"), F.lit(1).alias("kind"), F.col("block_ids").alias("ids"), F.col("block_v").alias("v"))
+    parts = left.groupBy("dim").agg(F.floor(F.max("block") / GROUP).cast("int").alias("last"))
+    tiles = right.join(parts, "dim").select("dim", "tile", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("part"), F.lit(0).alias("kind"), F.col("tile_ids").alias("ids"), F.col("tile_v").alias("v"))
+    rows = tiles.unionByName(blocks).repartition(common.partitions(candidates.sparkSession), *met).sortWithinPartitions(*met, "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, None
+        held = None
         for batch in batches:
-            for dim, number, ids, v, q_ids, q_v in zip(*[batch.column(c) for c in ("dim", "tile", "tile_ids", "tile_v", "block_ids", "block_v")]):
-                if at != (dim.as_py(), number.as_py()):
-                    at, held = (dim.as_py(), number.as_py()), Tile(np.asarray(ids.values), np.asarray(v.values).reshape(-1, dim.as_py()))
-                out = []
-                for query_id, q in zip(np.asarray(q_ids.values), np.asarray(q_v.values).reshape(-1, at[0])):
-                    found, scores = held.best(query_id, q, k)
-                    out.append((np.full(len(found), query_id), found, scores))
+            for dim, kind, ids, v in zip(*[batch.column(c) for c in ("dim", "kind", "ids", "v")]):
+                ids, v = np.asarray(ids.values), np.asarray(v.values).reshape(-1, dim.as_py())
+                if kind.as_py() == 0:
+                    held = Tile(ids, v)
+                    continue
+                out = [(np.full(len(found), query_id), found, scores) for query_id, (found, scores) in zip(ids, held.best_of(ids, v, k))]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "vec_id", "score"])
 
-    met = left.join(right, ["dim", "tile"]).select("dim", "tile", "tile_ids", "tile_v", "block_ids", "block_v")
-    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    found = rows.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -37,3 +37,34 @@ def test_bounds_cut_off_most_rows():
         every = v @ v[i]
         every[i] = -(2**40)
         assert list(ids) == list(np.lexsort((np.arange(4000), -every))[:5]) and list(scores) == list(every[ids])
+
+
+def test_reading_ends_when_few_can_qualify():
+    rng = np.random.default_rng(6)
+    v = np.floor(256 * rng.normal(size=(4000, 6)) ** 3).astype(np.int64)
+    t = topk.Tile(np.arange(4000), v)
+    found = t.best_of(np.arange(40), v[:40], 5)
+    assert all(len(ids) == 5 for ids, _ in found) and len(t.read) == 40
+    assert t.resolved <= 40 * topk.FINAL * 5  # never a large part of the tile
+    assert min(t.read) < 1  # and some before the lists' ends
+
+
+def test_large_whole_numbers_are_exact():
+    big = 2**30 + 1
+    t = topk.Tile(np.arange(3), np.array([[big, 0], [big - 1, 1], [-big, 5]]))
+    ids, scores = t.best(9, np.array([big, 1]), 2)
+    assert list(ids) == [0, 1] and list(scores) == [big * big, (big - 1) * big + 1]
+    wide = topk.Tile(np.arange(2), np.array([[2**40, 2**40 - 1], [2**40, -(2**40)]]))
+    ids, scores = wide.best(9, np.array([2**22, 2**22]), 2)
+    assert list(ids) == [0, 1] and list(scores) == [2**63 - 2**22, 0]
+    with pytest.raises(OverflowError):
+        wide.best(9, np.array([2**40, 2**40]), 1)
+
+
+def test_repeated_ids_ask_with_the_least_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [-1.0, 0.0]), (1, [2.0, 0.0]), (2, [-2.0, 0.0]), (0, [1.0, 0.0])]
+    for part in (1, 3):
+        df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id bigint, embedding array<float>").repartition(part)
+        q = topk.quantised(df)
+        got = sorted((r.query_id, r["rank"], r.vec_id) for r in topk.search(q, q.where("vec_id = 0"), 5).collect())
+        assert got == [(0, 1, 2), (0, 2, 1)]
