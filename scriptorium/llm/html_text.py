@@ -6,7 +6,8 @@ whose further text is of the article too, names a path,
 the generalised tags and classes from the root down to it. Hosts vote: the paths of a host's pages are counted
 with their scores, the winner becomes the host's path, and each page is extracted again at that path; a page that lacks
 it uses its own best container. Inside the container, elements that hold menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or reader comments are left out.
+notices, adverts, forms, scripts, styles or reader comments are left out; of a header inside an article the headings stay, and
+paragraphs and the like inside an article go by their class only if it names adverts, comments and such outright (OUTRIGHT).
 
 Votes are counts by host and path, summed before the shuffle, so a hot host is a few rows; a page's container scores
 stay in its task.
@@ -34,11 +35,14 @@ DEEPEST = 64
 
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object canvas".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
 DROPPED = frozenset("nav header footer aside form button menu dialog head option".split())
 IN_HEAD = RAW | {"base", "link", "meta", "basefont", "bgsound", "noframes"}
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article main section div td body html".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a class or id marks inside an article or main only if it says so outright: not by words like side or legal.
+PROSE = HEADINGS | frozenset("p pre blockquote li dd dt figcaption caption span em strong b i u a code".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 ENDS_OPTION = CLOSES_P | {"option", "optgroup"}
 # Words in class or id that mark what is no part of the article.
@@ -47,23 +51,28 @@ _BOILERPLATE = re.compile(
     r"share|sharing|social|cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscri\w*|signup|login|search|form|comments?|disqus|replies|reply|pagination|pager|tags|copyright|legal|skip)(?:$|[\s_-])",
     re.I,
 )
+_OUTRIGHT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|newsletter|subscri\w*|share|sharing|social|comments?|disqus|breadcrumbs?|pagination|pager)(?:$|[\s_-])", re.I)
 #: Class names that tell how a page is laid out, not what an element is: has-sidebar, no-header.
 _LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|have|no|not|is|with|without|layout|hide|show)[_-]\S*", re.I)
 #: A marked element that holds at least this part of a page's words is a wrapper of the page, and its mark does not count.
 WRAPS = 0.8
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"([^\s\"'=/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# attributes as HTML reads them: a quote opens a value only behind an equals sign
+_ATTRIBUTES = r"(?:\s|/|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|[^<]+|<", re.S)
+_ATTRIBUTE = re.compile(r"(=?[^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "score", "link", "seen", "hard", "marks")
+    __slots__ = ("tag", "path", "out", "score", "link", "seen", "hard", "marks", "article", "heads")
 
     def __init__(self, tag: str, path: str, out: bool, link: bool, seen: int = 0):
         self.tag, self.path, self.out, self.link, self.score, self.seen = tag, path, out, link, 0.0, seen
         self.hard, self.marks = out, ()
+        #: Whether it lies in an article or main, and in a header there, of which only headings are text.
+        self.article = self.heads = False
 
 
 def _generalised(tag: str, names: str) -> str:
@@ -75,7 +84,8 @@ def _generalised(tag: str, names: str) -> str:
 def _opened(tag: str, attributes: str, parent: Element, place: int, wrappers: frozenset[int]) -> Element:
     """The element at place of its page; class and id do not mark those at wrappers."""
     names = marks = ""
-    out, marked = parent.hard or tag in DROPPED, parent.marks
+    heads = parent.heads and tag not in HEADINGS or tag == "header" and parent.article
+    out, marked = parent.hard or tag in DROPPED and not heads, parent.marks
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -87,13 +97,16 @@ def _opened(tag: str, attributes: str, parent: Element, place: int, wrappers: fr
                 out = out or value.lower() in _ROLES
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 out = True
-    if marks and tag not in ("body", "html", "article", "main") and place not in wrappers and _BOILERPLATE.search(_LAYOUT.sub("", marks)):
-        marked = (*marked, place)
+    if marks and tag not in ("body", "html", "article", "main") and place not in wrappers:
+        telling = _OUTRIGHT if parent.article and (tag in PROSE or tag == "header") else _BOILERPLATE
+        if telling.search(_LAYOUT.sub("", marks)):
+            marked = (*marked, place)
     path = parent.path
     if tag in CONTAINERS and path.count("/") < DEEPEST:
         path = f"{path}/{_generalised(tag, names)}"
-    child = Element(tag, path, out or bool(marked), parent.link or tag == "a")
+    child = Element(tag, path, out or bool(marked) or heads, parent.link or tag == "a")
     child.hard, child.marks = out, marked
+    child.article, child.heads = parent.article or tag in ("article", "main"), heads
     return child
 
 

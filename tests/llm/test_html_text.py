@@ -1,3 +1,5 @@
+from html.parser import HTMLParser
+
 import pytest
 
 from scriptorium.llm import html_text
@@ -82,3 +84,65 @@ def test_parts_beside_the_longest_container_stay():
     ]:
         p = html_text.Page(page(source))
         assert len(p.text(p.main()).split("\n")) == want, source
+
+
+def test_prose_of_an_article_stays_by_its_class():
+    source = "<article><header><h1>Title here</h1><p>By someone</p></header><p>body text</p><p class='side note'>margin</p><p class='legal'>terms</p><p id='form'>x</p><p class=ad>buy</p><div class='related'><p>more</p></div></article>"
+    p = html_text.Page(page(source))
+    assert p.text(p.main()) == "Title here\nbody text\nmargin\nterms\nx"
+
+
+def test_attributes_as_html_reads_them():
+    for source, want in [
+        ("<p data-x=it's>more</p><p>b</p>", "more\nb"), ('<p data-x=5">a</p><p title="x>y">b</p>', "a\nb"), ("<p a='x'b=\"y\"c>t</p>", "t"), ("<p =x>t</p>", "t"), ("<p a= 'x > y' >t</p>", "t"), ("<p a=x/>t", "t"),
+        ("<p>x <math><mi>a</mi><mo>+</mo><mi>b</mi></math> y</p>", "x a+b y"), ("<p " + "a b " * 50_000 + "c", "<p " + ("a b " * 50_000 + "c")),
+    ]:
+        p = html_text.Page(source)
+        assert p.text(p.best()) == want, source[:60]
+
+
+class Plain(HTMLParser):
+    """Blocks of the article of a page whose boilerplate stands outside it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks, self.open = 0, [], False
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag == "br":
+            self.handle_data(" ")
+        elif tag in ("article", "p", "h1", "h2", "h3", "li", "div", "section"):
+            self.open = False
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag in ("article", "p", "h1", "h2", "h3", "li", "div", "section"):
+            self.open = False
+
+    def handle_data(self, data):
+        if self.inside:
+            if not self.open:
+                self.blocks.append("")
+            self.open = True
+            self.blocks[-1] += data
+
+
+def test_equals_a_plain_parser_on_the_tables(spark):
+    from scriptorium.llm import common
+
+    pages = common.table(spark, "/root/testdata/sf0.01", "pages")
+    rows = pages.collect()
+    got = {(r.page_id, r.url): r.text for r in html_text.extract(pages).collect()}
+    assert len(got) == len(rows) > 200
+    for r in rows:
+        plain = Plain()
+        plain.feed(r.html or "")
+        plain.close()
+        assert got[r.page_id, r.url] == "\n".join(" ".join(b.split()) for b in plain.blocks if b.strip()), r.url
+
+
+def test_a_very_long_page():
+    text = "".join(f"<p>Paragraph {i} with a few words in it.</p>" for i in range(60_000))
+    p = html_text.Page(page(f"<nav><a>x</a></nav><article>{text}</article>"))
+    assert p.text(p.main()).count("\n") == 59_999
