@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Ids of documents in buckets of several are broadcast up to this number, joined by shuffle beyond it.
-BROADCAST_IDS = 2_000_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Bytes of canonical forms that a task holds to compare others with.
+HELD_BYTES = 16 << 20
 
 
 def canonical(text: str) -> bytes:
@@ -52,25 +52,26 @@ def edit(text: str, following: str) -> str:
 
 
 def _ranged(docs: DataFrame) -> DataFrame:
-    """bucket, role, id, doc_id and text in order of bucket, role and id, a bucket in one partition.
+    """bucket, role, doc_id and text in order of bucket, role, id and text, a bucket in one partition.
 
     A bucket is a range of ids. Role 0 are its own documents, role 1 the first of the next bucket (of the
     first bucket, after the last).
     """
-    n = common.partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    n = common.partitions(spark)
     id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID))
     ids = docs.select(id_.alias("id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cuts = sorted(set(ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000)).first()[0] or [])) if n > 1 else []
     placed = ids.withColumn("bucket", _place(F.col("id"), cuts))
     firsts = placed.groupBy("bucket").agg(F.min("id").alias("first")).orderBy("bucket").collect()  # a row for each bucket
-    before = {b["first"]: a["bucket"] for a, b in zip(firsts[-1:] + firsts[:-1], firsts)}
-    targets = F.array(F.struct(F.col("bucket").alias("to"), F.lit(0).alias("role")))
-    if before:
-        starts = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-        ahead = F.array(F.struct(starts[F.col("id")].alias("to"), F.lit(1).alias("role")))
-        targets = F.when(F.col("id").isin(list(before)), F.concat(targets, ahead)).otherwise(targets)
-    rows = placed.select("id", "doc_id", "text", F.explode(targets).alias("t")).select(F.col("t.to").alias("bucket"), "t.role", "id", "doc_id", "text")
-    return rows.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", "role", "id", "text")
+    before = [(b["first"], a["bucket"]) for a, b in zip(firsts[-1:] + firsts[:-1], firsts)]
+    ahead = F.broadcast(spark.createDataFrame(before, "_first bigint, ahead int"))
+    own = F.struct(F.col("bucket").alias("to"), F.lit(0).alias("role"))
+    targets = F.when(F.col("ahead").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("ahead").alias("to"), F.lit(1).alias("role"))))
+    rows = placed.join(ahead, F.col("id") == F.col("_first"), "left").select("id", "doc_id", "text", F.explode(targets).alias("t"))
+    rows = rows.select(F.col("t.to").alias("bucket"), "t.role", "id", "doc_id", "text")
+    rows = rows.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", "role", "id", "text")
+    return rows.select("bucket", "role", "doc_id", "text")
 
 
 def _place(value, cuts: list[int]):
@@ -115,6 +116,7 @@ def _compare(batches: Iterator[pa.RecordBatch], hasher=digest) -> Iterator[pa.Re
         if out:
             yield packed(out)
             out = []
+        common.give_back()
 
 
 def edited(docs: DataFrame, hasher=digest) -> DataFrame:
@@ -133,17 +135,29 @@ def colliding(docs: DataFrame, found: DataFrame, hasher=digest) -> DataFrame:
 
     An edited text is no document: its form's SHA-256 is compared with those of its bucket.
     """
-    buckets = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    ids = common.cut(found.join(buckets, "digest").select(F.col("doc_id").alias("_id")).distinct(), "ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    buckets = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ids = common.small(common.cut(common.lookup(found.select("digest", "doc_id"), buckets, "digest", "n", found.count()).select(F.col("doc_id").alias("_id")).distinct(), "ids"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, bytes] = {}  # a form that equals the one its task sent for the digest need not go again
+        held = 0
         for batch in common.slices(batches, "text", SLICE_BYTES):
-            every = [canonical(t) for t in common.texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([hasher(f) for f in every], pa.string()), pa.array(every, pa.binary())], names=["digest", "form"])
+            out = []
+            for form in map(canonical, common.texts(batch.column("text"))):
+                key = hasher(form)
+                if seen.get(key) == form:
+                    continue
+                out.append((key, form))
+                if key not in seen:
+                    if held > HELD_BYTES:
+                        seen, held = {}, 0
+                    seen[key] = form
+                    held += len(form)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.string()), pa.array([f for _, f in out], pa.binary())], names=["digest", "form"])
+            common.give_back()
 
     compared = rows.mapInArrow(forms, "digest string, form binary").groupBy("digest").agg(F.min("form").alias("a"), F.max("form").alias("b"))
     apart = compared.where("a <> b").select("digest")
