@@ -11,7 +11,7 @@ not held out, documents of at most SAMPLE_CHARS characters, each whole. Scoring
 At scoring only each n-gram's part of the logit is needed: one table of 2**BITS numbers, the same size for any input.
 
 Defined results: a null or empty text gets the score of an empty passage; null doc_ids are scored and not held out
-(they have no remainder); rows with equal doc_id are scored each, and share a label; repeated labels count once, as toxic if one of them is;
+(they have no remainder); rows with equal doc_id are scored each, share a label, and stand in training with the first of their texts in order; repeated labels count once, as toxic if one of them is;
 without labels of both kinds every score is the share of toxic labels seen, smoothed; an empty table gives an empty result;
 further columns are ignored.
 """
@@ -48,10 +48,13 @@ class Words:
     """The words of some texts as one array of bytes, a space before, between and behind them."""
 
     def __init__(self, texts: list[str]):
-        words = [t.lower().encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split() for t in texts]
-        self.per_text = np.array([len(w) for w in words], np.int64)
-        joined = b" ".join(b" ".join(w) for w in words if w)
-        self.bytes = np.frombuffer(b" " + joined + b" ", np.uint8)
+        self.per_text, joined = np.zeros(len(texts), np.int64), []
+        for i, t in enumerate(texts):
+            words = t.lower().encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
+            if words:
+                self.per_text[i] = len(words)
+                joined.append(b" ".join(words))
+        self.bytes = np.frombuffer(b" " + b" ".join(joined) + b" ", np.uint8)
         self.spaces = np.flatnonzero(self.bytes == 32)
         self.n = int(self.per_text.sum())
 
@@ -119,10 +122,9 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
         return Model(np.zeros(1 << BITS), prior)
 
     # every distinct word once, as a run of n-gram buckets
-    spelled = words.bytes.tobytes().split()
     seen: dict[bytes, int] = {}
-    word = np.fromiter((seen.setdefault(w, len(seen)) for w in spelled), np.int32, len(spelled))
-    del spelled
+    raw, cuts = words.bytes.tobytes(), words.spaces[:: 1 << 16].tolist()
+    word = np.fromiter((seen.setdefault(w, len(seen)) for a, b in zip(cuts, [*cuts[1:], len(words.bytes)]) for w in raw[a:b].split()), np.int32, words.n)
     distinct = Words([])
     distinct.bytes = np.frombuffer(b" " + b" ".join(seen) + b" ", np.uint8)
     distinct.spaces = np.flatnonzero(distinct.bytes == 32)
@@ -189,19 +191,27 @@ def _texts_of(bucket: np.ndarray, of: np.ndarray, word: np.ndarray, text: np.nda
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on a bounded sample of the labelled documents that are not held out."""
+    with common.scratch(docs.sparkSession):
+        texts, toxic = _sampled(docs, labels, sample)
+    model = train(texts, toxic)
+    del texts
+    common.give_back()
+    return model
+
+
+def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of the sample."""
     marked = labels.where("toxic IN (0, 1)").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     marked = marked.where(remainder(F.col("doc_id")) != 0)
-    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.length("text").alias("chars")).where(F.col("chars") <= SAMPLE_CHARS)
-    known = known.join(marked, "doc_id").dropDuplicates(["doc_id"])
-    picked = None
+    fits = F.length("text") <= SAMPLE_CHARS
+    known = common.cut(docs.where(fits).select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().join(marked, "doc_id"), "labelled")
+    picked = []  # 2 * sample rows at most
     for label in (0, 1):
-        one = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "toxic")
-        picked = one if picked is None else picked.union(one)
-    picked = picked.toPandas()  # 2 * sample rows at most
-    ids = F.broadcast(docs.sparkSession.createDataFrame([(int(i), int(t)) for i, t in zip(picked.doc_id, picked.toxic)], "_id bigint, toxic int"))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where(F.length("text") <= SAMPLE_CHARS)
-    rows = rows.join(ids, "_id").dropDuplicates(["_id"]).orderBy("_id").toPandas()
-    return train(rows.text.tolist(), rows.toxic.to_numpy())
+        picked += known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+    ids = F.broadcast(docs.sparkSession.createDataFrame([(r.doc_id, r.toxic) for r in picked], "_id bigint, toxic int"))
+    rows = docs.where(fits).select(F.col("doc_id").cast("bigint").alias("_id"), "text").join(ids, "_id")
+    rows = rows.groupBy("_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("_id").toPandas()
+    return rows.text.tolist(), rows.toxic.to_numpy()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -53,3 +53,42 @@ def test_scores_do_not_depend_on_the_batch():
     model = toxicity.Model(np.random.default_rng(0).normal(size=1 << toxicity.BITS), -1)
     texts = ["", "one", "Two, three!", "ä ö ü " * 40, "x" * 500, " "]
     assert np.allclose(model.logits(texts), [model.logits([t])[0] for t in texts])
+
+
+def plain_score(model, text):
+    """The score of a text word by word, without arrays of all words."""
+    words = [w for w in "".join(c if ord(c) >= 128 or c.isalnum() else " " for c in text.lower()).split(" ") if w]
+    if not words:
+        return 1 / (1 + np.exp(-model.bias))
+
+    def value(word):
+        raw, parts = f" {word} ".encode(), []
+        for n in toxicity.GRAMS:
+            for i in range(len(raw) - n + 1):
+                h = 0
+                for b in raw[i : i + n]:
+                    h = (h * 16777619 & 0xFFFFFFFF) ^ b
+                mixed = (h ^ h >> 15) * 2246822519 & 0xFFFFFFFF
+                parts.append(float(model.table[mixed >> 32 - toxicity.BITS]))
+        return parts
+
+    half, best = toxicity.PASSAGE // 2, -np.inf
+    means = [np.mean(value(w)) if value(w) else 0.0 for w in words]
+    for i in range(0, len(words), half):
+        best = max(best, sum(means[i : i + toxicity.PASSAGE]) / toxicity.PASSAGE + model.bias)
+    return 1 / (1 + np.exp(-np.clip(best, -50, 50)))
+
+
+def test_scores_equal_a_plain_computation():
+    rng = np.random.default_rng(2)
+    model = toxicity.Model(rng.normal(0, 3, 1 << toxicity.BITS), -0.7)
+    vocab = ["abc", "défi", "longerword", "x1", "zz", "mid", "überhaupt", "twelve"]
+    texts = ["", " .,! ", "abc", *[" ".join(rng.choice(vocab, rng.integers(1, 90))) for _ in range(40)], "Abc, DÉFI! " * 30]
+    assert np.allclose(model.scores(texts), [plain_score(model, t) for t in texts], atol=1e-6)
+
+
+def test_rows_of_one_id_train_alike_in_any_order(spark):
+    rows = [(i, ("bad words here " if i % 2 else "fine words there ") * 5 + str(i)) for i in range(40)] + [(3, "another text of the same id"), (3, "a third")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    tables = [toxicity.fit(spark.createDataFrame(r, "doc_id bigint, text string").repartition(n), labels).table for r, n in ((rows, 1), (rows[::-1], 3))]
+    assert np.array_equal(*tables)
