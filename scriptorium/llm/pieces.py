@@ -7,7 +7,8 @@ the last pieces that end shortly before or at it, so a chunk of text is a matrix
 at its left boundary to those at its right one. Giant documents are split into chunks anywhere; each chunk's
 matrix comes from one pass over its lattice; matrices are combined associatively (max-plus products, in blocks of
 chunks, then over blocks); forward and backward weights together leave one state on the path at every boundary, and each
-chunk is traced back alone between its two states. No document's text meets in one task.
+chunk is traced back alone between its two states. Chunks are dealt to tasks; a document's text is whole only where it is read and
+cut, as one value of the input, and its ids where they are gathered into one value of the result.
 
 Inside a chunk the lattice falls apart where no piece can span two characters (before a word mark that follows
 another character); the path through each such part depends on nothing outside and is kept for frequent words.
@@ -294,6 +295,7 @@ _models: dict[str, Model] = {}
 def model(path: str) -> Model:
     """One for each worker process."""
     if path not in _models:
+        _models.clear()
         _models[path] = Model(path)
     _models[path].tidy()
     return _models[path]
@@ -308,15 +310,24 @@ def _lists(parts: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.withColumn("digest", F.xxhash64("text"))
+
+
+def _encoded(batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
+    m = model(path)
+    ids = [m.encode(normal(t)) for t in batch.column("text").to_pylist()]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), _lists(ids)], names=["doc_id", "digest", "ids"])
+
+
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
     """doc_id, digest (xxhash64 of the text) and ids (array<int>) of every row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
+    rows = _keyed(docs)
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", SLICE_BYTES):
-            m = model(path)
-            ids = [m.encode(normal(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), _lists(ids)], names=["doc_id", "digest", "ids"])
+            yield _encoded(batch, path)
 
     giant = F.length("text") >= chunk
     return rows.where(~giant).mapInArrow(short, "doc_id bigint, digest bigint, ids array<int>").unionByName(_giants(rows.where(giant), path, chunk, block))
@@ -416,155 +427,37 @@ def _giants(rows: DataFrame, path: str, chunk: int, block: int) -> DataFrame:
     return both.select("a.doc_id", "a.digest", "a.ids", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", "digest", "ids")
 
 
-def decode(self, ids: np.ndarray) -> str:
-        text = b"".join([self.plain[i] for i in ids.tolist()])
-        return (text[1:] if text.startswith(b" ") else text).decode("utf-8", "replace")
+_DECODED = "doc_id bigint, digest bigint, n_tokens bigint, ids_crc32 bigint, text string"
 
 
-_models: dict[str, Model] = {}
+def _decoded(batch: pa.RecordBatch, path: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    lists = batch.column("ids")
+    bounds, values = np.asarray(lists.offsets), np.asarray(lists.values)
+    m = model(path)
+    for i in range(0, len(lists), 500):
+        spans = [values[a:b] for a, b in zip(bounds[i : i + 500], bounds[i + 1 : i + 501])]
+        columns = [batch.column("doc_id").slice(i, 500), batch.column("digest").slice(i, 500), pa.array([len(s) for s in spans], pa.int64()), pa.array([zlib.crc32(s.astype("<u4").tobytes()) for s in spans], pa.int64()), pa.array([m.decode(s) for s in spans], pa.string())]
+        yield pa.RecordBatch.from_arrays(columns + [lists.slice(i, 500)] * with_ids, names=["doc_id", "digest", "n_tokens", "ids_crc32", "text"] + ["ids"] * with_ids)
 
 
-def model(path: str) -> Model:
-    """One for each worker process."""
-    if path not in _models:
-        _models[path] = Model(path)
-    _models[path].tidy()
-    return _models[path]
-
-
-def normal(text: str) -> str:
-    return MARK + text.replace(" ", MARK) if text else ""
+def decode(encoded: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, digest, n_tokens, ids_crc32, text and, if asked for, ids of every row that encode() gives."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _decoded(batch, path, with_ids)
 
-def _lists(parts: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+    return encoded.mapInArrow(run, _DECODED + ", ids array<int>" * with_ids)
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
-    """doc_id, digest (xxhash64 of the text) and ids (array<int>) of every row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
+def round_trip(docs: DataFrame, path: str, with_ids: bool = False, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+    """What decode() gives of what encode() gives; documents that are not split are decoded from their ids where they were encoded."""
+    rows = _keyed(docs)
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", SLICE_BYTES):
-            m = model(path)
-            ids = [m.encode(normal(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), _lists(ids)], names=["doc_id", "digest", "ids"])
+            yield from _decoded(_encoded(batch, path), path, with_ids)
 
     giant = F.length("text") >= chunk
-    return rows.where(~giant).mapInArrow(short, "doc_id bigint, digest bigint, ids array<int>").unionByName(_giants(rows.where(giant), path, chunk, block))
-
-
-def _giants(rows: DataFrame, path: str, chunk: int, block: int) -> DataFrame:
-    key = "doc_id bigint, digest bigint, length bigint"
-    keys = ["doc_id", "digest", "length"]
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = 2 * model(path).longest
-        for batch in common.slices(batches, "text", SLICE_BYTES):
-            for doc_id, text, digest in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "digest")]):
-                whole = normal(text)
-                at = list(range(0, len(whole), chunk))
-                for k in range(0, len(at), 256):
-                    part = at[k : k + 256]
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc_id] * n, pa.int64()), pa.array([digest] * n, pa.int64()), pa.array([len(whole)] * n, pa.int64()), pa.array([a // chunk for a in part], pa.int64()), pa.array([min(a, back) for a in part], pa.int64()), pa.array([a + chunk >= len(whole) for a in part]), pa.array([whole[max(0, a - back) : a + chunk] for a in part])],
-                        names=[*keys, "number", "left_chars", "final", "piece"],
-                    )
-
-    chunks = rows.mapInArrow(split, f"{key}, number bigint, left_chars bigint, final boolean, piece string")
-    # rows that repeat are computed once
-    chunks = common.cut(chunks.repartition(common.partitions(rows.sparkSession), *keys, "number").dropDuplicates([*keys, "number"]), "chunks")
-
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text, left, final in zip(*[batch.column(c).to_pylist() for c in ("piece", "left_chars", "final")]):
-                w = model(path).matrix(text, left, final)
-                found.append((w.shape[0], w.shape[1], (w == YES).astype(np.uint8).tobytes()))
-            a, b, w = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keys, "number")], pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(w, pa.binary())], names=[*keys, "number", "rows", "cols", "weights"])
-
-    def unpacked(table) -> list[np.ndarray]:
-        return [np.where(np.frombuffer(w, np.uint8).reshape(a, b) == 1, YES, NO).astype(np.float32) for a, b, w in zip(table.rows, table.cols, table.weights)]
-
-    def packed(w: np.ndarray) -> bytes:
-        return (w == YES).astype(np.uint8).tobytes()
-
-    def combine(group, table):
-        import pandas as pd
-
-        table = table.sort_values("number")
-        whole = None
-        for w in unpacked(table):
-            whole = w if whole is None else product(whole, w)
-        return pd.DataFrame([[*group, whole.shape[0], whole.shape[1], packed(whole)]], columns=[*keys, "block", "rows", "cols", "weights"])
-
-    def scan(every: list[np.ndarray], inward: np.ndarray, outward: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """At each boundary the weights of reaching its states, and of the end being reached from them."""
-        forward, backward = [inward], [outward]
-        for x in every:
-            forward.append(product(forward[-1], x))
-        for x in every[::-1]:
-            backward.append(product(x, backward[-1]))
-        return forward, backward[::-1]
-
-    def over_blocks(group, table):
-        import pandas as pd
-
-        table = table.sort_values("block")
-        forward, backward = scan(unpacked(table), np.zeros((1, 1), np.float32), np.zeros((1, 1), np.float32))
-        return pd.DataFrame([[*group, k, packed(i), packed(o)] for k, i, o in zip(table.block, forward, backward[1:])], columns=[*keys, "block", "inward", "outward"])
-
-    def over_chunks(group, table):
-        import pandas as pd
-
-        table = table.sort_values("number")
-        weights = lambda x: np.where(np.frombuffer(x, np.uint8) == 1, YES, NO).astype(np.float32)
-        forward, backward = scan(unpacked(table), weights(table.inward.iloc[0])[None, :], weights(table.outward.iloc[0])[:, None])
-        # of the states on the path, the last before each boundary
-        on_path = [int(np.flatnonzero(f[0] + b[:, 0] == YES)[-1]) for f, b in zip(forward, backward)]
-        return pd.DataFrame([[*group[:3], n, i, o] for n, i, o in zip(table.number, on_path, on_path[1:])], columns=[*keys, "number", "entry", "leave"])
-
-    w = common.cut(chunks.select(*keys, "number", "left_chars", "final", "piece").mapInArrow(matrices, f"{key}, number bigint, rows bigint, cols bigint, weights binary").withColumn("block", F.floor(F.col("number") / block)), "matrices")
-    blocks = w.groupBy(*keys, "block").applyInPandas(combine, f"{key}, block bigint, rows bigint, cols bigint, weights binary")
-    ends = blocks.groupBy(*keys).applyInPandas(over_blocks, f"{key}, block bigint, inward binary, outward binary")
-    joined = w.alias("w").join(ends.alias("e"), [F.col(f"w.{n}").eqNullSafe(F.col(f"e.{n}")) for n in (*keys, "block")]).select("w.*", "e.inward", "e.outward")
-    reached = joined.groupBy(*keys, "block").applyInPandas(over_chunks, f"{key}, number bigint, entry int, leave int")
-    placed = chunks.alias("c").join(reached.alias("r"), [F.col(f"c.{n}").eqNullSafe(F.col(f"r.{n}")) for n in (*keys, "number")]).select("c.*", "r.entry", "r.leave")
-
-    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text, left, final, entry, leave in zip(*[batch.column(c).to_pylist() for c in ("piece", "left_chars", "final", "entry", "leave")]):
-                m = model(path)
-                found.append(m.trace(text, left, m.states(text, left)[entry], None if final else m.states(text, len(text))[leave]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keys, "number")], _lists(found)], names=[*keys, "number", "ids"])
-
-    parts = placed.mapInArrow(trace, f"{key}, number bigint, ids array<int>")
-    whole = parts.groupBy(*keys).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("number", "ids"))), lambda x: x["ids"])).alias("ids"))
-    times = rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).cast("int").alias("times"))
-    both = whole.alias("a").join(times.alias("t"), [F.col("a.doc_id").eqNullSafe(F.col("t.doc_id")), F.col("a.digest") == F.col("t.digest")])
-    return both.select("a.doc_id", "a.digest", "a.ids", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", "digest", "ids")
-
-
-def _on_path(states: list[tuple[int, str]], forward: np.ndarray, backward: np.ndarray) -> tuple[int, str]:
-    """The last state before a boundary that lies on the path."""
-    return max((s for s, w in zip(states, forward + backward) if w == YES), key=lambda s: s[0])
-
-
-def decode(encoded: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
-    """doc_id, digest, n_tokens, ids_crc32, text and, if asked for, ids of every row that encode() gives."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            bounds, values = np.asarray(lists.offsets), np.asarray(lists.values)
-            m = model(path)
-            for i in range(0, len(lists), 500):
-                spans = [values[a:b] for a, b in zip(bounds[i : i + 500], bounds[i + 1 : i + 501])]
-                columns = [batch.column("doc_id").slice(i, 500), batch.column("digest").slice(i, 500), pa.array([len(s) for s in spans], pa.int64()), pa.array([zlib.crc32(s.astype("<u4").tobytes()) for s in spans], pa.int64()), pa.array([m.decode(s) for s in spans], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns + [lists.slice(i, 500)] * with_ids, names=["doc_id", "digest", "n_tokens", "ids_crc32", "text"] + ["ids"] * with_ids)
-
-    return encoded.mapInArrow(run, "doc_id bigint, digest bigint, n_tokens bigint, ids_crc32 bigint, text string" + ", ids array<int>" * with_ids)
+    found = rows.where(~giant).mapInArrow(short, _DECODED + ", ids array<int>" * with_ids)
+    return found.unionByName(decode(_giants(rows.where(giant), path, chunk, block), path, with_ids))

@@ -62,7 +62,7 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    back = pieces.decode(pieces.encode(common.table(spark, sf_dir, "documents"), path), path)
+    back = pieces.round_trip(common.table(spark, sf_dir, "documents"), path)
     return back.select("doc_id", "n_tokens", "ids_crc32", (F.xxhash64("text") == F.col("digest")).alias("round_trip"))
 
 
