@@ -14,6 +14,7 @@ empty files; further columns of the input are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,17 +29,34 @@ from pyspark.sql import functions as F
 from . import common
 
 END_ID = 2
-#: Encoded pieces that a Python worker keeps; beyond it the store starts anew.
-KEPT = 600_000
+#: Encoded pieces that a Python worker keeps, and how long they may be; beyond the number the store starts anew.
+KEPT, KEPT_LENGTH = 400_000, 48
 #: Bytes of text encoded at once.
 SLICE_BYTES = 2 << 20
 SCHEMA = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
+
+def _unassigned() -> list[tuple[int, int]]:
+    """Runs of unassigned code points of the basic plane."""
+    free = [c for c in range(0x10000) if unicodedata.category(chr(c)) == "Cn"]
+    starts = [c for c, before in zip(free, [-2, *free]) if c != before + 1]
+    ends = [c for c, after in zip(free, [*free[1:], -2]) if after != c + 1]
+    return list(zip(starts, ends))
+
+
 #: The pattern of the tokenizer's byte-level pre-tokenizer, and the same for texts of Latin-1 characters alone.
 _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 _LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
+#: What Python's tables of characters may leave open: beyond the basic plane, or unassigned in it.
+_ODD = re.compile("[\U00010000-\U0010ffff" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in _unassigned()) + "]")
+
+
+def settled(text: str) -> bool:
+    """Whether all characters are assigned: the pattern's module and the library know others by different versions of Unicode."""
+    return all(unicodedata.category(c) != "Cn" for c in set(_ODD.findall(text)))
+
 
 def _byte_letters() -> dict[int, str]:
     """The printable character by which byte-level BPE vocabularies write each byte."""
@@ -51,7 +69,7 @@ class ChunkEncoder(dict):
     """Encodes texts with a byte-level BPE file of the tokenizers library, keeping the ids of frequent words.
 
     A text is cut by the pattern of the file's pre-tokenizer; the library's model encodes each piece, once
-    for as long as it is kept. Texts with a special token's string go to the library whole.
+    for as long as it is kept. Texts with a special token's string or an unassigned character go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -64,7 +82,9 @@ class ChunkEncoder(dict):
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        ids = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        if len(piece) <= KEPT_LENGTH:
+            self[piece] = ids
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -73,14 +93,14 @@ class ChunkEncoder(dict):
             self.clear()
         out = []
         for text in texts:
-            if any(s in text for s in self.special):
-                out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
-                continue
             try:
                 text.encode("latin-1")
                 pieces = _LATIN.findall(text)
             except UnicodeEncodeError:
-                pieces = _PATTERN.findall(text)
+                pieces = _PATTERN.findall(text) if settled(text) else None
+            if pieces is None or any(s in text for s in self.special):
+                out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
             out.append(b"".join(map(self.__getitem__, pieces)))
         return out
 
@@ -91,6 +111,7 @@ _encoders: dict[str, ChunkEncoder] = {}
 def encoder(path: str) -> ChunkEncoder:
     """One for each worker process."""
     if path not in _encoders:
+        _encoders.clear()
         _encoders[path] = ChunkEncoder(path)
     return _encoders[path]
 
@@ -110,6 +131,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, row_
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(found), np.int32)))
             starts = before + ends - n
             before += int(ends[-1])
+            del found
+            common.give_back()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n), ids], names=["doc_id", "part", "local_start", "n_tokens", "ids"])
 
     order = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")

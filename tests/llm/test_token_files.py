@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -54,3 +55,17 @@ def test_repeated_rows(spark, tmp_path):
 def test_chunks_equal_library(text):
     coder = token_files.encoder(PATH)
     assert list(np.frombuffer(coder.encode([text])[0], "<u4")) == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_any_code_points_equal_the_library():
+    rng = random.Random(8)
+    coder, library = token_files.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    apart = [0x3E0B6, 0x638A, 0x3F7DA, 0x986C, 0x32E5A, 0x965E, 0x1DFDA, 0x98F8, 0x558, 0x10940, 0x1F600]
+    texts = [chr(a) + chr(b) for a in apart for b in apart]
+    for _ in range(4000):
+        kinds = [lambda: rng.randrange(0x110000), lambda: rng.randrange(0x3000), lambda: rng.randrange(32, 127), lambda: rng.choice(apart), lambda: rng.choice([9, 10, 32, 0x85, 0xA0, 0x1680, 0x2003, 0x3000])]
+        points = (rng.choice(kinds)() for _ in range(rng.randrange(1, 40)))
+        texts.append("".join(chr(c) for c in points if not 0xD800 <= c < 0xE000))
+    texts.append("x" * 100_000 + "é" * 100_000)
+    for text, ids in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text[:60])
