@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Word lengths that a Python worker keeps; beyond it the store starts anew.
-KEPT = 600_000
+#: Words whose counts a Python worker keeps, and how long they may be; beyond the number the store starts anew.
+KEPT, KEPT_LENGTH = 400_000, 48
 SLICE_BYTES = 4 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UNKNOWN = 1 + (1 << 40)
@@ -74,7 +74,9 @@ class Automaton(dict):
             level = below
 
     def __missing__(self, word: str) -> int:
-        n = self[word] = self.count(word)
+        n = self.count(word)
+        if len(word) <= KEPT_LENGTH:
+            self[word] = n
         return n
 
     def count(self, word: str) -> int:
@@ -101,6 +103,7 @@ _automata: dict[str, Automaton] = {}
 def automaton(path: str) -> Automaton:
     """One for each worker process."""
     if path not in _automata:
+        _automata.clear()
         _automata[path] = Automaton(*vocabulary(path))
     return _automata[path]
 
