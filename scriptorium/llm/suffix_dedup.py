@@ -12,7 +12,9 @@ Suffixes are compared to a depth of LENGTH bytes in buckets, one at a time, in p
    cover get ranks of the GRAM-byte strings that begin there, once. A window's key is then the few bytes before its first
    cover column, the ranks of cover columns that reach through it, and the few bytes behind: ties as long as the
    window are resolved by ranks, never by comparing strings. The first of each run of equal keys in order of
-   id is its smallest document; windows of larger ids are to be removed.
+   id is its smallest document; windows of larger ids are to be removed. Equal windows lie at equal places around their
+   anchors, so windows of one place are sorted apart: this is no single order of all suffixes, and no ranks of different
+   offsets are ever compared, as a suffix array would.
 4. Documents with such windows are read once more and cut; all others are hashed as they are.
 
 Documents are moved in passes 2 and 4 only if they have something to settle: the list of those documents is broadcast up to
@@ -40,7 +42,7 @@ SPAN = LENGTH - GRAM  # an anchor begins at most so far after its window does
 #: Any two numbers differ, modulo PERIOD, as exactly two of the cover do.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 WIDTH = 2 * SPAN + GRAM
-BROADCAST_DOCS = 2_000_000
+BROADCAST_DOCS = common.BROADCAST_ROWS
 #: Windows hashed at once, and bytes of text settled together in a task.
 SEGMENT, BLOCK_BYTES, BLOCK_DOCS = 1 << 16, 4 << 20, 60_000
 NOBODY = 65_535
@@ -400,49 +402,45 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("code", F.xxhash64("id", "digest").bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def _codes(table: DataFrame) -> tuple[DataFrame, int]:
-    """The distinct codes in packed rows, and their number."""
+def _codes(table: DataFrame, keep: bool = False) -> DataFrame:
+    """The distinct codes in packed rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed in batch.column("codes").to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(packed, "<u4")).astype(np.int64))], names=["code"])
 
-    found = common.cut(table.select("codes").mapInArrow(run, "code bigint").distinct(), "codes")
-    return found, found.count()
+    return common.cut(table.select("codes").mapInArrow(run, "code bigint").distinct(), "codes", keep)
 
 
 def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """id (doc_id, null as the least number), n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the bytes kept, of every row."""
     n = common.partitions(docs.sparkSession)
-    common.small_batches(docs.sparkSession, "2m")
     every = _keyed(docs)
 
-    # whole copies of a document with a smaller id: nothing of them stays, and nothing starts in them first
-    known = common.cut(every.select("id", "digest", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("bigint").alias("n_bytes")), "digests")
-    least = known.groupBy("sha").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-    copied = common.cut(known.where(F.col("n_bytes") >= LENGTH).join(least, "sha").where("id > least").select("id", "digest", "n_bytes"), "copies")
-    marks = copied.select("id", "digest").distinct()
-    rows = every.join(F.broadcast(marks) if copied.count() <= BROADCAST_DOCS else marks, ["id", "digest"], "left_anti")
-    none = F.lit(hashlib.sha256(b"").hexdigest())
-    gone = copied.select("id", "digest", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), none.alias("kept_sha256"), F.lit(b"" if with_bytes else None).cast("binary").alias("kept"))
-
-    groups, buckets = 2 * n, FINER * n
-    seen = rows.select("code", "text").mapInArrow(lambda b: _seen(b, n, groups), _SEEN)
-    repeated = common.cut(seen.groupBy("bucket").applyInArrow(lambda t: _repeated(t, groups), _REPEATED), "repeated")
-
-    def of(codes: DataFrame, number: int, how: str) -> DataFrame:
-        return rows.join(F.broadcast(codes) if number <= BROADCAST_DOCS else codes, "code", how)
-
-    group = F.pmod(F.col("code"), F.lit(groups)).cast("int").alias("grp")
-    held = of(*_codes(repeated), "left_semi").select("id", "code", "text", group)
-    contexts = held.groupBy("grp").cogroup(repeated.groupBy("grp")).applyInArrow(lambda a, b: _contexts(a, b, groups, buckets), _CONTEXTS)
-    removed = common.cut(contexts.groupBy("bucket").applyInArrow(lambda t: _removed(t, groups), _REMOVED), "removed")
-
-    codes = _codes(removed)
-    held = of(*codes, "left_semi").select("id", "digest", "code", "text", group)
+    with common.scratch(docs.sparkSession):
+        # whole copies of a document with a smaller id: nothing of them stays, and nothing starts in them first
+        known = common.cut(every.select("id", "digest", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("bigint").alias("n_bytes")), "digests")
+        long = known.where(F.col("n_bytes") >= LENGTH)
+        least = long.groupBy("sha").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most").drop("most")
+        copied = common.cut(common.lookup(long, least, "sha", "n", long.count()).where("id > least").select("id", "digest", "n_bytes"), "copies", keep=True)
+        rows = every.join(common.small(copied.select("id", "digest").distinct(), BROADCAST_DOCS), ["id", "digest"], "left_anti")
+        none = F.lit(hashlib.sha256(b"").hexdigest())
+        gone = copied.select("id", "digest", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), none.alias("kept_sha256"), F.lit(b"" if with_bytes else None).cast("binary").alias("kept"))
+
+        groups, buckets = 2 * n, FINER * n
+        seen = rows.select("code", "text").mapInArrow(lambda b: _seen(b, n, groups), _SEEN)
+        group = F.pmod(F.col("code"), F.lit(groups)).cast("int").alias("grp")
+        with common.batches_of(docs.sparkSession, "2m"):
+            repeated = common.cut(seen.groupBy("bucket").applyInArrow(lambda t: _repeated(t, groups), _REPEATED), "repeated")
+            held = rows.join(common.small(_codes(repeated), BROADCAST_DOCS), "code", "left_semi").select("id", "code", "text", group)
+            contexts = held.groupBy("grp").cogroup(repeated.groupBy("grp")).applyInArrow(lambda a, b: _contexts(a, b, groups, buckets), _CONTEXTS)
+            removed = common.cut(contexts.groupBy("bucket").applyInArrow(lambda t: _removed(t, groups), _REMOVED), "removed", keep=True)
+
+        codes = common.small(_codes(removed, keep=True), BROADCAST_DOCS)
+    held = rows.join(codes, "code", "left_semi").select("id", "digest", "code", "text", group)
     changed = held.groupBy("grp").cogroup(removed.groupBy("grp")).applyInArrow(lambda a, b: _kept(a, b, with_bytes), _RESULT)
-    rest = of(*codes, "left_anti").select("id", "digest", "text").mapInArrow(lambda b: _untouched(b, with_bytes), _RESULT)
+    rest = rows.join(codes, "code", "left_anti").select("id", "digest", "text").mapInArrow(lambda b: _untouched(b, with_bytes), _RESULT)
     return changed.unionByName(rest).unionByName(gone)
 
 
