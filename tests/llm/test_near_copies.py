@@ -1,6 +1,9 @@
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from scriptorium.llm import common, near_copies
 
@@ -51,7 +54,7 @@ def test_stage_equals_brute_force_on_the_tables(spark):
 
 
 def test_long_texts_and_empty_tables(spark):
-    assert len(near_copies.band_keys("a b c " * 20_000)) == near_copies.BANDS
+    assert len(near_copies.wide_fingerprint(near_copies.shingles("a b c " * 20_000))) == near_copies.BITS // 64
     assert near_copies.keep_first(spark.createDataFrame([], "doc_id bigint, text string, x int")).columns == ["doc_id", "text", "x"]
 
 
@@ -60,3 +63,26 @@ def test_rows_with_repeated_or_null_ids_are_decided_each(spark):
     rows = [(1, a), (2, a + " end"), (2, b), (2, b), (3, b + " end"), (None, a), (None, c), (None, c + " end")]
     kept = near_copies.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "c"), (1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("tile,per", [(2048, 1 << 16), (16, 700)])
+def test_groups_that_look_alike_are_decided_by_their_runs(spark, tile, per):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(500)]
+    rows = [(0, ""), (1, " "), (2, "a b c d e f g h"), (3, "a b c d e f g h i")]
+    for g in range(3):  # texts of one group share most of their runs, but few share four in five
+        base = [rng.choice(vocab) for _ in range(160)]
+        for i in range(45):
+            at = rng.randrange(0, 100)
+            w = base[:at] + [rng.choice(vocab) for _ in range(rng.choice([4, 14, 20, 26]))] + base[at + 18 :]
+            rows.append((100 * (g + 1) + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    signed = near_copies.signatures(df).select("node", "size", "w").dropDuplicates(["node"])
+    texts = df.select(F.xxhash64("text").alias("node"), "text")
+    named = {r.node: r.doc_id for r in df.select(F.xxhash64("text").alias("node"), "doc_id").collect()}
+    root = {named[r.node]: named[r.root] for r in near_copies.near_roots(common.cut(signed), texts, tile, per).collect()}
+    groups = {}
+    for i, _ in rows:
+        groups.setdefault(root.get(i, i), []).append(i)
+    kept = sorted(min(g) for g in groups.values())
+    assert kept == brute_kept(rows) and 20 < len(kept) < len(rows) - 20
