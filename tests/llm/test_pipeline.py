@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from scriptorium.llm import common, mixing, suffix_dedup, toxicity
-from tests.llm import test_simhash, test_suffix_dedup
+from tests.llm import test_near_copies
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +33,7 @@ def test_run_equals_brute_force(spark):
     rows = [(r.doc_id, r.text or "", r.source) for r in docs.collect()]
     rows = [r for r, s in zip(rows, model.scores([r[1] for r in rows])) if s < 0.5]
     sources = {r[0]: r[2] for r in rows}
-    first = {c[2] for c in test_simhash.brute_classes([(i, t) for i, t, _ in rows])}
+    first = set(test_near_copies.brute_kept([(i, t) for i, t, _ in rows]))
     cleaned = brute_clean([(i, t) for i, t, _ in rows if i in first])
     df = spark.createDataFrame([(i, t, sources[i]) for i, t in cleaned], "doc_id bigint, text string, source string")
     copies = {r.doc_id: r.copies for r in mixing.mix(df).collect()}
