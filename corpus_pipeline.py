@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding the ids gives the text again."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    back = pieces.decode(pieces.encode(docs, path), path, with_ids=True)
+    back = pieces.round_trip(docs, path, with_ids=True)
     return back.select("doc_id", "n_tokens", "ids", (F.xxhash64("text") == F.col("digest")).alias("round_trip"))
 
 
