@@ -2,8 +2,8 @@
 
 Every document gets a rate r; the rates minimise the token-weighted entropy sum(size * (r log r - r + 1))
 under one token constraint for each source, sum(size * r) = target. Its convex dual has one variable for
-each source, rates are exponentially tilted, r = exp(lambda of the source), and each Newton step is one
-distributed sum over the documents (over their counts by source and size, which is what the sums need).
+each source (a constraint names one source, so the dual falls apart by source and ends at log(target / size)), rates are exponentially
+tilted, r = exp(lambda of the source), and each Newton step is one distributed sum over the documents (over their counts by source and size, which is what the sums need).
 Rates become whole copies: every document gets floor(r), and a carry that runs through each source from the
 longest size to the shortest decides how many documents of each size get one more, so that a source ends
 within about one short document of its target. Which documents of a size these are is dealt by a hash of
@@ -96,10 +96,11 @@ def _carried(acc, cell, part):
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """doc_id, src, size, source_size, target, copies and taken (copies times size) of every row of docs."""
-    rows = common.cut(sized(docs), "sizes")
-    cells = common.cut(rows.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
-    wanted = targets(cells.groupBy("src").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, cap)
-    chosen = common.cut(extras(cells, rates(cells, wanted, cap)), "copies")
+    with common.scratch(docs.sparkSession):
+        rows = common.cut(sized(docs), "sizes", keep=True)
+        cells = common.cut(rows.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
+        wanted = targets(cells.groupBy("src").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, cap)
+        chosen = common.cut(extras(cells, rates(cells, wanted, cap)), "copies", keep=True)
 
     n = common.partitions(docs.sparkSession)
     key = ["src", "size", "salt"]
