@@ -10,7 +10,7 @@ from types import SimpleNamespace
 from pyspark.sql import functions as F
 
 from ..functions import fixed, media, text
-from ..operators import audit, catalog, gate, registry, semantic, sections, volumes
+from ..operators import audit, catalog, gate, publish, registry, sections, semantic, volumes
 from .section_plans import CHUNKS, TITLE, damaged, documents
 
 QUERIES: dict = {}
@@ -140,12 +140,34 @@ def derived_variants(spark, sf_dir):
     return semantic.derived_variants(works, translations).select("variant_id", "work_id", "language", "translation_status")
 
 
-@query()
+# topics of the languages, concepts of the benchmark, citations of the pages, with faults of every kind, and the variants above
+@query(f"""
+WITH t AS (SELECT lang, CASE WHEN lang = 'de' THEN 'Topic de' ELSE 'topic-' || lang END AS id FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+c AS (SELECT item_id AS i, CASE WHEN item_id % 7 = 0 THEN 'CP ' || item_id ELSE 'cp-' || item_id END AS id FROM benchmark), p AS (SELECT page_id AS i, CASE WHEN page_id % 17 = 0 THEN 'CT' || page_id ELSE 'ct-' || page_id END AS id FROM pages),
+r AS (
+  SELECT 'bad_topic_id' AS rule, id FROM t WHERE NOT regexp_matches(id, '^topic-[a-z0-9][a-z0-9-]*$') UNION ALL SELECT 'missing_field', id FROM t WHERE lang = 'en' UNION ALL SELECT 'unsupported_membership_rule', id FROM t WHERE lang = 'en'
+  UNION ALL SELECT 'empty_membership_terms', id FROM t WHERE lang = 'de' UNION ALL SELECT 'bad_publication_state', id FROM t WHERE lang = 'de'
+  UNION ALL SELECT 'bad_concept_id', id FROM c WHERE NOT regexp_matches(id, '^cp-[a-z0-9][a-z0-9-]*$') UNION ALL SELECT 'missing_field', id FROM c WHERE i % 5 = 0 UNION ALL SELECT 'bad_definition_scope', id FROM c WHERE i % 6 = 0
+  UNION ALL SELECT 'bad_review_state', id FROM c WHERE i % 8 = 0 UNION ALL SELECT 'bad_publication_state', id FROM c WHERE i % 10 = 0 UNION ALL SELECT 'unknown_topic', id FROM c WHERE CASE WHEN i % 11 = 0 THEN 'topic-zz' ELSE 'topic-en' END NOT IN (SELECT id FROM t)
+  UNION ALL SELECT 'unknown_concept', id FROM c WHERE CASE WHEN i % 13 = 0 THEN 'cp-none' ELSE 'cp-1' END NOT IN (SELECT id FROM c) UNION ALL SELECT 'no_evidence', id FROM c WHERE i % 4 = 0 UNION ALL SELECT 'malformed_evidence', id FROM c WHERE i % 4 <> 0 AND i % 9 = 0
+  UNION ALL SELECT 'bad_citation_target_id', id FROM p WHERE NOT regexp_matches(id, '^ct-[a-z0-9][a-z0-9-]*$') UNION ALL SELECT 'missing_field', id FROM p WHERE i % 19 = 0
+  UNION ALL SELECT rule, entity_key FROM ({ORACLE_SQL["variant_chain_errors"]}))
+SELECT 'block' AS severity, rule, id AS entity_key FROM r""")
 def record_validation(spark, sf_dir):
-    topics = spark.createDataFrame([("topic-a", "A", ("title_terms", ["a"]), 1, "published"), ("Topic B", "", ("other", []), 1, "gone")], "topic_id string, label string, membership_rule struct<type:string,terms:array<string>>, membership_rule_version int, publication_state string")
-    rows = [("cp-a", "a", "corpus_term", [(1, "title", None)], "reviewed", "editor", "2020", "published", ["topic-a"], []), ("x", "b", "guess", [], "seen", "", "2020", "published", ["topic-z"], ["cp-z"])]
-    concept = spark.createDataFrame(rows, "concept_id string, canonical_term string, definition_scope string, evidence array<struct<section_id:string,kind:string,term:string>>, review_state string, review_role string, reviewed_at string, publication_state string, related_topic_ids array<string>, related_concept_ids array<string>")
-    citations = spark.createDataFrame([("ct-1", "w", "s", "a", "en"), ("bad", "w", "", "a", "en")], "citation_target_id string, work_id string, section_id string, anchor string, language string")
+    lang, i, at = F.col("lang"), F.col("item_id"), F.col("page_id")
+    terms = F.when(lang == "de", F.array().cast("array<string>")).otherwise(F.array(lang))
+    rule = F.struct(F.when(lang == "en", "other").otherwise("title_terms").alias("type"), terms.alias("terms"))
+    topics = documents(spark, sf_dir).where("lang IS NOT NULL").select("lang").distinct().select(
+        F.when(lang == "de", "Topic de").otherwise(F.concat(F.lit("topic-"), lang)).alias("topic_id"), F.when(lang == "en", "").otherwise(lang).alias("label"), rule.alias("membership_rule"), F.lit(1).alias("membership_rule_version"), F.when(lang == "de", "gone").otherwise("published").alias("publication_state")
+    )
+    pick = lambda n, odd, even: F.when(i % n == 0, odd).otherwise(even)
+    kind = F.struct(F.lit("1").alias("section_id"), pick(9, "other", "title").alias("kind"), F.lit(None).cast("string").alias("term"))
+    evidence = F.when(i % 4 == 0, F.array().cast("array<struct<section_id:string,kind:string,term:string>>")).otherwise(F.array(kind))
+    concept = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(
+        pick(7, F.concat(F.lit("CP "), i.cast("string")), F.concat(F.lit("cp-"), i.cast("string"))).alias("concept_id"), pick(5, "", "x").alias("canonical_term"), pick(6, "guess", "corpus_term").alias("definition_scope"), evidence.alias("evidence"),
+        pick(8, "seen", "reviewed").alias("review_state"), F.lit("editor").alias("review_role"), F.lit("2020").alias("reviewed_at"), pick(10, "gone", "published").alias("publication_state"), F.array(pick(11, "topic-zz", "topic-en")).alias("related_topic_ids"), F.array(pick(13, "cp-none", "cp-1")).alias("related_concept_ids"),
+    )
+    citations = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.concat(F.when(at % 17 == 0, "CT").otherwise("ct-"), at.cast("string")).alias("citation_target_id"), F.when(at % 19 == 0, "").otherwise("w").alias("work_id"), F.lit("s").alias("section_id"), F.lit("a").alias("anchor"), F.lit("en").alias("language"))
     return semantic.record_errors(topics, concept, citations, spark.createDataFrame(VARIANTS, _VARIANT_SCHEMA)).select("severity", "rule", "entity_key")
 
 
@@ -318,13 +340,17 @@ def link_audit(spark, sf_dir):
     return audit.unresolved(links, files).select("page_id", "target")
 
 
-@query()
+# every document links to the next id, which is a neighbour or not, to a file that is gone, abroad and to the writer's disk
+@query("""
+SELECT d.source || '/' || d.doc_id || '.md' AS path, 'See ' || CASE WHEN n.doc_id IS NULL THEN 'one' ELSE '[one](' || n.doc_id || '.md)' END || ', two and [three](https://e.org/' || d.doc_id || '). ![pic](p.png) mine' AS text,
+  CAST(CASE WHEN n.doc_id IS NULL THEN 1 ELSE 2 END AS BIGINT) AS kept, CAST(CASE WHEN n.doc_id IS NULL THEN 3 ELSE 2 END AS BIGINT) AS neutralised
+FROM documents d LEFT JOIN documents n ON n.doc_id = d.doc_id + 1 AND n.source = d.source""")
 def md_link_neutralise(spark, sf_dir):
-    from ..operators import publish
-
-    docs = spark.createDataFrame([("a/x.md", "See [one](y.md), [two](../gone.md) and [three](https://e.org). ![pic](p.png)")], "path string, text string")
-    files = spark.createDataFrame([("a/y.md",)], "path string")
-    return publish.neutralise_links(docs, files)
+    id_ = F.col("doc_id").cast("string")
+    path = F.concat("source", F.lit("/"), id_, F.lit(".md"))
+    body = F.concat(F.lit("See [one]("), (F.col("doc_id") + 1).cast("string"), F.lit(".md), [two](../gone"), id_, F.lit(".md) and [three](https://e.org/"), id_, F.lit("). ![pic](p.png) [mine](file:///c)"))
+    docs = documents(spark, sf_dir).select(path.alias("path"), body.alias("text"))
+    return publish.neutralise_links(docs, docs.select("path"))
 
 
 @query("""
