@@ -30,32 +30,26 @@ from . import common
 
 END_ID = 2
 #: Encoded pieces that a Python worker keeps, and how long they may be; beyond the number the store starts anew.
-KEPT, KEPT_LENGTH = 400_000, 48
+KEPT, KEPT_LENGTH = 600_000, 48
 #: Bytes of text encoded at once.
 SLICE_BYTES = 2 << 20
 SCHEMA = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
 
-def _unassigned() -> list[tuple[int, int]]:
-    """Runs of unassigned code points of the basic plane."""
-    free = [c for c in range(0x10000) if unicodedata.category(chr(c)) == "Cn"]
-    starts = [c for c, before in zip(free, [-2, *free]) if c != before + 1]
-    ends = [c for c, after in zip(free, [*free[1:], -2]) if after != c + 1]
-    return list(zip(starts, ends))
-
-
 #: The pattern of the tokenizer's byte-level pre-tokenizer, and the same for texts of Latin-1 characters alone.
 _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 _LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
-#: What Python's tables of characters may leave open: beyond the basic plane, or unassigned in it.
-_ODD = re.compile("[\U00010000-\U0010ffff" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in _unassigned()) + "]")
+#: Of the units of UTF-16, which an unassigned character may show: halves of characters beyond the basic plane, and its unassigned ones.
+_ODD = np.array([0xD800 <= c < 0xE000 or unicodedata.category(chr(c)) == "Cn" for c in range(0x10000)])
 
 
 def settled(text: str) -> bool:
     """Whether all characters are assigned: the pattern's module and the library know others by different versions of Unicode."""
-    return all(unicodedata.category(c) != "Cn" for c in set(_ODD.findall(text)))
+    if not _ODD[np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2")].any():
+        return True
+    return all(unicodedata.category(c) != "Cn" for c in set(text))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -131,8 +125,6 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, row_
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(found), np.int32)))
             starts = before + ends - n
             before += int(ends[-1])
-            del found
-            common.give_back()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n), ids], names=["doc_id", "part", "local_start", "n_tokens", "ids"])
 
     order = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
