@@ -123,26 +123,31 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
 
     # every distinct word once, as a run of n-gram buckets
     seen: dict[bytes, int] = {}
-    raw, cuts = words.bytes.tobytes(), words.spaces[:: 1 << 16].tolist()
-    word = np.fromiter((seen.setdefault(w, len(seen)) for a, b in zip(cuts, [*cuts[1:], len(words.bytes)]) for w in raw[a:b].split()), np.int32, words.n)
+    cuts = words.spaces[:: 1 << 16].tolist()
+    word = np.fromiter((seen.setdefault(w, len(seen)) for a, b in zip(cuts, [*cuts[1:], len(words.bytes)]) for w in words.bytes[a:b].tobytes().split()), np.int32, words.n)
     distinct = Words([])
     distinct.bytes = np.frombuffer(b" " + b" ".join(seen) + b" ", np.uint8)
     distinct.spaces = np.flatnonzero(distinct.bytes == 32)
-    owner = np.repeat(np.arange(len(seen)), np.diff(distinct.spaces))
-    grams = [(b[v], owner[v]) for b, v in distinct.grams()]
+    n_words, n_seen = words.n, len(seen)
+    owner = np.repeat(np.arange(n_seen, dtype=np.int32), np.diff(distinct.spaces))
+    grams = [(b[v].astype(np.int32), owner[v]) for b, v in distinct.grams()]
     bucket, of = (np.concatenate(x) for x in zip(*grams))
+    del seen, distinct, owner, grams
     by = np.argsort(of, kind="stable")
     bucket, of = bucket[by], of[by]
+    del by
     count = np.bincount(of)
     first, goes_on, per = words.passages()
     second = np.flatnonzero(goes_on) + 1
     text_of = np.repeat(np.arange(len(texts)), per)
-    spread = _texts_of(bucket, of, word, np.repeat(np.arange(len(texts)), words.per_text), len(seen), len(texts))
+    spread = _texts_of(bucket, of, word, np.repeat(np.arange(len(texts)), words.per_text), n_seen, len(texts))
+    del words
     often = spread[bucket] >= min_texts
     bucket, of = bucket[often], of[often]
     used, bucket = np.unique(bucket, return_inverse=True)
+    bucket = bucket.astype(np.int32)
     starts, with_grams = np.flatnonzero(np.diff(of, prepend=-1)), np.unique(of)
-    lengths = np.diff(np.append(first, words.n))
+    lengths = np.diff(np.append(first, n_words))
     some = np.flatnonzero(per)
     text_first = (np.cumsum(per) - per)[some]
 
@@ -151,8 +156,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     for step in range(all_steps + worst_steps):
         e, w, b = params["e"], params["w"], params["b"]
-        vectors = np.zeros((len(seen), DIM), np.float32)
-        vectors[with_grams] = np.add.reduceat(e[bucket], starts) / count[with_grams, None].astype(np.float32)
+        vectors = np.zeros((n_seen, DIM), np.float32)
+        vectors[with_grams] = _sums(e, bucket, starts) / count[with_grams, None].astype(np.float32)
         means = with_next(np.add.reduceat(vectors[word], first), goes_on) / np.float32(PASSAGE)
         logits = means @ w + b
         toxicity = 1 / (1 + np.exp(-np.clip(logits[:, 1] - logits[:, 0], -50, 50)))
@@ -169,7 +174,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
         d_halves = d_means.copy()
         d_halves[second] += d_means[second - 1]
         d_vectors = np.repeat(d_halves, lengths, axis=0)
-        d_vectors = np.stack([np.bincount(word, d_vectors[:, d], len(seen)) for d in range(DIM)], 1) / count[:, None]
+        d_vectors = np.stack([np.bincount(word, d_vectors[:, d], n_seen) for d in range(DIM)], 1) / count[:, None]
         d_e = np.stack([np.bincount(bucket, d_vectors[of, d], len(used)) for d in range(DIM)], 1)
         gradients = {"e": (d_e + decay * e).astype(np.float32), "w": means.T.astype(float) @ d_logits, "b": d_logits.sum(0)}
         for k, g in gradients.items():
@@ -183,6 +188,13 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1, all_steps: int = 2
     return Model(table, params["b"][1] - params["b"][0])
 
 
+def _sums(e: np.ndarray, bucket: np.ndarray, starts: np.ndarray, block: int = 1 << 14) -> np.ndarray:
+    """Sums of e's rows over the runs of bucket that begin at starts, some runs at a time."""
+    ends = np.append(starts, len(bucket))
+    parts = [np.add.reduceat(e[bucket[ends[i] : ends[min(i + block, len(starts))]]], starts[i : i + block] - ends[i]) for i in range(0, len(starts), block)]
+    return np.concatenate(parts) if parts else np.zeros((0, e.shape[1]), e.dtype)
+
+
 def _texts_of(bucket: np.ndarray, of: np.ndarray, word: np.ndarray, text: np.ndarray, words: int, texts: int) -> np.ndarray:
     """For every bucket in how many texts it occurs, up to repetition by several words of one text."""
     pairs = np.unique(word.astype(np.int64) * texts + text)
@@ -193,6 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on a bounded sample of the labelled documents that are not held out."""
     with common.scratch(docs.sparkSession):
         texts, toxic = _sampled(docs, labels, sample)
+    common.give_back()
     model = train(texts, toxic)
     del texts
     common.give_back()
