@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, html_text, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
+from . import common, fingerprints, html_text, merge_automaton, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,13 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document by the tokenization automaton, decode the ids again, and return digests of both."""
+    import public_tokenizers
+
+    return merge_automaton.digests(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pieces": op2_pieces,
@@ -84,6 +91,7 @@ QUERIES = {
     "op8_word_pieces": op8_word_pieces,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_topk": op10_topk,
+    "op11_merge_automaton": op11_merge_automaton,
 }
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op10_topk"] = """
