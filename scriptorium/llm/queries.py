@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fingerprints, html_text, merge_automaton, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
+from . import common, conversation_repair, fingerprints, html_text, merge_automaton, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,12 @@ def op11_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_automaton.digests(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations, then repair each by the cheapest edits."""
+    rows = common.table(spark, sf_dir, "conversations")
+    return conversation_repair.audited(rows, conversation_repair.damaged(rows))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pieces": op2_pieces,
@@ -92,6 +98,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_topk": op10_topk,
     "op11_merge_automaton": op11_merge_automaton,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op10_topk"] = """
@@ -125,3 +132,51 @@ t AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_span
 SELECT d.doc_id, d.n AS n_bytes, coalesce(t.n_removed, 0) AS n_removed, coalesce(t.n_spans, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
 FROM d JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """
+ORACLE_SQL["op12_conversation_repair"] = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes
+  FROM conversations
+), kinds AS (
+  SELECT * EXCLUDE (bytes), xor(list_reduce(bytes, lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)), 4294967295), 4294967295) % 20 AS kind FROM src
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, (VALUES (1), (2)) t(copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)
+), numbered AS (
+  SELECT *, row_number() OVER c AS rn, lag(role) OVER c AS role_before,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM damaged WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), told AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN rn > min(rn) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM numbered
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (rn > 1 AND concat(role_before[1], role[1]) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM told GROUP BY conv_id
+), gap(f, t, audit, cost, lines) AS (
+  VALUES (0, 0, '', 0, []::VARCHAR[]), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []), (0, 2, 'I', 2, ['user:']), (1, 2, 'I', 2, ['user:']), (3, 2, 'I', 2, ['user:']),
+    (2, 3, 'I', 2, ['assistant:']), (0, 3, 'II', 4, ['user:', 'assistant:']), (1, 3, 'II', 4, ['user:', 'assistant:'])
+), follows(f, t, initial, role) AS (VALUES (0, 1, 's', 'system'), (0, 2, 'u', 'user'), (1, 2, 'u', 'user'), (3, 2, 'u', 'user'), (2, 3, 'a', 'assistant')),
+options AS (
+  SELECT f, t, initial AS of, 'K' AS edit, 0 AS cost, NULL AS role FROM follows
+  UNION ALL SELECT f, t, NULL, 'R', 2, role FROM follows WHERE initial <> 's'
+  UNION ALL SELECT s, s, NULL, 'D', 3, NULL FROM range(4) r(s)
+), best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS state, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': []::VARCHAR[]} AS way FROM facts
+  UNION ALL
+  SELECT conv_id, rn, state, way FROM (
+    SELECT b.conv_id, r.rn, CAST(o.t AS BIGINT) AS state, min({'cost': CAST(b.way.cost + g.cost + o.cost + CASE WHEN r.fault = 'truncated' AND o.edit <> 'D' THEN 1 ELSE 0 END AS BIGINT),
+      'audit': concat(b.way.audit, g.audit, o.edit),
+      'lines': list_concat(b.way.lines, g.lines, CASE WHEN o.edit = 'D' THEN []::VARCHAR[] ELSE [concat(coalesce(o.role, r.role), ':', r.text)] END)}) AS way
+    FROM best b JOIN told r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.rn = b.rn + 1 JOIN gap g ON g.f = b.state
+      JOIN options o ON o.f = g.t AND (o.of IS NULL OR o.of = r.role[1]) AND (o.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+    GROUP BY b.conv_id, r.rn, o.t
+  )
+), ended AS (
+  SELECT f.conv_id, min({'cost': CAST(b.way.cost + g.cost AS BIGINT), 'audit': concat(b.way.audit, g.audit), 'lines': list_concat(b.way.lines, g.lines)}) AS way
+  FROM facts f JOIN best b ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND b.rn = f.n JOIN gap g ON g.f = b.state AND g.t IN (0, 3) GROUP BY f.conv_id
+)
+SELECT o.conv_id, coalesce(f.gaps, 0) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate, coalesce(f.truncated, 0) AS truncated, coalesce(f.illegal, 0) AS illegal,
+  coalesce(e.way.cost, 0) AS cost, coalesce(e.way.audit, '') AS audit, sha256(coalesce(array_to_string(e.way.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
