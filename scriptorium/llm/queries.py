@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, conversation_repair, fingerprints, html_text, merge_automaton, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
+from . import common, conversation_repair, fingerprints, html_text, lexical_search, merge_automaton, mixing, pieces, simhash, suffix_dedup, token_files, topk, toxicity, word_pieces
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +86,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audited(rows, conversation_repair.damaged(rows))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for each benchmark item."""
+    return lexical_search.ranked(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pieces": op2_pieces,
@@ -99,6 +104,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_merge_automaton": op11_merge_automaton,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op10_topk"] = """
@@ -180,3 +186,24 @@ SELECT o.conv_id, coalesce(f.gaps, 0) AS gaps, coalesce(f.blank, 0) AS blank, co
   coalesce(e.way.cost, 0) AS cost, coalesce(e.way.audit, '') AS audit, sha256(coalesce(array_to_string(e.way.lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+ORACLE_SQL["op13_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tfs AS (SELECT doc_id, row, term, count(*) AS tf FROM words GROUP BY ALL),
+docs AS (SELECT row, sum(tf) AS n FROM tfs GROUP BY row),
+stats AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs WHERE term IN (SELECT term FROM asked) GROUP BY term), stats
+), scored AS (
+  SELECT a.item_id, t.row, t.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + CAST(50 * n * n_docs AS BIGINT) // all_terms)))) AS BIGINT) AS score
+  FROM asked a JOIN weights USING (term) JOIN tfs t USING (term) JOIN docs USING (row), stats GROUP BY a.item_id, t.row, t.doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
