@@ -7,7 +7,11 @@ the generalised tags and classes from the root down to it. Hosts vote: the paths
 with their scores, the winner becomes the host's path, and each page is extracted again at that path; a page that lacks
 it uses its own best container. Inside the container, elements that hold menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments are left out; of a header inside an article the headings stay, and
-paragraphs and the like inside an article go by their class only if it names adverts, comments and such outright (OUTRIGHT).
+paragraphs and the like inside an article go by their class only if one of its words is that of adverts, comments and such (MARKED).
+A class word that has other meanings too (WEAK) counts inside an article only where links outnumber the words of paragraphs.
+
+Tokens are those of HTML, read in time linear in the page: comments also end at --!>, and <!--> is one; a declaration that the page ends
+in is no text, a tag that it ends in is; character references are decoded in each run of text alone. What stands outside <body> belongs to it.
 
 Votes are counts by host and path, summed before the shuffle, so a hot host is a few rows; a page's container scores
 stay in its task.
@@ -42,6 +46,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 CONTAINERS = frozenset("article main section div td body html".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What a class or id marks inside an article or main only if it says so outright: not by words like side or legal.
+PARAGRAPHS = frozenset("p pre blockquote".split())
 PROSE = HEADINGS | frozenset("p pre blockquote li dd dt figcaption caption span em strong b i u a code".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 ENDS_OPTION = CLOSES_P | {"option", "optgroup"}
@@ -52,6 +57,11 @@ _BOILERPLATE = re.compile(
     re.I,
 )
 _OUTRIGHT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|newsletter|subscri\w*|share|sharing|social|comments?|disqus|breadcrumbs?|pagination|pager)(?:$|[\s_-])", re.I)
+#: Whole words of a class by which a paragraph or the like inside an article goes.
+_MARKED = re.compile(r"(?:^|(?<=\s))(?:ads?|advert(?:s|isements?)?|adsense|sponsored|promo|comments?|newsletter|disqus)(?!\S)", re.I)
+#: Words of _BOILERPLATE that an article's own parts may bear.
+_WEAK = re.compile(r"(?:^|(?<=[\s_-]))(?:header|masthead|side|related|search|form|replies|reply|tags|copyright|legal|skip)(?=$|[\s_-])", re.I)
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 #: Class names that tell how a page is laid out, not what an element is: has-sidebar, no-header.
 _LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|have|no|not|is|with|without|layout|hide|show)[_-]\S*", re.I)
 #: A marked element that holds at least this part of a page's words is a wrapper of the page, and its mark does not count.
@@ -59,18 +69,24 @@ WRAPS = 0.8
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 # attributes as HTML reads them: a quote opens a value only behind an equals sign
 _ATTRIBUTES = r"(?:\s|/|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|[^<]+|<", re.S)
+_DECLARED = r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:[!?]|/(?![a-zA-Z]))[^>]*(?:>|\Z)"
+_TOKEN = re.compile(rf"{_DECLARED}|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|[^<]+|<", re.S)
+#: The same behind a tag that the page ends in, which is text: tags end before the next <, so that no place is read twice.
+_LATE_TOKEN = re.compile(rf"{_DECLARED}|<(/?)([a-zA-Z][^\s/><]*+)({_ATTRIBUTES.replace('[^', '[^<')})>|[^<]+|<", re.S)
+_TAG = re.compile("</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"(=?[^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
-_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "score", "link", "seen", "hard", "marks", "article", "heads")
+    __slots__ = ("tag", "path", "out", "score", "link", "seen", "hard", "marks", "weak", "article", "heads")
 
     def __init__(self, tag: str, path: str, out: bool, link: bool, seen: int = 0):
         self.tag, self.path, self.out, self.link, self.score, self.seen = tag, path, out, link, 0.0, seen
         self.hard, self.marks = out, ()
+        #: Of marks, those by words that have other meanings.
+        self.weak: tuple[int, ...] = ()
         #: Whether it lies in an article or main, and in a header there, of which only headings are text.
         self.article = self.heads = False
 
@@ -95,17 +111,20 @@ def _opened(tag: str, attributes: str, parent: Element, place: int, wrappers: fr
                 marks += " " + value
             elif key == "role":
                 out = out or value.lower() in _ROLES
-            elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+            elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
                 out = True
+    weak = False
     if marks and tag not in ("body", "html", "article", "main") and place not in wrappers:
-        telling = _OUTRIGHT if parent.article and (tag in PROSE or tag == "header") else _BOILERPLATE
-        if telling.search(_LAYOUT.sub("", marks)):
+        marks = _LAYOUT.sub("", marks)
+        telling = _MARKED if parent.article and tag in PROSE else _OUTRIGHT if parent.article and tag == "header" else _BOILERPLATE
+        if telling.search(marks):
             marked = (*marked, place)
+            weak = parent.article and not telling.search(_WEAK.sub("", marks))
     path = parent.path
     if tag in CONTAINERS and path.count("/") < DEEPEST:
-        path = f"{path}/{_generalised(tag, names)}"
+        path = f"{path or ('' if tag in ('html', 'body') else '/body')}/{_generalised(tag, names)}"
     child = Element(tag, path, out or bool(marked) or heads, parent.link or tag == "a")
-    child.hard, child.marks = out, marked
+    child.hard, child.marks, child.weak = out, marked, (*parent.weak, place) if weak else parent.weak
     child.article, child.heads = parent.article or tag in ("article", "main"), heads
     return child
 
@@ -119,8 +138,9 @@ class Page:
             self._read(source, wrappers)
 
     def _read(self, source: str, wrappers: frozenset[int]) -> frozenset[int]:
-        """The marked elements that wrap the page, by place in the source."""
+        """The marked elements that wrap the page, or that an article's own words fill, by place in the source."""
         total, held = 0, {}
+        told: dict[int, int] = {}  # words of paragraphs less those of links, of elements that weak words mark; two or more count
         self.scores: dict[str, float] = {}
         self.blocks: list[tuple[str, str]] = []
         #: Of each block: words, words of them in links, and whether it is a paragraph or heading.
@@ -132,16 +152,16 @@ class Page:
         def flush() -> None:
             nonlocal linked
             if text:
-                words = _SPACE.sub(" ", html.unescape("".join(text))).strip()
+                words = _SPACE.sub(" ", "".join(text)).strip()
                 text.clear()
                 if words:
                     top = stack[-1]
-                    self.blocks.append((top.path, words))
+                    self.blocks.append((top.path or "/body", words))
                     n = words.count(" ") + 1
                     paragraph = any(e.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") for e in stack[-3:])
                     self.kinds.append((n, linked, paragraph))
                     value = n if paragraph else 0.25 * n
-                    path, weight = top.path, 1.0
+                    path, weight = top.path or "/body", 1.0
                     while path:  # a container is credited for text directly in it most
                         self.scores[path] = self.scores.get(path, 0.0) + value * weight
                         path, weight = path.rpartition("/")[0], weight * 0.7
@@ -157,14 +177,17 @@ class Page:
                 if stack[i].tag in ("body", "td", "article", "main") and tag not in BLOCKS:
                     return
 
-        at = 0
-        while m := _TOKEN.match(source, at):
+        at, token = 0, _TOKEN
+        while m := token.match(source, at):
             at = m.end()
             name = m[2]
             if name is None:
                 piece = m[0]
-                if piece.startswith("<!") or piece.startswith("<?"):
+                if piece.startswith(("<!", "<?", "</")):
                     continue
+                if piece == "<" and _TAG.match(source, at - 1):
+                    token = _LATE_TOKEN
+                piece = html.unescape(piece)
                 if stack[-1].tag == "head" and piece.strip():
                     stack.pop()
                 top = stack[-1]
@@ -177,6 +200,10 @@ class Page:
                     total += n
                     for place in top.marks:
                         held[place] = held.get(place, 0) + n
+                if top.weak and not top.hard:
+                    n = len(piece.split()) * (-1 if top.link else any(e.tag in PARAGRAPHS for e in stack[-4:]))
+                    for place in top.weak:
+                        told[place] = told.get(place, 0) + n
                 continue
             tag, closing = name.lower(), bool(m[1])
             # end tags that HTML lets be omitted
@@ -207,7 +234,7 @@ class Page:
                     flush()
                 stack.append(child)
         flush()
-        return frozenset(place for place, n in held.items() if n >= WRAPS * total > 0)
+        return frozenset(place for place, n in held.items() if n >= WRAPS * total > 0 or told.get(place, 0) > 1)
 
     @staticmethod
     def _end_paragraph(stack: list[Element]) -> None:

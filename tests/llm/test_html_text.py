@@ -1,3 +1,5 @@
+import pytest
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -146,3 +148,38 @@ def test_a_very_long_page():
     text = "".join(f"<p>Paragraph {i} with a few words in it.</p>" for i in range(60_000))
     p = html_text.Page(page(f"<nav><a>x</a></nav><article>{text}</article>"))
     assert p.text(p.main()).count("\n") == 59_999
+
+
+def main_text(source):
+    page = html_text.Page(source)
+    return page.text(page.main())
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<article><p>One one one one</p><!--><p>Two two two two</p></article>", "One one one one\nTwo two two two"),
+        ("<article><p>One one</p><!-- x --!><p>Two</p><!--->3</article>", "One one\nTwo\n3"),
+        ("<p>a &am<b>p;</b> b</p>", "a &amp; b"),
+        ("<article><section class='legal'><p>Legal analysis of this</p></section></article>", "Legal analysis of this"),
+        ("<article><div class='related work'><p>Much was done before us</p></div></article>", "Much was done before us"),
+        ("<main><div class='form'><p>The form of the sonnet</p></div></main>", "The form of the sonnet"),
+        ("<article><p>x y z</p><p class='social-history'>A</p><p class='ad-hoc'>d</p><h2 class='ad-blockers'>f</h2><figcaption class='caption share'>g</figcaption></article>", "x y z\nA\nd\nf\ng"),
+        ("<article><p>x y z</p><p style='color:red;display: none'>A</p><p class=ad>Buy</p><div class='ad-slot'><p>Buy now</p></div><div class='comments'><p>Nice</p></div></article>", "x y z"),
+        ("<article><p>x y z</p><div class=related><p>See <a href=x>Other article of ours</a></p></div></article>", "x y z"),
+        ("<p>plain</p>tail text<div>more</div>", "plain\ntail text\nmore"),
+        ("<html><p>plain words</p>tail text<div>more</div></html>", "plain words\ntail text\nmore"),
+        ("<article><p>text</p></>more</ x> end<a href='x", "text\nmore end<a href='x"),
+        ("<p>a < b and c</p>", "a < b and c"),
+    ],
+)
+def test_tokens_and_marks_as_html_has_them(source, text):
+    assert main_text(source) == text
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<!", '<p x="', "<a x='", "</script ", "<script></script ", "<!-", "<!--", "</", "<![CDATA[", "<p x=", "&amp", "<"])
+@pytest.mark.parametrize("end", ["", 'x=">"', "'>"])
+def test_broken_pages_take_linear_time(piece, end):
+    began = time.process_time()
+    main_text("<p>word</p>" + piece * (400_000 // len(piece)) + end)
+    assert time.process_time() - began < 12
