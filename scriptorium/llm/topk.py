@@ -38,12 +38,14 @@ FINAL, FIRST = 4, 8
 
 
 def quantised(rows: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id, v (array<bigint> of floor(scale * x)) and dim of the rows that take part."""
+    """vec_id, v (array<bigint> of floor(scale * x)) and dim of the rows that take part; a component beyond 64 bits is an error."""
     x = F.col("embedding").cast("array<double>")
     # NaN and the infinities fail the comparison below; Spark orders NaN above every number
     sound = F.forall(x, lambda e: e.isNotNull() & (F.abs(e) < F.lit(float("inf"))))
     rows = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(sound, F.lit(False)))
-    return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform(x, lambda e: F.floor(e * scale).cast("bigint")).alias("v"), F.size("embedding").alias("dim"))
+    # floor() would give the greatest whole number for any beyond it
+    whole = lambda e: F.when(F.abs(e * scale) < F.lit(2.0**63), F.floor(e * scale)).otherwise(F.raise_error(F.lit("OverflowError: a component beyond 64 bits")).cast("bigint"))
+    return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform(x, whole).alias("v"), F.size("embedding").alias("dim"))
 
 
 def _packed(rows: DataFrame, per: int, name: str) -> DataFrame:
