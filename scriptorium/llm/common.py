@@ -143,3 +143,14 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # not glibc
         pass
+
+
+def packed(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns own of docs, and all others in one, rest: names that an operator adds cannot clash with those of its input."""
+    others = [c for c in docs.columns if c not in own]
+    return docs.select(*own, *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []))
+
+
+def unpacked(rows: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    """columns, in their order, of rows that packed() began."""
+    return rows.select(*[F.col(c) if c in own else F.col(f"rest.`{c}`").alias(c) for c in columns])

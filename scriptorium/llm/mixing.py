@@ -119,6 +119,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -
 
 def apply(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """docs with every row as often as the mix takes it, its own columns unchanged."""
+    columns, docs = docs.columns, common.packed(docs, "doc_id", "source", "text")
     key = ["__mix_id", "__mix_src", "__mix_size"]
     taken = mix(docs, weights, cap).groupBy(F.col("doc_id").alias("__mix_id"), F.col("src").alias("__mix_src"), F.col("size").alias("__mix_size")).agg(F.sum("copies").alias("__mix_copies"), F.count(F.lit(1)).alias("__mix_rows"))
     keyed = docs.withColumns({"__mix_id": F.col("doc_id"), "__mix_src": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("~")), "__mix_size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")})
@@ -128,4 +129,4 @@ def apply(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP)
     place = F.when(F.col("__mix_rows") == 1, 1).otherwise(F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text"))))
     upto = lambda x: F.floor(F.col("__mix_copies") * x / F.col("__mix_rows"))
     both = both.withColumn("__mix_place", place).withColumn("__mix_times", (upto(F.col("__mix_place")) - upto(F.col("__mix_place") - 1)).cast("int"))
-    return both.where("__mix_times > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*docs.columns)
+    return both.where("__mix_times > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).transform(common.unpacked, columns, "doc_id", "source", "text")

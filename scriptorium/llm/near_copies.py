@@ -184,6 +184,7 @@ def near_roots(nodes: DataFrame, texts: DataFrame, tile: int = simhash.TILE, per
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """docs with one row of each component."""
+    columns, docs = docs.columns, common.packed(docs, "doc_id", "text")
     own = {"__at": F.col("doc_id").cast("bigint"), "__node": _node(docs)}
     same = F.col("__at").eqNullSafe(F.col("_at")) & (F.col("__node") == F.col("_node"))
     with common.scratch(docs.sparkSession):
@@ -191,7 +192,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     rest = docs.withColumns(own).join(common.small(gone), same, "left_anti")
     # of equal rows that stay, one
     once = docs.withColumns(own).join(common.small(again), same, "left_semi").dropDuplicates(["__at", "__node"])
-    return rest.unionByName(once).select(*docs.columns)
+    return common.unpacked(rest.unionByName(once), columns, "doc_id", "text")
 
 
 def _decided(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -446,6 +446,7 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """docs with repeated passages cut from text (what is left of a cut character goes too) and n_chars, if there, set anew."""
+    every, kinds, docs = docs.columns, docs.schema, common.packed(docs, "doc_id", "text")
     found = removals(docs, True).where("n_removed > 0").groupBy(F.col("id").alias("__id"), F.col("digest").alias("__digest")).agg(F.first("kept").alias("__kept"))
     own = {"__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)), "__digest": F.xxhash64(F.coalesce("text", F.lit("")))}
     both = docs.withColumns(own).join(found, ["__id", "__digest"], "left")
@@ -457,5 +458,5 @@ def cleaned(docs: DataFrame) -> DataFrame:
             values = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(values, names=columns)
 
-    out = both.select(*columns, "__kept").mapInArrow(run, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
+    out = common.unpacked(both.select(*columns, "__kept").mapInArrow(run, docs.schema), every, "doc_id", "text")
+    return out.withColumn("n_chars", F.length("text").cast(kinds["n_chars"].dataType)) if "n_chars" in every else out
