@@ -6,7 +6,6 @@ SEARCH_TEXT_CHARS = 480
 SNIPPET_CHARS = 380
 SEARCH_LIMIT = 50
 TOPIC_LIST_LIMIT = 15
-SCAN_TEXT_BYTES = 5 * 1024 * 1024
 SCAN_STREAM_BYTES = 2 * 1024 * 1024
 PDF_LEAST_WORD_CHARS = 500
 FULL_TEXT_LEAST_WORD_CHARS = 200
@@ -67,3 +66,16 @@ FORBIDDEN_IN_SITE = [
     ("inline/foreign script tag", r"(?i)<script(?![^>]*assets/(reader|search)\.js)(?![^>]*application/ld\+json)"),
     ("opaque external file id", r"[?&]id=[\w-]{20,}"),
 ]
+
+# where sources of works are kept, and the mark of names that lead to files of a site
+SOURCE_PREFIX = "site:"
+SOURCE_FOLDERS = {"converted": "docx", "classified_docx": "site_docx", "originals": "site_files", "repaired": "repaired"}
+
+# marks that stand in a text for an illustration that may not be shown: one, and several at one place
+OMITTED_ONE = "*[В оригинальном издании здесь расположена иллюстрация{label}. Не воспроизводится до правовой проверки и решения владельца; см. запись в FIGURES.md.]*"
+OMITTED_SEVERAL = "*[В оригинальном издании здесь расположены иллюстрации ({n} объекта). Иллюстрации опущены: см. реестр графического слоя работы.]*"
+NO_ALT = "иллюстрация"
+FIGURE_TAG = r"<!--\s*figs:([0-9A-Za-zА-Яа-яёЁ_,\-]+)\s*-->"
+# names of styles that get into captions: before Cyrillic letters, and at the beginning
+GLUED_STYLE = r"([a-z]+\d+)(?=[А-Яа-яЁё])"
+LEADING_STYLES = r"^([a-z]+\d+\s*)+"

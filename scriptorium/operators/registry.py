@@ -51,39 +51,13 @@ def public_record(records: DataFrame, keep: list[str]) -> DataFrame:
     return records.select(*out)
 
 
-def resolve_sources(works: DataFrame, files: DataFrame) -> DataFrame:
-    """works with the file that holds their source: by hash, else by name. files: path, name, sha."""
-    by_sha = files.groupBy("sha").agg(F.min("path").alias("_by_sha"))
-    by_name = files.groupBy("name").agg(F.min("path").alias("_by_name"))
-    rows = works.join(by_sha, works["sha256_source"] == by_sha["sha"], "left").drop("sha").join(by_name, works["source_name"] == by_name["name"], "left").drop("name")
-    return rows.withColumn("source_path", F.coalesce("_by_sha", "_by_name")).drop("_by_sha", "_by_name")
-
-
 def match_media(references: DataFrame, files: DataFrame) -> DataFrame:
-    """references (work_id, media_name) with file: of the same name, else of the same stem (a converted copy)."""
+    """references (work_id, media_name) with file: of the same name, else of the same stem (a converted copy), which by_stem tells."""
     stem = lambda c: F.regexp_replace(c, r"\.[^.]*$", "")
     exact = files.select("work_id", F.col("file").alias("media_name"), F.col("file").alias("_exact"))
     stems = files.groupBy("work_id", stem(F.col("file")).alias("_stem")).agg(F.min("file").alias("_by_stem"))
     rows = references.join(exact, ["work_id", "media_name"], "left").withColumn("_stem", stem(F.col("media_name"))).join(stems, ["work_id", "_stem"], "left")
-    return rows.withColumn("file", F.coalesce("_exact", "_by_stem")).drop("_exact", "_stem", "_by_stem")
-
-
-def anchors(places: DataFrame, lines: DataFrame, least: int = 25) -> DataFrame:
-    """place_id, file, line_no and confidence of places (place_id, work_id, paragraph) in lines (work_id, file, line_no, norm).
-
-    A line equal to the paragraph wins (exact from 40 characters on, else strong); else the one line that holds it or is held by it
-    (probable); several, or none, leave the place unbound. Equal lines are joined by hash; only what is left is searched for.
-    """
-    asked = places.withColumn("norm", text.squeeze(F.col("paragraph"))).where(F.length("norm") >= least)
-    equal = asked.join(lines, ["work_id", "norm"]).groupBy("place_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "line_no")).alias("at"), F.first(F.length("norm")).alias("chars"))
-    exact = equal.where("n = 1").select("place_id", "at.file", "at.line_no", F.when(F.col("chars") >= 40, "anchor_exact").otherwise("anchor_strong").alias("confidence"))
-    rest = asked.join(equal.select("place_id"), "place_id", "left_anti").withColumnRenamed("norm", "sought")
-    held = lines.where(F.length("norm") >= least)
-    near = rest.join(held, "work_id").where(F.col("norm").contains(F.col("sought")) | F.col("sought").contains(F.col("norm")))
-    one = near.groupBy("place_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "line_no")).alias("at")).where("n = 1").select("place_id", "at.file", "at.line_no", F.lit("anchor_probable").alias("confidence"))
-    found = exact.unionByName(one)
-    none = places.join(found, "place_id", "left_anti").select("place_id", F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("line_no"), F.lit("unbound_confirmed").alias("confidence"))
-    return found.unionByName(none)
+    return rows.withColumn("file", F.coalesce("_exact", "_by_stem")).withColumn("by_stem", F.col("_exact").isNull() & F.col("_by_stem").isNotNull()).drop("_exact", "_stem", "_by_stem")
 
 
 def inner_word(phrase: Column) -> Column:

@@ -67,10 +67,6 @@ def assets(rows: DataFrame, root: str) -> None:
     rows.select("source", "path", "sha256").foreachPartition(copy)
 
 
-def robots(base: str) -> str:
-    return f"User-agent: *\nAllow: /\nSitemap: {base.rstrip('/')}/sitemap.xml\n"
-
-
 def pending(files: DataFrame, done: DataFrame) -> DataFrame:
     """files (path, content) whose hash is not among those done (sha256): what an earlier run converted is not converted again."""
     return files.withColumn("sha256", F.sha2(F.col("content").cast("binary"), 256)).join(done.select("sha256"), "sha256", "left_anti")

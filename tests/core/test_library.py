@@ -125,9 +125,6 @@ def test_registry(spark):
     lines = spark.createDataFrame([("a.md", i, t) for i, t in enumerate(["x", "Рис. 2. Вид", "ref", "*подпись* рисунок 3", "y"])], "file string, line_no int, line string")
     refs = spark.createDataFrame([("r", "a.md", 2), ("s", "b.md", 0)], "ref_id string, file string, line_no int")
     assert {r.ref_id: r.label for r in registry.captions(refs, lines).collect()} == {"r": "Рис. 2.", "s": None}
-    text_lines = spark.createDataFrame([("w", "a.md", 1, "a long enough line of words to be found exactly here"), ("w", "a.md", 2, "twice said words that are long enough"), ("w", "b.md", 1, "twice said words that are long enough"), ("w", "b.md", 2, "part of a much longer sentence in the book, yes")], "work_id string, file string, line_no int, norm string")
-    places = spark.createDataFrame([("p1", "w", "a long enough line of *words* to be found exactly here"), ("p2", "w", "twice said words that are long enough"), ("p3", "w", "part of a much longer sentence"), ("p4", "w", "short")], "place_id string, work_id string, paragraph string")
-    assert {r.place_id: r.confidence for r in registry.anchors(places, text_lines).collect()} == {"p1": "anchor_exact", "p2": "unbound_confirmed", "p3": "anchor_probable", "p4": "unbound_confirmed"}
     done = registry.insert_lines(spark.createDataFrame([("d", 0, "a"), ("d", 1, "b")], "k string, line_no int, line string"), spark.createDataFrame([("d", 0, "2", "y"), ("d", 0, "1", "x")], "k string, line_no int, item string, line string"), "k")
     assert done.first().text == "a\nx\ny\nb"
     marks = spark.createDataFrame([("m", "f", 10, "s"), ("n", "f", 500, "s"), ("o", "f", 500, "t")], "mark_id string, file string, line_no int, sha string")
