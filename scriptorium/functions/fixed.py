@@ -79,3 +79,7 @@ FIGURE_TAG = r"<!--\s*figs:([0-9A-Za-zА-Яа-яёЁ_,\-]+)\s*-->"
 # names of styles that get into captions: before Cyrillic letters, and at the beginning
 GLUED_STYLE = r"([a-z]+\d+)(?=[А-Яа-яЁё])"
 LEADING_STYLES = r"^([a-z]+\d+\s*)+"
+
+# folders of volumes and of the media in them
+VOLUME_PREFIX = "tom-"
+VOLUME_MEDIA = "assets/media"

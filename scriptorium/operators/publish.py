@@ -20,7 +20,11 @@ def neutralise_links(docs: DataFrame, files: DataFrame, path: str = "path", body
     judged = links.join(known, F.col("resolved") == F.col("_known"), "left").withColumn("live", remote | F.coalesce("_there", F.lit(False)))
     by = judged.groupBy(path).agg(F.collect_set(F.when(~F.col("live"), F.struct("label", "target"))).alias("_dead"), F.count_if("live").alias("kept"), F.count_if(~F.col("live")).alias("neutralised"))
     rows = docs.join(by, path, "left")
-    rewritten = F.aggregate(F.coalesce("_dead", F.array().cast("array<struct<label:string,target:string>>")), F.col(body), lambda acc, d: F.replace(acc, F.concat(F.lit("["), d["label"], F.lit("]("), d["target"], F.lit(")")), d["label"]))
+    # an image of the same label and target is no link
+    quoted = lambda c: F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    link = lambda d: F.concat(F.lit(r"(?<!!)\["), quoted(d["label"]), F.lit(r"\]\("), quoted(d["target"]), F.lit(r"\)"))
+    bare = lambda d: F.regexp_replace(d["label"], r"([\\$])", r"\\$1")
+    rewritten = F.aggregate(F.coalesce("_dead", F.array().cast("array<struct<label:string,target:string>>")), F.col(body), lambda acc, d: F.regexp_replace(acc, link(d), bare(d)))
     return rows.withColumn(body, rewritten).withColumn("kept", F.coalesce("kept", F.lit(0))).withColumn("neutralised", F.coalesce("neutralised", F.lit(0))).drop("_dead")
 
 

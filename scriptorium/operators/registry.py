@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from . import grams
 
 
 def canonical_objects(objects: DataFrame, key: str, order: list[str], sha: str = "sha") -> DataFrame:
@@ -107,38 +108,30 @@ def recover_anchors(places: DataFrame, lines: DataFrame, least: int = 25, sure:
     return rows.select("place_id", "at.file", "at.line_no", "at.mode", "at.sha", "confidence")
 
 
-#: Probes that are broadcast at most.
-PROBES = 100_000
-
-
 def unique_context(probes: DataFrame, sections: DataFrame) -> DataFrame:
     """item_id and section_id of probes (item_id, rank, phrase) that exactly one section's body holds; the smallest rank wins.
 
     A phrase's words but the first and last stand whole between spaces wherever it occurs: its longest such word is joined with
-    the words of the bodies, and only bodies that have it are searched. Phrases of one or two words are searched for everywhere.
+    the words of the bodies, and only bodies that have it are searched. Phrases of one or two words are sought by grams.
     """
     keyed = probes.withColumn("key", inner_word(F.col("phrase")))
     known = keyed.where("key IS NOT NULL")
-    known = F.broadcast(known) if known.count() <= PROBES else known
     spoken = sections.select("section_id", F.explode(F.array_distinct(F.split("body", " "))).alias("key"))
     pairs = spoken.join(known, "key").select("section_id", "item_id", "rank", "phrase")
     hits = pairs.join(sections.select("section_id", "body"), "section_id").where(F.col("body").contains(F.col("phrase"))).select("section_id", "item_id", "rank")
-    loose = keyed.where("key IS NULL AND phrase <> ''")
-    n = loose.count()
-    if n > PROBES:
-        raise ValueError(f"{n} phrases of one or two words; {PROBES} are searched for at most")
-    if n:
-        hits = hits.unionByName(sections.join(F.broadcast(loose), F.col("body").contains(F.col("phrase"))).select("section_id", "item_id", "rank"))
+    loose = keyed.where("key IS NULL AND phrase <> ''").select(F.struct("item_id", "rank").alias("_asked"), F.array("phrase").alias("words")).distinct()
+    rest = grams.holding(sections, "section_id", "body", loose, "_asked")
+    hits = hits.unionByName(rest.select("section_id", "_asked.item_id", "_asked.rank"))
     found = hits.groupBy("item_id", "rank").agg(F.count(F.lit(1)).alias("n"), F.min("section_id").alias("section_id"))
     return found.where("n = 1").groupBy("item_id").agg(F.min_by("section_id", "rank").alias("section_id"))
 
 
-def public_paths(records: DataFrame, shipped: DataFrame) -> DataFrame:
+def public_paths(records: DataFrame, shipped: DataFrame, volume_prefix: str = fixed.VOLUME_PREFIX, folder: str = fixed.VOLUME_MEDIA) -> DataFrame:
     """records (volume, media_file, public_path, public_asset_sha256) with the path under which the object ships (volume, name, sha256 as found and as allowed), else null."""
     ok = shipped.where("sha256 = allowed_sha256").select(F.col("volume").alias("_v"), F.col("name").alias("_n")).distinct().withColumn("_ok", F.lit(True))
     name = F.substring_index(F.coalesce("media_file", F.lit("")), "/", -1)
     rows = records.withColumn("_name", name).join(ok, (F.col("volume") == F.col("_v")) & (F.col("_name") == F.col("_n")), "left")
-    path = F.when(F.col("_ok"), F.concat(F.lit("tom-"), F.col("volume").cast("string"), F.lit("/assets/media/"), "_name"))
+    path = F.when(F.col("_ok"), F.concat(F.lit(volume_prefix), F.col("volume").cast("string"), F.lit(f"/{folder}/"), "_name"))
     return rows.withColumn("public_path", path).withColumn("public_asset_sha256", F.when(F.col("_ok"), F.col("public_asset_sha256"))).drop("_v", "_n", "_ok", "_name")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from . import grams
 
 
 def index(sections: DataFrame) -> DataFrame:
@@ -27,10 +28,6 @@ def full_index(sections: DataFrame, concepts: DataFrame) -> DataFrame:
     return index(sections).unionByName(concept_rows(concepts))
 
 
-#: Queries that search_all() takes at once.
-QUERIES = 10_000
-
-
 def search(rows: DataFrame, query: str, limit: int = fixed.SEARCH_LIMIT, title: str = "title", body: str = "text", order: str = "section_id") -> DataFrame:
     """Rows that hold every word of the query in title or text, with score (10 for a word in the title, else 1) and snippet; the best first, ties in order."""
     words = [w for w in query.strip().lower().split() if w]
@@ -47,13 +44,11 @@ def search(rows: DataFrame, query: str, limit: int = fixed.SEARCH_LIMIT, title:
 
 
 def search_all(rows: DataFrame, queries: DataFrame, limit: int = fixed.SEARCH_LIMIT, order: str = "section_id") -> DataFrame:
-    """search() for a table of queries (query_id, query; a few): query_id, rank, order and score."""
-    n = queries.count()
-    if n > QUERIES:
-        raise ValueError(f"{n} queries; {QUERIES} at most are held against all rows at once")
-    asked = queries.withColumn("words", F.filter(F.split(F.lower(F.trim("query")), r"\s+"), lambda w: w != "")).where(F.size("words") > 0)
-    hay = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))))
-    met = rows.withColumn("_hay", hay).withColumn("_head", F.lower(F.coalesce("title", F.lit("")))).join(F.broadcast(asked.select("query_id", "words")), F.expr("forall(words, w -> contains(_hay, w))"))
+    """search() for a table of queries (query_id, query), however many: query_id, rank, order and score. Rows of one order are found each."""
+    asked = queries.withColumn("words", F.filter(F.split(F.lower(F.trim("query")), r"\s+"), lambda w: w != "")).where(F.size("words") > 0).select("query_id", "words")
+    heads = rows.select(order, F.lower(F.coalesce("title", F.lit(""))).alias("_head"), F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))).alias("_body"))
+    pairs = grams.holding(heads, order, "_body", asked, "query_id").distinct()
+    met = pairs.join(asked, "query_id").join(heads, order).where(F.forall("words", lambda w: F.contains(F.col("_body"), w)))
     score = F.aggregate("words", F.lit(0), lambda a, w: a + F.when(F.contains(F.col("_head"), w), 10).otherwise(1))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), order))
     return met.withColumn("score", score).withColumn("rank", rank).where(F.col("rank") <= limit).select("query_id", "rank", order, "score")

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, paths, text
+from . import ranges
 
 
 def sections(docs: DataFrame) -> DataFrame:
-    """section_id, work_id, language, title (first line), body and reading_order of documents (doc_id, source, lang, text)."""
-    order = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return docs.select(F.col("doc_id").alias("section_id"), F.col("source").alias("work_id"), F.col("lang").alias("language"), text.title_of(F.col("text")).alias("title"), F.col("text").alias("body"), order.alias("reading_order"))
+    """section_id, work_id, language, title (first line) and body of documents (doc_id, source, lang, text)."""
+    return docs.select(F.col("doc_id").alias("section_id"), F.col("source").alias("work_id"), F.col("lang").alias("language"), text.title_of(F.col("text")).alias("title"), F.col("text").alias("body"))
+
+
+def in_reading_order(sections: DataFrame, work: str = "work_id", order: str = "section_id") -> DataFrame:
+    """sections with reading_order, their number in their work."""
+    return ranges.numbered(sections, work, order, "reading_order")
 
 
 def chunk_ranges(value: Column, limit: int = fixed.CHUNK_LIMIT, separator: str = "\n\n") -> Column:
@@ -122,7 +126,7 @@ def lines(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame
 
 def numbered_runs(rows: DataFrame, key: str, order: str, starts: Column) -> DataFrame:
     """rows with run_no: how many rows that start a run there are up to each."""
-    return rows.withColumn("run_no", F.sum(starts.cast("int")).over(Window.partitionBy(key).orderBy(order)))
+    return ranges.running_sum(rows, key, order, starts.cast("int"), "run_no")
 
 
 def units(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
@@ -151,7 +155,7 @@ def units(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame
         .when(F.col("kind") == "subsection", F.concat(scope, F.lit("-s"), pad(F.col("s1")), F.lit("-"), pad(F.col("s2")), F.lit("-"), pad(F.col("s3"))))
     )
     rows = rows.withColumn("kind", kind).withColumn("unit_id", name).withColumn("title", F.when(F.col("kind").isNotNull(), bare))
-    rows = numbered_runs(rows, key, "line_no", F.col("kind").isNotNull())
+    rows = rows.withColumn("run_no", F.sum(F.col("kind").isNotNull().cast("int")).over(w))
     whole = rows.groupBy(key, F.col("run_no").alias("unit_no")).agg(
         F.max("kind").alias("kind"), F.max("unit_id").alias("unit_id"), F.max("title").alias("title"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "").alias("raw")
     )
@@ -162,7 +166,8 @@ def units(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame
 def split_by_headings(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     """key, section_no, title and text: sections that first and second headings begin; text before them is titled text."""
     rows = lines(docs, key, body)
-    rows = numbered_runs(rows, key, "line_no", F.col("line").rlike(r"^#{1,2} \S"))
+    begins = F.col("line").rlike(r"^#{1,2} \S").cast("int")
+    rows = rows.withColumn("run_no", F.sum(begins).over(Window.partitionBy(key).orderBy("line_no")))  # the lines of one text
     title = F.regexp_replace(F.min_by("line", "line_no"), r"^#{1,2} ", "")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
     out = rows.groupBy(key, F.col("run_no").alias("section_no")).agg(F.when(F.first("run_no") == 0, "text").otherwise(F.trim(title)).alias("title"), joined.alias("text"))
@@ -202,18 +207,17 @@ def replicate_footnotes(parts: DataFrame, work: str, part: str, order: str, body
 
 def navigation(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """rows with previous and next value."""
-    w = Window.partitionBy(key).orderBy(order)
-    return rows.withColumn("previous", F.lag(value).over(w)).withColumn("next", F.lead(value).over(w))
+    return ranges.neighbours(rows, key, order, value)
 
 
 def repair_parent_pages(rows: DataFrame, key: str, order: str, within: int = 6) -> DataFrame:
     """page of a heading-only parent: the first later page found by context before the next parent, if within so many pages."""
-    w = Window.partitionBy(key, "_run").orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    runs = rows.withColumn("_run", F.sum(F.col("is_parent").cast("int")).over(Window.partitionBy(key).orderBy(order)))
-    child = F.first(F.when(F.col("status") == "context", F.col("page")), ignorenulls=True).over(w)
-    runs = runs.withColumn("_child", child)
+    runs = ranges.running_sum(rows.withColumn("_key", F.struct(key)), key, order, F.col("is_parent").cast("int"), "_run")
+    by_context = F.when((F.col("status") == "context") & ~F.col("is_parent"), F.col(order))
+    child = runs.groupBy("_key", "_run").agg(F.min_by("page", by_context).alias("_child")).where("_child IS NOT NULL AND _run > 0")
+    runs = runs.join(child, ["_key", "_run"], "left")
     fixed_page = F.when(F.col("is_parent") & (F.col("status") == "heading_only") & F.col("_child").between(F.col("page"), F.col("page") + within), F.col("_child")).otherwise(F.col("page"))
-    return runs.withColumn("page", fixed_page).drop("_run", "_child")
+    return runs.withColumn("page", fixed_page).drop("_key", "_run", "_child")
 
 
 def union_schemas(old: DataFrame, new: DataFrame, renames: dict[str, str]) -> DataFrame:
@@ -221,25 +225,6 @@ def union_schemas(old: DataFrame, new: DataFrame, renames: dict[str, str]) -> Da
     return old.withColumnsRenamed(renames).unionByName(new, allowMissingColumns=True)
 
 
-def match_pages(headings: DataFrame, pages: DataFrame, work: str, order: str, back: int = 2, least: int = 8) -> DataFrame:
-    """work, order and page of each heading: the first page, from back pages before the last match on, whose text holds its title.
-
-    headings: work, order, title (normalised); pages: work, page, text (normalised). The only sequential fold: one work at a time.
-    """
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in headings.select(work, order).schema) + ", page int"
-
-    def run(_, heads: pd.DataFrame, book: pd.DataFrame) -> pd.DataFrame:
-        book, last, out = book.sort_values("page"), 0, []
-        for _, h in heads.sort_values(order).iterrows():
-            hits = [int(p) for p, t in zip(book.page, book.text) if p >= last - back and len(h.title) >= least and h.title in t]
-            if hits:
-                last = max(last, hits[0])
-            out.append((h[work], h[order], hits[0] if hits else None))
-        return pd.DataFrame(out, columns=[work, order, "page"])
-
-    return headings.groupBy(work).cogroup(pages.groupBy(work)).applyInPandas(run, schema)
-
-
 def page_candidates(headings: DataFrame, pages: DataFrame, work: str, order: str, first: int = 4, least: int = 8, cut: int = 95) -> DataFrame:
     """work, order, page and status of every heading in the pages of its work.
 

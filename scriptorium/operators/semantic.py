@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, media, text
+from . import grams
 
 
 def finding(df: DataFrame, rule: str, key: Column, detail: Column | str, severity: str = "block") -> DataFrame:
@@ -18,25 +19,36 @@ def together(found: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-#: Topics that one plan holds as conditions.
+#: Topics that one plan holds as conditions; more are met by postings of grams, with the same result.
 TOPICS = 1000
 
 
 def topic_members(topics: DataFrame, sections: DataFrame, title: str = "title", key: str = "section_id") -> DataFrame:
     """topic_id, key and title of every section whose normalised title holds a term; the topic of smallest priority wins.
 
-    topics (topic_id, priority, terms) is an editorial list, of TOPICS at most: every topic is one condition, so sections are read once, without a join.
+    topics (topic_id, priority, terms) is an editorial list: up to TOPICS, every topic is one condition, so sections are read once, without a
+    join; longer lists are joined with the sections by the grams of their terms.
     """
+    kinds = sections.where("kind <> 'frontmatter'") if "kind" in sections.columns else sections
     listed = topics.orderBy("priority").limit(TOPICS + 1).collect()
     if len(listed) > TOPICS:
-        raise ValueError(f"more than {TOPICS} topics")
+        return _members_of_many(topics, kinds, title, key)
     hay = text.norm_search(F.col(title))
     norm = lambda t: text.norm_search(F.lit(t))
     first = F.coalesce(*[F.when(reduce(Column.__or__, [F.contains(hay, norm(t)) for t in r["terms"]], F.lit(False)), F.lit(r["topic_id"])) for r in listed], F.lit(None).cast("string")) if listed else F.lit(None).cast("string")
-    kinds = sections.where("kind <> 'frontmatter'") if "kind" in sections.columns else sections
     return kinds.withColumn("topic_id", first).where("topic_id IS NOT NULL").select("topic_id", key, title)
 
 
+def _members_of_many(topics: DataFrame, sections: DataFrame, title: str, key: str) -> DataFrame:
+    hays = sections.select(key, title, text.norm_search(F.col(title)).alias("_title"))
+    terms = topics.select("topic_id", "priority", F.explode("terms").alias("_term")).withColumn("_term", text.norm_search(F.col("_term")))
+    asked = terms.select(F.struct("priority", "topic_id", "_term").alias("_asked"), F.array("_term").alias("words")).distinct()
+    pairs = grams.holding(hays, key, "_title", asked, "_asked").select(key, F.col("_asked._term").alias("_term"), F.struct("_asked.priority", "_asked.topic_id").alias("_topic"))
+    # rows of one key may have other titles: each is judged by its own
+    met = hays.join(pairs.distinct(), key).where(F.contains(F.col("_title"), F.col("_term")))
+    return met.groupBy(key, title).agg(F.min("_topic").alias("_topic")).join(hays.select(key, title), [key, title]).select(F.col("_topic.topic_id").alias("topic_id"), key, title)
+
+
 def topic_lists(members: DataFrame, order: str, limit: int = fixed.TOPIC_LIST_LIMIT) -> DataFrame:
     """The first members of each topic by order, with their place."""
     place = F.row_number().over(Window.partitionBy("topic_id").orderBy(order))
@@ -128,10 +140,11 @@ def derived_variants(works: DataFrame, translations: DataFrame, original: str =
 
 
 def entities(topics: DataFrame, concepts: DataFrame, variants: DataFrame, citations: DataFrame) -> DataFrame:
-    """entity_id, kind, label and language of everything the semantic layer publishes, each once.
+    """entity_id, kind, label and language of everything the semantic layer publishes, each once: of several the least by kind, label and language.
 
     topics: topic_id, label; concepts: concept_id, canonical_term; variants: variant_id, canonical_name, language; citations: citation_target_id, anchor, language.
     """
     one = lambda df, key, kind, label, language: df.select(F.col(key).alias("entity_id"), F.lit(kind).alias("kind"), F.col(label).alias("label"), (F.col(language) if language else F.lit(None).cast("string")).alias("language"))
     every = [one(topics, "topic_id", "topic", "label", None), one(concepts, "concept_id", "concept", "canonical_term", None), one(variants, "variant_id", "language_variant", "canonical_name", "language"), one(citations, "citation_target_id", "citation", "anchor", "language")]
-    return together(every).dropDuplicates(["entity_id"])
+    least = F.min(F.struct("kind", "label", "language")).alias("_least")
+    return together(every).groupBy("entity_id").agg(least).select("entity_id", "_least.*")

@@ -39,6 +39,21 @@ def search_topk(spark, sf_dir):
     return found.select("section_id", "score", "snippet")
 
 
+@query(rf"""
+WITH q AS (SELECT 2 * item_id AS query_id, list_filter(regexp_split_to_array(lower(trim(array_to_string(string_split(text, ' ')[1:3], ' '))), '\s+'), lambda w: w <> '') AS words FROM benchmark
+  UNION ALL SELECT 2 * item_id + 1, list_filter(regexp_split_to_array(lower(trim(text)), '\s+'), lambda w: w <> '') FROM benchmark),
+s AS (SELECT doc_id, lower({TITLE}) AS head, lower({TITLE}) || ' ' || lower(coalesce(substring(text, 1, 480), '')) AS hay FROM documents),
+m AS (SELECT query_id, doc_id AS section_id, CAST(list_sum(list_transform(words, lambda w: CASE WHEN contains(head, w) THEN 10 ELSE 1 END)) AS INTEGER) AS score
+  FROM q JOIN s ON len(list_filter(words, lambda w: NOT contains(hay, w))) = 0 WHERE len(words) > 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, section_id) AS INTEGER) AS rank FROM m)
+SELECT query_id, rank, section_id, score FROM r WHERE rank <= 50""")
+def search_many(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    begun = F.array_join(F.slice(F.split("text", " "), 1, 3), " ")
+    queries = items.select((2 * F.col("item_id")).alias("query_id"), begun.alias("query")).unionByName(items.select((2 * F.col("item_id") + 1).alias("query_id"), F.col("text").alias("query")))
+    return search.search_all(search.index(sections.sections(documents(spark, sf_dir))), queries)
+
+
 @query(f"SELECT {TITLE} AS title, 'section' AS kind, source AS work_id, doc_id AS section_id, '/' || source || '/' || doc_id || '.html' AS url, substring(text, 1, 480) AS text FROM documents")
 def search_index(spark, sf_dir):
     return search.index(sections.sections(documents(spark, sf_dir)))
@@ -120,7 +135,7 @@ def section_navigation(spark, sf_dir):
 
 @query("SELECT doc_id AS section_id, source AS work_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS reading_order FROM documents")
 def reading_order(spark, sf_dir):
-    return sections.sections(documents(spark, sf_dir)).select("section_id", "work_id", "reading_order")
+    return sections.in_reading_order(sections.sections(documents(spark, sf_dir)).select("section_id", "work_id"))
 
 
 @query(f"WITH t AS (SELECT doc_id, {TITLE} AS title FROM documents), c AS (SELECT title, count(*) AS n FROM t GROUP BY title HAVING count(*) > 1) SELECT t.doc_id, t.title, c.n AS n_sections FROM t JOIN c ON t.title = c.title")

@@ -100,13 +100,6 @@ def test_footnotes(spark):
     assert rules == {("undefined_footnote", "9")}
 
 
-def test_sequential_page_match(spark):
-    heads = spark.createDataFrame([("w", 1, "alpha chapter"), ("w", 2, "beta chapter"), ("w", 3, "tiny"), ("w", 4, "gamma chapter")], "work string, ord int, title string")
-    pages = spark.createDataFrame([("w", i, t) for i, t in enumerate(["beta chapter listed gamma chapter", "alpha chapter", "x", "y", "z beta chapter", "gamma chapter"], 1)], "work string, page int, text string")
-    got = {r.ord: r.page for r in sections.match_pages(heads, pages, "work", "ord").collect()}
-    assert got == {1: 2, 2: 1, 3: None, 4: 1}
-
-
 def test_search(spark):
     rows = spark.createDataFrame([(1, "Alpha beta", "gamma"), (2, "x", "alpha GAMMA"), (3, "gamma alpha", ""), (4, "none", None)], "section_id int, title string, text string")
     got = [(r.section_id, r.score) for r in search.search(rows, " alpha  gamma ").collect()]
