@@ -57,6 +57,46 @@ def translation_status(text_chars: Column, has_file: Column, failed: Column, lea
     return F.when(~has_file, F.when(failed, "download_failed").otherwise("no_source_file")).when(F.coalesce(text_chars, F.lit(0)) < least, "text_unavailable").otherwise("full")
 
 
+def split_sections(body: Column) -> Column:
+    """array<struct<n, file, title, content>> of a Markdown text: what headings of the first two levels begin, and text before them, titled text.
+
+    content is what the file of the section holds: its heading as one of the second level, a blank line and its text.
+    """
+    strip = lambda c: F.regexp_replace(c, rf"^{text.SPACES}|{text.SPACES}$", "")
+    parts = F.split(F.regexp_replace(body, r"(?md)^(#{1,2}\s)", "\x01$1"), "\x01")
+    heading = r"(?s)^#{1,2}\s+([^\n]*)"
+    told = F.transform(parts, lambda p: F.struct(
+        F.when(p.rlike(r"^#{1,2}\s"), strip(F.regexp_extract(p, heading, 1))).otherwise("text").alias("title"), strip(F.regexp_replace(p, heading, "")).alias("body")))
+    # text before the first heading counts only if there is some; a text without anything is one section
+    kept = F.filter(told, lambda x, i: (i > 0) | (x["body"] != "") | (F.size(parts) == 1))
+    number = lambda i: F.when(i < 9, F.lpad((i + 1).cast("string"), 2, "0")).otherwise((i + 1).cast("string"))
+    content = lambda x: F.concat(F.when(x["title"] == "text", x["body"]).otherwise(F.concat(F.lit("## "), x["title"], F.lit("\n\n"), x["body"])), F.lit("\n"))
+    return F.transform(kept, lambda x, i: F.struct((i + 1).cast("int").alias("n"), F.concat(number(i), F.lit(".md")).alias("file"), x["title"].alias("title"), content(x).alias("content")))
+
+
+def enriched(rows: DataFrame, converted: DataFrame, key: str = "translation_id", least: int = fixed.FULL_TEXT_LEAST_WORD_CHARS, title_chars: int = 200) -> DataFrame:
+    """rows (key, has_file, failed) with full_text_status, sections_count, reading_order, md_sha256 and conversion_error.
+
+    converted: key, text (null if the source could not be converted) and error, of new conversions or those of an earlier run. The hash
+    is that of all section files one after the other; a text that is too short has no sections, and says so.
+    """
+    made = converted.groupBy(key).agg(F.max(F.struct("text", "error")).alias("_c")).select(key, F.replace("_c.text", F.lit("\u00ad"), F.lit("")).alias("_text"), F.col("_c.error").alias("_error"))
+    out = rows.join(made, key, "left")
+    status = translation_status(F.when(F.col("_text").isNotNull(), text.word_chars(F.col("_text"))), F.col("has_file"), F.col("failed"), least)
+    out = out.withColumn("full_text_status", status).withColumn("_sections", F.when(F.col("full_text_status") == "full", split_sections(F.col("_text"))))
+    error = F.when(F.col("full_text_status") == "text_unavailable", F.when(F.col("_text").isNull(), F.substring(F.coalesce("_error", F.lit("not converted")), 1, 200)).otherwise("extracted text too short"))
+    return out.withColumns({
+        "sections_count": F.when(F.col("_sections").isNotNull(), F.size("_sections")), "conversion_error": error,
+        "reading_order": F.transform("_sections", lambda x: F.struct(x["n"].alias("n"), x["file"].alias("file"), F.substring(x["title"], 1, title_chars).alias("title"))),
+        "md_sha256": F.sha2(F.array_join(F.transform("_sections", lambda x: x["content"]), ""), 256),
+    }).drop("_text", "_error", "_sections")
+
+
+def section_files(rows: DataFrame, key: str = "translation_id", language: str = "language", body: str = "text") -> DataFrame:
+    """path and text of the section files of rows: language, key and file, for the pages sink."""
+    return rows.select(language, key, F.explode(split_sections(F.replace(body, F.lit("\u00ad"), F.lit("")))).alias("s")).select(F.concat_ws("/", language, key, "s.file").alias("path"), F.col("s.content").alias("text"))
+
+
 def translation_totals(rows: DataFrame, by_match: bool = False) -> DataFrame:
     """n_entries, n_languages, n_full and n_cards of translations (language, is_full), of all or of each match."""
     grouped = rows.groupBy("match") if by_match else rows.groupBy()

@@ -89,12 +89,30 @@ def suggested(items: DataFrame, key: str, order: str, path: str = "suggested_pat
     return items.groupBy(key).agg(best.alias("_b")).select(key, "_b.*")
 
 
+def tree_digest(files: DataFrame, levels: tuple[int, ...] = (4, 2, 0)) -> DataFrame:
+    """volume and tree_sha256 of files (volume, path, sha256), whatever their order and partitions.
+
+    A file is a leaf at the first digits of its path's hash; a node is the hash of its leaves' paths and hashes, or of its children's digits and
+    hashes, in order, a line each. So no value holds more than the part of a volume below one node, and a changed file changes the nodes above it.
+    """
+    place = lambda c, n: F.substring(c, 1, n)
+    node = lambda: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "sha256"))), lambda x: F.concat(x["name"], F.lit(" "), x["sha256"])), "\n"), 256)
+    rows = files.select("volume", F.sha2("path", 256).alias("at"), F.col("path").alias("name"), "sha256")
+    for n in levels:
+        rows = rows.groupBy("volume", place(F.col("at"), n).alias("at")).agg(node().alias("sha256")).select("volume", "at", F.col("at").alias("name"), "sha256")
+    return rows.select("volume", F.col("sha256").alias("tree_sha256"))
+
+
 def release_manifest(files: DataFrame, queue: DataFrame, excluded: list[str]) -> DataFrame:
-    """volume, n_files, bytes, n_excluded, n_verified and n_pending. files: volume, path, bytes; queue: volume, human_review_status."""
+    """volume, n_files, bytes, n_excluded, n_verified and n_pending, and tree_sha256 of the files that are not excluded if files have hashes.
+
+    files: volume, path, bytes, and perhaps sha256; queue: volume, human_review_status.
+    """
     out = F.col("path").rlike("|".join(excluded)) if excluded else F.lit(False)
     a = files.groupBy("volume").agg(F.count_if(~out).alias("n_files"), F.sum(F.when(~out, F.col("bytes")).otherwise(0)).alias("bytes"), F.count_if(out).alias("n_excluded"))
     b = queue.groupBy("volume").agg(F.count_if(F.col("human_review_status") == "verified").alias("n_verified"), F.count_if(~F.col("human_review_status").eqNullSafe(F.lit("verified"))).alias("n_pending"))
-    return a.join(b, "volume", "left").na.fill(0, ["n_verified", "n_pending"])
+    rows = a.join(b, "volume", "left").na.fill(0, ["n_verified", "n_pending"])
+    return rows.join(tree_digest(files.where(~out)), "volume", "left") if "sha256" in files.columns else rows
 
 
 def old_volume_findings(units: DataFrame, chunks: DataFrame, footnotes: DataFrame, pins: DataFrame) -> DataFrame:

@@ -229,3 +229,26 @@ def translation_statuses(spark, sf_dir):
     id_ = F.col("doc_id")
     status = catalog.translation_status(F.when(id_ % 7 != 0, text.word_chars(F.col("text"))), id_ % 5 != 0, id_ % 2 == 0)
     return documents(spark, sf_dir).select("doc_id", status.alias("full_text_status"))
+
+
+# a translation is a document in another language, its lines without a full stop headings; some sources are missing or cannot be converted
+@query(r"""
+WITH t AS (SELECT doc_id, length(text) % 13 <> 0 AS has_file, length(text) % 2 = 0 AS failed, CASE WHEN length(text) % 11 <> 0 THEN regexp_replace(replace(text, chr(173), ''), '(?m)^([^\n]*[^.\n])$', '# \1', 'g') END AS md FROM documents WHERE lang <> 'en'),
+s AS (SELECT *, CASE WHEN NOT has_file THEN CASE WHEN failed THEN 'download_failed' ELSE 'no_source_file' END
+  WHEN length(regexp_replace(coalesce(md, ''), '[^\p{L}\p{N}_]', '', 'g')) < 200 THEN 'text_unavailable' ELSE 'full' END AS status FROM t),
+p AS (SELECT *, string_split(regexp_replace(md, '(?m)^(#{1,2}\s)', chr(1) || '\1', 'g'), chr(1)) AS parts FROM s),
+e AS (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS part FROM p WHERE status = 'full'),
+h AS (SELECT doc_id, i, len(parts) AS n, CASE WHEN regexp_matches(part, '^#{1,2}\s') THEN regexp_replace(regexp_extract(part, '^#{1,2}\s+([^\n]*)', 1), '^\s+|\s+$', '', 'g') ELSE 'text' END AS title, regexp_replace(regexp_replace(part, '^#{1,2}\s+[^\n]*', ''), '^\s+|\s+$', '', 'g') AS body FROM e),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place FROM h WHERE i > 1 OR body <> '' OR n = 1),
+g AS (SELECT doc_id, count(*) AS sections_count, sha256(string_agg(CASE WHEN title = 'text' THEN body ELSE '## ' || title || chr(10) || chr(10) || body END || chr(10), '' ORDER BY place)) AS md_sha256,
+  string_agg(place || ' ' || CASE WHEN place < 10 THEN '0' ELSE '' END || place || '.md ' || left(title, 200), chr(10) ORDER BY place) AS reading_order FROM k GROUP BY doc_id)
+SELECT p.doc_id AS translation_id, status AS full_text_status, CAST(sections_count AS INTEGER) AS sections_count, md_sha256, reading_order,
+  CASE WHEN status = 'text_unavailable' THEN CASE WHEN md IS NULL THEN 'unreadable' ELSE 'extracted text too short' END END AS conversion_error FROM p LEFT JOIN g ON g.doc_id = p.doc_id""")
+def translation_sections(spark, sf_dir):
+    docs, n = documents(spark, sf_dir).where("lang <> 'en'"), F.length("text")
+    rows = docs.select(F.col("doc_id").alias("translation_id"), (n % 13 != 0).alias("has_file"), (n % 2 == 0).alias("failed"))
+    headed = F.regexp_replace("text", r"(?md)^([^\n]*[^.\n])$", "# $1")
+    converted = docs.select(F.col("doc_id").alias("translation_id"), F.when(n % 11 != 0, headed).alias("text"), F.when(n % 11 == 0, "unreadable").alias("error"))
+    found = catalog.enriched(rows, converted)
+    order = F.array_join(F.transform("reading_order", lambda x: F.concat_ws(" ", x["n"].cast("string"), x["file"], x["title"])), "\n")
+    return found.select("translation_id", "full_text_status", "sections_count", "md_sha256", order.alias("reading_order"), "conversion_error")

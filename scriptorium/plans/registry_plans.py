@@ -497,12 +497,16 @@ def figure_counts(spark, sf_dir):
 
 
 @query("""
-WITH q AS (SELECT d.source, count(*) FILTER (WHERE l.quality = 1) AS v, count(*) FILTER (WHERE l.quality IS DISTINCT FROM 1) AS p FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY d.source)
-SELECT d.source AS volume, count(*) FILTER (WHERE doc_id % 10 <> 3) AS n_files, CAST(sum(CASE WHEN doc_id % 10 <> 3 THEN strlen(text) ELSE 0 END) AS BIGINT) AS bytes, count(*) FILTER (WHERE doc_id % 10 = 3) AS n_excluded, coalesce(max(q.v), 0) AS n_verified, coalesce(max(q.p), 0) AS n_pending
-FROM documents d LEFT JOIN q ON q.source = d.source GROUP BY d.source""")
+WITH f AS (SELECT source, doc_id || '.md' AS path, sha256(text) AS sha FROM documents WHERE doc_id % 10 <> 3),
+l4 AS (SELECT source, left(sha256(path), 4) AS node, sha256(string_agg(path || ' ' || sha, chr(10) ORDER BY path, sha)) AS sha FROM f GROUP BY ALL),
+l2 AS (SELECT source, left(node, 2) AS node, sha256(string_agg(l4.node || ' ' || sha, chr(10) ORDER BY l4.node)) AS sha FROM l4 GROUP BY source, left(l4.node, 2)),
+l0 AS (SELECT source, sha256(string_agg(node || ' ' || sha, chr(10) ORDER BY node)) AS sha FROM l2 GROUP BY source),
+q AS (SELECT d.source, count(*) FILTER (WHERE l.quality = 1) AS v, count(*) FILTER (WHERE l.quality IS DISTINCT FROM 1) AS p FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY d.source)
+SELECT d.source AS volume, count(*) FILTER (WHERE doc_id % 10 <> 3) AS n_files, CAST(sum(CASE WHEN doc_id % 10 <> 3 THEN strlen(text) ELSE 0 END) AS BIGINT) AS bytes, count(*) FILTER (WHERE doc_id % 10 = 3) AS n_excluded, coalesce(max(q.v), 0) AS n_verified, coalesce(max(q.p), 0) AS n_pending, max(l0.sha) AS tree_sha256
+FROM documents d LEFT JOIN q ON q.source = d.source LEFT JOIN l0 ON l0.source = d.source GROUP BY d.source""")
 def release_manifest(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    files = docs.select(F.col("source").alias("volume"), F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), F.octet_length("text").cast("bigint").alias("bytes"))
+    files = docs.select(F.col("source").alias("volume"), F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), F.octet_length("text").cast("bigint").alias("bytes"), F.sha2("text", 256).alias("sha256"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").join(docs.select("doc_id", "source"), "doc_id")
     queue = labels.select(F.col("source").alias("volume"), F.when(F.col("quality") == 1, "verified").otherwise("pending").alias("human_review_status"))
     return volumes.release_manifest(files, queue, [r"3\.md$"])
