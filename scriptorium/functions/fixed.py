@@ -83,3 +83,16 @@ LEADING_STYLES = r"^([a-z]+\d+\s*)+"
 # folders of volumes and of the media in them
 VOLUME_PREFIX = "tom-"
 VOLUME_MEDIA = "assets/media"
+
+# sentences that a record of provenance gives as its evidence; those that end openly are followed by what was found
+COVER_EVIDENCE = "cover signal in context/media_type"
+SCREENSHOT_EVIDENCE = "screenshot/scan signal in context"
+PHOTO_EVIDENCE = "photo signal in context/media_type"
+REPRODUCTION_EVIDENCE = "reproduction/external-source signal"
+TABLE_CAPTION_EVIDENCE = "table/chart caption"
+SCHEME_CAPTION_EVIDENCE = "scheme/diagram caption"
+NO_EVIDENCE = "no decisive authorial or third-party evidence"
+VECTOR_EVIDENCE = "vector source format "
+TYPE_EVIDENCE = "media_type "
+TABLE_LABEL_EVIDENCE = "numbered table/chart label '"
+FIGURE_LABEL_EVIDENCE = "numbered figure label '"

@@ -56,19 +56,19 @@ def provenance(kind: Column, caption: Column, label: Column, context: Column, ex
     made = lambda name, *why: F.struct(F.lit(name).alias("class"), F.array(F.concat(*[F.lit(w) if isinstance(w, str) else w for w in why])).alias("evidence"))
     return _first(
         [
-            (_has(around, p.COVER) | (kind == "cover"), made("cover_or_external_art", "cover signal in context/media_type")),
-            (_has(around, p.SCREENSHOT) | (kind == "scan_fragment"), made("screenshot_or_document_scan", "screenshot/scan signal in context")),
-            (_has(around, p.PHOTO) | (kind == "photo"), made("third_party_photo", "photo signal in context/media_type")),
-            (_has(around, p.REPRODUCTION) | kind.isin("reproduction", "map"), made("third_party_reproduction", "reproduction/external-source signal")),
-            (_has(label, p.TABLE_LABEL), made("authorial_table_or_chart", "numbered table/chart label '", label, "'")),
-            (_has(caption, p.TABLE), made("authorial_table_or_chart", "table/chart caption")),
-            (ext.isin(p.VECTOR), made("authorial_scheme_or_diagram", "vector source format ", ext)),
-            (_has(label, p.LABEL), made("authorial_scheme_or_diagram", "numbered figure label '", label, "'")),
-            (_has(caption, p.SCHEME), made("authorial_scheme_or_diagram", "scheme/diagram caption")),
-            (kind.isin("chart", "table_image"), made("authorial_table_or_chart", "media_type ", kind)),
-            (kind.isin("scheme", "diagram"), made("authorial_scheme_or_diagram", "media_type ", kind)),
+            (_has(around, p.COVER) | (kind == "cover"), made("cover_or_external_art", fixed.COVER_EVIDENCE)),
+            (_has(around, p.SCREENSHOT) | (kind == "scan_fragment"), made("screenshot_or_document_scan", fixed.SCREENSHOT_EVIDENCE)),
+            (_has(around, p.PHOTO) | (kind == "photo"), made("third_party_photo", fixed.PHOTO_EVIDENCE)),
+            (_has(around, p.REPRODUCTION) | kind.isin("reproduction", "map"), made("third_party_reproduction", fixed.REPRODUCTION_EVIDENCE)),
+            (_has(label, p.TABLE_LABEL), made("authorial_table_or_chart", fixed.TABLE_LABEL_EVIDENCE, label, "'")),
+            (_has(caption, p.TABLE), made("authorial_table_or_chart", fixed.TABLE_CAPTION_EVIDENCE)),
+            (ext.isin(p.VECTOR), made("authorial_scheme_or_diagram", fixed.VECTOR_EVIDENCE, ext)),
+            (_has(label, p.LABEL), made("authorial_scheme_or_diagram", fixed.FIGURE_LABEL_EVIDENCE, label, "'")),
+            (_has(caption, p.SCHEME), made("authorial_scheme_or_diagram", fixed.SCHEME_CAPTION_EVIDENCE)),
+            (kind.isin("chart", "table_image"), made("authorial_table_or_chart", fixed.TYPE_EVIDENCE, kind)),
+            (kind.isin("scheme", "diagram"), made("authorial_scheme_or_diagram", fixed.TYPE_EVIDENCE, kind)),
         ],
-        made("unclear_after_second_pass", "no decisive authorial or third-party evidence"),
+        made("unclear_after_second_pass", fixed.NO_EVIDENCE),
     )
 
 

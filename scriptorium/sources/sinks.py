@@ -1,15 +1,19 @@
-"""Sinks: JSON lines, single documents, pages and assets. Each writes a table's rows by its own content, so repeating a task is harmless."""
+"""Sinks: JSON lines, single documents, pages and assets. Repeating a task is harmless, and a job that fails leaves no part of its files."""
 
 from __future__ import annotations
 
 import hashlib
 import os
 import shutil
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 
 def check_output(out: str, sources: list[str]) -> None:
@@ -37,34 +41,84 @@ def _safe(root: str, path: str) -> str:
     return target
 
 
-def pages(rows: DataFrame, root: str, path: str = "path", body: str = "text") -> None:
-    """One file a row below root, a folder that all executors share."""
+@dataclass
+class _Staged(WriterCommitMessage):
+    """Files that one task has staged: their places in the staging folder and below the output folder."""
+
+    files: list[tuple[str, str]]
+
+
+class _FilesWriter(DataSourceWriter):
+    """Writes each row as a file. Tasks stage what they write in a folder of the job; only what committed tasks staged moves to its place."""
+
+    def __init__(self, root: str, kind: str):
+        self.root, self.kind = os.path.normpath(root), kind
+        self.staging = os.path.join(self.root, f".staging-{uuid.uuid4().hex}")
+
+    def _content(self, row) -> Iterator[bytes]:
+        if self.kind == "pages":
+            yield (row["text"] or "").encode()
+            return
+        found = hashlib.sha256()
+        with open(row["source"], "rb") as f:
+            while part := f.read(1 << 20):
+                found.update(part)
+                yield part
+        if found.hexdigest() != row["sha256"]:
+            raise ValueError(f"{row['source']} has changed: {found.hexdigest()}")
+
+    def write(self, iterator) -> _Staged:
+        own = os.path.join(self.staging, uuid.uuid4().hex)  # of this attempt: one that is repeated or runs twice stages anew
+        files = []
+        for i, row in enumerate(iterator):
+            target = _safe(self.root, row["path"])
+            os.makedirs(own, exist_ok=True)
+            staged = os.path.join(own, str(i))
+            with open(staged, "wb") as f:
+                for part in self._content(row):
+                    f.write(part)
+            files.append((staged, target))
+        return _Staged(files)
+
+    def commit(self, messages: list) -> None:
+        targets = [t for m in messages if m for _, t in m.files]
+        if len(set(targets)) < len(targets):
+            self.abort(messages)
+            raise ValueError("two rows have one path")
+        for message in messages:
+            for staged, target in message.files if message else []:
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                os.replace(staged, target)
+        shutil.rmtree(self.staging, ignore_errors=True)
 
-    def write(part: Iterator) -> None:
-        for r in part:
-            target = _safe(root, r[path])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(f"{target}.part", "w", encoding="utf-8", newline="") as f:
-                f.write(r[body])
-            os.replace(f"{target}.part", target)
+    def abort(self, messages: list) -> None:
+        shutil.rmtree(self.staging, ignore_errors=True)
 
-    rows.select(path, body).foreachPartition(write)
+
+class Files(DataSource):
+    """Spark data source of format files: one file a row below root, a folder that the driver and all executors share."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "files"
+
+    def writer(self, schema: StructType, overwrite: bool) -> _FilesWriter:
+        return _FilesWriter(self.options["root"], self.options["kind"])
+
+
+def _write_files(rows: DataFrame, root: str, kind: str) -> None:
+    rows.sparkSession.dataSource.register(Files)
+    rows.write.format("files").mode("append").option("root", root).option("kind", kind).save()
+
+
+def pages(rows: DataFrame, root: str, path: str = "path", body: str = "text") -> None:
+    """One file a row below root, a folder that all executors share: all of them, or none if the job fails; two rows of one path are an error."""
+    _write_files(rows.select(F.col(path).alias("path"), F.col(body).alias("text")), root, "pages")
 
 
 def assets(rows: DataFrame, root: str) -> None:
-    """Copy source to path below root for every row (source, path, sha256); a file with another hash fails the job."""
-
-    def copy(part: Iterator) -> None:
-        for r in part:
-            with open(r["source"], "rb") as f:
-                found = hashlib.file_digest(f, "sha256").hexdigest()
-            if found != r["sha256"]:
-                raise ValueError(f"{r['source']} has changed: {found}")
-            target = _safe(root, r["path"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            shutil.copyfile(r["source"], target)
-
-    rows.select("source", "path", "sha256").foreachPartition(copy)
+    """Copy source to path below root for every row (source, path, sha256): all, or none if a file has another hash or the job fails otherwise."""
+    _write_files(rows.select("source", "path", "sha256"), root, "assets")
 
 
 def pending(files: DataFrame, done: DataFrame) -> DataFrame:
