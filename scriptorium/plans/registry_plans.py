@@ -87,23 +87,22 @@ def concepts_published(spark, sf_dir):
     return semantic.published_concepts(concepts(spark, sf_dir), sections.sections(documents(spark, sf_dir)))
 
 
-POLICY = [
-    ("topic", "published", None, None, True), ("topic", "published", None, None, False), ("topic", "draft", None, None, True), ("concept", "published", "reviewed", None, True), ("concept", "published", "unreviewed", None, True),
-    ("concept", None, None, None, True), ("language_variant", None, "reviewed", "confirmed", False), ("language_variant", None, "reviewed", "canonical", True), ("citation_target", "published", "reviewed", "confirmed", True), ("work", None, None, None, False),
-    ("section", None, None, None, False), ("figure", None, None, None, False), ("chunk", "published", None, None, True), ("search", None, None, None, True), ("alias", None, None, None, True), ("taxonomy_empty", None, None, None, True), ("unheard_of", "published", "reviewed", "confirmed", True), (None, None, None, None, True),
-]
-_LITERAL = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
-_POLICY_ROWS = ", ".join(f"({i}, {', '.join(map(_LITERAL, r))})" for i, r in enumerate(POLICY))
-
-
-@query(f"""SELECT i, kind, CASE WHEN kind = 'topic' THEN coalesce(publication = 'published', false) AND supported
+# a document is a surface: its kind by its length, its states by its labels and language, supported if its text says so
+@query("""WITH l AS (SELECT doc_id, max(toxic) AS toxic, max(quality) AS quality FROM labels GROUP BY doc_id),
+s AS (SELECT d.doc_id, ['topic', 'concept', 'language_variant', 'work', 'section', 'chunk', 'figure', 'volume_index', 'alias'][CAST(length(text) % 9 AS INTEGER) + 1] AS kind, CASE quality WHEN 1 THEN 'published' WHEN 0 THEN 'draft' END AS publication,
+  CASE toxic WHEN 0 THEN 'reviewed' WHEN 1 THEN 'unreviewed' END AS review, CASE lang WHEN 'en' THEN 'canonical' WHEN 'de' THEN 'confirmed' WHEN 'fr' THEN 'provisional' END AS translation, contains(lower(text), 'the') AS supported FROM documents d LEFT JOIN l ON l.doc_id = d.doc_id)
+SELECT doc_id, kind, CASE WHEN kind = 'topic' THEN coalesce(publication = 'published', false) AND supported
   WHEN kind = 'concept' THEN coalesce(publication = 'published', false) AND coalesce(review = 'reviewed', false) AND supported
   WHEN kind = 'language_variant' THEN coalesce(translation = 'confirmed', false) AND coalesce(review = 'reviewed', false)
-  ELSE coalesce(kind IN ('work', 'section', 'volume_index', 'landing', 'topics_index', 'concepts_index', 'figure'), false) END AS indexable
-FROM (VALUES {_POLICY_ROWS}) v(i, kind, publication, review, translation, supported)""")
+  ELSE coalesce(kind IN ('work', 'section', 'volume_index', 'landing', 'topics_index', 'concepts_index', 'figure'), false) END AS indexable FROM s""")
 def indexable_policy(spark, sf_dir):
-    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(POLICY)], "i int, kind string, publication string, review string, translation string, supported boolean")
-    return rows.select("i", "kind", media.indexable(*[F.col(c) for c in ("kind", "publication", "review", "translation", "supported")]).alias("indexable"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
+    kinds = F.array(*map(F.lit, ("topic", "concept", "language_variant", "work", "section", "chunk", "figure", "volume_index", "alias")))
+    rows = documents(spark, sf_dir).join(labels, "doc_id", "left").withColumns({
+        "kind": F.get(kinds, F.length("text") % 9), "publication": F.when(F.col("quality") == 1, "published").when(F.col("quality") == 0, "draft"), "review": F.when(F.col("toxic") == 0, "reviewed").when(F.col("toxic") == 1, "unreviewed"),
+        "translation": F.when(F.col("lang") == "en", "canonical").when(F.col("lang") == "de", "confirmed").when(F.col("lang") == "fr", "provisional"), "supported": F.contains(F.lower("text"), F.lit("the")),
+    })
+    return rows.select("doc_id", "kind", media.indexable(*[F.col(c) for c in ("kind", "publication", "review", "translation", "supported")]).alias("indexable"))
 
 
 VARIANTS = [
@@ -113,8 +112,12 @@ VARIANTS = [
 _VARIANT_SCHEMA = "variant_id string, entity_id string, language string, canonical_name string, translation_status string, review_status string, source_variant_id string, canonical_variant_id string"
 
 
-@query(f"""
-WITH v AS (SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(_LITERAL, r)) + ')' for r in VARIANTS)}) t(variant_id, entity_id, language, canonical_name, translation_status, review_status, source_variant_id, canonical_variant_id)),
+# a variant is a language of a source; how many documents it has decides what is wrong with it
+@query("""
+WITH g AS (SELECT source, lang, count(*) AS n, max(length(text)) AS longest FROM documents GROUP BY source, lang),
+v AS (SELECT CASE WHEN longest % 5 = 0 THEN 'BAD ' || source || lang ELSE 'lv-' || source || '-' || lang END AS variant_id, source AS entity_id, CASE WHEN n % 7 = 0 THEN '' ELSE source END AS canonical_name,
+  CASE WHEN n % 5 = 0 THEN 'wrong' WHEN lang = 'en' THEN 'canonical' ELSE 'confirmed' END AS translation_status, CASE WHEN lang <> 'en' THEN CASE WHEN n % 3 = 0 THEN 'lv-' || source || '-zz' WHEN n % 3 = 1 THEN 'lv-' || source || '-de' ELSE 'lv-' || source || '-en' END END AS source_variant_id,
+  CASE WHEN lang = 'en' OR n % 11 = 0 THEN CASE WHEN longest % 5 = 0 THEN 'BAD ' || source || lang ELSE 'lv-' || source || '-' || lang END WHEN n % 4 = 0 THEN 'lv-' || source || '-fr' ELSE 'lv-' || source || '-en' END AS canonical_variant_id FROM g),
 c AS (SELECT entity_id, count(*) FILTER (WHERE variant_id = canonical_variant_id) AS n, max(CASE WHEN variant_id = canonical_variant_id THEN variant_id END) AS canon FROM v GROUP BY entity_id),
 o AS (SELECT v.*, c.canon FROM v JOIN c ON v.entity_id = c.entity_id WHERE c.n = 1 AND v.variant_id <> v.canonical_variant_id)
 SELECT 'bad_variant_id' AS rule, variant_id AS entity_key FROM v WHERE NOT regexp_matches(variant_id, '^lv-[a-z0-9а-яё][a-z0-9а-яё-]*$')
@@ -125,7 +128,16 @@ UNION ALL SELECT 'points_at_other_variant', variant_id FROM o WHERE canonical_va
 UNION ALL SELECT 'source_is_not_canonical', variant_id FROM o WHERE source_variant_id <> canon
 UNION ALL SELECT 'unknown_source_variant', variant_id FROM v WHERE source_variant_id IS NOT NULL AND source_variant_id NOT IN (SELECT variant_id FROM v)""")
 def variant_chain_errors(spark, sf_dir):
-    return semantic.variant_errors(spark.createDataFrame(VARIANTS, _VARIANT_SCHEMA)).select("rule", "entity_key")
+    rows = documents(spark, sf_dir).groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("longest"))
+    of = lambda lang: F.concat(F.lit("lv-"), "source", F.lit("-"), lang)
+    n, english = F.col("n"), F.col("lang") == "en"
+    own = F.when(F.col("longest") % 5 == 0, F.concat(F.lit("BAD "), "source", "lang")).otherwise(of(F.col("lang")))
+    return semantic.variant_errors(rows.select(
+        own.alias("variant_id"), F.col("source").alias("entity_id"), F.col("lang").alias("language"), F.when(n % 7 == 0, "").otherwise(F.col("source")).alias("canonical_name"),
+        F.when(n % 5 == 0, "wrong").when(english, "canonical").otherwise("confirmed").alias("translation_status"), F.lit("reviewed").alias("review_status"),
+        F.when(~english, F.when(n % 3 == 0, of(F.lit("zz"))).when(n % 3 == 1, of(F.lit("de"))).otherwise(of(F.lit("en")))).alias("source_variant_id"),
+        F.when(english | (n % 11 == 0), own).when(n % 4 == 0, of(F.lit("fr"))).otherwise(of(F.lit("en"))).alias("canonical_variant_id"),
+    )).select("rule", "entity_key")
 
 
 @query(r"""
