@@ -105,13 +105,6 @@ def indexable_policy(spark, sf_dir):
     return rows.select("doc_id", "kind", media.indexable(*[F.col(c) for c in ("kind", "publication", "review", "translation", "supported")]).alias("indexable"))
 
 
-VARIANTS = [
-    ("lv-a-en", "a", "en", "A", "canonical", "reviewed", None, "lv-a-en"), ("lv-a-de", "a", "de", "A", "confirmed", "reviewed", "lv-a-en", "lv-a-en"), ("lv-a-fr", "a", "fr", "A", "confirmed", "reviewed", "lv-a-de", "lv-a-de"),
-    ("lv-b-en", "b", "en", "B", "canonical", "reviewed", None, "lv-b-en"), ("lv-b-es", "b", "es", "B", "canonical", "reviewed", None, "lv-b-es"), ("BAD", "c", "en", "", "wrong", "reviewed", "lv-zz", "BAD"),
-]
-_VARIANT_SCHEMA = "variant_id string, entity_id string, language string, canonical_name string, translation_status string, review_status string, source_variant_id string, canonical_variant_id string"
-
-
 # a variant is a language of a source; how many documents it has decides what is wrong with it
 @query("""
 WITH g AS (SELECT source, lang, count(*) AS n, max(length(text)) AS longest FROM documents GROUP BY source, lang),
@@ -128,16 +121,20 @@ UNION ALL SELECT 'points_at_other_variant', variant_id FROM o WHERE canonical_va
 UNION ALL SELECT 'source_is_not_canonical', variant_id FROM o WHERE source_variant_id <> canon
 UNION ALL SELECT 'unknown_source_variant', variant_id FROM v WHERE source_variant_id IS NOT NULL AND source_variant_id NOT IN (SELECT variant_id FROM v)""")
 def variant_chain_errors(spark, sf_dir):
+    return semantic.variant_errors(_variants(spark, sf_dir)).select("rule", "entity_key")
+
+
+def _variants(spark, sf_dir):
     rows = documents(spark, sf_dir).groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("longest"))
     of = lambda lang: F.concat(F.lit("lv-"), "source", F.lit("-"), lang)
     n, english = F.col("n"), F.col("lang") == "en"
     own = F.when(F.col("longest") % 5 == 0, F.concat(F.lit("BAD "), "source", "lang")).otherwise(of(F.col("lang")))
-    return semantic.variant_errors(rows.select(
+    return rows.select(
         own.alias("variant_id"), F.col("source").alias("entity_id"), F.col("lang").alias("language"), F.when(n % 7 == 0, "").otherwise(F.col("source")).alias("canonical_name"),
         F.when(n % 5 == 0, "wrong").when(english, "canonical").otherwise("confirmed").alias("translation_status"), F.lit("reviewed").alias("review_status"),
         F.when(~english, F.when(n % 3 == 0, of(F.lit("zz"))).when(n % 3 == 1, of(F.lit("de"))).otherwise(of(F.lit("en")))).alias("source_variant_id"),
         F.when(english | (n % 11 == 0), own).when(n % 4 == 0, of(F.lit("fr"))).otherwise(of(F.lit("en"))).alias("canonical_variant_id"),
-    )).select("rule", "entity_key")
+    )
 
 
 @query(r"""
@@ -180,7 +177,7 @@ def record_validation(spark, sf_dir):
         pick(8, "seen", "reviewed").alias("review_state"), F.lit("editor").alias("review_role"), F.lit("2020").alias("reviewed_at"), pick(10, "gone", "published").alias("publication_state"), F.array(pick(11, "topic-zz", "topic-en")).alias("related_topic_ids"), F.array(pick(13, "cp-none", "cp-1")).alias("related_concept_ids"),
     )
     citations = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.concat(F.when(at % 17 == 0, "CT").otherwise("ct-"), at.cast("string")).alias("citation_target_id"), F.when(at % 19 == 0, "").otherwise("w").alias("work_id"), F.lit("s").alias("section_id"), F.lit("a").alias("anchor"), F.lit("en").alias("language"))
-    return semantic.record_errors(topics, concept, citations, spark.createDataFrame(VARIANTS, _VARIANT_SCHEMA)).select("severity", "rule", "entity_key")
+    return semantic.record_errors(topics, concept, citations, _variants(spark, sf_dir)).select("severity", "rule", "entity_key")
 
 
 @query("SELECT source AS work_id, count(*) AS n_sections, CAST(sum(length(text)) AS BIGINT) AS n_chars, sha256(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS sections_sha FROM documents GROUP BY source")

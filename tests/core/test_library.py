@@ -252,5 +252,7 @@ def test_editorial_rules_of_good_records(spark):
     topics = spark.createDataFrame([("topic-a", "A", ("title_terms", ["a"]), 1, "published")], "topic_id string, label string, membership_rule struct<type:string,terms:array<string>>, membership_rule_version int, publication_state string")
     concept = spark.createDataFrame([("cp-a", "a", "corpus_term", [("s", "title", None)], "reviewed", "editor", "2020", "published", ["topic-a"], ["cp-a"])], "concept_id string, canonical_term string, definition_scope string, evidence array<struct<section_id:string,kind:string,term:string>>, review_state string, review_role string, reviewed_at string, publication_state string, related_topic_ids array<string>, related_concept_ids array<string>")
     citations = spark.createDataFrame([("ct-1", "w", "s", "a", "en")], "citation_target_id string, work_id string, section_id string, anchor string, language string")
-    variants = spark.createDataFrame(registry_plans.VARIANTS[:2], registry_plans._VARIANT_SCHEMA)
+    variants = spark.createDataFrame([
+        ("lv-a-en", "a", "en", "A", "canonical", "reviewed", None, "lv-a-en"), ("lv-a-de", "a", "de", "A", "confirmed", "reviewed", "lv-a-en", "lv-a-en"),
+    ], "variant_id string, entity_id string, language string, canonical_name string, translation_status string, review_status string, source_variant_id string, canonical_variant_id string")
     assert rules(semantic.record_errors(topics, concept, citations, variants)) == []
