@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, paths, text
-from . import ranges
+from . import grams, ranges
 
 
 def sections(docs: DataFrame) -> DataFrame:
@@ -225,34 +231,94 @@ def union_schemas(old: DataFrame, new: DataFrame, renames: dict[str, str]) -> Da
     return old.withColumnsRenamed(renames).unionByName(new, allowMissingColumns=True)
 
 
+#: Headings of a block of the scan over a work.
+PAGE_BLOCK = 128
+
+
+def _assigned(heads: list[list], last: int, first: int) -> tuple[list[tuple[int | None, bool]], int]:
+    """The page of each heading, and whether by context, if last is the last match before them; and the last match behind them."""
+    out = []
+    for hits in heads:
+        low = max(first, last - 2)
+        good = next((h["page"] for h in hits if h["within"] and h["page"] >= low), None)
+        page = good if good is not None else next((h["page"] for h in hits if h["page"] >= low), None)
+        out.append((page, good is not None))
+        last = last if page is None else max(last, page)
+    return out, last
+
+
+def _page_scan(heads: DataFrame, work: str, order: str, first: int) -> DataFrame:
+    """work, order, page and within of heads (work, order, hits: array of page and within, in order of pages).
+
+    What a block of headings makes of the last match before it is a function with a step for each of its pages, found for all blocks
+    at once; the matches between blocks take a row a block, read one after the other; then each block is gone through with its own.
+    """
+    rows = ranges.numbered(heads, work, order, "_pos").withColumn("_block", F.floor((F.col("_pos") - 1) / PAGE_BLOCK).cast("int"))
+    blocks = rows.groupBy(F.struct(work).alias("_k"), "_block").agg(F.array_sort(F.collect_list(F.struct("_pos", F.col(order).alias("at"), "hits"))).alias("heads"))
+    key = blocks.schema["_k"].dataType.simpleString()
+    found = blocks.schema["heads"].dataType.simpleString()
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            upto, most = [], []
+            for block in batch.column("heads").to_pylist():
+                hits = [h["hits"] for h in block]
+                # a page counts up to a last match two pages behind it: between two such places nothing changes
+                places = sorted({h["page"] + 2 for x in hits for h in x}) + [1 << 30]
+                upto.append(places)
+                most.append([max((p for p, _ in _assigned(hits, at, first)[0] if p is not None), default=0) for at in places])
+            yield pa.RecordBatch.from_arrays([batch.column("_k"), batch.column("_block"), pa.array(upto, pa.list_(pa.int32())), pa.array(most, pa.list_(pa.int32()))], names=["_k", "_block", "upto", "most"])
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, last = None, first + 1
+        for batch in batches:
+            before = []
+            for k, upto, most in zip(*(batch.column(c).to_pylist() for c in ("_k", "upto", "most"))):
+                if k != of:
+                    of, last = k, first + 1
+                before.append(last)
+                last = max(last, most[bisect_left(upto, last)])
+            yield pa.RecordBatch.from_arrays([batch.column("_k"), batch.column("_block"), pa.array(before, pa.int32())], names=["_k", "_block", "last"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages, within, sizes = [], [], []
+            for block, last in zip(batch.column("heads").to_pylist(), batch.column("last").to_pylist()):
+                got, _ = _assigned([h["hits"] for h in block], last, first)
+                pages += [p for p, _ in got]
+                within += [w for _, w in got]
+                sizes.append(len(got))
+            which = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            at = pa.compute.struct_field(pa.compute.list_flatten(batch.column("heads")), "at")
+            yield pa.RecordBatch.from_arrays([batch.column("_k").take(which), at, pa.array(pages, pa.int32()), pa.array(within, pa.bool_())], names=["_k", "at", "page", "within"])
+
+    n = int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    passed = blocks.mapInArrow(steps, f"_k {key}, _block int, upto array<int>, most array<int>").repartition(n, "_k").sortWithinPartitions("_k", "_block")
+    passed = passed.mapInArrow(carry, f"_k {key}, _block int, last int")
+    kind = heads.schema[order].dataType.simpleString()
+    settled = blocks.join(passed, ["_k", "_block"]).select("_k", F.col("heads").cast(found).alias("heads"), "last").mapInArrow(settle, f"_k {key}, at {kind}, page int, within boolean")
+    return settled.select(F.col(f"_k.{work}").alias(work), F.col("at").alias(order), "page", "within")
+
+
 def page_candidates(headings: DataFrame, pages: DataFrame, work: str, order: str, first: int = 4, least: int = 8, cut: int = 95) -> DataFrame:
     """work, order, page and status of every heading in the pages of its work.
 
     headings: work, order, kind, title (normalised) and contexts (array of normalised starts of its paragraphs); pages: work, page (from 1), text
     (normalised). A heading's page is the first that holds its title (cut characters of it) and one of whose contexts stands there or on the
-    next page, else the first that holds it; pages before first, and those more than two before the last match, do not count. Where titles
-    and contexts stand is found by joins; only the last match is carried from heading to heading, over the few pages that hold a title.
+    next page, else the first that holds it; pages before first, and those more than two before the last match, do not count. Titles are
+    sought by their grams; the last match goes from block to block of a work's headings. Headings of one work and order are one.
     """
     asked = headings.where(F.col("kind").isin("chapter", "appendix", "section", "subsection", "preface") & (F.length("title") >= least))
     asked = asked.select(work, order, F.substring("title", 1, cut).alias("_name"), "contexts")
-    met = asked.join(pages, work).where(F.col("text").contains(F.col("_name"))).select(work, order, "contexts", "page", "text")
+    keyed = pages.withColumn("_page", F.struct(work, "page"))
+    named = asked.select(F.struct(work, order).alias("_head"), work, F.array("_name").alias("words"))
+    pairs = grams.holding(keyed, "_page", "text", named, "_head", within=work)
+    met = pairs.join(keyed.select("_page", "page", "text"), "_page").join(asked.select(F.struct(work, order).alias("_head"), work, order, "contexts"), "_head").select(work, order, "contexts", "page", "text")
     after = pages.select(F.col(work).alias("_w"), (F.col("page") - 1).alias("_p"), F.col("text").alias("_next"))
     met = met.join(after, (F.col(work) == F.col("_w")) & (F.col("page") == F.col("_p")), "left")
     within = F.exists("contexts", lambda c: F.col("text").contains(c) | F.coalesce(F.col("_next").contains(c), F.lit(False)))
     hits = met.groupBy(work, order).agg(F.array_sort(F.collect_list(F.struct("page", F.coalesce(within, F.lit(False)).alias("within")))).alias("hits"))
-    listed = hits.groupBy(work).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), "hits"))).alias("heads"))
-
-    def further(acc: Column, head: Column) -> Column:
-        open_ = F.filter(head["hits"], lambda h: (h["page"] >= first) & (h["page"] >= acc["last"] - 2))
-        good = F.filter(open_, lambda h: h["within"])
-        page = F.coalesce(F.get(good, F.lit(0))["page"], F.get(open_, F.lit(0))["page"])
-        one = F.struct(head["at"].alias("at"), page.alias("page"), (F.size(good) > 0).alias("within"))
-        return F.struct(F.greatest(acc["last"], page).cast("int").alias("last"), F.concat(acc["found"], F.array(one)).alias("found"))
-
-    kind = dict(hits.select(order).dtypes)[order]
-    empty = F.array().cast(f"array<struct<at:{kind},page:int,within:boolean>>")
-    found = listed.select(work, F.explode(F.aggregate("heads", F.struct(F.lit(first + 1).alias("last"), empty.alias("found")), further, lambda acc: acc["found"])).alias("f"))
-    found = found.select(F.col(work).alias("_w"), F.col("f.at").alias("_at"), "f.page", "f.within")
+    found = _page_scan(hits, work, order, first).select(F.col(work).alias("_w"), F.col(order).alias("_at"), "page", "within")
     rows = headings.select(work, order, "kind", F.length("title").alias("_n")).join(found, (F.col(work) == F.col("_w")) & (F.col(order) == F.col("_at")), "left")
     status = (
         F.when(~F.col("kind").isin("chapter", "appendix", "section", "subsection", "preface"), "not_applicable").when(F.col("_n") < least, "title_too_short")
