@@ -17,6 +17,7 @@ of one item_id are one item of the terms of all. Items without terms and terms i
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +35,7 @@ from . import common
 BEST = 50
 #: Bytes of text of a shard; items whose lists are merged in one task; rows of the index that go on at once.
 SHARD_BYTES, ITEMS, ROWS = 32 << 20, 1000, 20_000
+SLICE_BYTES = 2 << 20
 #: Fixed values of the score.
 SCALE, TF_SCALE, LENGTH_SCALE, LENGTH_SHARE = 1_000_000_000, 1000, 20, 50
 INDEX = "shard bigint, term string, df bigint, total bigint, postings binary"
@@ -68,28 +70,45 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), begins) if len(last) else np.zeros(0, np.int64)
 
 
-def _shard(number: int, ids: list[int], counts: list[Counter], vocabulary: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+class _Shard:
+    """The documents of a shard as they are read: ids, and for each its different terms, by number, and their occurrences."""
+
+    def __init__(self):
+        self.ids: list[int] = []
+        self.vocabulary: dict[bytes, int] = {}
+        self.term, self.tf, self.held, self.lengths, self.size = array("i"), array("q"), array("q"), array("q"), 0
+
+    def add(self, doc_id: int | None, text: bytes | None) -> None:
+        found = Counter(terms(text))
+        number = self.vocabulary.setdefault
+        self.ids.append(common.NULL_ID if doc_id is None else doc_id)
+        self.term.extend([number(t, len(self.vocabulary)) for t in found])
+        self.tf.extend(found.values())
+        self.held.append(len(found))
+        self.lengths.append(sum(found.values()))
+        self.size += len(text or b"")
+
+
+def _postings(number: int, shard: _Shard) -> Iterator[pa.RecordBatch]:
     """Rows of the index of one shard: the documents' row, then one for each term."""
-    order = sorted(range(len(ids)), key=ids.__getitem__)
-    counts = [counts[i] for i in order]
-    held = np.fromiter(map(len, counts), np.int64, len(counts))
-    lengths = np.fromiter((sum(c.values()) for c in counts), np.int64, len(counts))
-    head = np.array([ids[i] for i in order], "<i8").tobytes() + lengths.astype("<i8").tobytes()
+    ids, held, lengths = (np.array(x, np.int64) for x in (shard.ids, shard.held, shard.lengths))
+    order = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    head = ids[order].astype("<i8").tobytes() + lengths[order].astype("<i8").tobytes()
     yield _rows([number], [b""], [int((held > 0).sum())], [int(lengths.sum())], pa.array([head], pa.binary()))
     total = int(held.sum())
     if not total:
         return
-    term = np.fromiter((vocabulary[t] for c in counts for t in c), np.int32, total)
-    tf = np.fromiter((n for c in counts for n in c.values()), np.int64, total)
-    document = np.repeat(np.arange(len(counts)), held)
-    by = np.argsort(term, kind="stable")  # documents stay in order within a term
+    term, tf, document = np.array(shard.term, np.int32), np.array(shard.tf, np.int64), np.repeat(place, held)
+    by = np.lexsort((document, term))
     term, tf, document = term[by], tf[by], document[by]
     firsts = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
     gaps = np.diff(document, prepend=-1)
     gaps[firsts] = document[firsts] + 1
     data, begins = packed(np.stack([gaps, tf], axis=1).ravel())
     cuts = np.concatenate([begins[2 * firsts], begins[-1:]])
-    names, df, sums = list(vocabulary), np.diff(np.append(firsts, total)), np.add.reduceat(tf, firsts)
+    names, df, sums = list(shard.vocabulary), np.diff(np.append(firsts, total)), np.add.reduceat(tf, firsts)
     for a in range(0, len(firsts), ROWS):
         b = min(a + ROWS, len(firsts))
         part = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((cuts[a : b + 1] - cuts[a]).astype(np.int32).tobytes()), pa.py_buffer(data[cuts[a] : cuts[b]].tobytes())])
@@ -105,23 +124,15 @@ def index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        ids: list[int] = []
-        counts: list[Counter] = []
-        vocabulary: dict[bytes, int] = {}
-        size = 0
-        for batch in common.slices(batches, "text", shard_bytes):
+        shard = _Shard()
+        for batch in common.slices(batches, "text", SLICE_BYTES):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                found = Counter(terms(text))
-                for t in found:
-                    vocabulary.setdefault(t, len(vocabulary))
-                ids.append(common.NULL_ID if doc_id is None else doc_id)
-                counts.append(found)
-                size += len(text or b"")
-                if size >= shard_bytes:
-                    yield from _shard(number, ids, counts, vocabulary)
-                    number, size, ids, counts, vocabulary = number + 1, 0, [], [], {}
-        if ids:
-            yield from _shard(number, ids, counts, vocabulary)
+                shard.add(doc_id, text)
+                if shard.size >= shard_bytes:
+                    yield from _postings(number, shard)
+                    number, shard = number + 1, _Shard()
+        if shard.ids:
+            yield from _postings(number, shard)
         common.give_back()
 
     return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, INDEX)
