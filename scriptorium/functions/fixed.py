@@ -44,6 +44,8 @@ ALWAYS_INDEXABLE = ["work", "section", "volume_index", "landing", "topics_index"
 EMAIL = r"[\w.+-]+@[\w-]+(\.[\w-]+)+"
 # in binaries, where noise looks like addresses: lower-case domains only
 EMAIL_IN_BINARY = r"(?<![\w.+-])[\w.+-]{2,}@[a-z0-9-]{2,}\.[a-z]{2,}"
+# three Cyrillic letters whose UTF-8 was read as Latin-1 or CP1252: the letter of the first byte and what such a second byte becomes
+MISREAD_CYRILLIC = r"(Ð[\x{80}-\x{BF}€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|Ñ[\x{80}-\x{9F}€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]){3}"
 PRINTABLE_RUN = r"[\x20-\x7e]{6,}"
 MARKDOWN_LINK = r"(?<!!)\[([^\]]+)\]\(([^)\s]+)\)"
 MARKDOWN_IMAGE = r"!\[(?:[^\[\]]|\[[^\]]*\])*\]\(([^)]+)\)"

@@ -192,9 +192,9 @@ def section_findings(sections: DataFrame, chunks: DataFrame) -> DataFrame:
         [
             finding(sections.groupBy("section_id").count().where("count > 1"), "duplicate_section_id", F.col("section_id"), F.col("count")),
             finding(orders, "duplicate_reading_order", F.col("reading_order"), F.col("count")),
-            finding(sections.where("sha256 <> sha2(text, 256)"), "text_hash_mismatch", F.col("section_id"), F.col("sha256")),
+            finding(sections.where("NOT sha256 <=> sha2(text, 256)"), "text_hash_mismatch", F.col("section_id"), F.col("sha256")),
             finding(sections.where("page < 1 OR page > pdf_pages"), "page_out_of_range", F.col("section_id"), F.col("page")),
-            finding(sections.where("contains(text, '�') OR rlike(text, '(Ð.|Ñ.){3,}')"), "broken_encoding", F.col("section_id"), ""),
+            finding(sections.where(F.contains("text", F.lit("�")) | F.rlike("text", F.lit(fixed.MISREAD_CYRILLIC))), "broken_encoding", F.col("section_id"), ""),
             finding(gaps, "chunk_gap", F.col("section_id"), F.col("chunk_no")),
             finding(chunks.join(sections, "section_id", "left_anti").select("section_id").distinct(), "orphan_chunk", F.col("section_id"), ""),
             finding(sections.where("text <> ''").join(chunks, "section_id", "left_anti"), "section_without_chunks", F.col("section_id"), ""),

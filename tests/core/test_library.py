@@ -146,6 +146,18 @@ def test_section_validation_mutations(spark):
     assert rules(audit.section_findings(secs, chunked.where("section_id = 's1'"))) == ["section_without_chunks"]
 
 
+def test_sections_of_broken_encoding_or_no_text(spark):
+    misread = ["Слово".encode().decode("latin-1"), "стр €".encode().decode("cp1252", "replace").replace("�", "\x81"), "no \ufffd"]
+    sound = ["Ñ Ñ Ñ Ñ a", "ÑaÑoÑu ÐÐÐÐ", "«Ñ» Ñ¿Ñ¿Ñ¿", "Слово"]
+    rows = [(f"{kind}{i}", t, i, 1, "") for kind, texts in (("a", misread), ("b", sound)) for i, t in enumerate(texts)]
+    secs = spark.createDataFrame(rows, "section_id string, text string, reading_order int, page int, x string").withColumn("sha256", F.sha2("text", 256)).withColumn("pdf_pages", F.lit(10))
+    chunked = secs.select("section_id", F.lit(0).alias("chunk_no"), F.lit(0).alias("start_char"), F.length("text").alias("end_char"), "text")
+    found = audit.section_findings(secs, chunked).where("rule = 'broken_encoding'").collect()
+    assert sorted(r.entity_key for r in found) == ["a0", "a1", "a2"]
+    none = secs.withColumn("text", F.lit(None).cast("string")).withColumn("sha256", F.when(F.col("section_id") == "a0", "wrong"))
+    assert [r.entity_key for r in audit.section_findings(none, chunked.limit(0)).where("rule = 'text_hash_mismatch'").collect()] == ["a0"]
+
+
 def test_scanner_finds_what_is_hidden(spark):
     secret = b"write to someone@example.org now"
     chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + b"\0\0\0\0"
