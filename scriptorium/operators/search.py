@@ -47,7 +47,7 @@ def search_all(rows: DataFrame, queries: DataFrame, limit: int = fixed.SEARCH_LI
     """search() for a table of queries (query_id, query), however many: query_id, rank, order and score. Rows of one order are found each."""
     asked = queries.withColumn("words", F.filter(F.split(F.lower(F.trim("query")), r"\s+"), lambda w: w != "")).where(F.size("words") > 0).select("query_id", "words")
     heads = rows.select(order, F.lower(F.coalesce("title", F.lit(""))).alias("_head"), F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))).alias("_body"))
-    pairs = grams.holding(heads, order, "_body", asked, "query_id").distinct()
+    pairs = grams.candidates(heads, order, "_body", asked, "query_id").distinct()
     met = pairs.join(asked, "query_id").join(heads, order).where(F.forall("words", lambda w: F.contains(F.col("_body"), w)))
     score = F.aggregate("words", F.lit(0), lambda a, w: a + F.when(F.contains(F.col("_head"), w), 10).otherwise(1))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), order))

@@ -1,6 +1,7 @@
 """Substring search by grams, held against every row."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -19,6 +20,17 @@ def test_holding_equals_every_row_with_every_word(spark):
     assert grams.holding(spark.createDataFrame(hays, "k int, hay string"), "k", "hay", none, "q").count() == 0
 
 
+def test_long_texts_and_words_across_segments_and_passes(spark, monkeypatch):
+    text = "é".join(str(i) for i in range(60_000))  # of 400,000 bytes, in which a search by characters counts from the beginning for each
+    hays = [(1, text), (2, text[:1000]), (3, text[5:])]
+    asked = [(1, ["59998é59999"]), (2, ["0é1é2é3é4é5é6é7é8é9é10é11"]), (3, ["59999", "0é1é2"]), (4, ["1é2é3", "20é21é22é23é25"])]
+    monkeypatch.setattr(grams, "PER_PASS", 2)
+    began = time.time()
+    got = grams.holding(spark.createDataFrame(hays, "k int, hay string"), "k", "hay", spark.createDataFrame(asked, "q int, words array<string>"), "q").collect()
+    assert sorted((r.k, r.q) for r in got) == sorted((k, q) for k, hay in hays for q, words in asked if all(w in hay for w in words))
+    assert time.time() - began < 120
+
+
 def test_no_nested_loop_in_the_search_for_many_queries(spark, monkeypatch):
     rows = spark.createDataFrame([(i, f"title {i}", f"text {i % 7}") for i in range(50)], "section_id int, title string, text string")
     queries = spark.createDataFrame([(1, "title text"), (2, " TEXT 3 "), (3, "  "), (4, "x")], "query_id int, query string")
