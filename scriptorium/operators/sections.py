@@ -235,36 +235,47 @@ def union_schemas(old: DataFrame, new: DataFrame, renames: dict[str, str]) -> Da
 PAGE_BLOCK = 128
 
 
-def _assigned(heads: list[list], last: int, first: int) -> tuple[list[tuple[int | None, bool]], int]:
+def _assigned(heads: list[tuple[list[int], list[int]]], last: int, first: int) -> tuple[list[tuple[int | None, bool]], int]:
     """The page of each heading, and whether by context, if last is the last match before them; and the last match behind them."""
     out = []
-    for hits in heads:
+    for pages, good in heads:
         low = max(first, last - 2)
-        good = next((h["page"] for h in hits if h["within"] and h["page"] >= low), None)
-        page = good if good is not None else next((h["page"] for h in hits if h["page"] >= low), None)
-        out.append((page, good is not None))
+        found, within = good, bisect_left(good, low) < len(good)
+        if not within:
+            found = pages
+        at = bisect_left(found, low)
+        page = found[at] if at < len(found) else None
+        out.append((page, within))
         last = last if page is None else max(last, page)
     return out, last
 
 
 def _page_scan(heads: DataFrame, work: str, order: str, first: int) -> DataFrame:
-    """work, order, page and within of heads (work, order, hits: array of page and within, in order of pages).
+    """work, order, page and within of heads (work, order, hits: array of page and within, in order of pages)."""
+    pages = F.transform("hits", lambda h: h["page"])
+    good = F.transform(F.filter("hits", lambda h: h["within"]), lambda h: h["page"])
+    return _scanned(heads.select(work, order, pages.alias("pages"), good.alias("good")), work, order, first)
+
+
+def _scanned(heads: DataFrame, work: str, order: str, first: int) -> DataFrame:
+    """work, order, page and within of heads (work, order, pages and those of them by context, good: sorted arrays).
 
     What a block of headings makes of the last match before it is a function with a step for each of its pages, found for all blocks
     at once; the matches between blocks take a row a block, read one after the other; then each block is gone through with its own.
     """
-    rows = ranges.numbered(heads, work, order, "_pos").withColumn("_block", F.floor((F.col("_pos") - 1) / PAGE_BLOCK).cast("int"))
-    blocks = rows.groupBy(F.struct(work).alias("_k"), "_block").agg(F.array_sort(F.collect_list(F.struct("_pos", F.col(order).alias("at"), "hits"))).alias("heads"))
+    places = ranges.numbered(heads.select(work, order), work, order, "_pos").withColumn("_block", F.floor((F.col("_pos") - 1) / PAGE_BLOCK).cast("int"))
+    rows = places.select(F.struct(work).alias("_k"), order, "_pos", "_block").join(heads.select(F.struct(work).alias("_k"), order, "pages", "good"), ["_k", order])
+    blocks = rows.groupBy("_k", "_block").agg(F.array_sort(F.collect_list(F.struct("_pos", F.col(order).alias("at"), "pages", "good"))).alias("heads")).persist()
     key = blocks.schema["_k"].dataType.simpleString()
     found = blocks.schema["heads"].dataType.simpleString()
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             upto, most = [], []
-            for block in batch.column("heads").to_pylist():
-                hits = [h["hits"] for h in block]
+            for block in batch.column("heads"):
+                hits = [(h["pages"], h["good"]) for h in block.as_py()]
                 # a page counts up to a last match two pages behind it: between two such places nothing changes
-                places = sorted({h["page"] + 2 for x in hits for h in x}) + [1 << 30]
+                places = sorted({page + 2 for pages, _ in hits for page in pages}) + [1 << 30]
                 upto.append(places)
                 most.append([max((p for p, _ in _assigned(hits, at, first)[0] if p is not None), default=0) for at in places])
             yield pa.RecordBatch.from_arrays([batch.column("_k"), batch.column("_block"), pa.array(upto, pa.list_(pa.int32())), pa.array(most, pa.list_(pa.int32()))], names=["_k", "_block", "upto", "most"])
@@ -283,8 +294,8 @@ def _page_scan(heads: DataFrame, work: str, order: str, first: int) -> DataFrame
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages, within, sizes = [], [], []
-            for block, last in zip(batch.column("heads").to_pylist(), batch.column("last").to_pylist()):
-                got, _ = _assigned([h["hits"] for h in block], last, first)
+            for block, last in zip(batch.column("heads"), batch.column("last").to_pylist()):
+                got, _ = _assigned([(h["pages"], h["good"]) for h in block.as_py()], last, first)
                 pages += [p for p, _ in got]
                 within += [w for _, w in got]
                 sizes.append(len(got))
@@ -306,19 +317,28 @@ def page_candidates(headings: DataFrame, pages: DataFrame, work: str, order: str
     headings: work, order, kind, title (normalised) and contexts (array of normalised starts of its paragraphs); pages: work, page (from 1), text
     (normalised). A heading's page is the first that holds its title (cut characters of it) and one of whose contexts stands there or on the
     next page, else the first that holds it; pages before first, and those more than two before the last match, do not count. Titles are
-    sought by their grams; the last match goes from block to block of a work's headings. Headings of one work and order are one.
+    sought by windows of their bytes; the last match goes from block to block of a work's headings. Headings of one work and order are one.
     """
     asked = headings.where(F.col("kind").isin("chapter", "appendix", "section", "subsection", "preface") & (F.length("title") >= least))
     asked = asked.select(work, order, F.substring("title", 1, cut).alias("_name"), "contexts")
-    keyed = pages.withColumn("_page", F.struct(work, "page"))
-    named = asked.select(F.struct(work, order).alias("_head"), work, F.array("_name").alias("words"))
-    pairs = grams.holding(keyed, "_page", "text", named, "_head", within=work)
-    met = pairs.join(keyed.select("_page", "page", "text"), "_page").join(asked.select(F.struct(work, order).alias("_head"), work, order, "contexts"), "_head").select(work, order, "contexts", "page", "text")
-    after = pages.select(F.col(work).alias("_w"), (F.col("page") - 1).alias("_p"), F.col("text").alias("_next"))
-    met = met.join(after, (F.col(work) == F.col("_w")) & (F.col("page") == F.col("_p")), "left")
-    within = F.exists("contexts", lambda c: F.col("text").contains(c) | F.coalesce(F.col("_next").contains(c), F.lit(False)))
-    hits = met.groupBy(work, order).agg(F.array_sort(F.collect_list(F.struct("page", F.coalesce(within, F.lit(False)).alias("within")))).alias("hits"))
-    found = _page_scan(hits, work, order, first).select(F.col(work).alias("_w"), F.col(order).alias("_at"), "page", "within")
+    # headings of one title and the same contexts are found once
+    alike = asked.groupBy(work, "_name", "contexts").agg(F.min(order).alias("_least"))
+    named = alike.select(F.struct(work, "_least").alias("_head"), work, F.array("_name").alias("words"))
+    # a page with the next one: pairs of a heading and a page go to it, so that no text is dealt out for each of them
+    page = F.struct(F.col(work).alias("work"), F.col("page").cast("int").alias("page")).alias("_page")
+    after = pages.select(F.struct(F.col(work).alias("work"), (F.col("page") - 1).cast("int").alias("page")).alias("_page"), F.col("text").alias("_next"))
+    keyed = pages.select(page, work, "text")
+    pairs = grams.candidates(keyed, "_page", "text", named, "_head", within=work).distinct()
+    pairs = pairs.join(alike.select(F.struct(work, "_least").alias("_head"), "_name", "contexts"), "_head")
+    met = keyed.select("_page", "text").join(after, "_page", "left").join(pairs, "_page").where(F.contains("text", "_name"))
+    within = F.coalesce(F.exists("contexts", lambda c: F.col("text").contains(c) | F.coalesce(F.col("_next").contains(c), F.lit(False))), F.lit(False))
+    met = met.select("_head", "_page.page", within.alias("within"))
+    listed = lambda c: F.array_sort(F.collect_set(c))
+    hits = met.groupBy("_head").agg(listed(F.col("page")).alias("pages"), listed(F.when(F.col("within"), F.col("page"))).alias("good"))
+    heads = asked.join(alike.withColumnsRenamed({"_name": "_n", "contexts": "_c", work: "_w"}), (F.col(work) == F.col("_w")) & (F.col("_name") == F.col("_n")) & F.col("contexts").eqNullSafe(F.col("_c")))
+    # headings of one work and order are one, which has the pages of all
+    heads = heads.select(work, order, F.struct(work, "_least").alias("_head")).join(hits, "_head").groupBy(work, order).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("pages"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("good")))).alias("good")).persist()
+    found = _scanned(heads, work, order, first).select(F.col(work).alias("_w"), F.col(order).alias("_at"), "page", "within")
     rows = headings.select(work, order, "kind", F.length("title").alias("_n")).join(found, (F.col(work) == F.col("_w")) & (F.col(order) == F.col("_at")), "left")
     status = (
         F.when(~F.col("kind").isin("chapter", "appendix", "section", "subsection", "preface"), "not_applicable").when(F.col("_n") < least, "title_too_short")

@@ -1,6 +1,7 @@
 """Pages of headings by blocks equal those of going through a work heading by heading."""
 
 import random
+import time
 
 from scriptorium.operators import sections
 
@@ -41,3 +42,19 @@ def test_page_candidates(spark):
     }
     plan = found._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_equal_headings_are_found_in_long_pages_once(spark):
+    pages = [("w", i, f"{i}z" * 9000 + ("samechapter" if i % 2 else "") + "y" * i) for i in range(1, 9)]
+    headings = [("w", k, "chapter", "samechapter", [f"{5 + k % 3}z" * 3]) for k in range(6)]
+    began = time.time()
+    found = sections.page_candidates(spark.createDataFrame(headings, "w string, k int, kind string, title string, contexts array<string>"), spark.createDataFrame(pages, "w string, page int, text string"), "w", "k")
+    got = {r.k: (r.page, r.status) for r in found.collect()}
+    assert time.time() - began < 120
+    want, last = {}, 5
+    for w, k, _, title, (context,) in headings:
+        hits = [(i, context in t or any(j == i + 1 and context in u for _, j, u in pages)) for _, i, t in pages if title in t and i >= max(4, last - 2)]
+        good = [i for i, near in hits if near] or [i for i, _ in hits]
+        want[k] = (good[0], "auto_heading_plus_context_candidate" if any(near for _, near in hits) else "auto_heading_only_candidate") if good else (None, "not_found")
+        last = max(last, good[0]) if good else last
+    assert got == want
