@@ -7,11 +7,12 @@ the place of a mark as soon as it may be shown, and a part of the figures first
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, paths, text
-from . import registry
 
 #: Confidences of an anchor by which a figure may be placed without a human.
 UNSURE = ("anchor_probable", "unbound_confirmed")
@@ -25,34 +26,50 @@ def alt(record_caption: Column, label: Column, name: Column) -> Column:
     return text.alt_text(bare, fixed.NO_ALT)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is computed once for each row however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _lines_of(whole: Column) -> Column:
+    """The lines of a text; the line end at its end is no further line."""
+    return F.split(F.regexp_replace(whole, r"\r?\n\z", ""), r"\r?\n")
+
+
 def split_lines(files: DataFrame) -> DataFrame:
     """file, line_no, line of files (file, text); the line end at the end of a text is no further line, and a null text has none."""
-    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r?\n\z", "")
-    return files.where(F.coalesce("text", F.lit("")) != "").select("file", F.posexplode(F.split(body, r"\r?\n")).alias("line_no", "line"))
+    return files.where(F.coalesce("text", F.lit("")) != "").select("file", F.posexplode(_lines_of(F.col("text"))).alias("line_no", "line"))
+
+
+_MARKED = "array<struct<figure_id: string, line_no: int, is_reference: boolean, line: string>>"
 
 
-def taken_apart(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of lines (file, line_no, line): the text's own lines, numbered as if no marks were there, and the figures marked so far.
+def taken_apart(lines: Column) -> Column:
+    """Of the lines of a text: own, the text's own lines, and marked, the figures marked so far.
 
-    The second has file, line_no (of the own line before the mark, -1 at the beginning), figure_id, is_reference and line. A blank line
+    The second has figure_id, line_no (of the own line before the mark, -1 at the beginning), is_reference and line. A blank line
     before the first tagged line of a run and one behind the last belong to the marks.
     """
-    ids = F.split(F.nullif(F.regexp_extract("line", fixed.FIGURE_TAG, 1), F.lit("")), ",")
-    rows = lines.withColumn("ids", ids).withColumn("blank", F.trim("line") == "")
-    tagged = rows.where("ids IS NOT NULL").select("file", "line_no")
-    near = lambda by, name: tagged.select("file", (F.col("line_no") + by).alias("line_no"), F.lit(True).alias(name))
-    rows = rows.join(near(-1, "_opens"), ["file", "line_no"], "left").join(near(1, "_closes"), ["file", "line_no"], "left")
-    # a blank line between two tagged ones ends one run and begins none
-    ours = F.col("ids").isNotNull() | (F.col("blank") & (F.coalesce("_opens", F.lit(False)) | F.coalesce("_closes", F.lit(False))))
-    rows = rows.withColumn("ours", ours)
-    # how many marks stand before a line: each text is one row of the reader, so its lines are few enough for one array
-    marks = rows.where("ours").groupBy("file").agg(F.array_sort(F.collect_list("line_no")).alias("_marks"))
-    rows = rows.join(marks, "file", "left")
-    before = F.size(F.filter(F.coalesce("_marks", F.array().cast("array<int>")), lambda m: m < F.col("line_no")))
-    rows = rows.withColumn("at", F.col("line_no") - before)
-    own = rows.where("NOT ours").select("file", F.col("at").cast("int").alias("line_no"), "line")
-    marked = rows.where("ids IS NOT NULL").select("file", (F.col("at") - 1).cast("int").alias("line_no"), F.explode("ids").alias("figure_id"), F.ltrim("line").startswith("![").alias("is_reference"), "line")
-    return own, marked
+
+    def of(both: Column) -> Column:
+        tags, lines = both["tags"], both["lines"]
+        tagged = lambda i: F.coalesce(F.get(tags, i) != "", F.lit(False))
+        # a blank line between two tagged ones ends one run and begins none
+        ours = F.transform(lines, lambda x, i: tagged(i) | ((F.trim(x) == "") & (tagged(i - 1) | tagged(i + 1))))
+
+        def by(ours: Column) -> Column:
+            # the place of a line among ours tells how many marks stand before it
+            places = F.filter(F.transform(ours, lambda o, i: F.when(o, i)), lambda i: i.isNotNull())
+            marks = F.filter(F.transform(places, lambda i, before: F.struct(i.alias("i"), (i - before - 1).alias("at"))), lambda m: tagged(m["i"]))
+            each = lambda m, line: F.transform(F.split(F.get(tags, m["i"]), ","), lambda x: F.struct(x.alias("figure_id"), m["at"].alias("line_no"), F.ltrim(line).startswith("![").alias("is_reference"), line.alias("line")))
+            marked = F.flatten(F.transform(marks, lambda m: each(m, F.get(lines, m["i"]))))
+            return F.struct(F.filter(lines, lambda x, i: ~F.get(ours, i)).alias("own"), marked.cast(_MARKED).alias("marked"))
+
+        return _let(ours, by)
+
+    tags = F.transform(lines, lambda x: F.regexp_extract(x, fixed.FIGURE_TAG, 1))
+    plain = F.struct(lines.alias("own"), F.array().cast(_MARKED).alias("marked"))
+    return F.when(F.exists(lines, lambda x: F.contains(x, F.lit("figs:"))), _let(F.struct(tags.alias("tags"), lines.alias("lines")), of)).otherwise(plain)
 
 
 def wanted(records: DataFrame) -> DataFrame:
@@ -62,62 +79,149 @@ def wanted(records: DataFrame) -> DataFrame:
     return records.where(sure & unseen)
 
 
-def placed(lines: DataFrame, records: DataFrame, within: int = 40) -> tuple[DataFrame, DataFrame]:
-    """lines (file, line_no, line) with the marks of records, and what became of each record.
+def _places(own: Column, asked: Column, within: int) -> Column:
+    """asked (figure_id, line_no, sha and others) with at: the nearest line of own with that hash within so many, else the only one, else null."""
+    sha = lambda x: F.sha2(text.squeeze(x), 256)
+    there = lambda a: F.coalesce(F.get(own, a["line_no"]).isNotNull() & (a["sha"].isNull() | (sha(F.get(own, a["line_no"])) == a["sha"])), F.lit(False))
+    steps = F.sequence(F.lit(-within), F.lit(within))
 
-    records: figure_id, anchor_file, anchor_line, anchor_sha256 (of the squeezed line), anchor_mode (before or after), anchor_confidence,
-    source_kind, referenced_in_text, publication_status, shipped (path of the file that ships, from where the texts' paths begin, or
-    null), caption, figure_label, original_filename. An anchor is sought at its line, else within so many lines, else in the whole
-    file if it is there once; a figure whose anchor is lost stays where an earlier run put it. Returns file, line_no, line in order
-    (line_no counts anew), and figure_id, outcome (reference, mark, review, mismatch, in_text, no_place) and file.
+    def sought(shas: Column) -> Column:
+        equal = lambda a: F.filter(steps, lambda x: F.get(shas, a["line_no"] + x) == a["sha"])
+        near = lambda a: F.array_min(F.transform(equal(a), lambda x: F.struct(F.abs(x).alias("far"), (a["line_no"] + x).alias("at"))))["at"]
+        first = lambda a: F.array_position(shas, a["sha"]).cast("int")
+        only = lambda a: _let(first(a), lambda i: F.when((i > 0) & (F.array_position(F.slice(shas, i + 1, F.size(shas)), a["sha"]) == 0), i - 1))
+        found = lambda a: F.when(there(a), a["line_no"]).when(a["sha"].isNotNull(), F.coalesce(near(a), only(a)))
+        return F.transform(asked, lambda a: a.withField("at", found(a).cast("int")))
+
+    # most anchors are at their lines; all lines are hashed only for those that are not
+    lost = F.exists(asked, lambda a: a["sha"].isNotNull() & ~there(a))
+    return _let(F.when(lost, F.transform(own, sha)), sought)
+
+
+def _earlier(marked: Column) -> Column:
+    """figure_id, kind 1, place, line (of a reference) and label of the figures marked so far, each once."""
+    first = lambda s: F.filter(s, lambda x, i: F.coalesce(F.get(s, i - 1)["figure_id"] != x["figure_id"], F.lit(True)))
+    at = F.array_sort(F.transform(marked, lambda m: F.struct(m["figure_id"].alias("figure_id"), m["line_no"].alias("line_no"))))
+    by = F.array_sort(F.transform(marked, lambda m: F.struct(m["figure_id"].alias("figure_id"), (~m["is_reference"]).alias("hidden"), m["line"].alias("line"))))
+    label = lambda line: F.nullif(F.regexp_extract(line, r"\Q" + fixed.OMITTED_ONE.replace("{label}", r"\E «(.*)»\Q") + r"\E", 1), F.lit(""))
+    mark = lambda a, b: F.struct(a["figure_id"].alias("figure_id"), F.lit(1).alias("kind"), a["line_no"].alias("place"), F.when(~b["hidden"], b["line"]).alias("line"), label(b["line"]).alias("label"))
+    return F.zip_with(_let(at, first), _let(by, first), mark)
+
+
+def _marks(parts: Column, asked: Column, within: int) -> Column:
+    """figure_id, kind (0 of one asked, 1 of one that the registry at hand does not place), place, line and label of all marks of a text.
+
+    A figure whose anchor is lost stays where an earlier run put it; the place of one that has none is null.
     """
-    own, marked = taken_apart(lines)
-    asked = wanted(records).dropDuplicates(["figure_id"])
-    keyed = own.withColumn("sha", F.sha2(text.squeeze(F.col("line")), 256))
-    exact = asked.select(F.col("figure_id").alias("mark_id"), F.col("anchor_file").alias("file"), F.col("anchor_line").alias("line_no"), F.col("anchor_sha256").alias("sha"))
-    free = exact.where("sha IS NULL").join(own.select("file", "line_no"), ["file", "line_no"]).select("mark_id", "line_no")
-    found = registry.reanchor(exact.where("sha IS NOT NULL"), keyed.select("file", "line_no", "sha"), within).unionByName(free)
-    now = found.select(F.col("mark_id").alias("figure_id"), F.col("line_no").alias("_at"))
-    earlier = marked.groupBy("file", "figure_id").agg(F.min("line_no").alias("_was"), F.bool_or("is_reference").alias("_shown"), F.min(F.when(F.col("is_reference"), F.col("line"))).alias("_line"), F.min("line").alias("_mark"))
-    rows = asked.join(now, "figure_id", "left").join(earlier.select("file", "figure_id", "_was").withColumnRenamed("file", "anchor_file"), ["anchor_file", "figure_id"], "left")
-    place = F.when(F.col("_at").isNotNull(), F.col("_at") - F.when(F.col("anchor_mode") == "before", 1).otherwise(0)).otherwise(F.col("_was"))
-    rows = rows.withColumn("_place", place)
-    shown = F.col("publication_status").isin(*SHOWN) & F.col("shipped").isNotNull()
-    folder = F.regexp_replace("anchor_file", r"[^/]*$", "")
-    reference = F.concat(F.lit("!["), alt(F.col("caption"), F.col("figure_label"), F.col("original_filename")), F.lit("]("), paths.relative(F.concat(folder, F.lit("x")), F.col("shipped")), F.lit(")<!-- figs:"), "figure_id", F.lit(" -->"))
-    new = rows.where("_place IS NOT NULL").select(F.col("anchor_file").alias("file"), F.col("_place").alias("line_no"), "figure_id", F.when(shown, reference).alias("line"), F.col("figure_label").alias("label"))
-    # marks of figures that the registry at hand does not place stay as they are
-    kept = earlier.join(rows.where("_place IS NOT NULL").select(F.col("anchor_file").alias("file"), "figure_id"), ["file", "figure_id"], "left_anti")
-    label = F.nullif(F.regexp_extract("_mark", r"\Q" + fixed.OMITTED_ONE.replace("{label}", r"\E «(.*)»\Q") + r"\E", 1), F.lit(""))
-    kept = kept.select("file", F.col("_was").alias("line_no"), "figure_id", F.when(F.col("_shown"), F.col("_line")).alias("line"), label.alias("label"))
-    blocks = _blocks(new.unionByName(kept))
-    every = own.select("file", "line_no", F.lit(0).alias("slot"), F.lit(0).alias("k"), "line").unionByName(blocks)
-    outcome = F.when(F.col("anchor_file").isNull(), "no_place").when(F.coalesce(F.col("anchor_confidence").isin(*UNSURE), F.lit(False)), "review").when(F.col("_asked").isNull(), "in_text").when(F.col("_place").isNull(), "mismatch")
-    told = records.dropDuplicates(["figure_id"]).join(rows.select("figure_id", "_place", F.lit(True).alias("_asked"), shown.alias("_is")), "figure_id", "left")
-    report = told.select("figure_id", outcome.otherwise(F.when(F.col("_is"), "reference").otherwise("mark")).alias("outcome"), F.col("anchor_file").alias("file"))
-    return every, report
-
-
-def _blocks(marks: DataFrame) -> DataFrame:
-    """The lines to put behind line_no of file: a blank one, the references, one mark for all that may not be shown, a blank one."""
-    shown = F.transform(F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("figure_id", "line")))), lambda x: x["line"])
-    hidden = F.array_sort(F.collect_list(F.when(F.col("line").isNull(), F.struct("figure_id", "label"))))
-    rows = marks.groupBy("file", "line_no").agg(shown.alias("shown"), hidden.alias("hidden"))
-    ids = F.array_join(F.transform("hidden", lambda x: x["figure_id"]), ",")
-    label = F.get(F.filter(F.transform("hidden", lambda x: F.nullif(x["label"], F.lit(""))), lambda x: x.isNotNull()), F.lit(0))
+    place = lambda a: a["at"] - F.when(a["mode"] == "before", 1).otherwise(0)
+    now = F.transform(_places(parts["own"], asked, within), lambda a: F.struct(a["figure_id"].alias("figure_id"), F.lit(0).alias("kind"), place(a).alias("place"), a["reference"].alias("line"), a["label"].alias("label")))
+
+    def merged(marks: Column) -> Column:
+        same = lambda x, i: F.coalesce(F.get(marks, i)["figure_id"] == x["figure_id"], F.lit(False))
+        # where the next of marks is of the same figure, it is the earlier mark, and goes
+        was = F.transform(marks, lambda x, i: x.withField("place", F.coalesce(x["place"], F.when(same(x, i + 1), F.get(marks, i + 1)["place"]))))
+        return F.filter(was, lambda x, i: (x["kind"] == 0) | ~same(x, i - 1))
+
+    return _let(F.array_sort(F.concat(now, _earlier(parts["marked"]))), merged)
+
+
+def _block(group: Column) -> Column:
+    """The lines to put at one place: a blank one, the references, one mark for all that may not be shown, a blank one. group: in the order of figure_id."""
+    hidden = F.filter(group, lambda x: x["line"].isNull())
+    ids = F.array_join(F.transform(hidden, lambda x: x["figure_id"]), ",")
+    label = F.get(F.filter(F.transform(hidden, lambda x: F.nullif(x["label"], F.lit(""))), lambda x: x.isNotNull()), F.lit(0))
     label = F.coalesce(F.concat(F.lit(" «"), label, F.lit("»")), F.lit(""))
     before, behind = fixed.OMITTED_ONE.split("{label}")
     one = F.concat(F.lit(before), label, F.lit(behind))
     before, behind = fixed.OMITTED_SEVERAL.split("{n}")
-    several = F.concat(F.lit(before), F.size("hidden").cast("string"), F.lit(behind))
-    mark = F.concat(F.when(F.size("hidden") == 1, one).otherwise(several), F.lit(" <!-- figs:"), ids, F.lit(" -->"))
-    block = F.concat(F.array(F.lit("")), "shown", F.when(F.size("hidden") > 0, F.array(mark)).otherwise(F.array().cast("array<string>")), F.array(F.lit("")))
-    return rows.select("file", "line_no", F.lit(1).alias("slot"), F.posexplode(block).alias("k", "line"))
+    several = F.concat(F.lit(before), F.size(hidden).cast("string"), F.lit(behind))
+    mark = F.concat(F.when(F.size(hidden) == 1, one).otherwise(several), F.lit(" <!-- figs:"), ids, F.lit(" -->"))
+    shown = F.transform(F.filter(group, lambda x: x["line"].isNotNull()), lambda x: x["line"])
+    return F.concat(F.array(F.lit("")), shown, F.when(F.size(hidden) > 0, F.array(mark)).otherwise(F.array().cast("array<string>")), F.array(F.lit("")))
+
+
+def _with_blocks(own: Column, marks: Column) -> Column:
+    """own with the blocks of marks behind the lines of their places."""
+    known = F.filter(marks, lambda x: x["place"].isNotNull())
+    known = F.array_sort(F.transform(known, lambda x: F.struct(x["place"].alias("place"), x["figure_id"].alias("figure_id"), x["line"].alias("line"), x["label"].alias("label"))))
+
+    def cut(both: Column) -> Column:
+        rows, starts = both["rows"], both["starts"]
+        group = lambda s, j: F.slice(rows, s + 1, F.coalesce(F.get(starts, j + 1), F.size(rows)) - s)
+        # own lines from behind the place before up to this one, and its block
+        prior = lambda j: F.coalesce(F.get(rows, F.get(starts, j - 1))["place"], F.lit(-1))
+        piece = lambda s, j: F.concat(F.slice(own, prior(j) + 2, F.get(rows, s)["place"] - prior(j)), _let(group(s, j), _block))
+        last = F.slice(own, prior(F.size(starts)) + 2, F.size(own))
+        return F.concat(F.flatten(F.transform(starts, piece)), last)
+
+    def by(rows: Column) -> Column:
+        begins = F.transform(rows, lambda x, i: F.when(F.coalesce(F.get(rows, i - 1)["place"] != x["place"], F.lit(True)), i))
+        return _let(F.struct(rows.alias("rows"), F.filter(begins, lambda i: i.isNotNull()).alias("starts")), cut)
+
+    return F.when(F.exists(marks, lambda x: x["place"].isNotNull()), _let(known, by)).otherwise(own)
+
+
+_ASKED = "array<struct<figure_id: string, line_no: int, sha: string, mode: string, reference: string, label: string>>"
+
+
+def _shown() -> Column:
+    return F.col("publication_status").isin(*SHOWN) & F.col("shipped").isNotNull()
+
+
+def _by_file(records: DataFrame) -> DataFrame:
+    """file and _asked, what is to be sought and put into it."""
+    folder = F.regexp_replace("anchor_file", r"[^/]*$", "")
+    reference = F.concat(F.lit("!["), alt(F.col("caption"), F.col("figure_label"), F.col("original_filename")), F.lit("]("), paths.relative(F.concat(folder, F.lit("x")), F.col("shipped")), F.lit(")<!-- figs:"), "figure_id", F.lit(" -->"))
+    asked = wanted(records).dropDuplicates(["figure_id"])
+    at = F.when(F.col("anchor_line").between(-(1 << 30), 1 << 30), F.col("anchor_line"))  # no text has a line farther off
+    what = F.struct("figure_id", at.alias("line_no"), F.col("anchor_sha256").alias("sha"), F.col("anchor_mode").alias("mode"), F.when(_shown(), reference).alias("reference"), F.col("figure_label").alias("label"))
+    return asked.groupBy(F.col("anchor_file").alias("file")).agg(F.collect_list(what).cast(_ASKED).alias("_asked"))
+
+
+def _put(lines: Column, within: int, whole: Callable[[Column], Column]) -> Column:
+    """done (what whole makes of the lines with the marks of _asked), and asked with figure_id and place of each."""
+    asked = F.coalesce("_asked", F.array().cast(_ASKED))
+    told = lambda marks: F.transform(F.filter(marks, lambda x: x["kind"] == 0), lambda x: F.struct(x["figure_id"].alias("figure_id"), x["place"].alias("place")))
+    done = lambda parts, marks: F.struct(whole(_with_blocks(parts["own"], marks)).alias("done"), told(marks).alias("asked"))
+    return _let(lines, lambda own: _let(taken_apart(own), lambda parts: _let(_marks(parts, asked, within), lambda marks: done(parts, marks))))
+
+
+def _report(records: DataFrame, asked: DataFrame) -> DataFrame:
+    """figure_id, outcome and file of records; asked: figure_id and place of those sought."""
+    sought = asked.where("place IS NOT NULL").select("figure_id", F.lit(True).alias("_found"))
+    rows = records.dropDuplicates(["figure_id"]).join(sought, "figure_id", "left").join(wanted(records).select("figure_id", F.lit(True).alias("_asked")).distinct(), "figure_id", "left")
+    outcome = F.when(F.col("anchor_file").isNull(), "no_place").when(F.coalesce(F.col("anchor_confidence").isin(*UNSURE), F.lit(False)), "review").when(F.col("_asked").isNull(), "in_text").when(F.col("_found").isNull(), "mismatch")
+    return rows.select("figure_id", outcome.otherwise(F.when(_shown(), "reference").otherwise("mark")).alias("outcome"), F.col("anchor_file").alias("file"))
+
+
+def placed_texts(files: DataFrame, records: DataFrame, within: int = 40) -> tuple[DataFrame, DataFrame]:
+    """files (file, text and further columns) with the marks of records in their texts, and what became of each record; empty texts go.
+
+    records: figure_id, anchor_file, anchor_line, anchor_sha256 (of the squeezed line), anchor_mode (before or after), anchor_confidence,
+    source_kind, referenced_in_text, publication_status, shipped (path of the file that ships, from where the texts' paths begin, or
+    null), caption, figure_label, original_filename. An anchor is sought at its line, else within so many lines, else in the whole
+    file if it is there once; a figure whose anchor is lost stays where an earlier run put it. The second has figure_id, outcome
+    (reference, mark, review, mismatch, in_text, no_place) and file. A text meets the records of its file in one shuffle, and lines are
+    never rows: what is done with them is done within the text.
+    """
+    others = [c for c in files.columns if c not in ("file", "text")]
+    put = _put(_lines_of(F.col("text")), within, lambda lines: F.concat(F.array_join(lines, "\n"), F.lit("\n")))
+    # by explode, the text is made once, whatever is then asked of it
+    rows = files.join(_by_file(records), "file", "left").select("file", *others, F.explode(F.when(F.coalesce("text", F.lit("")) != "", F.array(put))).alias("_put"))
+    return rows.select("file", F.col("_put.done").alias("text"), *others), _report(records, rows.select(F.inline("_put.asked")))
+
+
+def placed(lines: DataFrame, records: DataFrame, within: int = 40) -> tuple[DataFrame, DataFrame]:
+    """placed_texts() of texts as lines (file, line_no, line): file, line_no, line in order (line_no counts anew), and the report."""
+    texts = lines.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_lines"))
+    put = _put(F.transform("_lines", lambda x: x["line"]), within, lambda done: done)
+    rows = texts.join(_by_file(records), "file", "left").select("file", F.explode(F.array(put)).alias("_put"))
+    return rows.select("file", F.posexplode("_put.done").alias("line_no", "line")), _report(records, rows.select(F.inline("_put.asked")))
 
 
 def joined(lines: DataFrame) -> DataFrame:
     """file and text of placed() lines."""
-    whole = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "slot", "k", "line"))), lambda x: x["line"])
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
     return lines.groupBy("file").agg(F.concat(F.array_join(whole, "\n"), F.lit("\n")).alias("text"))
 
 

@@ -116,26 +116,23 @@ b AS (SELECT doc_id, own, CASE WHEN quality = 1 AND toxic = 0 THEN place - 1 ELS
 t AS (SELECT d.doc_id, array_to_string(CASE WHEN b.doc_id IS NULL THEN d.own ELSE list_concat(list_concat(d.own[1 : b.place + 1], b.block), d.own[b.place + 2 :]) END, chr(10)) || chr(10) AS done FROM d LEFT JOIN b ON b.doc_id = d.doc_id)
 SELECT doc_id, sha256(done) AS once_sha256, sha256(done) AS twice_sha256, sha256(done) AS in_parts_sha256 FROM t""")
 def figure_placement(spark, sf_dir):
-    # each text twice: all figures at once, and again; a part of them first, and all later
-    runs = F.explode(F.array(F.lit("whole/"), F.lit("parts/")))
-    docs = documents(spark, sf_dir).select("doc_id", "text", runs.alias("run")).withColumn("file", F.concat("run", F.col("doc_id").cast("string")))
+    id_, shown, at = F.col("doc_id").cast("string"), F.col("toxic") == 0, F.col("at")
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.concat(F.lit("texts/"), id_).alias("file"))
     labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     own = F.split(F.regexp_replace("text", r"\n\z", ""), "\n")
-    at = (F.length("text") % F.size(own)).cast("int")
-    id_, shown = F.col("doc_id").cast("string"), F.col("toxic") == 0
-    records = docs.where(F.coalesce("text", F.lit("")) != "").join(labels, "doc_id").select(
-        F.concat(F.lit("f"), id_).alias("name"), F.col("file").alias("anchor_file"), F.when(F.col("doc_id") % 3 == 0, at + 3).otherwise(at).alias("anchor_line"), F.sha2(text.squeeze(F.get(own, at)), 256).alias("anchor_sha256"),
+    spots = docs.where(F.coalesce("text", F.lit("")) != "").select("doc_id", "file", F.length("text").alias("n"), own.alias("own")).withColumn("at", (F.col("n") % F.size("own")).cast("int"))
+    spots = spots.select("doc_id", "file", "at", F.sha2(text.squeeze(F.get("own", at)), 256).alias("sha"))  # what goes into the join is short
+    records = spots.join(labels, "doc_id").select(
+        F.concat(F.lit("f"), id_).alias("figure_id"), F.col("file").alias("anchor_file"), F.when(F.col("doc_id") % 3 == 0, at + 3).otherwise(at).alias("anchor_line"), F.col("sha").alias("anchor_sha256"),
         F.when(shown & (F.col("quality") == 1), "before").otherwise("after").alias("anchor_mode"), F.lit("anchor_exact").alias("anchor_confidence"), F.lit("fb2_embedded").alias("source_kind"), F.lit(True).alias("referenced_in_text"),
-        F.when(shown, "published").otherwise("metadata_only_rights").alias("publication_status"), F.when(shown, F.concat("run", F.lit("media/"), id_, F.lit(".png"))).alias("shipped"), F.concat(F.lit("figure "), id_).alias("caption"),
-        F.lit(None).cast("string").alias("figure_label"), F.lit(None).cast("string").alias("original_filename"), "run",
+        F.when(shown, "published").otherwise("metadata_only_rights").alias("publication_status"), F.when(shown, F.concat(F.lit("texts/media/"), id_, F.lit(".png"))).alias("shipped"), F.concat(F.lit("figure "), id_).alias("caption"),
+        F.lit(None).cast("string").alias("figure_label"), F.lit(None).cast("string").alias("original_filename"),
     )
-    records = records.withColumn("figure_id", F.concat("name", F.when(F.col("run") == "parts/", "p").otherwise("")))
-
-    def applied(files, some):
-        return placement.joined(placement.placed(placement.split_lines(files), some)[0])
 
-    first = applied(docs.select("file", "text"), records.where("run = 'whole/' OR pmod(xxhash64(name), 2) = 0")).persist()  # read by the next run several times
-    done = first.select("file", F.col("text").alias("first")).join(applied(first, records), "file").withColumn("doc_id", F.regexp_extract("file", "/(.*)", 1).cast("bigint"))
-    mark = F.regexp_replace("text", r"<!-- figs:(f\d+)p -->", "<!-- figs:$1 -->")
-    whole = F.col("file").startswith("whole/")
-    return done.groupBy("doc_id").agg(F.max(F.when(whole, F.sha2("first", 256))).alias("once_sha256"), F.max(F.when(whole, F.sha2("text", 256))).alias("twice_sha256"), F.max(F.when(~whole, F.sha2(mark, 256))).alias("in_parts_sha256"))
+    # each text twice: all figures at once, and again; a part of them first, and all later
+    digest, none = F.sha2("text", 256), F.lit(None).cast("string")
+    once = placement.placed_texts(docs, records)[0].withColumn("once_sha256", digest)
+    twice = placement.placed_texts(once, records)[0].select("doc_id", "once_sha256", digest.alias("twice_sha256"), none.alias("in_parts_sha256"))
+    part = placement.placed_texts(docs, records.where("pmod(xxhash64(figure_id), 2) = 0"))[0]
+    in_parts = placement.placed_texts(part, records)[0].select("doc_id", none.alias("once_sha256"), none.alias("twice_sha256"), digest.alias("in_parts_sha256"))
+    return twice.unionByName(in_parts).groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("once_sha256", "twice_sha256", "in_parts_sha256")])

@@ -90,3 +90,45 @@ def test_renamed_references_and_shipped_files(spark):
     assert got == {"w/1.md": '![x](media/a.png) <img src="m/b.png"> (a.wmf) ![](media/a.png)', "w/2.md": "![](media/b.emf)", "w/3.md": "![](media/a.wmf)"}
     again = placement.renamed_references(spark.createDataFrame([(f, 0, t) for f, t in got.items()], "file string, line_no int, line string"), ships)
     assert {r.file: r.line for r in again.collect()} == got
+
+
+def test_texts_are_read_once_however_many_runs(spark, tmp_path):
+    texts = spark.createDataFrame([("w/t/a.md", TEXT), ("w/t/b.md", "x\r\ny\r\n"), ("w/t/c.md", ""), ("w/t/d.md", None)], "file string, text string")
+    texts.write.parquet(str(tmp_path / "texts"))
+    records = spark.createDataFrame([record("f1", "first line", 1), record("f2", "y", 1, mode="before", file="w/t/b.md")], SCHEMA)
+    files = spark.read.parquet(str(tmp_path / "texts"))
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Scan parquet")
+    lines = placement.placed(placement.split_lines(files), records)[0]
+    assert scans(lines) == 1
+    assert scans(placement.placed(placement.split_lines(placement.joined(lines)), records)[0]) == 1
+    once = placement.placed_texts(files.withColumn("n", F.length("text")), records)[0]
+    twice = placement.placed_texts(once.withColumn("first", F.col("text")), records)[0]
+    assert scans(twice) == 1
+    got = {r.file: r for r in twice.collect()}
+    assert {f: (r.n, r.text == r.first) for f, r in got.items()} == {"w/t/a.md": (len(TEXT), True), "w/t/b.md": (6, True)}
+    assert got["w/t/b.md"].text == "x\n\n![Cap](../media/a.png)<!-- figs:f2 -->\n\ny\n"
+    assert got["w/t/a.md"].text == {r.file: r.text for r in placement.joined(lines).collect()}["w/t/a.md"]
+
+
+def test_anchors_off_their_lines(spark):
+    own = [f"l{i}" for i in range(200)]
+    own[10] = own[14] = own[100] = own[190] = "twin"
+    own[150] = "> *one*"
+    asked = {"a1": ("twin", 12), "a2": ("twin", 13), "a3": ("twin", 55), "a4": ("one", 2**31 - 1), "a5": ("twin", -(2**31)), "a6": ("l7", -5), "a7": ("l199", None), "a8": (None, 3), "a9": (None, 200)}
+    records = [record(f, line, at) for f, (line, at) in asked.items()]
+    text, told = run(spark, "\n".join(own), records)
+    # the nearest, the earlier of two; one farther than 40 lines only if it is the only one; without a hash the line itself
+    assert {f for f, outcome in told.items() if outcome == "mismatch"} == {"a3", "a5", "a9"}
+    lines = text.split("\n")
+    behind = {f: next(x for x in lines[lines.index(f"![Cap](../media/a.png)<!-- figs:{f} -->") :: -1] if x and "figs:" not in x) for f in asked if told[f] == "reference"}
+    assert behind == {"a1": "twin", "a2": "twin", "a4": "> *one*", "a6": "l7", "a7": "l199", "a8": "l3"}
+    assert [i for i, x in enumerate(lines) if "figs:a1 " in x] < [lines.index("l11")] < [i for i, x in enumerate(lines) if "figs:a2 " in x] < [lines.index("l15")]
+
+
+def test_marks_of_several_figures_are_told_apart(spark):
+    """Of a mark of two, one is now shown elsewhere and the other stays; a blank line between two marks is no text."""
+    two = fixed.OMITTED_SEVERAL.format(n=2)
+    text = f"head\n\n{two} <!-- figs:k1,k2 -->\n\n![K](k.png)<!-- figs:k3 -->\n\nlast\n"
+    got, told = run(spark, text, [record("k1", "last", 1)])
+    one = fixed.OMITTED_ONE.format(label="") + " <!-- figs:k2 -->"
+    assert got == f"head\n\n![K](k.png)<!-- figs:k3 -->\n{one}\n\nlast\n\n![Cap](../media/a.png)<!-- figs:k1 -->\n\n" and told == {"k1": "reference"}
