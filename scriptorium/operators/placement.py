@@ -33,7 +33,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _lines_of(whole: Column) -> Column:
     """The lines of a text; the line end at its end is no further line."""
-    return F.split(F.regexp_replace(whole, r"\r?\n\z", ""), r"\r?\n")
+    unix = F.replace(whole, F.lit("\r\n"), F.lit("\n"))
+    body = _let(unix, lambda x: F.when(F.endswith(x, F.lit("\n")), F.substring(x, F.lit(1), F.length(x) - 1)).otherwise(x))
+    return F.split(body, "\n")  # one character is quicker than a pattern
 
 
 def split_lines(files: DataFrame) -> DataFrame:
@@ -85,17 +87,19 @@ def _places(own: Column, asked: Column, within: int) -> Column:
     there = lambda a: F.coalesce(F.get(own, a["line_no"]).isNotNull() & (a["sha"].isNull() | (sha(F.get(own, a["line_no"])) == a["sha"])), F.lit(False))
     steps = F.sequence(F.lit(-within), F.lit(within))
 
-    def sought(shas: Column) -> Column:
-        equal = lambda a: F.filter(steps, lambda x: F.get(shas, a["line_no"] + x) == a["sha"])
-        near = lambda a: F.array_min(F.transform(equal(a), lambda x: F.struct(F.abs(x).alias("far"), (a["line_no"] + x).alias("at"))))["at"]
-        first = lambda a: F.array_position(shas, a["sha"]).cast("int")
-        only = lambda a: _let(first(a), lambda i: F.when((i > 0) & (F.array_position(F.slice(shas, i + 1, F.size(shas)), a["sha"]) == 0), i - 1))
-        found = lambda a: F.when(there(a), a["line_no"]).when(a["sha"].isNotNull(), F.coalesce(near(a), only(a)))
-        return F.transform(asked, lambda a: a.withField("at", found(a).cast("int")))
-
-    # most anchors are at their lines; all lines are hashed only for those that are not
-    lost = F.exists(asked, lambda a: a["sha"].isNotNull() & ~there(a))
-    return _let(F.when(lost, F.transform(own, sha)), sought)
+    def known(asked: Column) -> Column:
+        def sought(shas: Column) -> Column:
+            equal = lambda a: F.filter(steps, lambda x: F.get(shas, a["line_no"] + x) == a["sha"])
+            near = lambda a: F.array_min(F.transform(equal(a), lambda x: F.struct(F.abs(x).alias("far"), (a["line_no"] + x).alias("at"))))["at"]
+            first = lambda a: F.array_position(shas, a["sha"]).cast("int")
+            only = lambda a: _let(first(a), lambda i: F.when((i > 0) & (F.array_position(F.slice(shas, i + 1, F.size(shas)), a["sha"]) == 0), i - 1))
+            return F.transform(asked, lambda a: a.withField("at", F.when(a["at"].isNull() & a["sha"].isNotNull(), F.coalesce(near(a), only(a))).otherwise(a["at"]).cast("int")))
+
+        # most anchors are at their lines; all lines are hashed only for those that are not
+        lost = F.exists(asked, lambda a: a["sha"].isNotNull() & a["at"].isNull())
+        return F.when(lost, _let(F.transform(own, sha), sought)).otherwise(asked)
+
+    return _let(F.transform(asked, lambda a: a.withField("at", F.when(there(a), a["line_no"]))), known)
 
 
 def _earlier(marked: Column) -> Column:

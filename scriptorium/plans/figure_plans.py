@@ -119,7 +119,7 @@ def figure_placement(spark, sf_dir):
     id_, shown, at = F.col("doc_id").cast("string"), F.col("toxic") == 0, F.col("at")
     docs = documents(spark, sf_dir).select("doc_id", "text", F.concat(F.lit("texts/"), id_).alias("file"))
     labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    own = F.split(F.regexp_replace("text", r"\n\z", ""), "\n")
+    own = F.split(F.when(F.endswith("text", F.lit("\n")), F.substring("text", F.lit(1), F.length("text") - 1)).otherwise(F.col("text")), "\n")
     spots = docs.where(F.coalesce("text", F.lit("")) != "").select("doc_id", "file", F.length("text").alias("n"), own.alias("own")).withColumn("at", (F.col("n") % F.size("own")).cast("int"))
     spots = spots.select("doc_id", "file", "at", F.sha2(text.squeeze(F.get("own", at)), 256).alias("sha"))  # what goes into the join is short
     records = spots.join(labels, "doc_id").select(
